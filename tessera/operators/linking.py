@@ -20,12 +20,15 @@ from tessera.operators.transforms import q
 from tessera.spec import FLAG_FALSE, FLAG_TRUE
 
 
+def _substr_at(value: F.Column, n: int):
+    return lambda p: F.substring(value, p, F.lit(n))
+
+
 def _substrings(value: F.Column, lengths: Sequence[int]) -> F.Column:
     arrays = []
     for n in lengths:
         arrays.append(F.when(F.length(value) >= n,
-                             F.transform(F.sequence(F.lit(1), F.length(value) - n + 1),
-                                         lambda p, n=n: F.substring(value, p, n)))
+                             F.transform(F.sequence(F.lit(1), F.length(value) - n + 1), _substr_at(value, n)))
                       .otherwise(F.array().cast("array<string>")))
     return F.flatten(F.array(*arrays)) if arrays else F.array().cast("array<string>")
 

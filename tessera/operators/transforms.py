@@ -116,12 +116,13 @@ def typed_keys(df: DataFrame, columns: Sequence[str], reject_col: str = "_reject
     """Cast PK/FK text to bigint with ``try_cast``; a row whose non-null text does
     not parse is flagged in ``reject_col`` (the caller routes it to rejects)."""
     bad = F.lit(False)
+    casts = {}
     for c in columns:
         src = q(c)
         cast = src.try_cast("bigint") if dict(df.dtypes)[c] == "string" else src.cast("bigint")
         bad = bad | (src.isNotNull() & cast.isNull())
-        df = df.withColumn(c, cast)
-    return df.withColumn(reject_col, bad)
+        casts[c] = cast
+    return df.select(*[casts[c].alias(c) if c in casts else q(c) for c in df.columns], bad.alias(reject_col))
 
 
 def reject_files_with_bad_keys(df: DataFrame, file_col: str = FILE_SEQ, reject_col: str = "_reject"):

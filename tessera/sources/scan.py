@@ -38,7 +38,9 @@ def scan_csv(spark: SparkSession, paths: str | Sequence[str], sep: str = DEFAULT
              encoding: str = "UTF-8", tokens: Iterable[str] = DEFAULT_NULL_TOKENS) -> DataFrame:
     """Header row, all columns text (no inference), null tokens -> NULL."""
     df = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-          .option("inferSchema", False).option("multiLine", False)
+          .option("inferSchema", False)
+          # non-UTF-8 text is decoded as a stream (line splitting is byte based)
+          .option("multiLine", encoding.upper().replace("-", "") not in ("UTF8", "ASCII"))
           .option("nullValue", "\u0000__tessera_no_null__").option("emptyValue", "")
           .csv(list(paths) if not isinstance(paths, str) else paths))
     df = _tag(df)
@@ -95,7 +97,7 @@ def table_from_rows(rows: DataFrame, table: str, columns: Sequence[str] | None =
     t = rows.filter(F.col("tbl") == table)
     if columns is None:
         columns = sorted(r[0] for r in t.select(F.explode(F.map_keys("row"))).distinct().collect())
-    keep = [c for c in t.columns if c not in ("tbl", "row", "_pos")]
+    keep = [c for c in t.columns if c not in ("row", "_pos")]
     return t.select(*keep, *[F.element_at(F.col("row"), F.lit(c)).alias(c) for c in columns])
 
 

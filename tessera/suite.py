@@ -638,3 +638,124 @@ def default_sort(spark, sf):
     o = T(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").alias("_file_seq"),
                                       F.col("o_orderkey").alias("_row_seq"))
     return sort.with_position(o, [("_file_seq", True), ("_row_seq", True)], out="pos").select("o_orderkey", "pos")
+
+
+# ====================================================================== sources and sinks
+from tessera.session import work_path  # noqa: E402
+from tessera.sinks import writers  # noqa: E402
+from tessera.sources import scan  # noqa: E402
+
+_CUST_TEXT = """CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey"""
+
+
+def _cust_tokens(c: DataFrame) -> DataFrame:
+    k = F.col("c_custkey")
+    seg = F.when(k % 7 == 0, "NULL").when(k % 11 == 0, "n/a").otherwise(F.col("c_mktsegment"))
+    return c.select("c_custkey", "c_name", "c_nationkey", seg.alias("c_mktsegment"))
+
+
+@register("scan_csv", f"""
+SELECT {_CUST_TEXT}, CASE WHEN c_custkey % 7 = 0 OR c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment
+FROM customer
+""")
+def scan_csv(spark, sf):
+    path = writers.write_csv(_cust_tokens(T(spark, sf, "customer")), work_path(spark, "scan_csv"), sep=";")
+    df = scan.scan_csv(spark, path, sep=";")
+    return df.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+
+
+@register("scan_json_tables", """
+SELECT 'customer' AS tbl, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment,
+       CAST(NULL AS VARCHAR) AS batch, CAST(NULL AS VARCHAR) AS source FROM customer
+UNION ALL
+SELECT DISTINCT '_' AS tbl, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+       CAST(c_custkey // 50 AS VARCHAR) AS batch, 'crm' AS source FROM customer
+""")
+def scan_json_tables(spark, sf):
+    c = T(spark, sf, "customer")
+    # Multi-table documents of at most 50 customers each (bounded groups).
+    docs = (c.groupBy((F.col("c_custkey") / 50).cast("bigint").alias("batch"))
+            .agg(F.collect_list(F.struct("c_custkey", "c_name", "c_mktsegment")).alias("customer"))
+            .select(F.to_json(F.struct("customer", "batch", F.lit("crm").alias("source"))).alias("value")))
+    path = work_path(spark, "scan_json")
+    docs.write.text(path)
+    rows = scan.scan_json_tables(scan.read_json_documents(spark, path, whole_file=False), ["customer"])
+    cust = scan.table_from_rows(rows, "customer", ["c_custkey", "c_name", "c_mktsegment"])
+    meta = scan.table_from_rows(rows, "_", ["batch", "source"])
+    out = upsert.append_rows(cust.select("tbl", "c_custkey", "c_name", "c_mktsegment"),
+                             meta.select("tbl", "batch", "source"))
+    return out.select("tbl", "c_custkey", "c_name", "c_mktsegment", "batch", "source")
+
+
+@register("scan_parquet", """
+SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer
+""")
+def scan_parquet(spark, sf):
+    c = T(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    path = writers.write_parquet(c, work_path(spark, "scan_parquet"))
+    return scan.scan_parquet(spark, path).select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+
+
+@register("workbook_scan", """
+SELECT 'customers' AS sheet, c_custkey AS id, c_name AS name FROM customer
+UNION ALL SELECT 'suppliers', s_suppkey, s_name FROM supplier
+""")
+def workbook_scan(spark, sf):
+    root = work_path(spark, "workbook")
+    T(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")) \
+        .write.parquet(f"{root}/customers")
+    T(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")) \
+        .write.parquet(f"{root}/suppliers")
+    return scan.scan_sheet_dirs(spark, root).select("sheet", "id", "name")
+
+
+@register("catalog_reload_latest", """
+WITH r AS (SELECT event_type, max(ts) AS m FROM events GROUP BY 1)
+SELECT event_id, event_type FROM events WHERE event_type = (SELECT arg_max(event_type, m) FROM r)
+""")
+def catalog_reload_latest(spark, sf):
+    ev = T(spark, sf, "events").select("event_id", "event_type", "ts")
+    replicas = ev.groupBy(F.col("event_type").alias("path")).agg(F.max("ts").alias("modificationTime"))
+    newest = scan.newest_replica(replicas).select(F.col("path").alias("event_type"))
+    return ev.join(newest, "event_type", "left_semi").select("event_id", "event_type")
+
+
+@register("encoding_bom", f"""
+SELECT 'UTF-16BE' AS encoding, {_CUST_TEXT} FROM customer
+UNION ALL SELECT 'UTF-8' AS encoding, {_CUST_TEXT} FROM customer
+""")
+def encoding_bom(spark, sf):
+    c = T(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    root = work_path(spark, "encodings")
+    writers.write_csv(c, f"{root}/utf16", sep=";", encoding="UTF-16")
+    writers.write_csv(c, f"{root}/utf8", sep=";")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.csv").load(root))
+    found = scan.detect_encoding(files).select("path", "encoding")
+    df = scan.read_by_encoding(spark, found, lambda paths, enc: scan.scan_csv(spark, paths, ";", enc))
+    return df.select("encoding", "c_custkey", "c_name", "c_nationkey")
+
+
+_TABLE_FILES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
+                "benchmark labels conversations").split()
+
+
+@register("file_manifest", "SELECT name, true AS non_empty FROM (VALUES " +
+          ", ".join(f"('{t}.parquet')" for t in _TABLE_FILES) + ") AS t(name)")
+def file_manifest(spark, sf):
+    files = scan.list_files(spark, sf, glob="*.parquet")
+    return files.select("name", (F.col("length") > 0).alias("non_empty"))
+
+
+@register("replicated_publish", """
+SELECT 'a' AS replica, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name FROM customer
+UNION ALL SELECT 'b' AS replica, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name FROM customer
+""")
+def replicated_publish(spark, sf):
+    c = T(spark, sf, "customer").select("c_custkey", "c_name")
+    root = work_path(spark, "publish")
+    writers.publish({"customer": c}, [f"{root}/a.parquet", f"{root}/b.csv"])
+    a = spark.read.parquet(f"{root}/a.parquet/customer").select(F.lit("a").alias("replica"),
+                                                                F.col("c_custkey").cast("string"), "c_name")
+    b = scan.scan_csv(spark, f"{root}/b.csv/customer").select(F.lit("b").alias("replica"), "c_custkey", "c_name")
+    return a.unionByName(b)
