@@ -759,3 +759,83 @@ def replicated_publish(spark, sf):
                                                                 F.col("c_custkey").cast("string"), "c_name")
     b = scan.scan_csv(spark, f"{root}/b.csv/customer").select(F.lit("b").alias("replica"), "c_custkey", "c_name")
     return a.unionByName(b)
+
+
+# ====================================================================== streaming
+from tessera.streaming import watch  # noqa: E402
+
+
+def _event_files_dir(spark, sf, name, n_files=6):
+    """The events table posted as a folder of files (several days per file)."""
+    src = work_path(spark, name)
+    ev = T(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
+    ev.repartition(n_files, F.to_date("ts")).write.parquet(src)
+    return src, ev.schema
+
+
+@register("stream_files", """
+SELECT event_id, event_type FROM events
+""")
+def stream_files(spark, sf):
+    src, schema = _event_files_dir(spark, sf, "stream_files_in")
+    out, ck = work_path(spark, "stream_files_out"), work_path(spark, "stream_files_ck")
+    stream = watch.watch(spark, src, schema, max_files_per_trigger=2)
+    watch.run_to_files(stream.select("event_id", "event_type"), out, ck)
+    return spark.read.parquet(out)
+
+
+@register("stream_upsert", """
+WITH r AS (SELECT user_id, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS file_seq, event_type, ts FROM events),
+f AS (SELECT user_id, file_seq, event_type, min(ts) AS s FROM r GROUP BY 1, 2, 3),
+m AS (SELECT user_id, file_seq, string_agg(event_type, ', ' ORDER BY s) AS v FROM f GROUP BY 1, 2),
+w AS (SELECT user_id, v, file_seq, row_number() OVER (PARTITION BY user_id ORDER BY file_seq DESC) AS rn FROM m)
+SELECT user_id, v AS event_type, file_seq FROM w WHERE rn = 1
+""")
+def stream_upsert(spark, sf):
+    src, schema = _event_files_dir(spark, sf, "stream_upsert_in")
+    root, ck = work_path(spark, "stream_upsert_catalog"), work_path(spark, "stream_upsert_ck")
+    stream = watch.watch(spark, src, schema, max_files_per_trigger=2).select(
+        "user_id", F.date_format("ts", "yyyyMMdd").cast("int").alias("file_seq"), "event_type",
+        F.struct("ts", "event_id").alias("_seq"))
+    watch.upsert_batches(stream, root, ck, ["user_id"], "file_seq", ["_seq"])
+    return watch.read_catalog(spark, root).select("user_id", "event_type", "file_seq")
+
+
+@register("stream_pending", """
+WITH f AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+r AS (SELECT user_id, ts FROM events WHERE event_type = 'view'),
+m AS (SELECT DISTINCT f.event_id FROM f JOIN r ON f.user_id = r.user_id
+      AND r.ts >= f.ts AND r.ts <= f.ts + INTERVAL 1 HOUR)
+SELECT f.event_id, CASE WHEN m.event_id IS NOT NULL THEN 'published'
+                        WHEN f.ts + INTERVAL 1 HOUR < (SELECT max(ts) FROM events) THEN 'expired'
+                        ELSE 'pending' END AS status
+FROM f LEFT JOIN m ON f.event_id = m.event_id
+""")
+def stream_pending(spark, sf):
+    src, schema = _event_files_dir(spark, sf, "stream_pending_in")
+    out, ck = work_path(spark, "stream_pending_out"), work_path(spark, "stream_pending_ck")
+    ev = watch.watch(spark, src, schema)
+    files = ev.filter(F.col("event_type") == "purchase").select("event_id", "user_id", F.col("ts").alias("file_ts"))
+    refs = ev.filter(F.col("event_type") == "view").select(F.col("user_id"), F.col("ts").alias("ref_ts"))
+    matched = watch.match_held_files(files, refs, "user_id", "file_ts", "ref_ts", "1 HOUR", "2 HOURS")
+    watch.run_to_files(matched.select(F.col("f.event_id").alias("event_id")), out, ck)
+    # Files with no reference yet: expired once the hold period has passed.
+    now = T(spark, sf, "events").select(F.max("ts")).scalar()
+    held = T(spark, sf, "events").filter(F.col("event_type") == "purchase").select("event_id", "ts")
+    published = spark.read.parquet(out).distinct().withColumn("_pub", F.lit(True))
+    return held.join(published, "event_id", "left").select(
+        "event_id", F.when(F.col("_pub"), F.lit("published"))
+        .when(F.col("ts") + F.expr("INTERVAL 1 HOUR") < now, F.lit("expired")).otherwise(F.lit("pending"))
+        .alias("status"))
+
+
+@register("stream_dedupe", """
+SELECT DISTINCT user_id, event_type FROM events
+""")
+def stream_dedupe(spark, sf):
+    src, schema = _event_files_dir(spark, sf, "stream_dedupe_in")
+    out, ck = work_path(spark, "stream_dedupe_out"), work_path(spark, "stream_dedupe_ck")
+    stream = watch.watch(spark, src, schema, max_files_per_trigger=2)
+    deduped = watch.dedupe_arrivals(stream, ["user_id", "event_type"], "ts", "3650 days")
+    watch.run_to_files(deduped.select("user_id", "event_type"), out, ck)
+    return spark.read.parquet(out)
