@@ -839,3 +839,150 @@ def stream_dedupe(spark, sf):
     deduped = watch.dedupe_arrivals(stream, ["user_id", "event_type"], "ts", "3650 days")
     watch.run_to_files(deduped.select("user_id", "event_type"), out, ck)
     return spark.read.parquet(out)
+
+
+# ====================================================================== composite plans
+from tessera.plans import catalog as catalog_store  # noqa: E402
+from tessera.plans.load import load_related as _load_related  # noqa: E402
+from tessera.plans.prepare import prepare as _prepare  # noqa: E402
+from tessera.spec import DEFAULT_NULL_TOKENS  # noqa: E402
+
+_TOKENS_SQL = ", ".join("'" + t.replace("'", "''") + "'" for t in dict.fromkeys(DEFAULT_NULL_TOKENS))
+
+
+@register("prepare_table", f"""
+WITH s AS (SELECT c_nationkey AS file_seq, c_custkey, c_name,
+                  CASE WHEN c_custkey % 7 = 0 THEN 'N/A' WHEN c_custkey % 11 = 0 THEN 'nan' ELSE c_mktsegment END AS seg
+           FROM customer)
+SELECT file_seq, trim(seg) AS row_key, trim(seg) AS c_mktsegment,
+       string_agg(c_name, ', ' ORDER BY c_custkey) AS c_name,
+       string_agg(CAST(c_custkey AS VARCHAR), ', ' ORDER BY c_custkey) AS c_custkey
+FROM s WHERE seg NOT IN ({_TOKENS_SQL}) GROUP BY 1, 2
+""")
+def prepare_table(spark, sf):
+    """PIP-1 on a customer 'file' per nation: null tokens, composed key,
+    null-key rows dropped, duplicate keys merged in first-seen order."""
+    spec = CatalogSpec.from_config({"metadata": {"key": {"customer": ["c_mktsegment"]}}})
+    c = T(spark, sf, "customer")
+    k = F.col("c_custkey")
+    rows = c.select(F.col("c_nationkey").alias("_file_seq"), F.col("c_custkey").alias("_row_seq"),
+                    "c_custkey", "c_name",
+                    F.when(k % 7 == 0, "N/A").when(k % 11 == 0, "nan").otherwise(F.col("c_mktsegment"))
+                    .alias("c_mktsegment"))
+    out = _prepare(rows, spec.tables["customer"], spec)
+    return out.select(F.col("_file_seq").alias("file_seq"), F.col("_key").alias("row_key"),
+                      "c_mktsegment", "c_name", "c_custkey")
+
+
+def _nation_customer_spec() -> CatalogSpec:
+    return CatalogSpec.from_config({"metadata": {
+        "key": {"nation": ["n_name"], "customer": ["c_name"]},
+        "association": {
+            "nation": {"PK": {"name": "n_nationkey", "int type": True, "relative value": True}},
+            "customer": {"FK": {"nation": {"name": "c_nationkey", "delete orphan": True}}},
+        }}})
+
+
+@register("load_related", """
+WITH nat AS (SELECT n_nationkey, n_name, n_regionkey FROM nation),
+newn AS (SELECT n_regionkey AS file_seq, n_nationkey + 1000 AS old FROM nat WHERE n_nationkey % 5 = 0),
+s AS (SELECT file_seq, min(old) AS lo, max(old) AS hi FROM newn GROUP BY 1),
+o AS (SELECT file_seq, lo, (SELECT max(n_nationkey) + 1 FROM nat WHERE n_nationkey % 5 <> 0)
+        + coalesce(sum(hi - lo + 1) OVER (ORDER BY file_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nxt FROM s),
+pk AS (SELECT n.n_nationkey, CASE WHEN n.n_nationkey % 5 <> 0 THEN n.n_nationkey
+                                  ELSE n.n_nationkey + 1000 - o.lo + o.nxt END AS final_pk
+       FROM nat n LEFT JOIN o ON n.n_regionkey = o.file_seq),
+r AS (SELECT c_name, CAST(c_custkey AS VARCHAR) AS c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_mktsegment
+      FROM customer WHERE c_custkey % 10 < 8 AND c_nationkey % 5 <> 0),
+d AS (SELECT c.c_name, CAST(c.c_custkey AS VARCHAR) AS c_custkey, CAST(pk.final_pk AS BIGINT) AS c_nationkey,
+             lower(c.c_mktsegment) AS c_mktsegment
+      FROM customer c JOIN pk ON c.c_nationkey = pk.n_nationkey WHERE c.c_custkey % 10 >= 6)
+SELECT coalesce(d.c_name, r.c_name) AS c_name, coalesce(d.c_custkey, r.c_custkey) AS c_custkey,
+       coalesce(d.c_nationkey, r.c_nationkey) AS c_nationkey, coalesce(d.c_mktsegment, r.c_mktsegment) AS c_mktsegment
+FROM r FULL OUTER JOIN d ON r.c_name = d.c_name
+""")
+def load_related(spark, sf):
+    """PIP-2: a batch re-posts every nation under file-relative ids (+1000,
+    one file per region) with customers pointing at those ids. Known nations
+    keep their catalog PK, new ones get fresh PKs per file, and the customers'
+    FKs follow before they are keyed and upserted."""
+    spec = _nation_customer_spec()
+    from tessera.operators.transforms import with_key
+    n, c = T(spark, sf, "nation"), T(spark, sf, "customer")
+    cat_n = with_key(n.filter(F.col("n_nationkey") % 5 != 0).select(
+        F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "n_name",
+        F.lit(-1).alias("_file_seq"), F.lit(0).cast("bigint").alias("_row_seq")), ["n_name"])
+    cat_c = with_key(c.filter((F.col("c_custkey") % 10 < 8) & (F.col("c_nationkey") % 5 != 0)).select(
+        "c_name", F.col("c_custkey").cast("string").alias("c_custkey"),
+        F.col("c_nationkey").cast("bigint").alias("c_nationkey"), "c_mktsegment",
+        F.lit(-1).alias("_file_seq"), F.col("c_custkey").alias("_row_seq")), ["c_name"])
+    delta_n = n.select((F.col("n_nationkey") + 1000).cast("string").alias("n_nationkey"), "n_name",
+                       F.col("n_regionkey").alias("_file_seq"), F.col("n_nationkey").cast("bigint").alias("_row_seq"))
+    region_of = n.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey").alias("_file_seq"))
+    delta_c = c.filter(F.col("c_custkey") % 10 >= 6).join(region_of, "c_nationkey").select(
+        "c_name", F.col("c_custkey").cast("string").alias("c_custkey"),
+        (F.col("c_nationkey") + 1000).cast("string").alias("c_nationkey"),
+        F.lower("c_mktsegment").alias("c_mktsegment"), "_file_seq", F.col("c_custkey").alias("_row_seq"))
+    out = _load_related({"nation": cat_n, "customer": cat_c}, {"nation": delta_n, "customer": delta_c}, spec)
+    return out["customer"].select("c_name", "c_custkey", F.col("c_nationkey").cast("bigint"), "c_mktsegment")
+
+
+def _consolidate_spec() -> CatalogSpec:
+    return CatalogSpec.from_config({
+        "files": {"metadata file formatting": {"csv separator": ";"}},
+        "metadata": {
+            "key": {"nation": ["n_name"], "customer": ["c_name"]},
+            "association": {
+                "nation": {"PK": {"name": "n_nationkey", "int type": True}},
+                "customer": {"FK": {"nation": {"name": "c_nationkey", "delete orphan": True}}},
+            },
+            "sort by": {"customer": {"by": ["c_name"], "ascending": True}},
+        }})
+
+
+@register("consolidate", """
+WITH r AS (SELECT c_name, CAST(c_custkey AS VARCHAR) AS c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_mktsegment
+           FROM customer WHERE c_custkey % 10 < 8),
+d AS (SELECT c_name, CAST(c_custkey AS VARCHAR) AS c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey,
+             CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE lower(c_mktsegment) END AS c_mktsegment
+      FROM customer WHERE c_custkey % 10 >= 6),
+u AS (SELECT coalesce(d.c_name, r.c_name) AS c_name, coalesce(d.c_custkey, r.c_custkey) AS c_custkey,
+             coalesce(d.c_nationkey, r.c_nationkey) AS c_nationkey, coalesce(d.c_mktsegment, r.c_mktsegment) AS c_mktsegment
+      FROM r FULL OUTER JOIN d ON r.c_name = d.c_name)
+SELECT c_name, c_custkey, c_nationkey, c_mktsegment FROM u
+WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 0)
+""")
+def consolidate(spark, sf):
+    """PIP-3 end to end: metadata files (CSV, one per nation) are scanned,
+    prepared and upserted into the stored catalog, orphans are cleaned, the
+    catalog is sorted and written as a new version, and read back."""
+    spec = _consolidate_spec()
+    n, c = T(spark, sf, "nation"), T(spark, sf, "customer")
+    root = work_path(spark, "catalog")
+    from tessera.operators.transforms import with_key
+    v1_n = with_key(n.filter(F.col("n_regionkey") != 0).select(
+        F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "n_name",
+        F.lit(-1).alias("_file_seq"), F.col("n_nationkey").cast("bigint").alias("_row_seq")), ["n_name"])
+    v1_c = with_key(c.filter(F.col("c_custkey") % 10 < 8).select(
+        "c_name", F.col("c_custkey").cast("string").alias("c_custkey"),
+        F.col("c_nationkey").cast("bigint").alias("c_nationkey"), "c_mktsegment",
+        F.lit(-1).alias("_file_seq"), F.col("c_custkey").alias("_row_seq")), ["c_name"])
+    catalog_store.save(spark, root, {"nation": v1_n, "customer": v1_c})
+    # The batch: one CSV metadata file per nation, with null tokens.
+    k = F.col("c_custkey")
+    posted = c.filter(k % 10 >= 6).select(
+        "c_name", "c_custkey", "c_nationkey",
+        F.when(k % 3 == 0, F.lit("NULL")).otherwise(F.lower("c_mktsegment")).alias("c_mktsegment"))
+    inbox = work_path(spark, "inbox")
+    posted.repartition("c_nationkey").write.option("header", True).option("sep", ";").csv(inbox)
+    scanned = scan.scan_csv(spark, inbox, sep=spec.csv_separator, tokens=spec.null_tokens)
+    # file order = (mtime, path) (D16): a dense rank over the distinct files
+    files = scanned.select("_file_path", "_file_mtime").distinct()
+    files = sort.with_position(files, [("_file_mtime", True), ("_file_path", True)], out="_file_seq")
+    delta = scanned.join(files.select("_file_path", "_file_seq"), "_file_path")
+    current = catalog_store.load(spark, root)
+    merged = _load_related(current, {"customer": delta}, spec)
+    merged["customer"] = sort.catalog_sort(merged["customer"], spec.tables["customer"].sort_by)
+    catalog_store.save(spark, root, merged)
+    final = catalog_store.load(spark, root)["customer"]
+    return final.select("c_name", "c_custkey", F.col("c_nationkey").cast("bigint"), "c_mktsegment")
