@@ -20,6 +20,7 @@ from tessera.operators.relations import assign_pk, orphan_cascade, pk_seed, rema
 from tessera.operators.transforms import FILE_SEQ, KEY, ROW_SEQ
 from tessera.operators.upsert import coalesce_upsert, fold_files
 from tessera.plans.prepare import key_and_merge
+from tessera.session import materialize
 from tessera.spec import CatalogSpec
 
 
@@ -38,7 +39,9 @@ def load_related(catalog: Mapping[str, DataFrame], delta: Mapping[str, DataFrame
             if fk.parent in maps and fk.name in rows.columns:
                 rows = remap_fk(rows.withColumn(fk.name, F.col(fk.name).cast("bigint")), maps[fk.parent],
                                 fk.name, file_col=FILE_SEQ, old_col="old_pk", new_col="new_pk")
-        rows = key_and_merge(rows, ts, spec, key_mode)
+        # Stage boundary: the keyed, merged delta of this table is used by
+        # the PK map, the upsert and the children, so it is computed once.
+        rows = materialize(key_and_merge(rows, ts, spec, key_mode))
         if ts.pk is not None and ts.pk.relative and ts.key:
             pk = ts.pk.name
             old = out.get(t)
@@ -51,7 +54,7 @@ def load_related(catalog: Mapping[str, DataFrame], delta: Mapping[str, DataFrame
                 seed = 1
             adds = assign_pk(matched.filter(F.col("_ref").isNull()).drop("_ref"), pk, seed, FILE_SEQ, "_new")
             upd = matched.filter(F.col("_ref").isNotNull()).withColumn("_new", F.col("_ref")).drop("_ref")
-            both = adds.unionByName(upd)
+            both = materialize(adds.unionByName(upd))
             maps[t] = both.select(FILE_SEQ, F.col(pk).cast("bigint").alias("old_pk"),
                                   F.col("_new").alias("new_pk"))
             rows = both.withColumn(pk, F.col("_new")).drop("_new")
@@ -62,6 +65,7 @@ def load_related(catalog: Mapping[str, DataFrame], delta: Mapping[str, DataFrame
             out[t] = out[t].unionByName(folded, allowMissingColumns=True)
         else:
             out[t] = folded
+        out[t] = materialize(out[t])
     if clean_orphans:
         out = orphan_cascade(out, spec)
     return out

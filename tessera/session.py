@@ -60,3 +60,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory under the shared checkpoint folder."""
     return os.path.join(checkpoint_root(spark), "work", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Cut lineage at a stage boundary: a reliable checkpoint in the shared
+    checkpoint folder (survives executor loss; never a local checkpoint)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
