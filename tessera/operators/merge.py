@@ -40,26 +40,28 @@ def merge_duplicates(df: DataFrame, key_cols: Sequence[str] = (KEY,),
 
     counts = df.groupBy(*keyed).agg(F.count(F.lit(1)).alias("_n"),
                                     *[F.min(q(c)).alias(c) for c in order_cols])
-    dup_keys = counts.filter(F.col("_n") > 1).drop("_n")
-    # Keys seen once bypass the merge (anti join; the hot side is split by AQE).
-    single = df.join(dup_keys.select(*keyed), key_cols, "left_anti")
-    single = single.select(*keyed, *[q(c).cast("string").alias(c) for c in values],
-                           *[q(c) for c in order_cols])
-
-    dup_rows = df.join(dup_keys.select(*keyed), key_cols, "left_semi")
-    triples = dup_rows.select(
+    # One shuffle of the full rows: tag each row with its key's count (the
+    # counts side is one row per key; AQE splits a hot key on the row side).
+    tagged = df.join(counts.select(*keyed, "_n"), key_cols)
+    single = tagged.filter(F.col("_n") == 1).select(
+        *keyed, *[q(c).cast("string").alias(c) for c in values], *[q(c) for c in order_cols])
+
+    triples = tagged.filter(F.col("_n") > 1).select(
         *keyed, seq.alias("_s"),
         F.explode(F.array(*[F.struct(F.lit(i).alias("i"), q(c).cast("string").alias("v"))
                             for i, c in enumerate(values)])).alias("_e"),
     ).filter(F.col("_e.v").isNotNull()).select(*keyed, "_s", F.col("_e.i").alias("_i"), F.col("_e.v").alias("_v"))
+    # distinct (key, column, value) with its first position: partial aggregation
     firsts = triples.groupBy(*keyed, "_i", "_v").agg(F.min("_s").alias("_s"))
-    per_col = firsts.groupBy(*keyed, "_i").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_s", "_v"))), lambda x: x["_v"]),
-                     sep).alias("_v"))
-    wide = per_col.groupBy(*keyed).agg(F.map_from_entries(F.collect_list(F.struct("_i", "_v"))).alias("_m"))
-    merged = dup_keys.join(wide, key_cols, "left").select(
-        *keyed, *[F.element_at(F.col("_m"), F.lit(i)).alias(c) for i, c in enumerate(values)],
-        *[q(c) for c in order_cols])
+    # per key: the sorted distinct values of every column (bounded by the output itself)
+    per_key = firsts.groupBy(*keyed).agg(F.array_sort(F.collect_list(F.struct("_i", "_s", "_v"))).alias("_l"))
+
+    def column_text(i: int):
+        picked = F.filter(F.col("_l"), lambda x: x["_i"] == F.lit(i))
+        return F.when(F.size(picked) > 0, F.array_join(F.transform(picked, lambda x: x["_v"]), sep))
+
+    merged = counts.filter(F.col("_n") > 1).join(per_key, key_cols, "left").select(
+        *keyed, *[column_text(i).alias(c) for i, c in enumerate(values)], *[q(c) for c in order_cols])
     out = single.unionByName(merged)
     if not keep_order_cols:
         out = out.drop(*order_cols)

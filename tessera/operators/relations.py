@@ -112,23 +112,28 @@ def parent_orphans(parent: DataFrame, children: Sequence[tuple[DataFrame, str]],
 
 
 # ---------------------------------------------------------------- JON-8
-def orphan_cascade(tables: Mapping[str, DataFrame], spec) -> dict[str, DataFrame]:
+def orphan_cascade(tables: Mapping[str, DataFrame], spec, checkpoint: bool = True) -> dict[str, DataFrame]:
     """Cascading orphan cleanup to its fixpoint in two passes:
     pass 1 parents-first drops children with dead FKs (where the FK asks for
     it); pass 2 children-first drops unreferenced parents (where the PK asks
-    for it). Both rules are monotone, so no iteration is needed."""
+    for it). Both rules are monotone, so no iteration is needed: 2 joins per
+    FK edge. Each cleaned table is checkpointed (shared storage) so later
+    steps read it once instead of re-planning its whole history."""
+    from tessera.session import materialize
+
+    done = materialize if checkpoint else (lambda d: d)
     out = dict(tables)
     order = [t for t in spec.topological_order() if t in out]
     for t in order:
         for fk in spec.tables[t].fks:
             parent = spec.tables[fk.parent]
             if fk.delete_orphan and fk.parent in out and parent.pk is not None:
-                out[t] = fk_orphans(out[t], out[fk.parent], fk.name, parent.pk.name)
+                out[t] = done(fk_orphans(out[t], out[fk.parent], fk.name, parent.pk.name))
     for t in reversed(order):
         ts = spec.tables[t]
         if ts.pk is None or not ts.pk.delete_orphan:
             continue
         kids = [(out[c], fk.name) for c, fk in spec.children_of(t) if c in out]
         if kids:
-            out[t] = parent_orphans(out[t], kids, ts.pk.name)
+            out[t] = done(parent_orphans(out[t], kids, ts.pk.name))
     return out
