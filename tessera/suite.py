@@ -986,3 +986,35 @@ def consolidate(spark, sf):
     catalog_store.save(spark, root, merged)
     final = catalog_store.load(spark, root)["customer"]
     return final.select("c_name", "c_custkey", F.col("c_nationkey").cast("bigint"), "c_mktsegment")
+
+
+@register("trash_plan", """
+WITH d AS (SELECT doc_id, source || '_' || lang || '.txt' AS name, md5(text) AS h FROM documents),
+t AS (SELECT name, arg_min(h, doc_id) AS h FROM d WHERE doc_id % 2 = 0 GROUP BY name),
+i AS (SELECT * FROM d WHERE doc_id % 2 = 1)
+SELECT i.doc_id, i.name AS file_name,
+       CASE WHEN t.name IS NULL THEN 'move' WHEN t.h = i.h THEN 'drop_identical' ELSE 'rename_older' END AS action
+FROM i LEFT JOIN t ON i.name = t.name
+""")
+def trash_plan(spark, sf):
+    """FIL-6: incoming files (odd ids) against a folder holding the first
+    even-id file of each name; no overwrite -> drop identical, rename older."""
+    d = T(spark, sf, "documents").select(
+        "doc_id", F.concat(F.col("source"), F.lit("_"), F.col("lang"), F.lit(".txt")).alias("file_name"),
+        manifest.content_hash(F.col("text")).alias("h"))
+    present = manifest.first_arrivals(d.filter(F.col("doc_id") % 2 == 0), ["file_name"], ["doc_id"]).select(
+        "file_name", F.col("h").alias("_th"), F.lit(True).alias("_exists"))
+    inc = d.filter(F.col("doc_id") % 2 == 1).join(present, "file_name", "left")
+    action = manifest.conflict_action(F.coalesce(F.col("_exists"), F.lit(False)), F.col("_th") == F.col("h"),
+                                      overwrite=False)
+    return inc.select("doc_id", "file_name", action.alias("action"))
+
+
+@register("data_file_key", """
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) || '-' || o_orderstatus AS data_files FROM orders
+""")
+def data_file_key(spark, sf):
+    """PRJ-9: the helper column joining a table's file-name columns."""
+    o = T(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return transforms.data_file_column(o, ["o_custkey", "o_orderstatus"], "data_files").select(
+        "o_orderkey", "data_files")
