@@ -139,3 +139,9 @@ def reject_files(files: DataFrame, produced: DataFrame, file_col: str, reason: s
     """Files that produced no row of any table."""
     return (files.join(produced.select(q(file_col)).distinct(), file_col, "left_anti")
             .select(q(file_col), F.lit(reason).alias("reason")))
+
+
+# ---------------------------------------------------------------- SET-2
+def files_to_process(files: DataFrame, done: DataFrame, key_cols: Sequence[str] = ("path",)) -> DataFrame:
+    """Set difference: listed files not yet processed (or still pending)."""
+    return files.join(done.select(*[q(k) for k in key_cols]).distinct(), list(key_cols), "left_anti")
