@@ -107,3 +107,25 @@ def test_batches_end_to_end(spark, tmp_path):
     assert [os.path.basename(p) for (p,) in rows(r2.publish_plan, "path")] == ["later.txt"]
     stats = {(t, o): n for t, o, n in rows(r2.stats.groupBy("table", "outcome").agg(F.sum("n").alias("n")))}
     assert stats[("rawFiles", "updated")] == 1 and stats[("project", "added")] == 1
+
+
+def test_service_holds_then_publishes(spark, tmp_path):
+    from tessera.plans.service import run_batch
+    spec = CatalogSpec.from_config(CONFIG)
+    cat = str(tmp_path / "cat")
+
+    def doc(name):
+        return json.dumps({"project": {"correlationKey": "k-1", "issue": "1"},
+                           "rawFiles": [{"correlationKey": "k-1", "fileName": name, "sensor": "s"}]})
+
+    p0 = str(tmp_path / "in0")
+    _write(f"{p0}/monitor_20260211_k-1.json", doc("first.txt"))
+    run_batch(spark, spec, [p0], cat, write_replicas=False)
+    p1 = str(tmp_path / "in1")
+    _write(f"{p1}/early.txt", "data before its metadata")
+    s1 = run_batch(spark, spec, [p1], cat, write_replicas=False)
+    assert s1["held"] == 1 and s1["published"] == 0
+    p2 = str(tmp_path / "in2")
+    _write(f"{p2}/monitor_20260212_k-1.json", doc("early.txt"))
+    s2 = run_batch(spark, spec, [p2], cat, write_replicas=False)
+    assert s2["published"] == 1 and s2["held"] == 0
