@@ -64,7 +64,8 @@ def serve(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catalog_roo
     """Watch ``inputs``; ``once`` (default: the spec's test mode) processes the
     backlog and stops, otherwise polls every check period."""
     once = spec.test_mode if once is None else once
-    stream = (spark.readStream.format("binaryFile").option("recursiveFileLookup", True)
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    stream = (spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", True)
               .option("maxFilesPerTrigger", max_files_per_trigger).load(inputs[0] if len(inputs) == 1 else inputs)
               .select("path"))
 
