@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.transforms import q
@@ -25,24 +25,27 @@ def match_table(file_columns: DataFrame, required: DataFrame, file_col: str = "f
     required columns are among the file's columns; distance = extra columns;
     the smallest distance wins; a tie is ``ambiguous``; none is ``ntf``.
 
-    ``required`` is the spec's (tbl, col) frame — small by construction, so it
-    is broadcast; the file side is aggregated with partial aggregation.
+    ``required`` is the spec's (tbl, col) frame — configuration-sized, so it
+    is broadcast. After the (file, column) dedupe everything stays
+    partitioned by file: one file's rows are its distinct columns (bounded by
+    the schema width), so a file with a third of all rows is no hot spot.
     """
     fc = file_columns.select(q(file_col).alias("_f"), q(col_col).alias("_c")).distinct()
-    req = F.broadcast(required.select(F.col("tbl"), F.col("col").alias("_c")))
+    by_file = Window.partitionBy("_f")
+    fc = fc.withColumn("_have", F.count(F.lit(1)).over(by_file))
     need = required.groupBy("tbl").agg(F.count(F.lit(1)).alias("_need"))
-    have = fc.groupBy("_f").agg(F.count(F.lit(1)).alias("_have"))
-    hit = fc.join(req, "_c").groupBy("_f", "tbl").agg(F.count(F.lit(1)).alias("_got"))
-    cand = (hit.join(F.broadcast(need), "tbl").filter(F.col("_got") == F.col("_need"))
-            .join(have, "_f").select("_f", "tbl", (F.col("_have") - F.col("_need")).alias("_dist")))
-    best = cand.groupBy("_f").agg(F.min(F.struct("_dist", "tbl")).alias("_b"))
-    ties = (cand.join(best, "_f").filter(F.col("_dist") == F.col("_b._dist"))
-            .groupBy("_f").agg(F.count(F.lit(1)).alias("_ties"), F.min("tbl").alias("_tbl")))
-    out = have.join(ties, "_f", "left").select(
+    req = required.select("tbl", F.col("col").alias("_c")).join(need, "tbl")
+    hit = (fc.join(F.broadcast(req), "_c")
+           .groupBy("_f", "tbl", "_have", "_need").agg(F.count(F.lit(1)).alias("_got"))
+           .filter(F.col("_got") == F.col("_need"))
+           .withColumn("_dist", F.col("_have") - F.col("_need")))
+    best = hit.withColumn("_best", F.min("_dist").over(by_file)).filter(F.col("_dist") == F.col("_best"))
+    win = best.groupBy("_f").agg(F.count(F.lit(1)).alias("_ties"), F.min("tbl").alias("_tbl"))
+    files = fc.select("_f").distinct()
+    return files.join(win, "_f", "left").select(
         F.col("_f").alias(file_col),
         F.when(F.col("_ties").isNull(), F.lit(NOT_FOUND))
         .when(F.col("_ties") > 1, F.lit(AMBIGUOUS)).otherwise(F.col("_tbl")).alias("tbl"))
-    return out
 
 
 def required_tables(file_tables: DataFrame, required: Sequence[str], file_col: str = "file",
