@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import manifest
 from tessera.plans.consolidate import consolidate
+from tessera.sources.scan import list_files
 from tessera.spec import CatalogSpec
 from tessera.streaming.watch import start
 
@@ -38,12 +39,27 @@ def _set_held(spark: SparkSession, root: str, df: DataFrame) -> None:
         fh.write(path)
 
 
+def _processed(spark: SparkSession, root: str) -> DataFrame | None:
+    path = os.path.join(root, "_processed")
+    return spark.read.parquet(path) if os.path.exists(os.path.join(path, "_SUCCESS")) or os.path.isdir(path) else None
+
+
 def run_batch(spark: SparkSession, spec: CatalogSpec, paths: list[str], catalog_root: str,
               now=None, write_replicas: bool = True) -> dict:
+    """One batch: files not processed before (SET-2) plus held data files."""
+    listing = list_files(spark, list(paths)).select("path", "modificationTime")
+    done = _processed(spark, catalog_root)
+    todo = manifest.files_to_process(listing, done, ["path", "modificationTime"]) if done is not None else listing
+    todo_paths = [r[0] for r in todo.select("path").collect()]
     held = _held(spark, catalog_root)
     held_paths = [r[0] for r in held.select("path").collect()] if held is not None else []
-    existing = [p for p in held_paths if os.path.exists(p.replace("file:", ""))]
-    result = consolidate(spark, spec, list(paths) + existing, catalog_root, write_replicas=write_replicas)
+    existing = [p for p in held_paths if os.path.exists(p.replace("file:", "")) and p not in set(todo_paths)]
+    if not todo_paths and not existing:
+        return {"version": None, "published": 0, "held": len(held_paths), "expired": 0, "rejected": 0}
+    result = consolidate(spark, spec, todo_paths + existing, catalog_root, write_replicas=write_replicas)
+    meta = result.files.filter(F.col("file_class").isin(list(spec.metadata_regex)) |
+                               (F.col("file_class") == manifest.UNKNOWN))
+    meta.select("path", "modificationTime").write.mode("append").parquet(os.path.join(catalog_root, "_processed"))
     pending = result.pending.join(result.files.select("path", "modificationTime"), "path")
     now_col = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
     expired = manifest.expired(pending, "modificationTime", now_col, spec.clean_period_hours)

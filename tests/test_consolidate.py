@@ -129,3 +129,6 @@ def test_service_holds_then_publishes(spark, tmp_path):
     _write(f"{p2}/monitor_20260212_k-1.json", doc("early.txt"))
     s2 = run_batch(spark, spec, [p2], cat, write_replicas=False)
     assert s2["published"] == 1 and s2["held"] == 0
+    # the same folder again: nothing new to process (SET-2)
+    s3 = run_batch(spark, spec, [p2], cat, write_replicas=False)
+    assert s3["version"] is None
