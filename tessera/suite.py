@@ -92,14 +92,17 @@ def retention(spark, sf):
 
 
 @register("mirror_diff", """
-WITH p AS (SELECT DISTINCT event_type AS folder, user_id AS file FROM events),
+WITH p AS (SELECT DISTINCT event_type AS folder,
+                  CAST(user_id AS VARCHAR) || '@' || CAST(CAST(ts AS DATE) AS VARCHAR) AS file FROM events),
 f AS (SELECT DISTINCT folder FROM p), n AS (SELECT DISTINCT file FROM p)
-SELECT f.folder AS missing_in, n.file AS user_id FROM f CROSS JOIN n
+SELECT f.folder AS missing_in, n.file AS file FROM f CROSS JOIN n
 WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.folder = f.folder AND p.file = n.file)
 """)
 def mirror_diff(spark, sf):
-    ev = T(spark, sf, "events").select("event_type", "user_id")
-    return manifest.mirror_diff(ev, "event_type", "user_id")
+    """Folder = event type, file = one user's events of one day."""
+    ev = T(spark, sf, "events")
+    f = F.concat(F.col("user_id").cast("string"), F.lit("@"), F.to_date("ts").cast("string"))
+    return manifest.mirror_diff(ev.select("event_type", f.alias("file")), "event_type", "file")
 
 
 _PUBLISH_TARGETS = {"click": ["a", "b"], "purchase": ["b"], "error": ["c"]}

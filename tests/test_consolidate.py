@@ -132,3 +132,22 @@ def test_service_holds_then_publishes(spark, tmp_path):
     # the same folder again: nothing new to process (SET-2)
     s3 = run_batch(spark, spec, [p2], cat, write_replicas=False)
     assert s3["version"] is None
+
+
+def test_repost_is_idempotent_and_copies_count_once(spark, tmp_path):
+    spec = CatalogSpec.from_config(CONFIG)
+    cat = str(tmp_path / "cat")
+    doc = json.dumps({"project": {"correlationKey": "k-9", "issue": "3"},
+                      "rawFiles": [{"correlationKey": "k-9", "fileName": "z.txt", "sensor": "a"},
+                                   {"correlationKey": "k-9", "fileName": "z.txt", "sensor": "a"}]})
+    # the same file posted in two folders is processed once (same name, same content)
+    _write(str(tmp_path / "a" / "monitor_20260211_k-9.json"), doc)
+    _write(str(tmp_path / "b" / "monitor_20260211_k-9.json"), doc)
+    r1 = consolidate(spark, spec, [str(tmp_path / "a"), str(tmp_path / "b")], cat, write_replicas=False)
+    assert r1.files.count() == 1
+    first = {t: rows(df.drop("_file_seq", "_row_seq")) for t, df in r1.catalog.items()}
+    assert rows(r1.catalog["rawFiles"], "fileName", "sensor") == [("z.txt", "a")]
+    # re-posting the same document adds nothing
+    r2 = consolidate(spark, spec, [str(tmp_path / "a")], cat, write_replicas=False)
+    again = {t: rows(df.drop("_file_seq", "_row_seq")) for t, df in r2.catalog.items()}
+    assert again == first
