@@ -25,7 +25,8 @@ def watch(spark: SparkSession, path: str, schema: StructType, fmt: str = "parque
     r = spark.readStream.format(fmt).schema(schema).options(**options)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.load(path).withColumn("_file_path", F.col("_metadata.file_path"))
+    return (r.load(path).withColumn("_file_path", F.col("_metadata.file_path"))
+            .withColumn("_arrival", F.col("_metadata.file_modification_time")))
 
 
 def start(writer, trigger: str | float = "available"):
@@ -72,7 +73,8 @@ def upsert_batches(stream: DataFrame, catalog_root: str, checkpoint: str, key_co
         if os.path.exists(os.path.join(target, "_SUCCESS")):
             return
         spark = batch.sparkSession
-        rows = merge_duplicates(batch.drop("_file_path"), [*key_cols, file_col], order_cols, keep_order_cols=False)
+        rows = merge_duplicates(batch.drop("_file_path", "_arrival"), [*key_cols, file_col], order_cols,
+                                keep_order_cols=False)
         old = _current(spark, catalog_root)
         both = rows if old is None else old.unionByName(rows, allowMissingColumns=True)
         fold_files(both, key_cols, file_col, ()).write.mode("overwrite").parquet(target)

@@ -839,7 +839,8 @@ def stream_dedupe(spark, sf):
     src, schema = _event_files_dir(spark, sf, "stream_dedupe_in")
     out, ck = work_path(spark, "stream_dedupe_out"), work_path(spark, "stream_dedupe_ck")
     stream = watch.watch(spark, src, schema, max_files_per_trigger=2)
-    deduped = watch.dedupe_arrivals(stream, ["user_id", "event_type"], "ts", "3650 days")
+    # arrival time (file mtime) drives the watermark; the hold is the clean period
+    deduped = watch.dedupe_arrivals(stream, ["user_id", "event_type"], "_arrival", "1 hour")
     watch.run_to_files(deduped.select("user_id", "event_type"), out, ck)
     return spark.read.parquet(out)
 
