@@ -102,10 +102,12 @@ def running_total(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     for an integral weight (1 per row when ``weight_col`` is None)."""
     group_cols = list(group_cols)
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(f"`{g}`").asc_nulls_first() for g in group_cols] + [
         F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_cols]
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Without an explicit count the range shuffle uses spark.sql.shuffle.partitions
+    # and AQE may merge adjacent small partitions (order is kept).
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order)).sortWithinPartitions(*order)
     schema = T.StructType(df.schema.fields + [
         T.StructField(_PID, T.IntegerType(), False),
         T.StructField(_LRANK, T.LongType(), False),
