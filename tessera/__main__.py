@@ -8,6 +8,7 @@ otherwise the folders are watched with Structured Streaming.
 from __future__ import annotations
 
 import argparse
+import hashlib
 import json
 import os
 
@@ -29,7 +30,8 @@ def main(argv=None) -> None:
     inputs = args.input or spec.post_folders
     spark = get_spark(args.master)
     if args.stream:
-        ck = os.path.join(checkpoint_root(spark), "stream", os.path.basename(args.catalog.rstrip("/")))
+        tag = hashlib.sha1(os.path.abspath(args.catalog).encode()).hexdigest()[:16]
+        ck = os.path.join(checkpoint_root(spark), "stream", tag)
         serve(spark, spec, inputs, args.catalog, ck, once=args.once or spec.test_mode)
     else:
         print(json.dumps(run_batch(spark, spec, inputs, args.catalog)))

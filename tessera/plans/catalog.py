@@ -1,36 +1,49 @@
 """Versioned catalog store: each save writes ``<root>/v=<n>/<table>`` and then
 a one-row pointer ``<root>/_current`` — a table is never read and overwritten
-by the same job, and readers see either the old or the new version."""
+by the same job, and readers see either the old or the new version.
+
+All I/O goes through Spark readers/writers, so ``root`` may be any shared
+file system Spark can write (HDFS, object stores, a local disk in tests).
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_POINTER_SCHEMA = "version int, tables array<string>"
 
-def current_version(spark: SparkSession, root: str) -> int | None:
+
+def _pointer(spark: SparkSession, root: str):
     try:
-        row = spark.read.json(f"{root}/_current").agg(F.max("version")).first()
-    except Exception:
+        return spark.read.schema(_POINTER_SCHEMA).json(f"{root}/_current").orderBy(F.desc("version")).first()
+    except AnalysisException:
         return None
-    return None if row is None or row[0] is None else int(row[0])
+
+
+def current_version(spark: SparkSession, root: str) -> int | None:
+    p = _pointer(spark, root)
+    return None if p is None or p["version"] is None else int(p["version"])
 
 
 def load(spark: SparkSession, root: str, tables: list[str] | None = None) -> dict[str, DataFrame]:
-    v = current_version(spark, root)
-    if v is None:
+    p = _pointer(spark, root)
+    if p is None:
         return {}
-    base = f"{root}/v={v}"
-    names = tables or [r[0] for r in spark.read.json(f"{root}/_current").select(F.explode("tables")).collect()]
-    return {t: spark.read.parquet(f"{base}/{t}") for t in names}
+    names = tables or list(p["tables"])
+    return {t: spark.read.parquet(f"{root}/v={p['version']}/{t}") for t in names}
 
 
-def save(spark: SparkSession, root: str, tables: Mapping[str, DataFrame]) -> int:
-    v = (current_version(spark, root) or 0) + 1
+def save(spark: SparkSession, root: str, tables: Mapping[str, DataFrame], version: int | None = None) -> int:
+    """Write version ``version`` (default: current + 1) and flip the pointer.
+    Re-running a version overwrites only that version's own directory."""
+    v = version if version is not None else (current_version(spark, root) or 0) + 1
     for t, df in tables.items():
-        df.write.mode("error").parquet(f"{root}/v={v}/{t}")
-    pointer = spark.createDataFrame([(v, sorted(tables))], "version int, tables array<string>")
-    pointer.coalesce(1).write.mode("overwrite").json(f"{root}/_current")
+        df.write.mode("overwrite").parquet(f"{root}/v={v}/{t}")
+    pointer = spark.createDataFrame([(v, sorted(tables))], _POINTER_SCHEMA)
+    # pointers are appended; readers take the highest version (no window without one)
+    pointer.coalesce(1).write.mode("append").json(f"{root}/_current")
     return v

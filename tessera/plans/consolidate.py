@@ -72,7 +72,10 @@ def identify_tables(spark: SparkSession, rows: DataFrame, spec: CatalogSpec) ->
 
 
 def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catalog_root: str,
-                key_mode: str = "concat", write_replicas: bool = True) -> BatchResult:
+                key_mode: str = "concat", write_replicas: bool = True,
+                held: DataFrame | None = None) -> BatchResult:
+    """``held``: data files kept from earlier batches (path, file_name,
+    file_class), matched again against the updated catalog."""
     # ---- manifest: list, ignore, classify, first arrivals ------------------
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(inputs)
     files = listing.select("path", manifest.basename(F.col("path")).alias("name"), "modificationTime", "length",
@@ -130,6 +133,8 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
     # ---- data files: link, publish, pending --------------------------------
     data = files.filter(F.col("file_class").isin(list(spec.data_regex))).select(
         "path", F.col("name").alias("file_name"), "file_class")
+    if held is not None:
+        data = data.unionByName(held.select("path", "file_name", "file_class")).dropDuplicates(["path"])
     linked_classes = []
     found = None
     for t, ts in spec.tables.items():

@@ -3,76 +3,78 @@ through the file source; every micro-batch runs ``consolidate`` on its files
 plus the data files still held from earlier batches; held files older than
 the clean period are reported as expired (FIL-7).
 
-State lives next to the catalog: ``_held`` (pending data files) is a small
-Parquet table rewritten per batch under a new name; the streaming checkpoint
-makes batches replay-safe.
+State lives next to the catalog and is written with Spark only (any shared
+file system): ``_state`` is a versioned store holding the held data files;
+``_processed`` is an append-only table of metadata files already loaded.
 """
 
 from __future__ import annotations
 
 import json
-import os
-import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import manifest
+from tessera.plans import catalog as store
 from tessera.plans.consolidate import consolidate
 from tessera.sources.scan import list_files
 from tessera.spec import CatalogSpec
 from tessera.streaming.watch import start
 
-
-def _held(spark: SparkSession, root: str) -> DataFrame | None:
-    ptr = os.path.join(root, "_held_current")
-    if not os.path.exists(ptr):
-        return None
-    with open(ptr, encoding="utf-8") as fh:
-        return spark.read.parquet(fh.read().strip())
-
-
-def _set_held(spark: SparkSession, root: str, df: DataFrame) -> None:
-    path = os.path.join(root, f"_held/{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    with open(os.path.join(root, "_held_current"), "w", encoding="utf-8") as fh:
-        fh.write(path)
+_HELD_SCHEMA = "path string, file_name string, file_class string, modificationTime timestamp"
 
 
 def _processed(spark: SparkSession, root: str) -> DataFrame | None:
-    path = os.path.join(root, "_processed")
-    return spark.read.parquet(path) if os.path.exists(os.path.join(path, "_SUCCESS")) or os.path.isdir(path) else None
+    try:
+        return spark.read.schema("path string, modificationTime timestamp").parquet(f"{root}/_processed")
+    except AnalysisException:
+        return None
 
 
 def run_batch(spark: SparkSession, spec: CatalogSpec, paths: list[str], catalog_root: str,
-              now=None, write_replicas: bool = True) -> dict:
-    """One batch: files not processed before (SET-2) plus held data files."""
-    listing = list_files(spark, list(paths)).select("path", "modificationTime")
-    done = _processed(spark, catalog_root)
-    todo = manifest.files_to_process(listing, done, ["path", "modificationTime"]) if done is not None else listing
-    todo_paths = [r[0] for r in todo.select("path").collect()]
-    held = _held(spark, catalog_root)
-    held_paths = [r[0] for r in held.select("path").collect()] if held is not None else []
-    existing = [p for p in held_paths if os.path.exists(p.replace("file:", "")) and p not in set(todo_paths)]
-    if not todo_paths and not existing:
-        return {"version": None, "published": 0, "held": len(held_paths), "expired": 0, "rejected": 0}
-    result = consolidate(spark, spec, todo_paths + existing, catalog_root, write_replicas=write_replicas)
+              now=None, write_replicas: bool = True, listed: bool = False) -> dict:
+    """One batch: files not processed before (SET-2) plus the held data files.
+    ``paths`` are folders to list, or (``listed=True``) the files of one
+    micro-batch."""
+    state = f"{catalog_root}/_state"
+    if listed:
+        todo_paths = list(paths)
+    else:
+        listing = list_files(spark, list(paths)).select("path", "modificationTime")
+        done = _processed(spark, catalog_root)
+        todo = manifest.files_to_process(listing, done, ["path", "modificationTime"]) if done is not None else listing
+        todo_paths = [r[0] for r in todo.select("path").collect()]
+    held = store.load(spark, state).get("held")
+    if held is not None:
+        held = held.join(spark.createDataFrame([(p,) for p in todo_paths], "path string"), "path", "left_anti") \
+            if todo_paths else held
+    n_held = held.count() if held is not None else 0
+    if not todo_paths:
+        return {"version": None, "published": 0, "held": n_held, "expired": 0, "rejected": 0}
+    result = consolidate(spark, spec, todo_paths, catalog_root, write_replicas=write_replicas,
+                         held=held)
     meta = result.files.filter(F.col("file_class").isin(list(spec.metadata_regex)) |
                                (F.col("file_class") == manifest.UNKNOWN))
-    meta.select("path", "modificationTime").write.mode("append").parquet(os.path.join(catalog_root, "_processed"))
-    pending = result.pending.join(result.files.select("path", "modificationTime"), "path")
+    meta.select("path", "modificationTime").write.mode("append").parquet(f"{catalog_root}/_processed")
+    times = result.files.select("path", "modificationTime")
+    if held is not None:
+        times = times.unionByName(held.select("path", "modificationTime")).dropDuplicates(["path"])
+    pending = result.pending.join(times, "path")
     now_col = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
     expired = manifest.expired(pending, "modificationTime", now_col, spec.clean_period_hours)
-    keep = pending.join(expired.select("path"), "path", "left_anti").select("path")
-    _set_held(spark, catalog_root, keep)
-    summary = {
+    keep = pending.join(expired.select("path"), "path", "left_anti").select(
+        "path", "file_name", "file_class", "modificationTime")
+    store.save(spark, state, {"held": keep})
+    keep = store.load(spark, state)["held"]
+    return {
         "version": result.version,
         "published": result.publish_plan.count(),
         "held": keep.count(),
         "expired": expired.count(),
         "rejected": result.rejected.count(),
     }
-    return summary
 
 
 def serve(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catalog_root: str,
@@ -86,9 +88,10 @@ def serve(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catalog_roo
               .select("path"))
 
     def apply(batch: DataFrame, batch_id: int):
-        paths = [r[0] for r in batch.collect()]  # file names of one micro-batch (bounded by the trigger)
+        # the file names of one micro-batch (bounded by maxFilesPerTrigger)
+        paths = [r[0] for r in batch.collect()]
         if paths:
-            print(json.dumps({"batch": batch_id, **run_batch(spark, spec, paths, catalog_root)}))
+            print(json.dumps({"batch": batch_id, **run_batch(spark, spec, paths, catalog_root, listed=True)}))
 
     q = start(stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint),
               "available" if once else spec.check_period_seconds)

@@ -8,7 +8,6 @@ test mode); otherwise a processing-time trigger polls every check period.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,39 +44,28 @@ def run_to_files(stream: DataFrame, out: str, checkpoint: str, trigger="availabl
 
 
 # ---------------------------------------------------------------- STR-2
-def _current(spark: SparkSession, root: str) -> DataFrame | None:
-    done = sorted(int(d[2:]) for d in _list(root) if d.startswith("v=") and
-                  os.path.exists(os.path.join(root, d, "_SUCCESS")))
-    return spark.read.parquet(os.path.join(root, f"v={done[-1]}")) if done else None
-
-
-def _list(root: str) -> list[str]:
-    try:
-        return os.listdir(root)
-    except FileNotFoundError:
-        return []
-
-
 def upsert_batches(stream: DataFrame, catalog_root: str, checkpoint: str, key_cols: Sequence[str],
-                   file_col: str, order_cols: Sequence[str], trigger="available"):
+                   file_col: str, order_cols: Sequence[str], trigger="available", table: str = "catalog"):
     """Each micro-batch: merge duplicate keys inside each file (AGG-1), then fold
     the batch into the catalog by file order (WIN-3 = repeated coalescing
     upserts). The fold is order-independent, so files may arrive in any
-    order. Version ``v=<batch id>`` is written once; a replayed batch finds
-    it complete and skips (idempotent sink); lineage restarts at each version.
+    order. Batch ``b`` writes catalog version ``b + 1``; a replayed batch
+    finds its version already current and skips (idempotent sink); lineage
+    restarts at each version.
     """
+    from tessera.plans import catalog as store
+
     key_cols, order_cols = list(key_cols), list(order_cols)
 
     def apply(batch: DataFrame, batch_id: int):
-        target = os.path.join(catalog_root, f"v={batch_id}")
-        if os.path.exists(os.path.join(target, "_SUCCESS")):
-            return
         spark = batch.sparkSession
+        if (store.current_version(spark, catalog_root) or 0) >= batch_id + 1:
+            return
         rows = merge_duplicates(batch.drop("_file_path", "_arrival"), [*key_cols, file_col], order_cols,
                                 keep_order_cols=False)
-        old = _current(spark, catalog_root)
+        old = store.load(spark, catalog_root).get(table)
         both = rows if old is None else old.unionByName(rows, allowMissingColumns=True)
-        fold_files(both, key_cols, file_col, ()).write.mode("overwrite").parquet(target)
+        store.save(spark, catalog_root, {table: fold_files(both, key_cols, file_col, ())}, version=batch_id + 1)
 
     q = start(stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint), trigger)
     if trigger == "available":
@@ -85,8 +73,10 @@ def upsert_batches(stream: DataFrame, catalog_root: str, checkpoint: str, key_co
     return q
 
 
-def read_catalog(spark: SparkSession, catalog_root: str) -> DataFrame | None:
-    return _current(spark, catalog_root)
+def read_catalog(spark: SparkSession, catalog_root: str, table: str = "catalog") -> DataFrame | None:
+    from tessera.plans import catalog as store
+
+    return store.load(spark, catalog_root).get(table)
 
 
 # ---------------------------------------------------------------- STR-3
