@@ -24,7 +24,8 @@ from tessera.plans.load import load_related
 from tessera.plans.prepare import enrich
 from tessera.session import materialize
 from tessera.sinks.writers import publish
-from tessera.sources.rows import metadata_rows
+from tessera.sources.rows import LARGE_TEXT_FILE, metadata_rows
+from tessera.sources.scan import list_files
 from tessera.spec import DEFAULT_TABLE, CatalogSpec
 
 
@@ -77,11 +78,21 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
     """``held``: data files kept from earlier batches (path, file_name,
     file_class), matched again against the updated catalog."""
     # ---- manifest: list, ignore, classify, first arrivals ------------------
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(inputs)
-    files = listing.select("path", manifest.basename(F.col("path")).alias("name"), "modificationTime", "length",
-                           manifest.content_hash(F.col("content")).alias("md5"))
+    listing = list_files(spark, inputs)  # metadata columns only: contents are not read here
+    files = listing.select("path", "name", "modificationTime", "length")
     files = manifest.ignore_filter(files, spec.ignore, path_col="path", name_col="name")
     files = files.withColumn("file_class", manifest.classify(F.col("name"), spec.metadata_regex, spec.data_regex))
+    # FIL-3/4: contents are hashed only where two files share a name (the only
+    # case the hash decides); a unique name keeps md5 NULL.
+    files = materialize(files)
+    shared = files.groupBy("name").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    shared_paths = [r[0] for r in files.join(shared, "name", "left_semi").select("path").collect()]
+    if shared_paths:
+        hashes = (spark.read.format("binaryFile").load(shared_paths)
+                  .select("path", manifest.content_hash(F.col("content")).alias("md5")))
+        files = files.join(hashes, "path", "left")
+    else:
+        files = files.withColumn("md5", F.lit(None).cast("string"))
     files = manifest.first_arrivals(files, ["name", "md5"], ["modificationTime", "path"])
     files = materialize(files)
     meta_classes = list(spec.metadata_regex)
@@ -91,8 +102,10 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
     catalog = dict(current)
     rejected_parts = []
     stats = None
+    big = {r[0] for r in files.filter(F.col("file_class").isin(meta_classes) &
+                                      (F.col("length") > LARGE_TEXT_FILE)).select("path").collect()}
     rows = metadata_rows(spark, meta_paths, list(spec.tables), spec.csv_separator,
-                         sheet_tables=_table_hint_names(spec)) if meta_paths else None
+                         sheet_tables=_table_hint_names(spec), large=big) if meta_paths else None
     if rows is not None:
         rows = materialize(rows)
         ident = identify_tables(spark, rows, spec)

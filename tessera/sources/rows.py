@@ -32,6 +32,10 @@ from tessera.operators.transforms import FILE_MTIME, FILE_NAME, FILE_PATH, ROW_S
 from tessera.sources.scan import PANDAS_DEFAULT_NA, read_json_documents, scan_json_tables
 from tessera.spec import DEFAULT_TABLE
 
+# CSV files above this size are read by Spark's splittable CSV reader instead
+# of being parsed whole inside one task.
+LARGE_TEXT_FILE = 64 * 1024 * 1024
+
 LONG_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("tbl", T.StringType()),
@@ -172,9 +176,22 @@ def parquet_rows(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
                      F.col("_metadata.row_index").alias(ROW_SEQ), row.alias("row"))
 
 
+def large_csv_rows(spark: SparkSession, path: str, sep: str, encoding: str = "utf-8") -> DataFrame:
+    """One large CSV through the native reader (split across tasks)."""
+    from tessera.sources.scan import scan_csv
+
+    df = scan_csv(spark, path, sep, encoding, tokens=[])
+    cols = [c for c in df.columns if not c.startswith("_file") and c != ROW_SEQ]
+    row = F.create_map(*[x for c in cols for x in (F.lit(c), F.col(f"`{c}`"))])
+    return df.select(FILE_PATH, FILE_NAME, FILE_MTIME, F.lit(DEFAULT_TABLE).alias("tbl"), ROW_SEQ, row.alias("row"))
+
+
 def metadata_rows(spark: SparkSession, paths: Sequence[str], tables: Sequence[str], sep: str,
-                  encoding: str = "utf-8", sheet_tables: Mapping[str, str] | None = None) -> DataFrame | None:
-    """All metadata files of a batch as one long frame, whatever their format."""
+                  encoding: str = "utf-8", sheet_tables: Mapping[str, str] | None = None,
+                  large: set | None = None) -> DataFrame | None:
+    """All metadata files of a batch as one long frame, whatever their format.
+    ``large``: CSV paths to read with the native splittable reader."""
+    large = large or set()
     by_ext: dict[str, list[str]] = {}
     for p in paths:
         ext = p.rsplit(".", 1)[-1].lower() if "." in p.rsplit("/", 1)[-1] else ""
@@ -182,7 +199,10 @@ def metadata_rows(spark: SparkSession, paths: Sequence[str], tables: Sequence[st
     parts = []
     if by_ext.get("json"):
         parts.append(json_rows(spark, by_ext["json"], tables))
-    text = by_ext.get("csv", []) + by_ext.get("xlsx", []) + by_ext.get("txt", [])
+    for p in by_ext.get("csv", []):
+        if p in large:
+            parts.append(large_csv_rows(spark, p, sep, encoding))
+    text = [p for p in by_ext.get("csv", []) if p not in large] + by_ext.get("xlsx", []) + by_ext.get("txt", [])
     if text:
         parts.append(text_rows(spark, text, sep, encoding, sheet_tables))
     if by_ext.get("parquet"):
