@@ -76,6 +76,20 @@ def fold_files(frames: DataFrame, key_cols: Sequence[str] = (KEY,), file_col: st
     return frames.groupBy(*[q(k) for k in key_cols]).agg(*aggs)
 
 
+def fold_into(catalog: DataFrame, rows: DataFrame, key_cols: Sequence[str] = (KEY,),
+              file_col: str = FILE_SEQ, order_cols: Sequence[str] = (ROW_SEQ,)) -> DataFrame:
+    """Incremental WIN-3: only keys present in ``rows`` are re-folded. Rows of
+    untouched keys pass through an anti join against the batch's key set —
+    a batch-sized frame that Catalyst broadcasts when its estimate is small,
+    so the catalog is scanned but not shuffled."""
+    key_cols = list(key_cols)
+    touched = rows.select(*[q(k) for k in key_cols]).distinct()
+    keep = catalog.join(touched, key_cols, "left_anti")
+    redo = catalog.join(touched, key_cols, "left_semi").unionByName(rows, allowMissingColumns=True)
+    folded = fold_files(redo, key_cols, file_col, order_cols)
+    return keep.unionByName(folded, allowMissingColumns=True)
+
+
 # ---------------------------------------------------------------- WIN-1
 def post_order(df: DataFrame, out: str = "post_order", group_cols: Sequence[str] = (),
                order_cols: Sequence[str] = (FILE_SEQ, ROW_SEQ)) -> DataFrame:

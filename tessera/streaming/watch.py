@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tessera.operators.merge import merge_duplicates
-from tessera.operators.upsert import fold_files
+from tessera.operators.upsert import fold_files, fold_into
 
 
 # ---------------------------------------------------------------- STR-1
@@ -64,8 +64,8 @@ def upsert_batches(stream: DataFrame, catalog_root: str, checkpoint: str, key_co
         rows = merge_duplicates(batch.drop("_file_path", "_arrival"), [*key_cols, file_col], order_cols,
                                 keep_order_cols=False)
         old = store.load(spark, catalog_root).get(table)
-        both = rows if old is None else old.unionByName(rows, allowMissingColumns=True)
-        store.save(spark, catalog_root, {table: fold_files(both, key_cols, file_col, ())}, version=batch_id + 1)
+        new = fold_files(rows, key_cols, file_col, ()) if old is None else fold_into(old, rows, key_cols, file_col, ())
+        store.save(spark, catalog_root, {table: new}, version=batch_id + 1)
 
     q = start(stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint), trigger)
     if trigger == "available":

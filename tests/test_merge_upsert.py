@@ -91,3 +91,12 @@ def test_load_stats(spark):
     cat = spark.createDataFrame([(1,), (2,)], "k int")
     d = spark.createDataFrame([(1,), (3,), (None,)], "k int")
     assert rows(upsert.load_stats(cat, d, ["k"])) == [("added", 1), ("dropped_null_key", 1), ("updated", 1)]
+
+
+def test_fold_into_equals_full_fold(spark):
+    frames = [_dedup(f) for f in _random_frames(spark, 21)]
+    full = frames[0].unionByName(frames[1]).unionByName(frames[2])
+    want = upsert.fold_files(full, ["_key"], "_file_seq", ())
+    cat = upsert.fold_files(frames[0].unionByName(frames[1]), ["_key"], "_file_seq", ())
+    got = upsert.fold_into(cat, frames[2], ["_key"], "_file_seq", ())
+    assert rows(got, "_key", "v", "w", "_file_seq") == rows(want, "_key", "v", "w", "_file_seq")
