@@ -58,6 +58,21 @@ def coalesce_upsert(catalog: DataFrame, delta: DataFrame, key_cols: Sequence[str
     return joined.select(*out)
 
 
+def upsert_into(catalog: DataFrame, delta: DataFrame, key_cols: Sequence[str] = (KEY,),
+                order_cols: Sequence[str] = (FILE_SEQ, ROW_SEQ)) -> DataFrame:
+    """JON-2 for a large catalog and a batch-sized delta (one row per key):
+    catalog rows whose key is not in the delta pass through an anti join
+    against the delta's keys (broadcast when Catalyst's estimate is small, so
+    the catalog is scanned, not shuffled); only matched rows go through the
+    coalescing full outer join. With a large delta both joins share one
+    shuffle of the catalog."""
+    key_cols = list(key_cols)
+    keys = delta.select(*[q(k) for k in key_cols])
+    keep = catalog.join(keys, key_cols, "left_anti")
+    hit = catalog.join(keys, key_cols, "left_semi")
+    return keep.unionByName(coalesce_upsert(hit, delta, key_cols, order_cols), allowMissingColumns=True)
+
+
 # ---------------------------------------------------------------- WIN-3
 def fold_files(frames: DataFrame, key_cols: Sequence[str] = (KEY,), file_col: str = FILE_SEQ,
                order_cols: Sequence[str] = (ROW_SEQ,)) -> DataFrame:

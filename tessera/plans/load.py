@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.relations import assign_pk, orphan_cascade, pk_seed, remap_fk
 from tessera.operators.transforms import FILE_SEQ, KEY, ROW_SEQ
-from tessera.operators.upsert import coalesce_upsert, fold_files
+from tessera.operators.upsert import fold_files, upsert_into
 from tessera.plans.prepare import key_and_merge
 from tessera.session import materialize
 from tessera.spec import CatalogSpec
@@ -60,7 +60,7 @@ def load_related(catalog: Mapping[str, DataFrame], delta: Mapping[str, DataFrame
             rows = both.withColumn(pk, F.col("_new")).drop("_new")
         folded = fold_files(rows, [KEY], FILE_SEQ, [ROW_SEQ]) if ts.key else rows
         if t in out and ts.key:
-            out[t] = coalesce_upsert(out[t], folded, [KEY], (FILE_SEQ, ROW_SEQ))
+            out[t] = upsert_into(out[t], folded, [KEY], (FILE_SEQ, ROW_SEQ))
         elif t in out:
             out[t] = out[t].unionByName(folded, allowMissingColumns=True)
         else:

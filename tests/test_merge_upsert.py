@@ -100,3 +100,10 @@ def test_fold_into_equals_full_fold(spark):
     cat = upsert.fold_files(frames[0].unionByName(frames[1]), ["_key"], "_file_seq", ())
     got = upsert.fold_into(cat, frames[2], ["_key"], "_file_seq", ())
     assert rows(got, "_key", "v", "w", "_file_seq") == rows(want, "_key", "v", "w", "_file_seq")
+
+
+def test_upsert_into_equals_coalesce_upsert(spark):
+    frames = [_dedup(f) for f in _random_frames(spark, 5)]
+    a = upsert.coalesce_upsert(frames[0], frames[1], ["_key"], ("_file_seq",))
+    b = upsert.upsert_into(frames[0], frames[1], ["_key"], ("_file_seq",))
+    assert rows(a, "_key", "v", "w", "_file_seq") == rows(b, "_key", "v", "w", "_file_seq")
