@@ -70,7 +70,8 @@ def upsert_into(catalog: DataFrame, delta: DataFrame, key_cols: Sequence[str] =
     keys = delta.select(*[q(k) for k in key_cols])
     keep = catalog.join(keys, key_cols, "left_anti")
     hit = catalog.join(keys, key_cols, "left_semi")
-    return keep.unionByName(coalesce_upsert(hit, delta, key_cols, order_cols), allowMissingColumns=True)
+    out = keep.unionByName(coalesce_upsert(hit, delta, key_cols, order_cols), allowMissingColumns=True)
+    return out.select(*[q(c) for c in merge_column_order(list(delta.columns), list(catalog.columns))])
 
 
 # ---------------------------------------------------------------- WIN-3

@@ -107,3 +107,11 @@ def test_upsert_into_equals_coalesce_upsert(spark):
     a = upsert.coalesce_upsert(frames[0], frames[1], ["_key"], ("_file_seq",))
     b = upsert.upsert_into(frames[0], frames[1], ["_key"], ("_file_seq",))
     assert rows(a, "_key", "v", "w", "_file_seq") == rows(b, "_key", "v", "w", "_file_seq")
+
+
+def test_upsert_into_column_order(spark):
+    old = spark.createDataFrame([("k", "1", "x")], "_key string, a string, legacy string")
+    new = spark.createDataFrame([("k", "2", "n")], "_key string, a string, fresh string")
+    out = upsert.upsert_into(old, new, ["_key"], ())
+    assert out.columns == ["_key", "a", "legacy", "fresh"]
+    assert rows(out) == [("k", "2", "x", "n")]
