@@ -1022,3 +1022,34 @@ def data_file_key(spark, sf):
     o = T(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     return transforms.data_file_column(o, ["o_custkey", "o_orderstatus"], "data_files").select(
         "o_orderkey", "data_files")
+
+
+# ====================================================================== skew
+@register("merge_hot_key", """
+WITH s AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS k, l_linenumber, l_returnflag AS v,
+                  l_shipdate, l_orderkey, l_partkey, l_suppkey FROM lineitem),
+f AS (SELECT k, l_linenumber, v, min((l_shipdate, l_orderkey, l_partkey, l_suppkey)) AS first_seq
+      FROM s WHERE v IS NOT NULL GROUP BY 1, 2, 3)
+SELECT k, l_linenumber, string_agg(v, ', ' ORDER BY first_seq) AS flags FROM f GROUP BY 1, 2
+""")
+def merge_hot_key(spark, sf):
+    """AGG-1 where one key holds a third of all lineitem rows."""
+    li = T(spark, sf, "lineitem")
+    k = F.when(F.col("l_orderkey") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("l_orderkey"))
+    df = li.select(k.alias("k"), "l_linenumber", F.col("l_returnflag").alias("flags"),
+                   F.struct("l_shipdate", "l_orderkey", "l_partkey", "l_suppkey").alias("_seq"))
+    return merge.merge_duplicates(df, ["k", "l_linenumber"], ["_seq"], keep_order_cols=False)
+
+
+@register("sequence_hot_group", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'hot' ELSE o_orderpriority END AS grp,
+       CAST(row_number() OVER (PARTITION BY CASE WHEN o_orderkey % 3 = 0 THEN 'hot' ELSE o_orderpriority END
+                               ORDER BY o_orderkey) AS BIGINT) AS pos
+FROM orders
+""")
+def sequence_hot_group(spark, sf):
+    """WIN-1 numbering where one group holds a third of all orders."""
+    o = T(spark, sf, "orders")
+    g = F.when(F.col("o_orderkey") % 3 == 0, F.lit("hot")).otherwise(F.col("o_orderpriority"))
+    from tessera.functions.ranking import sequence_within
+    return sequence_within(o.select("o_orderkey", g.alias("grp")), ["grp"], ["o_orderkey"], "pos")
