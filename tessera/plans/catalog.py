@@ -29,12 +29,17 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return None if p is None or p["version"] is None else int(p["version"])
 
 
-def load(spark: SparkSession, root: str, tables: list[str] | None = None) -> dict[str, DataFrame]:
+def load_versioned(spark: SparkSession, root: str) -> tuple[int | None, dict[str, DataFrame]]:
+    """(current version, its tables) from one pointer read."""
     p = _pointer(spark, root)
-    if p is None:
-        return {}
-    names = tables or list(p["tables"])
-    return {t: spark.read.parquet(f"{root}/v={p['version']}/{t}") for t in names}
+    if p is None or p["version"] is None:
+        return None, {}
+    return int(p["version"]), {t: spark.read.parquet(f"{root}/v={p['version']}/{t}") for t in p["tables"]}
+
+
+def load(spark: SparkSession, root: str, tables: list[str] | None = None) -> dict[str, DataFrame]:
+    _, out = load_versioned(spark, root)
+    return {t: out[t] for t in tables} if tables else out
 
 
 def save(spark: SparkSession, root: str, tables: Mapping[str, DataFrame], version: int | None = None) -> int:

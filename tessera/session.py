@@ -46,14 +46,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and intermediate tables."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder for checkpoints and intermediate tables: the
+    session's ``spark.checkpoint.dir`` (or the context's checkpoint dir).
+    Only when neither is set — local runs and tests — one is created."""
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        # Unset: local runs and tests only.
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     if root.startswith("file:"):
         root = root[len("file:"):]
     return root

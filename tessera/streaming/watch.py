@@ -59,11 +59,12 @@ def upsert_batches(stream: DataFrame, catalog_root: str, checkpoint: str, key_co
 
     def apply(batch: DataFrame, batch_id: int):
         spark = batch.sparkSession
-        if (store.current_version(spark, catalog_root) or 0) >= batch_id + 1:
+        version, tables = store.load_versioned(spark, catalog_root)
+        if (version or 0) >= batch_id + 1:
             return
         rows = merge_duplicates(batch.drop("_file_path", "_arrival"), [*key_cols, file_col], order_cols,
                                 keep_order_cols=False)
-        old = store.load(spark, catalog_root).get(table)
+        old = tables.get(table)
         new = fold_files(rows, key_cols, file_col, ()) if old is None else fold_into(old, rows, key_cols, file_col, ())
         store.save(spark, catalog_root, {table: new}, version=batch_id + 1)
 

@@ -115,3 +115,25 @@ def test_upsert_into_column_order(spark):
     out = upsert.upsert_into(old, new, ["_key"], ())
     assert out.columns == ["_key", "a", "legacy", "fresh"]
     assert rows(out) == [("k", "2", "x", "n")]
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.integers(0, 10_000))
+def test_merge_strategies_agree(spark, seed):
+    rnd = random.Random(seed)
+    data = [(rnd.choice(["h", "h", "h", "a", "b", "c"]), i, rnd.choice([None, "x", "y", "z"]),
+             rnd.choice([None, "p", "q"])) for i in range(60)]
+    df = spark.createDataFrame(data, "_key string, _row_seq int, v string, w string")
+    a = merge.merge_duplicates(df, ["_key"], ["_row_seq"], strategy="triples")
+    b = merge.merge_duplicates(df, ["_key"], ["_row_seq"], strategy="split")
+    assert rows(a, "_key", "v", "w", "_row_seq") == rows(b, "_key", "v", "w", "_row_seq")
+
+
+def test_merge_strategies_agree_two_order_columns(spark):
+    data = [("k", 2, 1, "a"), ("k", 1, 9, "b"), ("k", 1, 5, None), ("u", 3, 3, "c")]
+    df = spark.createDataFrame(data, "_key string, _file_seq int, _row_seq int, v string")
+    a = merge.merge_duplicates(df, ["_key"], ["_file_seq", "_row_seq"], strategy="triples")
+    b = merge.merge_duplicates(df, ["_key"], ["_file_seq", "_row_seq"], strategy="split")
+    want = [("k", "b, a", 1, 5), ("u", "c", 3, 3)]
+    assert rows(a, "_key", "v", "_file_seq", "_row_seq") == want
+    assert rows(b, "_key", "v", "_file_seq", "_row_seq") == want
