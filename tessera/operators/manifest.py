@@ -158,3 +158,29 @@ def reject_files(files: DataFrame, produced: DataFrame, file_col: str, reason: s
 def files_to_process(files: DataFrame, done: DataFrame, key_cols: Sequence[str] = ("path",)) -> DataFrame:
     """Set difference: listed files not yet processed (or still pending)."""
     return files.join(done.select(*[q(k) for k in key_cols]).distinct(), list(key_cols), "left_anti")
+
+
+def placement_actions(plan: DataFrame, existing: DataFrame | None, overwrite: bool,
+                      folder_col: str = "folder", name_col: str = "file_name") -> DataFrame:
+    """FIL-6 + FIL-9: for each planned (file ``path``, target folder), whether
+    the name already exists there and what to do (``move`` / ``overwrite`` /
+    ``drop_identical`` / ``rename_older``). ``existing`` lists the targets as
+    ``(folder, file_name, path)``. Contents are hashed only for colliding
+    names (FIL-3), never for the rest."""
+    if existing is None:
+        return plan.withColumn("action", F.lit("move"))
+    ex = existing.select(q(folder_col), q(name_col), F.col("path").alias("_old_path"))
+    joined = plan.join(ex, [folder_col, name_col], "left")
+    spark = plan.sparkSession
+    clash = [r for r in joined.filter(F.col("_old_path").isNotNull()).select("path", "_old_path").collect()]
+    same = F.lit(False)
+    if clash and not overwrite:
+        paths = sorted({p for r in clash for p in (r[0], r[1])})
+        hashes = spark.read.format("binaryFile").load(paths).select(
+            F.col("path").alias("_hp"), content_hash(F.col("content")).alias("_h"))
+        joined = (joined.join(hashes.withColumnRenamed("_hp", "path").withColumnRenamed("_h", "_new_h"), "path", "left")
+                  .join(hashes.withColumnRenamed("_hp", "_old_path").withColumnRenamed("_h", "_old_h"),
+                        "_old_path", "left"))
+        same = F.coalesce(F.col("_new_h") == F.col("_old_h"), F.lit(False))
+    action = conflict_action(F.col("_old_path").isNotNull(), same, overwrite)
+    return joined.withColumn("action", action).drop("_old_path", "_new_h", "_old_h")

@@ -52,3 +52,44 @@ def save(spark: SparkSession, root: str, tables: Mapping[str, DataFrame], versio
     # pointers are appended; readers take the highest version (no window without one)
     pointer.coalesce(1).write.mode("append").json(f"{root}/_current")
     return v
+
+
+def reload_from_replicas(spark: SparkSession, spec, key_mode: str = "concat") -> dict[str, DataFrame]:
+    """SRC-5: rebuild the catalog from the newest of its replicas (by file
+    modification time) and pass it through the key + duplicate merge again.
+    Replicas are the ``catalog names`` targets written by ``sinks.publish``
+    (``<target>/<table>``)."""
+    from tessera.operators.transforms import FILE_SEQ, ROW_SEQ, with_key
+    from tessera.plans.prepare import key_and_merge
+    from tessera.sources.scan import list_files, newest_replica, scan_csv
+
+    listings = None
+    for target in spec.catalog_names:
+        try:
+            lf = list_files(spark, target).select(F.lit(target).alias("target"), "modificationTime")
+            lf.limit(1).collect()
+        except Exception:  # noqa: BLE001 - replica not written yet
+            continue
+        listings = lf if listings is None else listings.unionByName(lf)
+    if listings is None:
+        return {}
+    newest = newest_replica(listings.groupBy("target").agg(F.max("modificationTime").alias("modificationTime")),
+                            "target").first()[0]
+    fmt = newest.rsplit(".", 1)[-1].lower() if "." in newest.rsplit("/", 1)[-1] else "parquet"
+    out = {}
+    for t, ts in spec.tables.items():
+        path = f"{newest}/{t}"
+        try:
+            if fmt == "csv":
+                df = scan_csv(spark, path, spec.csv_separator, tokens=spec.null_tokens)
+            elif fmt == "json":
+                df = spark.read.json(path)
+            else:
+                df = spark.read.parquet(path)
+            df.limit(1).collect()
+        except Exception:  # noqa: BLE001 - table absent from the replica
+            continue
+        df = df.drop(*[c for c in df.columns if c.startswith("_file") or c == ROW_SEQ])
+        df = df.withColumn(FILE_SEQ, F.lit(0)).withColumn(ROW_SEQ, F.monotonically_increasing_id())
+        out[t] = key_and_merge(df, ts, spec, key_mode) if ts.key else with_key(df, [], key_mode)
+    return out

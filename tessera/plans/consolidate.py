@@ -41,6 +41,19 @@ class BatchResult:
     stats: DataFrame | None
 
 
+def _target_listing(spark: SparkSession, targets: dict) -> DataFrame | None:
+    """Files already present in the target folders (names and paths only)."""
+    out = None
+    for f in sorted({f for v in targets.values() for f in v}):
+        try:
+            lf = list_files(spark, f).select(F.lit(f).alias("folder"), F.col("name").alias("file_name"), "path")
+            lf.limit(1).collect()  # a missing folder raises here
+        except Exception:  # noqa: BLE001 - folder not created yet
+            continue
+        out = lf if out is None else out.unionByName(lf)
+    return out
+
+
 def _table_hint_names(spec: CatalogSpec) -> dict[str, str]:
     """Worksheet display name -> table."""
     return {v: k for k, v in spec.table_names.items() if k != DEFAULT_TABLE}
@@ -99,6 +112,8 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
     meta_paths = [r[0] for r in files.filter(F.col("file_class").isin(meta_classes)).select("path").collect()]
     # ---- metadata rows, identification, required tables --------------------
     current = store.load(spark, catalog_root)
+    if not current and spec.catalog_names:
+        current = store.reload_from_replicas(spark, spec, key_mode)  # SRC-5 on start
     catalog = dict(current)
     rejected_parts = []
     stats = None
@@ -147,7 +162,8 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
     data = files.filter(F.col("file_class").isin(list(spec.data_regex))).select(
         "path", F.col("name").alias("file_name"), "file_class")
     if held is not None:
-        data = data.unionByName(held.select("path", "file_name", "file_class")).dropDuplicates(["path"])
+        data = data.unionByName(held.select("path", "file_name", "file_class"),
+                                allowMissingColumns=True).dropDuplicates(["path"])
     linked_classes = []
     found = None
     for t, ts in spec.tables.items():
@@ -160,6 +176,8 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
     matched = data.join(found, "file_name", "left_semi") if found is not None else data.limit(0)
     to_publish = movable.unionByName(matched).distinct()
     publish_plan = manifest.fan_out(to_publish, "file_class", spec.get_folders)
+    publish_plan = manifest.placement_actions(publish_plan, _target_listing(spark, spec.get_folders),
+                                              spec.overwrite_get)
     pending = (linking.pending_files(data, found) if found is not None and linked_classes
                else data.join(to_publish, "path", "left_anti"))
     # ---- persist ------------------------------------------------------------

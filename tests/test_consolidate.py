@@ -151,3 +151,38 @@ def test_repost_is_idempotent_and_copies_count_once(spark, tmp_path):
     r2 = consolidate(spark, spec, [str(tmp_path / "a")], cat, write_replicas=False)
     again = {t: rows(df.drop("_file_seq", "_row_seq")) for t, df in r2.catalog.items()}
     assert again == first
+
+
+def test_publish_actions_against_existing_targets(spark, tmp_path):
+    cfg = json.loads(json.dumps(CONFIG))
+    get = str(tmp_path / "get")
+    cfg["folders"]["get"] = {"raw": [get]}
+    cfg["overwrite data in get"] = False
+    spec = CatalogSpec.from_config(cfg)
+    _write(f"{get}/same.txt", "A")
+    _write(f"{get}/changed.txt", "old")
+    post = str(tmp_path / "post")
+    _write(f"{post}/same.txt", "A")
+    _write(f"{post}/changed.txt", "new")
+    _write(f"{post}/fresh.txt", "n")
+    r = consolidate(spark, spec, [post], str(tmp_path / "cat"), write_replicas=False)
+    got = sorted((os.path.basename(p), a) for p, a in rows(r.publish_plan, "path", "action"))
+    assert got == [("changed.txt", "rename_older"), ("fresh.txt", "move"), ("same.txt", "drop_identical")]
+
+
+def test_reload_from_newest_replica(spark, tmp_path):
+    cfg = json.loads(json.dumps(CONFIG))
+    rep = str(tmp_path / "rep")
+    cfg["files"]["catalog names"] = [f"{rep}/a.parquet", f"{rep}/b.csv"]
+    spec = CatalogSpec.from_config(cfg)
+    post = str(tmp_path / "p1")
+    _write(f"{post}/monitor_20260211_k-1.json", json.dumps({
+        "project": {"correlationKey": "k-1", "issue": "1"},
+        "rawFiles": [{"correlationKey": "k-1", "fileName": "f.txt", "sensor": "s"}], "clientName": "A"}))
+    consolidate(spark, spec, [post], str(tmp_path / "cat1"))
+    # a fresh store: the catalog comes back from the newest replica
+    post2 = str(tmp_path / "p2")
+    _write(f"{post2}/monitor_20260212_k-2.json", json.dumps({"project": {"correlationKey": "k-2", "issue": "2"}}))
+    r = consolidate(spark, spec, [post2], str(tmp_path / "cat2"), write_replicas=False)
+    assert rows(r.catalog["project"], "correlationKey", "issue") == [("k-1", "1"), ("k-2", "2")]
+    assert rows(r.catalog["rawFiles"], "fileName", "sensor") == [("f.txt", "s")]
