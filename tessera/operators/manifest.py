@@ -66,18 +66,37 @@ def first_arrivals(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[
 
 # ---------------------------------------------------------------- FIL-5 / FIL-6
 def name_versions(df: DataFrame, stem_col: str, order_cols: Sequence, ext: Column | str = "",
-                  max_variations: int = 100, out_name: str = "file_name") -> DataFrame:
+                  max_variations: int = 100, out_name: str = "file_name",
+                  stamp_col: str | None = None) -> DataFrame:
     """Number the files sharing a stem in arrival order (skew-safe), then name
     them ``stem`` / ``stem-n`` and plan ``keep`` / ``rename`` / ``reject`` (over
-    the variation limit)."""
-    ranked = sequence_within(df, [stem_col], list(order_cols), "_v")
-    n = F.col("_v") - 1
+    the variation limit).
+
+    With ``stamp_col`` (a timestamp), renamed copies are
+    ``stem_YYYYMMDD_HHMMSS`` and further clashes within one stamp add ``-n``:
+    numbering runs per (stem, stamp); the first file of a stem keeps its name."""
+    if stamp_col is None:
+        ranked = sequence_within(df, [stem_col], list(order_cols), "_v")
+        n = F.col("_v") - 1
+        ext_c = F.lit(ext) if isinstance(ext, str) else ext
+        name = F.when(n == 0, F.concat(q(stem_col), ext_c)).otherwise(
+            F.concat(q(stem_col), F.lit("-"), n.cast("string"), ext_c))
+        action = (F.when(n > max_variations, F.lit("reject")).when(n > 0, F.lit("rename"))
+                  .otherwise(F.lit("keep")))
+        return ranked.withColumn(out_name, name).withColumn("action", action).withColumn("version", n).drop("_v")
     ext_c = F.lit(ext) if isinstance(ext, str) else ext
-    name = F.when(n == 0, F.concat(q(stem_col), ext_c)).otherwise(
-        F.concat(q(stem_col), F.lit("-"), n.cast("string"), ext_c))
-    action = (F.when(n > max_variations, F.lit("reject")).when(n > 0, F.lit("rename"))
-              .otherwise(F.lit("keep")))
-    return ranked.withColumn(out_name, name).withColumn("action", action).withColumn("version", n).drop("_v")
+    ranked = sequence_within(df, [stem_col], list(order_cols), "_v")
+    stamped = ranked.withColumn("_stamp", F.date_format(q(stamp_col), "yyyyMMdd_HHmmss"))
+    renamed = stamped.filter(F.col("_v") > 1)
+    renamed = sequence_within(renamed, [stem_col, "_stamp"], list(order_cols), "_k")
+    k = F.col("_k") - 1
+    rname = F.concat(q(stem_col), F.lit("_"), F.col("_stamp"),
+                     F.when(k > 0, F.concat(F.lit("-"), k.cast("string"))).otherwise(F.lit("")), ext_c)
+    renamed = renamed.withColumn(out_name, rname).withColumn(
+        "action", F.when(k > max_variations, F.lit("reject")).otherwise(F.lit("rename")))
+    first = stamped.filter(F.col("_v") == 1).withColumn(out_name, F.concat(q(stem_col), ext_c)) \
+        .withColumn("action", F.lit("keep"))
+    return first.unionByName(renamed.drop("_k")).withColumn("version", F.col("_v") - 1).drop("_v", "_stamp")
 
 
 def timestamp_suffix(ts: Column) -> Column:

@@ -96,3 +96,14 @@ def test_large_csv_path_equals_small_path(spark, tmp_path):
     def norm(df):
         return sorted((r["tbl"], tuple(sorted(r["row"].items()))) for r in df.collect())
     assert norm(small) == norm(large)
+
+
+def test_name_versions_with_timestamp(spark):
+    from pyspark.sql import functions as F
+    data = [("rep", 1, "2024-01-02 03:04:05"), ("rep", 2, "2024-01-02 03:04:05"), ("rep", 3, "2024-01-02 03:04:05"),
+            ("rep", 4, "2024-02-01 00:00:00"), ("solo", 5, "2024-01-01 00:00:00")]
+    df = spark.createDataFrame(data, "stem string, seq int, t string").withColumn("ts", F.to_timestamp("t"))
+    out = manifest.name_versions(df, "stem", ["seq"], ext=".csv", max_variations=0, stamp_col="ts")
+    assert rows(out, "seq", "file_name", "action") == [
+        (1, "rep.csv", "keep"), (2, "rep_20240102_030405.csv", "rename"), (3, "rep_20240102_030405-1.csv", "reject"),
+        (4, "rep_20240201_000000.csv", "rename"), (5, "solo.csv", "keep")]
