@@ -1,21 +1,28 @@
-"""Skew-safe ``row_number() OVER (PARTITION BY g ORDER BY o)``.
+"""Skew-safe ``row_number() OVER (PARTITION BY g ORDER BY o)`` and running totals.
 
 A window partitioned by ``g`` sends a whole group to one task, and a global
 ``Window.orderBy`` sends the whole table to one task. Here the frame is range
 partitioned on ``(g, o)`` instead, so a hot group is spread over many tasks:
 
-1. ``repartitionByRange(g, o)`` + ``sortWithinPartitions``;
-2. ``mapInPandas`` numbers rows per group inside each partition (vectorised);
-3. per partition only the first/last group and the count of the last group
-   reach a statistics frame — at most one row per partition, so its size is
-   bounded by the partition count and it is safe to broadcast;
-4. a group continuing from earlier partitions gets their counts added.
-
-The numbered frame is checkpointed once (lineage cut, survives executor loss).
+1. ``repartitionByRange(n, g, o)`` + ``sortWithinPartitions``;
+2. ``mapInPandas`` numbers rows per group inside each partition (vectorised)
+   and tags them with the partition's identity: a stable hash of the
+   partition's first sort key (equal keys always fall in the same range
+   partition, so the identity depends only on the data, not on task ids);
+3. per partition only its first row, its last group and that group's count
+   reach a statistics frame — at most one row per partition, so it is
+   bounded by the partition count and safe to broadcast;
+4. partitions are ordered by sorting their first rows with the same order,
+   and a group continuing from earlier partitions gets their counts added.
+
+Order items are column names (ascending, nulls first) or tuples
+``(name, ascending, nulls_last)``; together with the group columns they
+should give a total order inside each group.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 import numpy as np
@@ -24,38 +31,49 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import checkpoint_root
-
 _PID, _LRANK, _LPOS = "_seq_pid", "_seq_lrank", "_seq_lpos"
 
+OrderItem = str | tuple
+
+
+def _sort_spec(item: OrderItem) -> tuple[str, bool, bool]:
+    if isinstance(item, str):
+        return item, True, False
+    name, asc, *rest = item
+    return name, bool(asc), bool(rest[0]) if rest else (not asc)
+
+
+def _sort_column(name: str, asc: bool, nulls_last: bool) -> Column:
+    c = F.col(f"`{name}`")
+    if asc:
+        return c.asc_nulls_last() if nulls_last else c.asc_nulls_first()
+    return c.desc_nulls_last() if nulls_last else c.desc_nulls_first()
+
+
+def _stable_id(values: tuple) -> int:
+    digest = hashlib.blake2b(repr(values).encode("utf-8"), digest_size=8).digest()
+    return int.from_bytes(digest, "big", signed=True)
+
 
 def _changes(batch: pd.DataFrame, cols: list[str], prev: tuple | None) -> np.ndarray:
     """Boolean array: row starts a new group (null-safe equality)."""
     n = len(batch)
-    if not cols:
-        out = np.zeros(n, dtype=bool)
-        if prev is None:
-            out[0] = True
-        return out
     out = np.zeros(n, dtype=bool)
     for c in cols:
-        s = batch[c].reset_index(drop=True)
+        s = batch[c].reset_index(drop=True).astype(object)
         sh = s.shift(1)
         if prev is not None:
             sh.iloc[0] = prev[cols.index(c)]
         both_na = s.isna().to_numpy() & sh.isna().to_numpy()
-        ne = (s.astype(object) != sh.astype(object)).to_numpy() & ~both_na
-        out |= ne
+        out |= (s != sh).to_numpy() & ~both_na
     if prev is None:
         out[0] = True
     return out
 
 
-def _make_local_ranker(group_cols: list[str], weight_col: str | None = None):
+def _make_local_ranker(group_cols: list[str], key_cols: list[str], weight_col: str | None):
     def run(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
+        pid = None
         prev_key = None
         prev_count = 0
         pos = 0
@@ -63,9 +81,10 @@ def _make_local_ranker(group_cols: list[str], weight_col: str | None = None):
             n = len(b)
             if n == 0:
                 continue
+            if pid is None:
+                pid = _stable_id(tuple(None if pd.isna(v) else v for v in (b[c].iloc[0] for c in key_cols)))
             start = _changes(b, group_cols, prev_key)
             gid = np.cumsum(start)
-            # running count (or running weight) inside each group of this batch
             w = (np.ones(n, dtype=np.int64) if weight_col is None
                  else b[weight_col].fillna(0).to_numpy(dtype=np.int64))
             total = np.cumsum(w)
@@ -73,10 +92,10 @@ def _make_local_ranker(group_cols: list[str], weight_col: str | None = None):
             first_idx = np.maximum.accumulate(np.where(start, idx, 0))
             rank = total - total[first_idx] + w[first_idx]
             if not start[0]:
-                # first group continues from the previous batch
+                # the first group continues from the previous batch
                 rank = np.where(gid == 0, rank + prev_count, rank)
             b = b.copy()
-            b[_PID] = np.int32(pid)
+            b[_PID] = np.int64(pid)
             b[_LRANK] = rank.astype(np.int64)
             b[_LPOS] = np.arange(pos, pos + n, dtype=np.int64)
             pos += n
@@ -86,51 +105,45 @@ def _make_local_ranker(group_cols: list[str], weight_col: str | None = None):
     return run
 
 
-def sequence_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column | str],
+def sequence_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[OrderItem],
                     out: str = "seq", num_partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = 1-based position of each row inside its group by ``order_cols``.
-
-    ``order_cols`` should give a total order inside each group (add a unique
-    tie-breaker); pass Columns with explicit null ordering where it matters.
-    """
+    """Add ``out`` = 1-based position of each row inside its group by ``order_cols``."""
     return running_total(df, group_cols, order_cols, None, out, num_partitions)
 
 
-def running_total(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column | str],
+def running_total(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[OrderItem],
                   weight_col: str | None, out: str = "total", num_partitions: int | None = None) -> DataFrame:
     """``sum(weight) OVER (PARTITION BY g ORDER BY o ROWS UNBOUNDED PRECEDING)``
     for an integral weight (1 per row when ``weight_col`` is None)."""
     group_cols = list(group_cols)
+    specs = [(g, True, False) for g in group_cols] + [_sort_spec(o) for o in order_cols]
+    order = [_sort_column(*s) for s in specs]
+    key_cols = [s[0] for s in specs]
     spark = df.sparkSession
-    order = [F.col(f"`{g}`").asc_nulls_first() for g in group_cols] + [
-        F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_cols]
-    # Without an explicit count the range shuffle uses spark.sql.shuffle.partitions
-    # and AQE may merge adjacent small partitions (order is kept).
-    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
-              else df.repartitionByRange(*order)).sortWithinPartitions(*order)
+    # A fixed partition count: AQE leaves the range partitions as they are,
+    # so every evaluation sees the same partition contents.
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     schema = T.StructType(df.schema.fields + [
-        T.StructField(_PID, T.IntegerType(), False),
+        T.StructField(_PID, T.LongType(), False),
         T.StructField(_LRANK, T.LongType(), False),
         T.StructField(_LPOS, T.LongType(), False),
     ])
-    # Task partition ids are only stable inside the job that produced them, so
-    # the numbered frame is checkpointed (shared storage) before its statistics
-    # and the rows are read in separate stages.
-    local = ranged.mapInPandas(_make_local_ranker(group_cols, weight_col), schema)
-    checkpoint_root(spark)
-    local = local.checkpoint(eager=True)
+    local = ranged.mapInPandas(_make_local_ranker(group_cols, key_cols, weight_col), schema)
     gkey = F.struct(*[F.col(f"`{g}`") for g in group_cols]) if group_cols else F.lit(0)
-    stats = local.groupBy(_PID).agg(
+    per_part = local.groupBy(_PID).agg(
         F.min_by(gkey, F.col(_LPOS)).alias("_first"),
         F.max_by(gkey, F.col(_LPOS)).alias("_last"),
         F.max_by(F.col(_LRANK), F.col(_LPOS)).alias("_lastcnt"),
     )
-    # Tiny frame (<= one row per partition): global windows are fine here.
-    by_pid = Window.orderBy(_PID)
-    cum = Window.partitionBy("_last").orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # The first row of every partition, to order the partitions (tiny frame).
+    firsts = local.filter(F.col(_LPOS) == 0).select(_PID, *[F.col(f"`{k}`") for k in dict.fromkeys(key_cols)])
+    stats = firsts.join(per_part, _PID)
+    by_part = Window.orderBy(*order)
+    cum = Window.partitionBy("_last").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     stats = (stats.withColumn("_cum", F.sum("_lastcnt").over(cum))
-             .withColumn("_prev_last", F.lag("_last").over(by_pid))
-             .withColumn("_prev_cum", F.lag("_cum").over(by_pid))
+             .withColumn("_prev_last", F.lag("_last").over(by_part))
+             .withColumn("_prev_cum", F.lag("_cum").over(by_part))
              .select(F.col(_PID), F.col("_first"),
                      F.when(F.col("_prev_last").eqNullSafe(F.col("_first")), F.col("_prev_cum"))
                      .otherwise(F.lit(0)).cast("long").alias("_off")))

@@ -48,7 +48,7 @@ def assign_pk(delta: DataFrame, pk: str, next_pk: int | DataFrame, file_col: str
     per_file = delta.groupBy(q(file_col)).agg(F.min(q(pk)).cast("bigint").alias("_lo"),
                                               F.max(q(pk)).cast("bigint").alias("_hi"))
     per_file = per_file.withColumn("_w", F.col("_hi") - F.col("_lo") + 1)
-    per_file = running_total(per_file, [], [q(file_col).asc_nulls_last()], "_w", "_through")
+    per_file = running_total(per_file, [], [(file_col, True, True)], "_w", "_through")
     if isinstance(next_pk, DataFrame):
         # one-row frame -> scalar subquery
         per_file = per_file.withColumn("_seed", next_pk.select(F.col(next_pk.columns[0]).cast("bigint")).scalar())

@@ -28,5 +28,5 @@ def with_position(df: DataFrame, rules: Sequence[tuple[str, bool]], tie_break: S
                   out: str = "pos") -> DataFrame:
     """The row's 1-based position in the sorted catalog, as a column; computed
     with range partitioning, never a single-partition window."""
-    order = sort_columns(rules) + [q(c).asc_nulls_last() for c in tie_break]
+    order = [(c, asc, True) for c, asc in rules] + [(c, True, True) for c in tie_break]
     return sequence_within(df, [], order, out)

@@ -111,7 +111,7 @@ def post_order(df: DataFrame, out: str = "post_order", group_cols: Sequence[str]
                order_cols: Sequence[str] = (FILE_SEQ, ROW_SEQ)) -> DataFrame:
     """Dense running number by (file, row) order, computed without a
     single-partition window (range partitioning + per-partition offsets)."""
-    return sequence_within(df, list(group_cols), [q(c).asc_nulls_last() for c in order_cols], out)
+    return sequence_within(df, list(group_cols), [(c, True, True) for c in order_cols], out)
 
 
 # ---------------------------------------------------------------- SET-1 / PRJ-11

@@ -89,3 +89,18 @@ def test_remap_fk_by_file(spark):
     child = spark.createDataFrame([(1, 0, 7), (2, 1, 7), (3, 1, 8)], "id int, f int, fk bigint")
     m = spark.createDataFrame([(1, 7, 70)], "f int, old_pk bigint, ref_pk bigint")
     assert rows(relations.remap_fk(child, m, "fk", file_col="f"), "id", "fk") == [(1, 7), (2, 70), (3, 8)]
+
+
+def test_sequence_within_inside_set_operations(spark):
+    """Used on both sides of a union/except the numbering must not depend on
+    task ids (partition identity is taken from the data)."""
+    from pyspark.sql import Window
+    rnd = random.Random(5)
+    data = [(rnd.choice([None, 1, 2]), rnd.choice([None, "a", "b"]), i) for i in range(3000)]
+    df = spark.createDataFrame(data, "x int, g string, o int")
+    a = sequence_within(df, [], [("x", False, True), "o"], "rn", 9)
+    b = df.withColumn("rn", F.row_number().over(Window.orderBy(F.col("x").desc_nulls_last(), "o")).cast("long"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    c = sequence_within(df, ["g"], ["o"], "rn", 4)
+    d = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")).cast("long"))
+    assert c.unionByName(a).exceptAll(d.unionByName(b)).count() == 0
