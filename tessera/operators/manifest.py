@@ -154,9 +154,11 @@ def mirror_diff(presence: DataFrame, folder_col: str, file_col: str,
 def fan_out(df: DataFrame, class_col: str, targets: Mapping[str, Sequence[str]], out: str = "folder") -> DataFrame:
     """FIL-9: each file once per target folder of its class. The class -> folders
     map is configuration, so it is a literal map column: no join, no shuffle."""
+    if not any(targets.values()):
+        return df.withColumn(out, F.lit(None).cast("string")).filter(F.lit(False))
     items = []
     for k, v in targets.items():
-        items += [F.lit(k), F.array(*[F.lit(x) for x in v])]
+        items += [F.lit(k), F.array(*[F.lit(x) for x in v]).cast("array<string>")]
     m = F.create_map(*items)
     return df.withColumn(out, F.explode(F.element_at(m, q(class_col)))).filter(F.col(out).isNotNull())
 

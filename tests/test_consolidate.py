@@ -186,3 +186,26 @@ def test_reload_from_newest_replica(spark, tmp_path):
     r = consolidate(spark, spec, [post2], str(tmp_path / "cat2"), write_replicas=False)
     assert rows(r.catalog["project"], "correlationKey", "issue") == [("k-1", "1"), ("k-2", "2")]
     assert rows(r.catalog["rawFiles"], "fileName", "sensor") == [("f.txt", "s")]
+
+
+def test_employees_csv_timestamp_and_update(spark, tmp_path):
+    cfg = {"files": {"metadata file regex": {"*": r".*\.csv$"}, "metadata file formatting": {"csv separator": ","}},
+           "metadata": {"key": {"_": ["employee_id"]}, "in columns": {"_": ["salary"]},
+                        "add filename": {"_": "source_file"}, "add file timestamp": {"_": "file_timestamp"}}}
+    spec = CatalogSpec.from_config(cfg)
+    post, cat = str(tmp_path / "p"), str(tmp_path / "c")
+    _write(f"{post}/employees_a.csv", "employee_id,name,salary\n1,Ana,10\n2,Bo,20\n3,Cy,30\n")
+    _write(f"{post}/employees_b.csv", "employee_id,name,salary\n4,Di,40\n5,Ed,50\n6,Flo,60\n3,Cy,30\n")
+    r1 = consolidate(spark, spec, [post], cat, write_replicas=False)
+    emp = r1.catalog["_"]
+    assert emp.count() == 6
+    got = {r["employee_id"]: (r["salary"], r["source_file"]) for r in emp.collect()}
+    assert got["1"] == ("10", "employees_a.csv") and got["6"] == ("60", "employees_b.csv")
+    assert all(r["file_timestamp"].endswith("Z") and "T" in r["file_timestamp"] for r in emp.collect())
+    post2 = str(tmp_path / "p2")
+    _write(f"{post2}/employees_c.csv", "employee_id,name,salary\n2,Bo,25\n")
+    r2 = consolidate(spark, spec, [post2], cat, write_replicas=False)
+    after = {r["employee_id"]: r["salary"] for r in r2.catalog["_"].collect()}
+    assert after == {"1": "10", "2": "25", "3": "30", "4": "40", "5": "50", "6": "60"}
+    stats = {o: n for o, n in rows(r2.stats.groupBy("outcome").agg(F.sum("n")))}
+    assert stats == {"updated": 1}
