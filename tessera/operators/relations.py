@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.ranking import running_total, sequence_within
-from tessera.operators.transforms import FILE_SEQ, KEY, q
+from tessera.operators.transforms import FILE_SEQ, q
 
 
 # ---------------------------------------------------------------- AGG-4

@@ -11,10 +11,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.nulls import null_if_token
+from tessera.functions.nulls import normalize_nulls
+from tessera.functions.ranking import sequence_within
 from tessera.operators import identify, linking, manifest, merge, relations, sort, transforms, upsert
-from tessera.operators.transforms import q
-from tessera.spec import CatalogSpec
+from tessera.operators.transforms import with_key
+from tessera.plans import catalog as catalog_store
+from tessera.plans.load import load_related as _load_related
+from tessera.plans.prepare import prepare as _prepare
+from tessera.session import work_path
+from tessera.sinks import writers
+from tessera.sources import scan
+from tessera.spec import DEFAULT_NULL_TOKENS, CatalogSpec
+from tessera.streaming import watch
 
 
 def T(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -152,7 +160,6 @@ SELECT c_custkey, CASE WHEN seg IN ('N/A','missing value','') THEN NULL ELSE seg
   SELECT c_custkey, {_SEG_WITH_TOKENS} AS seg FROM customer)
 """)
 def null_normalize(spark, sf):
-    from tessera.functions.nulls import normalize_nulls
     return normalize_nulls(_seg_with_tokens(T(spark, sf, "customer")))
 
 
@@ -644,9 +651,6 @@ def default_sort(spark, sf):
 
 
 # ====================================================================== sources and sinks
-from tessera.session import work_path  # noqa: E402
-from tessera.sinks import writers  # noqa: E402
-from tessera.sources import scan  # noqa: E402
 
 _CUST_TEXT = """CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey"""
 
@@ -765,7 +769,6 @@ def replicated_publish(spark, sf):
 
 
 # ====================================================================== streaming
-from tessera.streaming import watch  # noqa: E402
 
 
 def _event_files_dir(spark, sf, name, n_files=6):
@@ -846,10 +849,6 @@ def stream_dedupe(spark, sf):
 
 
 # ====================================================================== composite plans
-from tessera.plans import catalog as catalog_store  # noqa: E402
-from tessera.plans.load import load_related as _load_related  # noqa: E402
-from tessera.plans.prepare import prepare as _prepare  # noqa: E402
-from tessera.spec import DEFAULT_NULL_TOKENS  # noqa: E402
 
 _TOKENS_SQL = ", ".join("'" + t.replace("'", "''") + "'" for t in dict.fromkeys(DEFAULT_NULL_TOKENS))
 
@@ -911,7 +910,6 @@ def load_related(spark, sf):
     keep their catalog PK, new ones get fresh PKs per file, and the customers'
     FKs follow before they are keyed and upserted."""
     spec = _nation_customer_spec()
-    from tessera.operators.transforms import with_key
     n, c = T(spark, sf, "nation"), T(spark, sf, "customer")
     cat_n = with_key(n.filter(F.col("n_nationkey") % 5 != 0).select(
         F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "n_name",
@@ -963,7 +961,6 @@ def consolidate(spark, sf):
     spec = _consolidate_spec()
     n, c = T(spark, sf, "nation"), T(spark, sf, "customer")
     root = work_path(spark, "catalog")
-    from tessera.operators.transforms import with_key
     v1_n = with_key(n.filter(F.col("n_regionkey") != 0).select(
         F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "n_name",
         F.lit(-1).alias("_file_seq"), F.col("n_nationkey").cast("bigint").alias("_row_seq")), ["n_name"])
@@ -1051,5 +1048,4 @@ def sequence_hot_group(spark, sf):
     """WIN-1 numbering where one group holds a third of all orders."""
     o = T(spark, sf, "orders")
     g = F.when(F.col("o_orderkey") % 3 == 0, F.lit("hot")).otherwise(F.col("o_orderpriority"))
-    from tessera.functions.ranking import sequence_within
     return sequence_within(o.select("o_orderkey", g.alias("grp")), ["grp"], ["o_orderkey"], "pos")
