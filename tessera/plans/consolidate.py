@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import identify, linking, manifest, sort, upsert
+from tessera.operators.relations import orphan_cascade
 from tessera.operators.transforms import FILE_MTIME, FILE_NAME, FILE_PATH, FILE_SEQ, KEY, ROW_SEQ, with_key
 from tessera.plans import catalog as store
 from tessera.plans.load import load_related
@@ -155,9 +156,21 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
                 old = catalog[t].select(KEY) if t in catalog else k.select(KEY).limit(0)
                 s = upsert.load_stats(old, k.select(FILE_NAME, KEY), [KEY], [FILE_NAME])
                 stats_parts.append(s.withColumn("table", F.lit(t)))
+                dups = (k.filter(F.col(KEY).isNotNull()).groupBy(FILE_NAME)
+                        .agg((F.count(F.lit(1)) - F.count_distinct(KEY)).cast("bigint").alias("n"))
+                        .filter(F.col("n") > 0))
+                stats_parts.append(dups.select(FILE_NAME, F.lit("duplicate").alias("outcome"), "n",
+                                               F.lit(t).alias("table")))
+        loaded = load_related(catalog, deltas, spec, key_mode, clean_orphans=False)
+        catalog = orphan_cascade(loaded, spec)
+        for t in loaded:
+            if t in catalog and KEY in loaded[t].columns:
+                gone = loaded[t].select(KEY).join(catalog[t].select(KEY), KEY, "left_anti")
+                stats_parts.append(gone.agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(
+                    F.lit(None).cast("string").alias(FILE_NAME), F.lit("orphan_deleted").alias("outcome"), "n",
+                    F.lit(t).alias("table")).filter(F.col("n") > 0))
         for s in stats_parts:
             stats = s if stats is None else stats.unionByName(s)
-        catalog = load_related(catalog, deltas, spec, key_mode)
     # ---- data files: link, publish, pending --------------------------------
     data = files.filter(F.col("file_class").isin(list(spec.data_regex))).select(
         "path", F.col("name").alias("file_name"), "file_class")

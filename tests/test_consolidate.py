@@ -107,6 +107,7 @@ def test_batches_end_to_end(spark, tmp_path):
     assert [os.path.basename(p) for (p,) in rows(r2.publish_plan, "path")] == ["later.txt"]
     stats = {(t, o): n for t, o, n in rows(r2.stats.groupBy("table", "outcome").agg(F.sum("n").alias("n")))}
     assert stats[("rawFiles", "updated")] == 1 and stats[("project", "added")] == 1
+    assert stats[("rawFiles", "orphan_deleted")] == 1  # the row pointing at project "nope"
 
 
 def test_service_holds_then_publishes(spark, tmp_path):
@@ -145,6 +146,7 @@ def test_repost_is_idempotent_and_copies_count_once(spark, tmp_path):
     _write(str(tmp_path / "b" / "monitor_20260211_k-9.json"), doc)
     r1 = consolidate(spark, spec, [str(tmp_path / "a"), str(tmp_path / "b")], cat, write_replicas=False)
     assert r1.files.count() == 1
+    assert ("rawFiles", "duplicate", 1) in rows(r1.stats, "table", "outcome", "n")
     first = {t: rows(df.drop("_file_seq", "_row_seq")) for t, df in r1.catalog.items()}
     assert rows(r1.catalog["rawFiles"], "fileName", "sensor") == [("z.txt", "a")]
     # re-posting the same document adds nothing
