@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.ranking import running_total, sequence_within
-from tessera.operators.transforms import FILE_SEQ, q
+from tessera.operators.transforms import FILE_SEQ, KEY, q
 
 
 # ---------------------------------------------------------------- AGG-4
@@ -112,17 +112,8 @@ def parent_orphans(parent: DataFrame, children: Sequence[tuple[DataFrame, str]],
 
 
 # ---------------------------------------------------------------- JON-8
-def orphan_cascade(tables: Mapping[str, DataFrame], spec, checkpoint: bool = True) -> dict[str, DataFrame]:
-    """Cascading orphan cleanup to its fixpoint in two passes:
-    pass 1 parents-first drops children with dead FKs (where the FK asks for
-    it); pass 2 children-first drops unreferenced parents (where the PK asks
-    for it). Both rules are monotone, so no iteration is needed: 2 joins per
-    FK edge. Each cleaned table is checkpointed (shared storage) so later
-    steps read it once instead of re-planning its whole history."""
-    from tessera.session import materialize
-
-    done = materialize if checkpoint else (lambda d: d)
-    out = dict(tables)
+def _cascade(out: dict, spec, done) -> dict:
+    out = dict(out)
     order = [t for t in spec.topological_order() if t in out]
     for t in order:
         for fk in spec.tables[t].fks:
@@ -137,3 +128,41 @@ def orphan_cascade(tables: Mapping[str, DataFrame], spec, checkpoint: bool = Tru
         if kids:
             out[t] = done(parent_orphans(out[t], kids, ts.pk.name))
     return out
+
+
+def orphan_cascade(tables: Mapping[str, DataFrame], spec, checkpoint: bool = True,
+                   row_id: str = KEY) -> dict[str, DataFrame]:
+    """Cascading orphan cleanup to its fixpoint in two passes:
+    pass 1 parents-first drops children with dead FKs (where the FK asks for
+    it); pass 2 children-first drops unreferenced parents (where the PK asks
+    for it). Both rules are monotone, so no iteration is needed: 2 joins per
+    FK edge.
+
+    When every table has a row id (the business key), the cascade runs on
+    narrow ``(row id, pk, fks)`` frames, checkpointed step by step in the
+    shared checkpoint folder; a full table is touched only if rows were
+    removed from it (one semi join), otherwise it passes through unchanged.
+    Without row ids each cleaned table is checkpointed instead.
+    """
+    from tessera.session import materialize
+
+    done = materialize if checkpoint else (lambda d: d)
+    if not (checkpoint and tables and all(row_id in df.columns for df in tables.values())):
+        return _cascade(dict(tables), spec, done)
+    narrow = {}
+    for t, df in tables.items():
+        ts = spec.tables.get(t)
+        cols = [row_id]
+        if ts is not None and ts.pk is not None and ts.pk.name in df.columns:
+            cols.append(ts.pk.name)
+        if ts is not None:
+            cols += [fk.name for fk in ts.fks if fk.name in df.columns and fk.name not in cols]
+        narrow[t] = materialize(df.select(*[q(c) for c in cols]))
+    cleaned = _cascade(narrow, spec, done)
+    out = {}
+    for t, df in tables.items():
+        if cleaned[t] is narrow[t] or cleaned[t].count() == narrow[t].count():
+            out[t] = df
+        else:
+            out[t] = df.join(cleaned[t].select(q(row_id)), row_id, "left_semi")
+    return out

@@ -104,3 +104,19 @@ def test_sequence_within_inside_set_operations(spark):
     c = sequence_within(df, ["g"], ["o"], "rn", 4)
     d = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")).cast("long"))
     assert c.unionByName(a).exceptAll(d.unionByName(b)).count() == 0
+
+
+def test_orphan_cascade_narrow_path_matches_full_path(spark):
+    rnd = random.Random(4)
+    cfg = {"metadata": {"key": {"a": ["k"], "b": ["k"]}, "association": {
+        "a": {"PK": {"name": "id", "delete orphan": True}},
+        "b": {"FK": {"a": {"name": "ref", "delete orphan": True}}}}}}
+    spec = CatalogSpec.from_config(cfg)
+    a = spark.createDataFrame([(f"a{i}", i, "x" * 3) for i in range(8)], "_key string, id int, payload string")
+    b = spark.createDataFrame([(f"b{i}", rnd.choice([None, *range(12)]), "y") for i in range(15)],
+                              "_key string, ref int, payload string")
+    narrow = relations.orphan_cascade({"a": a, "b": b}, spec)
+    full = relations.orphan_cascade({"a": a.withColumnRenamed("_key", "rid"), "b": b.withColumnRenamed("_key", "rid")},
+                                    spec)
+    for t in ("a", "b"):
+        assert rows(narrow[t], "_key", "payload") == rows(full[t], "rid", "payload")
