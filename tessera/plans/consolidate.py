@@ -161,7 +161,8 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
                         .filter(F.col("n") > 0))
                 stats_parts.append(dups.select(FILE_NAME, F.lit("duplicate").alias("outcome"), "n",
                                                F.lit(t).alias("table")))
-        loaded = load_related(catalog, deltas, spec, key_mode, clean_orphans=False)
+        # the new version is written right below, so no extra copy of the tables
+        loaded = load_related(catalog, deltas, spec, key_mode, clean_orphans=False, checkpoint_tables=False)
         catalog = orphan_cascade(loaded, spec)
         for t in loaded:
             if t in catalog and KEY in loaded[t].columns:

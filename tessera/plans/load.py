@@ -25,9 +25,14 @@ from tessera.spec import CatalogSpec
 
 
 def load_related(catalog: Mapping[str, DataFrame], delta: Mapping[str, DataFrame], spec: CatalogSpec,
-                 key_mode: str = "concat", clean_orphans: bool = True) -> dict[str, DataFrame]:
+                 key_mode: str = "concat", clean_orphans: bool = True,
+                 checkpoint_tables: bool = True) -> dict[str, DataFrame]:
     """``catalog`` tables carry ``_key``, ``_file_seq``, ``_row_seq``; ``delta``
-    tables are enriched scans (see ``prepare.enrich``) with ``_file_seq``."""
+    tables are enriched scans (see ``prepare.enrich``) with ``_file_seq``.
+
+    ``checkpoint_tables`` cuts the lineage of every updated table (for callers
+    that chain loads in memory); a caller that writes a catalog version right
+    afterwards passes False and saves the copy."""
     out = dict(catalog)
     maps: dict[str, DataFrame] = {}
     for t in spec.topological_order():
@@ -65,7 +70,8 @@ def load_related(catalog: Mapping[str, DataFrame], delta: Mapping[str, DataFrame
             out[t] = out[t].unionByName(folded, allowMissingColumns=True)
         else:
             out[t] = folded
-        out[t] = materialize(out[t])
+        if checkpoint_tables:
+            out[t] = materialize(out[t])
     if clean_orphans:
         out = orphan_cascade(out, spec)
     return out

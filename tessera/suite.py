@@ -982,7 +982,7 @@ def consolidate(spark, sf):
     files = sort.with_position(files, [("_file_mtime", True), ("_file_path", True)], out="_file_seq")
     delta = scanned.join(files.select("_file_path", "_file_seq"), "_file_path")
     current = catalog_store.load(spark, root)
-    merged = _load_related(current, {"customer": delta}, spec)
+    merged = _load_related(current, {"customer": delta}, spec, checkpoint_tables=False)
     merged["customer"] = sort.catalog_sort(merged["customer"], spec.tables["customer"].sort_by)
     catalog_store.save(spark, root, merged)
     final = catalog_store.load(spark, root)["customer"]
