@@ -82,14 +82,16 @@ def read_catalog(spark: SparkSession, catalog_root: str, table: str = "catalog")
 
 # ---------------------------------------------------------------- STR-3
 def match_held_files(files: DataFrame, refs: DataFrame, key: str, file_time: str, ref_time: str,
-                     hold: str, delay: str) -> DataFrame:
+                     hold: str, delay: str, how: str = "inner") -> DataFrame:
     """Stream-stream join: a held data file is published when a reference with
-    the same key arrives within ``hold`` after it. Watermarks bound the state."""
+    the same key arrives within ``hold`` after it. Watermarks bound the state.
+    ``how="left_outer"`` also emits every file that found no reference, once
+    the watermark has passed its hold period (those are the expired files)."""
     f = _event_time(files, file_time).withWatermark(file_time, delay).alias("f")
     r = _event_time(refs, ref_time).withWatermark(ref_time, delay).alias("r")
     cond = ((F.col(f"f.{key}") == F.col(f"r.{key}")) & (F.col(f"r.{ref_time}") >= F.col(f"f.{file_time}"))
             & (F.col(f"r.{ref_time}") <= F.col(f"f.{file_time}") + F.expr(f"INTERVAL {hold}")))
-    return f.join(r, cond, "inner")
+    return f.join(r, cond, how)
 
 
 # ---------------------------------------------------------------- STR-4
