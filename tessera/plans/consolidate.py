@@ -57,7 +57,12 @@ def _target_listing(spark: SparkSession, targets: dict) -> DataFrame | None:
 
 def _table_hint_names(spec: CatalogSpec) -> dict[str, str]:
     """Worksheet display name -> table."""
-    return {v: k for k, v in spec.table_names.items() if k != DEFAULT_TABLE}
+    out = {}
+    for t in spec.table_names:
+        shown = spec.display_name(t)
+        if shown:
+            out[shown] = t
+    return out
 
 
 def identify_tables(spark: SparkSession, rows: DataFrame, spec: CatalogSpec) -> DataFrame:
@@ -83,7 +88,13 @@ def identify_tables(spark: SparkSession, rows: DataFrame, spec: CatalogSpec) ->
     final = (F.when(hint_ok, F.col("hint"))
              .when(F.col("_m").isNotNull() & ~F.col("_m").isin(identify.NOT_FOUND, identify.AMBIGUOUS), F.col("_m"))
              .when(F.col("hint").isin(empty), F.col("hint")))
-    return out.select(FILE_PATH, "hint", final.alias("table"))
+    # Blocks no table claims by name (JSON leftovers, unmapped sheets) are only
+    # identified by their columns when the default table is mapped or when
+    # identification is forced; otherwise they are skipped, not rejected.
+    unnamed = ~F.col("hint").isin([t for t in spec.tables if t != DEFAULT_TABLE]) if len(spec.tables) > 1 \
+        else F.lit(True)
+    skip = F.lit(False) if (spec.force_identification or DEFAULT_TABLE in spec.table_names) else unnamed
+    return out.select(FILE_PATH, "hint", F.when(~skip, final).alias("table"), skip.alias("skip"))
 
 
 def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catalog_root: str,
@@ -126,6 +137,7 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
         rows = materialize(rows)
         ident = identify_tables(spark, rows, spec)
         rows = rows.join(ident.withColumnRenamed("hint", "tbl"), [FILE_PATH, "tbl"])
+        rows = rows.filter(~F.col("skip")).drop("skip")
         unresolved = rows.filter(F.col("table").isNull()).select(FILE_PATH).distinct()
         present = rows.filter(F.col("table").isNotNull()).select(F.col(FILE_PATH).alias("file"),
                                                                  F.col("table").alias("tbl"))

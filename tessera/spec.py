@@ -22,6 +22,7 @@ DEFAULT_CHARACTER_SCOPE = (
     "[^A-Za-z0-9çÇãÃõÕáÁéÉíÍóÓúÚàÀèÈìÌòÒùÙâÂêÊîÎôÔûÛäÄëËïÏöÖüÜÿŒœÆæ%|?!.,><°\"-_ ]+"
 )
 DEFAULT_TABLE = "_"          # root leftovers / single-table files
+DEFAULT_SHEET_NAME = "<name>"  # display name meaning "the configuration's name"
 MANY_TABLES = "*"            # "many tables" marker in the metadata regex map
 UNLIMITED_SCOPE = "*"
 DEFAULT_CSV_SEPARATOR = ";"
@@ -159,6 +160,11 @@ class CatalogSpec:
     def table(self, name: str) -> TableSpec:
         return self.tables[name]
 
+    def display_name(self, table: str) -> str | None:
+        """Worksheet name of a table (``<name>`` stands for the config's name)."""
+        shown = self.table_names.get(table)
+        return self.name if shown == DEFAULT_SHEET_NAME else shown
+
     # ------------------------------------------------------------------ loading
     @classmethod
     def from_config(cls, config: dict | str) -> "CatalogSpec":
@@ -217,7 +223,7 @@ class CatalogSpec:
             csv_separator=sep,
             required_tables=list(meta.get("required tables", [DEFAULT_TABLE])),
             force_identification=bool(meta.get("force table identification", False)),
-            table_names=dict(files.get("table names", {})),
+            table_names=dict(files.get("table names", {DEFAULT_TABLE: DEFAULT_SHEET_NAME})),
             metadata_regex=dict(files.get("metadata file regex", {})),
             data_regex=dict(files.get("data file regex", {})),
             ignore=list(files.get("input to ignore", [])),

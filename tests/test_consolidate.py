@@ -211,3 +211,17 @@ def test_employees_csv_timestamp_and_update(spark, tmp_path):
     assert after == {"1": "10", "2": "25", "3": "30", "4": "40", "5": "50", "6": "60"}
     stats = {o: n for o, n in rows(r2.stats.groupBy("outcome").agg(F.sum("n")))}
     assert stats == {"updated": 1}
+
+
+def test_unmapped_leftovers_skipped_unless_forced(spark, tmp_path):
+    base = {"files": {"metadata file regex": {"*": r".*\.json$"}, "table names": {"project": "Projects"}},
+            "metadata": {"key": {"project": ["correlationKey"], "notes": ["note"]},
+                         "in columns": {"notes": ["note"]}}}
+    post = str(tmp_path / "p")
+    _write(f"{post}/d.json", json.dumps({"project": {"correlationKey": "k"}, "note": "hello"}))
+    r = consolidate(spark, CatalogSpec.from_config(base), [post], str(tmp_path / "c1"), write_replicas=False)
+    assert "notes" not in r.catalog and rows(r.rejected) == []
+    forced = json.loads(json.dumps(base))
+    forced["metadata"]["force table identification"] = True
+    r2 = consolidate(spark, CatalogSpec.from_config(forced), [post], str(tmp_path / "c2"), write_replicas=False)
+    assert rows(r2.catalog["notes"], "note") == [("hello",)]
