@@ -63,10 +63,24 @@ def run_batch(spark: SparkSession, spec: CatalogSpec, paths: list[str], catalog_
         times = times.unionByName(held.select("path", "modificationTime")).dropDuplicates(["path"])
     pending = result.pending.join(times, "path")
     now_col = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
-    expired = manifest.expired(pending, "modificationTime", now_col, spec.clean_period_hours)
+    # FIL-7: a clean runs when the clean period has passed since the last one
+    # (the first one waits a period when "delay first clean" is set)
+    state_tables = store.load(spark, state)
+    last = state_tables.get("clean")
+    if last is None:
+        last = spark.range(1).select((now_col if spec.delay_first_clean else F.lit(None).cast("timestamp"))
+                                     .alias("last_clean"))
+    due_row = last.select(F.coalesce(manifest.clean_due(F.col("last_clean"), now_col, spec.clean_period_hours),
+                                     F.lit(True)).alias("due")).first()
+    due = bool(due_row["due"])
+    if due:
+        expired = manifest.expired(pending, "modificationTime", now_col, spec.clean_period_hours)
+        last = spark.range(1).select(now_col.alias("last_clean"))
+    else:
+        expired = pending.limit(0)
     keep = pending.join(expired.select("path"), "path", "left_anti").select(
         "path", "file_name", "file_class", "modificationTime")
-    store.save(spark, state, {"held": keep})
+    store.save(spark, state, {"held": keep, "clean": last})
     keep = store.load(spark, state)["held"]
     return {
         "version": result.version,

@@ -135,6 +135,7 @@ class CatalogSpec:
     clean_period_hours: float = DEFAULT_CLEAN_PERIOD_HOURS
     check_period_seconds: float = DEFAULT_CHECK_PERIOD_SECONDS
     max_file_variations: int = DEFAULT_MAX_FILE_VARIATIONS
+    delay_first_clean: bool = True
     overwrite_get: bool = True
     overwrite_store: bool = False
     overwrite_trash: bool = False
@@ -234,6 +235,7 @@ class CatalogSpec:
             clean_period_hours=float(config.get("clean period in hours", DEFAULT_CLEAN_PERIOD_HOURS)),
             check_period_seconds=float(config.get("check period in seconds", DEFAULT_CHECK_PERIOD_SECONDS)),
             max_file_variations=int(config.get("maximum file variations", DEFAULT_MAX_FILE_VARIATIONS)),
+            delay_first_clean=bool(config.get("delay first clean", True)),
             overwrite_get=bool(config.get("overwrite data in get", True)),
             overwrite_store=bool(config.get("overwrite data in store", False)),
             overwrite_trash=bool(config.get("overwrite data in trash", False)),

@@ -225,3 +225,26 @@ def test_unmapped_leftovers_skipped_unless_forced(spark, tmp_path):
     forced["metadata"]["force table identification"] = True
     r2 = consolidate(spark, CatalogSpec.from_config(forced), [post], str(tmp_path / "c2"), write_replicas=False)
     assert rows(r2.catalog["notes"], "note") == [("hello",)]
+
+
+def test_service_expires_held_files_when_clean_is_due(spark, tmp_path):
+    from tessera.plans.service import run_batch
+    cfg = json.loads(json.dumps(CONFIG))
+    cfg["clean period in hours"] = 1
+    spec = CatalogSpec.from_config(cfg)
+    cat = str(tmp_path / "cat")
+    p0 = str(tmp_path / "in0")
+    _write(f"{p0}/monitor_20260211_k-1.json", json.dumps({
+        "project": {"correlationKey": "k-1", "issue": "1"},
+        "rawFiles": [{"correlationKey": "k-1", "fileName": "other.txt", "sensor": "s"}]}))
+    _write(f"{p0}/lonely.txt", "never referenced")
+    s0 = run_batch(spark, spec, [p0], cat, write_replicas=False, now="2030-01-01 00:00:00")
+    assert s0["held"] == 1 and s0["expired"] == 0  # first clean delayed by one period
+    p1 = str(tmp_path / "in1")
+    _write(f"{p1}/x.doc", "unrelated")
+    s1 = run_batch(spark, spec, [p1], cat, write_replicas=False, now="2030-01-01 00:30:00")
+    assert s1["held"] == 1 and s1["expired"] == 0  # not due yet
+    p2 = str(tmp_path / "in2")
+    _write(f"{p2}/y.doc", "unrelated")
+    s2 = run_batch(spark, spec, [p2], cat, write_replicas=False, now="2030-01-01 02:00:00")
+    assert s2["expired"] == 1 and s2["held"] == 0
