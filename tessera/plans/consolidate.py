@@ -218,8 +218,13 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
         if write_replicas and spec.catalog_names:
             publish({t: upsert.project_columns(df, df.columns) for t, df in catalog.items()},
                     spec.catalog_names, spec.csv_separator)
-    processed = files.filter(F.col("file_class").isin(meta_classes)).select("path")
-    store_plan = manifest.store_plan(processed, spec.store_folders) if spec.store_folders else processed.limit(0)
+    processed = files.filter(F.col("file_class").isin(meta_classes)).select("path", F.col("name").alias("file_name"))
+    if spec.store_folders:
+        store_plan = manifest.store_plan(processed, spec.store_folders)
+        store_plan = manifest.placement_actions(store_plan, _target_listing(spark, {"store": spec.store_folders}),
+                                                spec.overwrite_store)
+    else:
+        store_plan = processed.limit(0)
     unknown = files.filter(F.col("file_class") == manifest.UNKNOWN).select(
         "path", F.lit("unknown_file").alias("reason"))
     rejected = unknown
