@@ -66,35 +66,39 @@ def _table_hint_names(spec: CatalogSpec) -> dict[str, str]:
 
 
 def identify_tables(spark: SparkSession, rows: DataFrame, spec: CatalogSpec) -> DataFrame:
-    """RTE-1 for every (file, table hint): keep the hint when it is a table whose
-    required columns are present, else the best match by columns; a tie goes
-    to the hint when the hint is among the tied tables."""
+    """RTE-1 for every (file, table hint). A block named after a table (JSON
+    root key, worksheet) goes to it when that table's required columns are
+    present. Other blocks (hint ``_``: leftovers, single-table files) are
+    identified by their columns: candidates are the tables whose required
+    set is contained in the block's columns, the smallest number of extra
+    columns wins, and a tie goes to the hint if it is among the tied tables
+    (else the block is unresolved).
+
+    The table list is configuration-sized, so candidates are evaluated per
+    block with literal arrays — no join; a block's column set is bounded by
+    the schema width."""
     required = {t: sorted(ts.required_columns) for t, ts in spec.tables.items()}
     groups = rows.select(FILE_PATH, "tbl", F.explode(F.map_keys("row")).alias("col")).distinct()
-    groups = groups.withColumn("_g", F.concat_ws("\u0001", FILE_PATH, "tbl"))
-    nonempty = {t: c for t, c in required.items() if c}
-    empty = [t for t, c in required.items() if not c]
-    if nonempty:
-        matched = identify.match_table(groups.select(F.col("_g").alias("file"), "col"),
-                                       identify.required_frame(spark, nonempty))
-    else:
-        matched = groups.select(F.col("_g").alias("file")).distinct().withColumn("tbl", F.lit(identify.NOT_FOUND))
-    have = groups.groupBy("_g", FILE_PATH, F.col("tbl").alias("hint")).agg(F.collect_set("col").alias("_cols"))
-    req_map = F.create_map(*[x for t, c in required.items()
-                             for x in (F.lit(t), F.array(*[F.lit(v) for v in c]).cast("array<string>"))])
-    hint_ok = (F.col("hint").isin(list(spec.tables)) &
-               (F.size(F.array_except(F.element_at(req_map, F.col("hint")), F.col("_cols"))) == 0))
-    out = have.join(matched.select(F.col("file").alias("_g"), F.col("tbl").alias("_m")), "_g", "left")
-    final = (F.when(hint_ok, F.col("hint"))
-             .when(F.col("_m").isNotNull() & ~F.col("_m").isin(identify.NOT_FOUND, identify.AMBIGUOUS), F.col("_m"))
-             .when(F.col("hint").isin(empty), F.col("hint")))
+    have = groups.groupBy(FILE_PATH, F.col("tbl").alias("hint")).agg(F.collect_set("col").alias("_cols"))
+    cols = F.col("_cols")
+    cands = F.filter(F.array(*[
+        F.struct(F.when(F.size(F.array_except(F.array(*[F.lit(c) for c in req]).cast("array<string>"), cols)) == 0,
+                        F.size(cols) - F.lit(len(req))).alias("d"), F.lit(t).alias("t"))
+        for t, req in required.items()]), lambda c: c["d"].isNotNull())
+    best = F.array_min(F.transform(cands, lambda c: c["d"]))
+    tied = F.filter(cands, lambda c: c["d"] == best)
+    named = [t for t in spec.tables if t != DEFAULT_TABLE]
+    hint = F.col("hint")
+    hint_ok = F.exists(cands, lambda c: c["t"] == hint)
+    final = (F.when(hint.isin(named) & hint_ok, hint)
+             .when(F.size(tied) == 1, F.element_at(tied, 1)["t"])
+             .when(F.exists(tied, lambda c: c["t"] == hint), hint))
     # Blocks no table claims by name (JSON leftovers, unmapped sheets) are only
     # identified by their columns when the default table is mapped or when
     # identification is forced; otherwise they are skipped, not rejected.
-    unnamed = ~F.col("hint").isin([t for t in spec.tables if t != DEFAULT_TABLE]) if len(spec.tables) > 1 \
-        else F.lit(True)
+    unnamed = ~hint.isin(named) if named else F.lit(True)
     skip = F.lit(False) if (spec.force_identification or DEFAULT_TABLE in spec.table_names) else unnamed
-    return out.select(FILE_PATH, "hint", F.when(~skip, final).alias("table"), skip.alias("skip"))
+    return have.select(FILE_PATH, "hint", F.when(~skip, final).alias("table"), skip.alias("skip"))
 
 
 def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catalog_root: str,

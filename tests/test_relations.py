@@ -120,3 +120,11 @@ def test_orphan_cascade_narrow_path_matches_full_path(spark):
                                     spec)
     for t in ("a", "b"):
         assert rows(narrow[t], "_key", "payload") == rows(full[t], "rid", "payload")
+
+
+def test_dense_ids_follow_the_order(spark):
+    df = spark.createDataFrame([(f"k{i:03d}", i % 5) for i in range(40)], "k string, g int")
+    out = relations.dense_ids(df, [("g", True, True), "k"], start=100, out="id")
+    got = [r["k"] for r in out.orderBy("id").collect()]
+    assert got == sorted((f"k{i:03d}" for i in range(40)), key=lambda k: (int(k[1:]) % 5, k))
+    assert sorted(r["id"] for r in out.collect()) == list(range(100, 140))

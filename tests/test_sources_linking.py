@@ -107,3 +107,18 @@ def test_name_versions_with_timestamp(spark):
     assert rows(out, "seq", "file_name", "action") == [
         (1, "rep.csv", "keep"), (2, "rep_20240102_030405.csv", "rename"), (3, "rep_20240102_030405-1.csv", "reject"),
         (4, "rep_20240201_000000.csv", "rename"), (5, "solo.csv", "keep")]
+
+
+def test_identify_tables_hint_and_columns(spark):
+    from tessera.plans.consolidate import identify_tables
+    from tessera.spec import CatalogSpec
+    spec = CatalogSpec.from_config({"metadata": {
+        "key": {"a": ["x"], "b": ["x"], "_": []}, "in columns": {"a": ["y"], "b": ["z"], "_": []}}})
+    data = [("f1", "_", {"x": "1", "y": "2"}),        # leftover block -> identified as a by columns
+            ("f2", "b", {"x": "1", "z": "2", "y": "3"}),  # named b, b's columns present -> b
+            ("f3", "_", {"x": "1", "y": "2", "z": "3"}),  # a and b tie, the hint `_` is not tied -> unresolved
+            ("f4", "a", {"q": "1"}),                  # named a, its columns missing; `_` needs nothing -> `_`
+            ("f5", "_", {"w": "1"})]                  # nothing but the default table fits -> `_`
+    rows_df = spark.createDataFrame(data, "_file_path string, tbl string, row map<string,string>")
+    got = {r["_file_path"]: r["table"] for r in identify_tables(spark, rows_df, spec).collect()}
+    assert got == {"f1": "a", "f2": "b", "f3": None, "f4": "_", "f5": "_"}
