@@ -55,6 +55,13 @@ def _stable_id(values: tuple) -> int:
     return int.from_bytes(digest, "big", signed=True)
 
 
+def _is_null(v) -> bool:
+    """Scalar-safe null test (array or struct values are never null here)."""
+    if v is None or v is pd.NaT:
+        return True
+    return isinstance(v, float) and v != v
+
+
 def _changes(batch: pd.DataFrame, cols: list[str], prev: tuple | None) -> np.ndarray:
     """Boolean array: row starts a new group (null-safe equality)."""
     n = len(batch)
@@ -82,7 +89,7 @@ def _make_local_ranker(group_cols: list[str], key_cols: list[str], weight_col: s
             if n == 0:
                 continue
             if pid is None:
-                pid = _stable_id(tuple(None if pd.isna(v) else v for v in (b[c].iloc[0] for c in key_cols)))
+                pid = _stable_id(tuple(None if _is_null(v) else v for v in (b[c].iloc[0] for c in key_cols)))
             start = _changes(b, group_cols, prev_key)
             gid = np.cumsum(start)
             w = (np.ones(n, dtype=np.int64) if weight_col is None
