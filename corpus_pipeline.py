@@ -7,11 +7,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, exact_dedup, mixing, simhash
+from tessera.llm import byte_bpe, exact_dedup, mixing, simhash, toxicity
 from tessera.llm.common import scratch, table
 from tessera.llm.queries import PATTERN, TOKENIZER
 
 
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the severity model, fitted on the labelled ones, does not reject."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every group of equal texts, that with the largest doc_id."""
     return exact_dedup.keep_one_of_each(docs)
@@ -35,7 +40,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-STAGES = [("exact_dedup", exact), ("simhash_dedup", near), ("mixing", mix), ("byte_bpe", tokenize)]
+STAGES = [("toxicity", clean), ("exact_dedup", exact), ("simhash_dedup", near), ("mixing", mix), ("byte_bpe", tokenize)]
 
 #: Learned weights and fingerprint components are beyond SQL; the tests hold
 #: every stage against a brute-force version instead.

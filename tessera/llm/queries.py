@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, exact_dedup, mixing, simhash
-from tessera.llm.common import table, text_or_empty
+from tessera.llm import byte_bpe, embedding_dedup, exact_dedup, language_id, mixing, simhash, toxicity, url_filter, warc
+from tessera.llm.common import scratch, table, text_or_empty
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -26,6 +26,25 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_warc")
+def op1_warc(spark: SparkSession, sf: str) -> DataFrame:
+    folder = scratch(spark, "warc-archives")
+    files = warc.write_archives(table(spark, sf, "pages").select("page_id", "url", "html"), folder)
+    found = warc.resolve_revisits(warc.read_archives(files, folder))
+    return found.select(F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                        F.col("refers_to").cast("long").alias("refers_to"))
+
+
+ORACLE["op1_warc"] = """
+WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS d, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY d, n) AS first FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 100 AND first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM f
+"""
+
+
 @register("op3_byte_bpe")
 def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -43,6 +62,23 @@ def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
                         "component_id")
 
 
+@register("op5_embeddings")
+def op5_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    found = embedding_dedup.embedding_components(table(spark, sf, "embeddings").select("vec_id", "embedding"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
+RULES = tuple(url_filter.rule(text, verdict) for text, verdict in (
+    ("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")))
+
+
+@register("op6_url_filter")
+def op6_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    pages, labels = table(spark, sf, "pages").select("page_id", "url"), table(spark, sf, "labels")
+    found = url_filter.judge(pages, labels, RULES)
+    return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
 @register("op7_mixing", r"""
 WITH sized AS (
   SELECT doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k,
@@ -77,6 +113,14 @@ def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_sources(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@register("op8_language")
+def op8_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = language_id.learn(docs.where(~language_id.held_out()).select("doc_id", "text", "lang"))
+    rows = docs.select("doc_id", language_id.held_out().alias("held_out"), "text")
+    return language_id.identify(rows, model, carry=("doc_id", "held_out"))
+
+
 @register("op9_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER t AS keep_id, CAST(count(*) OVER t AS BIGINT) AS group_size,
        doc_id = max(doc_id) OVER t AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -86,3 +130,9 @@ def op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     found = exact_dedup.exact_dedup(docs, extra={"text_sha256": F.sha2(text_or_empty("text").cast("binary"), 256)})
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
+
+
+@register("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf, "labels")))
