@@ -20,7 +20,8 @@ from tessera.llm.common import persist, text_or_empty
 SAMPLE_PER_CLASS = 3000   # labelled documents of each class that the fit may see
 VOCABULARY = 4000         # features that the model may have
 MIN_DOCUMENTS = 4         # sampled documents that a feature must occur in
-MIN_Z = 4.0               # and how far its rates in the two classes must lie apart
+MIN_Z = 4.0               # standard errors that its rates in the two classes must lie apart
+MIN_GAP = 0.025           # and by how much, so that words of a few copied documents teach nothing
 BEGINNINGS = (4, 5)       # letters of a word's beginning that are features too
 DOSES = 3                 # severity grades of toxic documents
 REJECT_AT = 0.5           # probability of any toxic grade from which a document is toxic
@@ -73,7 +74,7 @@ class OrdinalModel:
 
 
 def fit_ordinal(rows: list[list[int]], grades: np.ndarray, width: int, importance: np.ndarray,
-                l2: float = 1e-3, steps: int = 400, rate: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
+                l2: float = 1e-3, steps: int = 1000, rate: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
     """Weights and cuts of least penalised negative log-likelihood, by full-batch
     Adam. Cuts stay ascending: the first is free, the others add exp(gap)."""
     top = int(grades.max(initial=0))
@@ -155,7 +156,7 @@ def vocabulary(sample: DataFrame, sizes: dict[int, int], limit: int) -> list[tup
         F.sum("toxic").alias("in_toxic"), F.count("*").alias("n")).where(F.col("n") >= MIN_DOCUMENTS)
     p1, p0, p = F.col("in_toxic") / n1, (F.col("n") - F.col("in_toxic")) / n0, F.col("n") / (n0 + n1)
     z = (p1 - p0) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-9)) * (1 / n0 + 1 / n1))
-    rows = (counts.withColumn("z", z).where(F.abs("z") >= MIN_Z)
+    rows = (counts.withColumn("z", z).where((F.abs("z") >= MIN_Z) & (F.abs(p1 - p0) >= MIN_GAP))
             .orderBy(F.abs("z").desc(), "feature").limit(limit).select("feature", "z").collect())
     return [(r.feature, r.z) for r in rows]
 
