@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, embedding_dedup, exact_dedup, language_id, mixing, simhash, toxicity, url_filter, warc
+from tessera.llm import byte_bpe, embedding_dedup, exact_dedup, language_id, mixing, simhash, suffix_dedup, toxicity, url_filter, warc
 from tessera.llm.common import scratch, table, text_or_empty
 
 QUERIES: dict = {}
@@ -45,6 +45,12 @@ FROM f
 """
 
 
+@register("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = suffix_dedup.suffix_dedup(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("op3_byte_bpe")
 def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
