@@ -35,7 +35,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and digests of them and of the bytes they decode to."""
     ids = byte_bpe.encode(docs, TOKENIZER, PATTERN, carry=("doc_id", "lang", "source"))
-    both = byte_bpe.decode(ids, TOKENIZER, PATTERN, carry=("doc_id", "lang", "source", "ids"))
+    both = byte_bpe.decode(ids, TOKENIZER, carry=("doc_id", "lang", "source", "ids"))
     return both.select("doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

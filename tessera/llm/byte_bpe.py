@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 FIRST_CHAR = 0x100          # byte b is the character FIRST_CHAR + b
-CACHE_ENTRIES = 300_000  # per generation and worker; the cache only saves work
+CACHE_ENTRIES = 60_000  # per generation and worker; the cache only saves work
 CACHED_LENGTH = 64
-GROUP_CHARS = 4 << 20       # characters encoded together
+GROUP_CHARS = 1 << 20       # characters encoded together
 UNEVEN_SPACE = regex.compile(r" \s|\s |^ | $")  # spaces that are not alone between two words
 
 
@@ -90,7 +90,7 @@ def sentencepiece_model(ranks: dict[bytes, int]) -> bytes:
 
 # ------------------------------------------------------------------- coding
 class Codec:
-    """Encoder and decoder for one rank file and split pattern."""
+    """Encoder for one rank file and split pattern."""
 
     def __init__(self, path: str, pattern: str, lone_space_starts: bool = False):
         self.ranks = read_ranks(path)
@@ -98,9 +98,6 @@ class Codec:
         self.lone_space_starts = lone_space_starts
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_model(self.ranks))
         self.unknown = max(self.ranks.values(), default=-1) + 1
-        self.tokens = [b""] * self.unknown
-        for token, rank in self.ranks.items():
-            self.tokens[rank] = token
         # packed ids of stretches of text: the current generation and the one before it
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -158,6 +155,16 @@ class Codec:
                 del young[w]
         return packed
 
+
+class Decoder:
+    """The inverse mapping of a rank file."""
+
+    def __init__(self, path: str):
+        ranks = read_ranks(path)
+        self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
@@ -168,6 +175,11 @@ def codec(path: str, pattern: str, lone_space_starts: bool = False) -> Codec:
     return Codec(path, pattern, lone_space_starts)
 
 
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
+
+
 def _passthrough(df: DataFrame, run, name: str) -> DataFrame:
     schema = StructType([*df.schema.fields[:-1], StructField(name, BinaryType())])
     return df.mapInArrow(run, schema)
@@ -223,14 +235,14 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", car
     return _passthrough(rows, run, out)
 
 
-def decode(coded: DataFrame, path: str, pattern: str, ids_col: str = "ids", carry: tuple[str, ...] = ("doc_id",),
+def decode(coded: DataFrame, path: str, ids_col: str = "ids", carry: tuple[str, ...] = ("doc_id",),
            out: str = "decoded") -> DataFrame:
     """``carry`` columns and ``out``: the bytes of the packed ids."""
     rows = coded.select(*[F.col(f"`{c}`") for c in carry], F.coalesce(F.col(ids_col), F.lit(b"")).alias("__ids"))
     names = [*carry, out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path, pattern)
+        c = decoder(path)
         for b in batches:
             yield from _batches(b.columns[:-1], names, (c.decode(i.as_py()) for i in b.columns[-1]))
 

@@ -55,7 +55,7 @@ def op2_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     ids = byte_bpe.encode(docs, TOKENIZER, PATTERN)
-    both = byte_bpe.decode(ids, TOKENIZER, PATTERN, carry=("doc_id", "ids"))
+    both = byte_bpe.decode(ids, TOKENIZER, carry=("doc_id", "ids"))
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -78,7 +78,45 @@ RULES = tuple(url_filter.rule(text, verdict) for text, verdict in (
     ("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")))
 
 
-@register("op6_url_filter")
+_TWO_LABELS = ", ".join(f"'{x}'" for x in url_filter.TWO_LABEL_SUFFIXES)
+_RULES_SQL = " ".join(
+    f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.name}'"
+    for r in sorted(RULES, key=lambda r: (len(r.name), r.name), reverse=True))
+_VERDICT_SQL = " ".join(f"WHEN '{r.name}' THEN '{r.verdict}'" for r in RULES)
+
+
+def _strength_sql(level: str) -> str:
+    """The moment estimate of a prior's strength from a table of (n, k, prior)."""
+    share = ("sum((k - n * prior) ** 2 - n * prior * (1 - prior)) / nullif(sum(n * (n - 1) * prior * (1 - prior)), 0)")
+    low, high = url_filter.WEAKEST, url_filter.STRONGEST
+    return f"(SELECT CASE WHEN {share} > 0 THEN least({high}, greatest({low}, 1 / ({share}) - 1)) ELSE {high} END FROM {level})"
+
+
+@register("op6_url_filter", f"""
+WITH rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+seen AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{url_filter.UPPER}', '{url_filter.UPPER.lower()}') AS host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+bad AS (SELECT doc_id AS id, max(bad) AS bad FROM (
+  SELECT doc_id, greatest(CAST(toxic > 0 AS INTEGER), CAST(quality <= 0 AS INTEGER)) AS bad FROM labels)
+  WHERE doc_id IS NOT NULL AND bad IS NOT NULL GROUP BY 1),
+h0 AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS k FROM seen LEFT JOIN bad ON page_id = id WHERE host <> '' GROUP BY 1),
+h1 AS (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS bare FROM h0),
+h2 AS (SELECT *, string_split(bare, '.') AS parts, regexp_matches(bare, '^[0-9.]+$|^\\[') AS numeric FROM h1),
+h3 AS (SELECT host, n, k, numeric, CASE WHEN numeric THEN bare
+              WHEN array_to_string(parts[-2:], '.') IN ({_TWO_LABELS}) THEN array_to_string(parts[-3:], '.')
+              ELSE array_to_string(parts[-2:], '.') END AS domain FROM h2),
+h AS (SELECT host, n, k, domain, CASE WHEN numeric THEN '' WHEN contains(domain, '.') THEN substr(domain, strpos(domain, '.') + 1)
+                                 ELSE domain END AS suffix FROM h3),
+d0 AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM h GROUP BY 1, 2),
+s AS (SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT (sum(k) + 0.5) / (sum(n) + 1.0) FROM d0) AS prior FROM d0 GROUP BY 1),
+d AS (SELECT d0.*, (s.k + {_strength_sql('s')} * s.prior) / (s.n + {_strength_sql('s')}) AS prior FROM d0 JOIN s USING (suffix)),
+hp AS (SELECT h.host, h.n, h.k, (d.k + {_strength_sql('d')} * d.prior) / (d.n + {_strength_sql('d')}) AS prior FROM h JOIN d USING (domain)),
+rated AS (SELECT host, n, {_strength_sql('hp')} AS w, (k + {_strength_sql('hp')} * prior) / (n + {_strength_sql('hp')}) AS rate FROM hp),
+ruled AS (SELECT page_id, host, path, CASE {_RULES_SQL} END AS rule FROM seen)
+SELECT page_id, ruled.host, path, rule, coalesce(CASE rule {_VERDICT_SQL} END,
+       CASE WHEN rate - {url_filter.Z} * sqrt(rate * (1 - rate) / (n + w + 1)) > {url_filter.BLOCK_ABOVE} THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled LEFT JOIN rated ON ruled.host = rated.host
+""")
 def op6_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     pages, labels = table(spark, sf, "pages").select("page_id", "url"), table(spark, sf, "labels")
     found = url_filter.judge(pages, labels, RULES)
