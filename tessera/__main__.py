@@ -13,7 +13,7 @@ import json
 import os
 
 from tessera.plans.service import run_batch, serve
-from tessera.session import checkpoint_root, get_spark
+from tessera.session import get_spark
 from tessera.spec import CatalogSpec
 
 
@@ -25,13 +25,18 @@ def main(argv=None) -> None:
     ap.add_argument("--once", action="store_true")
     ap.add_argument("--stream", action="store_true")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--checkpoint", default=None, help="shared folder for the stream's progress; needed with --stream "
+                                                       "unless spark.checkpoint.dir is set")
     args = ap.parse_args(argv)
     spec = CatalogSpec.from_config(args.config)
     inputs = args.input or spec.post_folders
     spark = get_spark(args.master)
     if args.stream:
         tag = hashlib.sha1(os.path.abspath(args.catalog).encode()).hexdigest()[:16]
-        ck = os.path.join(checkpoint_root(spark), "stream", tag)
+        root = args.checkpoint or spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            ap.error("--stream needs --checkpoint or spark.checkpoint.dir: a restart must find the same folder again")
+        ck = os.path.join(root, "stream", tag)
         serve(spark, spec, inputs, args.catalog, ck, once=args.once or spec.test_mode)
     else:
         print(json.dumps(run_batch(spark, spec, inputs, args.catalog)))

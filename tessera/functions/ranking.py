@@ -4,16 +4,17 @@ A window partitioned by ``g`` sends a whole group to one task, and a global
 ``Window.orderBy`` sends the whole table to one task. Here the frame is range
 partitioned on ``(g, o)`` instead, so a hot group is spread over many tasks:
 
-1. ``repartitionByRange(n, g, o)`` + ``sortWithinPartitions``;
-2. ``mapInPandas`` numbers rows per group inside each partition (vectorised)
-   and tags them with the partition's identity: a stable hash of the
-   partition's first sort key (equal keys always fall in the same range
-   partition, so the identity depends only on the data, not on task ids);
-3. per partition only its first row, its last group and that group's count
-   reach a statistics frame — at most one row per partition, so it is
-   bounded by the partition count and safe to broadcast;
-4. partitions are ordered by sorting their first rows with the same order,
-   and a group continuing from earlier partitions gets their counts added.
+1. ``repartitionByRange(n, g, o)`` + ``sortWithinPartitions``, and every row
+   is stamped with its partition and place (``monotonically_increasing_id``);
+2. that frame is written once to the shared checkpoint folder. From here on
+   the stamp is data: whatever is read again, and however often, partitions
+   and places are the same, so nothing depends on exchange reuse or on range
+   bounds being sampled alike twice;
+3. one total per partition (a frame bounded by the partition count, so it may
+   be broadcast) gives every partition its offset, hence every row its total
+   in the whole order;
+4. a group's total is the whole total less what came before its first row,
+   one aggregated row per group.
 
 Order items are column names (ascending, nulls first) or tuples
 ``(name, ascending, nulls_last)``; together with the group columns they
@@ -22,16 +23,15 @@ should give a total order inside each group.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_PID, _LRANK, _LPOS = "_seq_pid", "_seq_lrank", "_seq_lpos"
+from tessera.session import materialize
+
+_STAMP, _PART, _UPTO, _OFFSET, _BEFORE = "_seq_stamp", "_seq_part", "_seq_upto", "_seq_offset", "_seq_before"
+_PLACE_BITS = 33  # monotonically_increasing_id keeps the row's place in its low 33 bits
 
 OrderItem = str | tuple
 
@@ -50,68 +50,6 @@ def _sort_column(name: str, asc: bool, nulls_last: bool) -> Column:
     return c.desc_nulls_last() if nulls_last else c.desc_nulls_first()
 
 
-def _stable_id(values: tuple) -> int:
-    digest = hashlib.blake2b(repr(values).encode("utf-8"), digest_size=8).digest()
-    return int.from_bytes(digest, "big", signed=True)
-
-
-def _is_null(v) -> bool:
-    """Scalar-safe null test (array or struct values are never null here)."""
-    if v is None or v is pd.NaT:
-        return True
-    return isinstance(v, float) and v != v
-
-
-def _changes(batch: pd.DataFrame, cols: list[str], prev: tuple | None) -> np.ndarray:
-    """Boolean array: row starts a new group (null-safe equality)."""
-    n = len(batch)
-    out = np.zeros(n, dtype=bool)
-    for c in cols:
-        s = batch[c].reset_index(drop=True).astype(object)
-        sh = s.shift(1)
-        if prev is not None:
-            sh.iloc[0] = prev[cols.index(c)]
-        both_na = s.isna().to_numpy() & sh.isna().to_numpy()
-        out |= (s != sh).to_numpy() & ~both_na
-    if prev is None:
-        out[0] = True
-    return out
-
-
-def _make_local_ranker(group_cols: list[str], key_cols: list[str], weight_col: str | None):
-    def run(batches):
-        pid = None
-        prev_key = None
-        prev_count = 0
-        pos = 0
-        for b in batches:
-            n = len(b)
-            if n == 0:
-                continue
-            if pid is None:
-                pid = _stable_id(tuple(None if _is_null(v) else v for v in (b[c].iloc[0] for c in key_cols)))
-            start = _changes(b, group_cols, prev_key)
-            gid = np.cumsum(start)
-            w = (np.ones(n, dtype=np.int64) if weight_col is None
-                 else b[weight_col].fillna(0).to_numpy(dtype=np.int64))
-            total = np.cumsum(w)
-            idx = np.arange(n)
-            first_idx = np.maximum.accumulate(np.where(start, idx, 0))
-            rank = total - total[first_idx] + w[first_idx]
-            if not start[0]:
-                # the first group continues from the previous batch
-                rank = np.where(gid == 0, rank + prev_count, rank)
-            b = b.copy()
-            b[_PID] = np.int64(pid)
-            b[_LRANK] = rank.astype(np.int64)
-            b[_LPOS] = np.arange(pos, pos + n, dtype=np.int64)
-            pos += n
-            prev_key = tuple(b[c].iloc[-1] for c in group_cols) if group_cols else ()
-            prev_count = int(rank[-1])
-            yield b
-    return run
-
-
 def sequence_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[OrderItem],
                     out: str = "seq", num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of each row inside its group by ``order_cols``."""
@@ -125,35 +63,30 @@ def running_total(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     group_cols = list(group_cols)
     specs = [(g, True, False) for g in group_cols] + [_sort_spec(o) for o in order_cols]
     order = [_sort_column(*s) for s in specs]
-    key_cols = [s[0] for s in specs]
-    spark = df.sparkSession
-    # A fixed partition count: AQE leaves the range partitions as they are,
-    # so every evaluation sees the same partition contents.
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    schema = T.StructType(df.schema.fields + [
-        T.StructField(_PID, T.LongType(), False),
-        T.StructField(_LRANK, T.LongType(), False),
-        T.StructField(_LPOS, T.LongType(), False),
-    ])
-    local = ranged.mapInPandas(_make_local_ranker(group_cols, key_cols, weight_col), schema)
-    gkey = F.struct(*[F.col(f"`{g}`") for g in group_cols]) if group_cols else F.lit(0)
-    per_part = local.groupBy(_PID).agg(
-        F.min_by(gkey, F.col(_LPOS)).alias("_first"),
-        F.max_by(gkey, F.col(_LPOS)).alias("_last"),
-        F.max_by(F.col(_LRANK), F.col(_LPOS)).alias("_lastcnt"),
-    )
-    # The first row of every partition, to order the partitions (tiny frame).
-    firsts = local.filter(F.col(_LPOS) == 0).select(_PID, *[F.col(f"`{k}`") for k in dict.fromkeys(key_cols)])
-    stats = firsts.join(per_part, _PID)
-    by_part = Window.orderBy(*order)
-    cum = Window.partitionBy("_last").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    stats = (stats.withColumn("_cum", F.sum("_lastcnt").over(cum))
-             .withColumn("_prev_last", F.lag("_last").over(by_part))
-             .withColumn("_prev_cum", F.lag("_cum").over(by_part))
-             .select(F.col(_PID), F.col("_first"),
-                     F.when(F.col("_prev_last").eqNullSafe(F.col("_first")), F.col("_prev_cum"))
-                     .otherwise(F.lit(0)).cast("long").alias("_off")))
-    joined = local.join(F.broadcast(stats), _PID)
-    rank = F.col(_LRANK) + F.when(gkey.eqNullSafe(F.col("_first")), F.col("_off")).otherwise(F.lit(0))
-    return joined.withColumn(out, rank.cast("long")).drop(_PID, _LRANK, _LPOS, "_first", "_off")
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                         .withColumn(_STAMP, F.monotonically_increasing_id()))
+    placed = placed.withColumn(_PART, F.shiftright(_STAMP, _PLACE_BITS))
+    if weight_col is None:
+        weight = F.lit(1).cast("long")
+        local = F.col(_STAMP).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)) + 1
+    else:
+        weight = F.coalesce(F.col(f"`{weight_col}`").cast("long"), F.lit(0))
+        local = F.sum(weight).over(Window.partitionBy(_PART).orderBy(_STAMP)
+                                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (placed.groupBy(_PART).agg(F.sum(weight).alias("_n"))
+               .select(_PART, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(_OFFSET)))
+    totals = placed.withColumn(_UPTO, local).join(F.broadcast(offsets), _PART)
+    totals = totals.withColumn(_UPTO, F.col(_UPTO) + F.col(_OFFSET)).drop(_OFFSET, _PART)
+    if group_cols:
+        before = totals.groupBy(*[F.col(f"`{g}`").alias(f"_seq_g{i}") for i, g in enumerate(group_cols)]).agg(
+            F.min_by(F.col(_UPTO) - weight, F.col(_STAMP)).alias(_BEFORE))
+        same = F.lit(True)
+        for i, g in enumerate(group_cols):
+            same = same & totals[f"`{g}`"].eqNullSafe(before[f"_seq_g{i}"])
+        totals = totals.join(before, same).drop(*[f"_seq_g{i}" for i in range(len(group_cols))])
+        result = F.col(_UPTO) - F.col(_BEFORE)
+    else:
+        result = F.col(_UPTO)
+    return totals.withColumn(out, result.cast("long")).drop(_STAMP, _UPTO, _BEFORE)

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _NAMED = re.compile(r"\(\?P<([A-Za-z_][A-Za-z0-9_]*)>")
+_BACK = re.compile(r"\(\?P=([A-Za-z_][A-Za-z0-9_]*)\)")
 
 
 def group_names(pattern: str) -> list[str]:
@@ -18,9 +19,10 @@ def group_names(pattern: str) -> list[str]:
 
 def to_java_pattern(pattern: str) -> tuple[str, dict[str, int]]:
     """Rewrite ``(?P<name>`` to plain ``(``; Java group names may not hold ``_``,
-    so groups are addressed by index, taken from Python's own parse."""
+    so groups, and back references to them, are addressed by index, taken from
+    Python's own parse."""
     index = dict(re.compile(pattern).groupindex)
-    java = _NAMED.sub("(", pattern).replace("(?P=", "(?:")
+    java = _BACK.sub(lambda m: f"(?:\\{index[m.group(1)]})", _NAMED.sub("(", pattern))
     return java, index
 
 

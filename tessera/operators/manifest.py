@@ -123,16 +123,14 @@ def clean_due(last_clean: Column, now: Column, hours: float) -> Column:
 
 
 # ---------------------------------------------------------------- FIL-8
-MAX_MIRROR_FOLDERS = 10_000
-
-
 def mirror_diff(presence: DataFrame, folder_col: str, file_col: str,
                 folders: Sequence[str] | None = None) -> DataFrame:
     """For every folder, the files present in some other folder but not in it.
 
     The folder list is configuration (mirror targets): pass it as ``folders``
-    and it is a literal array. When it is derived from the data instead, its
-    size is checked first (it travels as one small array to every task).
+    and it is a literal array. When it is derived from the data instead, it is
+    one array too: every file that a folder lacks is a row of the result, so
+    the list is never what outgrows a task.
     Each file collects the folders holding it (partial aggregation, at most
     one entry per folder) and the difference is exploded: no pair loop and
     no cross join."""
@@ -141,9 +139,6 @@ def mirror_diff(presence: DataFrame, folder_col: str, file_col: str,
         all_folders = F.array(*[F.lit(f) for f in sorted(set(folders))])
         pairs = pairs.filter(F.col("_folder").isin(sorted(set(folders))))
     else:
-        n = pairs.select("_folder").distinct().count()
-        if n > MAX_MIRROR_FOLDERS:
-            raise ValueError(f"{n} mirror folders derived from data; pass the configured folder list")
         all_folders = pairs.select(F.array_sort(F.collect_set("_folder"))).scalar()
     per_file = pairs.groupBy("_file").agg(F.collect_set("_folder").alias("_in"))
     return per_file.select(F.explode(F.array_except(all_folders, F.col("_in"))).alias("missing_in"),

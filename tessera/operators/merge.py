@@ -24,7 +24,7 @@ def duplicate_keys(df: DataFrame, key_cols: Sequence[str] = (KEY,), out: str = "
             .filter(F.col(out) > 1))
 
 
-NARROW = 4
+NARROW = 4  # value columns up to which "auto" explodes whole rows; both strategies give the same rows
 
 
 def _column_text(i: int, sep: str):
@@ -95,13 +95,21 @@ def merge_duplicates(df: DataFrame, key_cols: Sequence[str] = (KEY,),
 
 
 def merged_pk_map(df: DataFrame, key_cols: Sequence[str], pk: str,
-                  order_cols: Sequence[str] = (FILE_SEQ, ROW_SEQ)) -> DataFrame:
+                  order_cols: Sequence[str] = (FILE_SEQ, ROW_SEQ), keep: Sequence[str] = ()) -> DataFrame:
     """AGG-3: for keys holding several PKs, survivor = first-seen PK, every other
-    PK maps to it. Output ``(old_pk, survivor)``; no list of PKs is collected."""
+    PK maps to it. Output ``(*keep, old_pk, survivor)``, ``keep`` being key
+    columns such as the file; no list of PKs is collected."""
     key_cols = list(key_cols)
-    seq = F.struct(*[q(c) for c in order_cols if c in df.columns])
-    survivors = df.groupBy(*[q(k) for k in key_cols]).agg(F.min_by(q(pk), seq).alias("_survivor"))
+    survivors = surviving_values(df, key_cols, [pk], order_cols).withColumnRenamed(pk, "_survivor")
     pairs = df.select(*[q(k) for k in key_cols], q(pk)).filter(q(pk).isNotNull()).distinct()
     return (pairs.join(survivors, key_cols)
             .filter(q(pk) != F.col("_survivor"))
-            .select(q(pk).alias("old_pk"), F.col("_survivor").alias("survivor")))
+            .select(*[q(k) for k in keep], q(pk).alias("old_pk"), F.col("_survivor").alias("survivor")))
+
+
+def surviving_values(df: DataFrame, key_cols: Sequence[str], cols: Sequence[str],
+                     order_cols: Sequence[str] = (FILE_SEQ, ROW_SEQ)) -> DataFrame:
+    """Per key the value of each of ``cols`` seen first; nulls do not count."""
+    seq = F.struct(*[q(c) for c in order_cols if c in df.columns])
+    return df.groupBy(*[q(k) for k in key_cols]).agg(
+        *[F.min_by(q(c), F.when(q(c).isNotNull(), seq)).alias(c) for c in cols])

@@ -75,18 +75,39 @@ def upsert_into(catalog: DataFrame, delta: DataFrame, key_cols: Sequence[str] =
 
 
 # ---------------------------------------------------------------- WIN-3
+SEQ_OF = "_seq_of_"  # hidden column: the file sequence of a column's current value
+
+
+def without_sequences(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith(SEQ_OF)])
+
+
 def fold_files(frames: DataFrame, key_cols: Sequence[str] = (KEY,), file_col: str = FILE_SEQ,
-               order_cols: Sequence[str] = (ROW_SEQ,)) -> DataFrame:
+               order_cols: Sequence[str] = (ROW_SEQ,), keep_sequences: bool = False) -> DataFrame:
     """Repeated coalescing upserts of files in ``file_col`` order, in one
     aggregation: per key and column the last non-null value by file order.
     Rows must already be one per (key, file) (AGG-1 first).
 
+    ``keep_sequences`` adds a hidden ``_seq_of_<column>`` per value column, the
+    sequence of the value that won. Rows that carry such columns (a stored
+    catalog) are folded by them, so the outcome does not depend on the order
+    in which files arrive.
+
     ``max_by`` has a partial aggregate, so a hot key is combined map-side.
     """
     key_cols = list(key_cols)
-    seq = F.struct(q(file_col), *[q(c) for c in order_cols if c in frames.columns])
-    values = [c for c in frames.columns if c not in key_cols and c != file_col and c not in order_cols]
-    aggs = [F.max_by(q(c), F.when(q(c).isNotNull(), seq)).alias(c) for c in values]
+    here = F.struct(q(file_col), *[q(c) for c in order_cols if c in frames.columns])
+    values = [c for c in frames.columns if c not in key_cols and c != file_col and c not in order_cols
+              and not c.startswith(SEQ_OF)]
+    seq = here
+
+    def won(c: str):
+        stamp = F.coalesce(q(SEQ_OF + c), here) if SEQ_OF + c in frames.columns else here
+        return F.when(q(c).isNotNull(), stamp)
+
+    aggs = [F.max_by(q(c), won(c)).alias(c) for c in values]
+    if keep_sequences:
+        aggs += [F.max(won(c)).alias(SEQ_OF + c) for c in values]
     aggs.append(F.max(q(file_col)).alias(file_col))
     aggs += [F.max_by(q(c), seq).alias(c) for c in order_cols if c in frames.columns]
     return frames.groupBy(*[q(k) for k in key_cols]).agg(*aggs)
@@ -97,12 +118,13 @@ def fold_into(catalog: DataFrame, rows: DataFrame, key_cols: Sequence[str] = (KE
     """Incremental WIN-3: only keys present in ``rows`` are re-folded. Rows of
     untouched keys pass through an anti join against the batch's key set —
     a batch-sized frame that Catalyst broadcasts when its estimate is small,
-    so the catalog is scanned but not shuffled."""
+    so the catalog is scanned but not shuffled. A catalog folded with
+    ``keep_sequences`` takes files in any order."""
     key_cols = list(key_cols)
     touched = rows.select(*[q(k) for k in key_cols]).distinct()
     keep = catalog.join(touched, key_cols, "left_anti")
     redo = catalog.join(touched, key_cols, "left_semi").unionByName(rows, allowMissingColumns=True)
-    folded = fold_files(redo, key_cols, file_col, order_cols)
+    folded = fold_files(redo, key_cols, file_col, order_cols, keep_sequences=True)
     return keep.unionByName(folded, allowMissingColumns=True)
 
 

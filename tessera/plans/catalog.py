@@ -1,6 +1,8 @@
-"""Versioned catalog store: each save writes ``<root>/v=<n>/<table>`` and then
-a one-row pointer ``<root>/_current`` — a table is never read and overwritten
-by the same job, and readers see either the old or the new version.
+"""Versioned catalog store: each save writes ``<root>/v=<n>/<table>`` for the
+tables that changed and then a one-row pointer ``<root>/_current``, which names
+for every table the version that holds it. Untouched tables are carried over
+by the pointer alone. A table is never read and overwritten by the same job,
+and readers see either the old or the new version.
 
 All I/O goes through Spark readers/writers, so ``root`` may be any shared
 file system Spark can write (HDFS, object stores, a local disk in tests).
@@ -14,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_POINTER_SCHEMA = "version int, tables array<string>"
+_POINTER_SCHEMA = "version int, tables map<string,int>, batch long"
 
 
 def _pointer(spark: SparkSession, root: str):
@@ -29,12 +31,18 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return None if p is None or p["version"] is None else int(p["version"])
 
 
+def last_batch(spark: SparkSession, root: str) -> int | None:
+    """The batch that wrote the current version, if it was given one."""
+    p = _pointer(spark, root)
+    return None if p is None or p["batch"] is None else int(p["batch"])
+
+
 def load_versioned(spark: SparkSession, root: str) -> tuple[int | None, dict[str, DataFrame]]:
     """(current version, its tables) from one pointer read."""
     p = _pointer(spark, root)
     if p is None or p["version"] is None:
         return None, {}
-    return int(p["version"]), {t: spark.read.parquet(f"{root}/v={p['version']}/{t}") for t in p["tables"]}
+    return int(p["version"]), {t: spark.read.parquet(f"{root}/v={v}/{t}") for t, v in sorted(p["tables"].items())}
 
 
 def load(spark: SparkSession, root: str, tables: list[str] | None = None) -> dict[str, DataFrame]:
@@ -42,13 +50,20 @@ def load(spark: SparkSession, root: str, tables: list[str] | None = None) -> dic
     return {t: out[t] for t in tables} if tables else out
 
 
-def save(spark: SparkSession, root: str, tables: Mapping[str, DataFrame], version: int | None = None) -> int:
+def save(spark: SparkSession, root: str, tables: Mapping[str, DataFrame], version: int | None = None,
+         batch: int | None = None, carry: bool = False) -> int:
     """Write version ``version`` (default: current + 1) and flip the pointer.
-    Re-running a version overwrites only that version's own directory."""
-    v = version if version is not None else (current_version(spark, root) or 0) + 1
+    ``carry`` keeps the current tables that are not in ``tables``, without
+    copying them. Re-running a version overwrites only that version's own
+    directory."""
+    before = _pointer(spark, root)
+    v = version if version is not None else ((before["version"] or 0) if before is not None else 0) + 1
     for t, df in tables.items():
         df.write.mode("overwrite").parquet(f"{root}/v={v}/{t}")
-    pointer = spark.createDataFrame([(v, sorted(tables))], _POINTER_SCHEMA)
+    where = dict(before["tables"] or {}) if carry and before is not None else {}
+    where |= {t: v for t in tables}
+    batch = batch if batch is not None or before is None else before["batch"]
+    pointer = spark.createDataFrame([(v, where, batch)], _POINTER_SCHEMA)
     # pointers are appended; readers take the highest version (no window without one)
     pointer.coalesce(1).write.mode("append").json(f"{root}/_current")
     return v
@@ -61,14 +76,14 @@ def reload_from_replicas(spark: SparkSession, spec, key_mode: str = "concat") ->
     (``<target>/<table>``)."""
     from tessera.operators.transforms import FILE_SEQ, ROW_SEQ, with_key
     from tessera.plans.prepare import key_and_merge
+    from tessera.sinks.writers import replica_folder
     from tessera.sources.scan import list_files, newest_replica, scan_csv
 
     listings = None
     for target in spec.catalog_names:
         try:
             lf = list_files(spark, target).select(F.lit(target).alias("target"), "modificationTime")
-            lf.limit(1).collect()
-        except Exception:  # noqa: BLE001 - replica not written yet
+        except FileNotFoundError:  # replica not written yet
             continue
         listings = lf if listings is None else listings.unionByName(lf)
     if listings is None:
@@ -77,8 +92,9 @@ def reload_from_replicas(spark: SparkSession, spec, key_mode: str = "concat") ->
                             "target").first()[0]
     fmt = newest.rsplit(".", 1)[-1].lower() if "." in newest.rsplit("/", 1)[-1] else "parquet"
     out = {}
+    folder = replica_folder(spark, newest)
     for t, ts in spec.tables.items():
-        path = f"{newest}/{t}"
+        path = f"{folder}/{t}"
         try:
             if fmt == "csv":
                 df = scan_csv(spark, path, spec.csv_separator, tokens=spec.null_tokens)
@@ -86,8 +102,7 @@ def reload_from_replicas(spark: SparkSession, spec, key_mode: str = "concat") ->
                 df = spark.read.json(path)
             else:
                 df = spark.read.parquet(path)
-            df.limit(1).collect()
-        except Exception:  # noqa: BLE001 - table absent from the replica
+        except AnalysisException:  # table absent from the replica
             continue
         df = df.drop(*[c for c in df.columns if c.startswith("_file") or c == ROW_SEQ])
         df = df.withColumn(FILE_SEQ, F.lit(0)).withColumn(ROW_SEQ, F.monotonically_increasing_id())

@@ -12,7 +12,8 @@ File moves are returned as plan frames, not executed.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from tessera.plans.load import load_related
 from tessera.plans.prepare import enrich
 from tessera.session import materialize
 from tessera.sinks.writers import publish
-from tessera.sources.rows import LARGE_TEXT_FILE, metadata_rows
+from tessera.sources.rows import ERROR, metadata_rows
 from tessera.sources.scan import list_files
 from tessera.spec import DEFAULT_TABLE, CatalogSpec
 
@@ -38,8 +39,9 @@ class BatchResult:
     rejected: DataFrame
     publish_plan: DataFrame
     pending: DataFrame
-    store_plan: DataFrame
+    store_plan: DataFrame | None
     stats: DataFrame | None
+    replica_errors: dict = field(default_factory=dict)
 
 
 def _target_listing(spark: SparkSession, targets: dict) -> DataFrame | None:
@@ -48,13 +50,41 @@ def _target_listing(spark: SparkSession, targets: dict) -> DataFrame | None:
     for f in sorted({f for v in targets.values() for f in v}):
         try:
             lf = list_files(spark, f).select(F.lit(f).alias("folder"), F.col("name").alias("file_name"), "path")
-            lf.limit(1).collect()  # a missing folder raises here
-        except Exception:  # noqa: BLE001 - folder not created yet
+        except FileNotFoundError:  # folder not created yet
             continue
         out = lf if out is None else out.unionByName(lf)
     return out
 
 
+def _last_file_seq(catalog: Mapping[str, DataFrame]) -> int:
+    """The highest file number in the catalog, 0 if it has none: one aggregate per table."""
+    last = 0
+    for df in catalog.values():
+        if FILE_SEQ in df.columns:
+            last = max(last, df.agg(F.max(FILE_SEQ)).first()[0] or 0)
+    return last
+
+
+def _versioned(data: DataFrame, files: DataFrame, spec: CatalogSpec) -> tuple[DataFrame, DataFrame | None]:
+    """``data`` with ``publish_name``: files that share a name (their contents
+    differ, or FIL-4 had dropped them) keep it once, the others get a time
+    stamp; those beyond the variation limit are rejected."""
+    times = files.select("path", "modificationTime")
+    named = data.join(times, "path", "left")
+    stem = F.regexp_extract("file_name", r"^(.*?)(\.[^.]*)?$", 1)
+    ext = F.regexp_extract("file_name", r"^(.*?)(\.[^.]*)?$", 2)
+    shared = named.groupBy("file_name").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("file_name")
+    if shared.isEmpty():
+        return data.withColumn("publish_name", F.lit(None).cast("string")), None
+    crowd = named.join(shared, "file_name", "left_semi").withColumns({"_stem": stem, "_ext": ext})
+    plan = manifest.name_versions(crowd, "_stem", ["modificationTime", "path"], F.col("_ext"), spec.max_file_variations,
+                                  out_name="publish_name", stamp_col="modificationTime")
+    plan = materialize(plan.select("path", "publish_name", "action"))
+    out = data.join(plan.where("action <> 'reject'").select("path", "publish_name"), "path", "left")
+    over = plan.where("action = 'reject'").select("path", F.lit("too_many_variations").alias("reason"))
+    return out.join(over.select("path"), "path", "left_anti"), over
+
+
 def _table_hint_names(spec: CatalogSpec) -> dict[str, str]:
     """Worksheet display name -> table."""
     out = {}
@@ -103,9 +133,14 @@ def identify_tables(spark: SparkSession, rows: DataFrame, spec: CatalogSpec) ->
 
 def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catalog_root: str,
                 key_mode: str = "concat", write_replicas: bool = True,
-                held: DataFrame | None = None) -> BatchResult:
+                held: DataFrame | None = None, encoding: str = "utf-8", strict: bool = False, batch: int | None = None,
+                state: Callable[[BatchResult], Mapping[str, DataFrame]] | None = None) -> BatchResult:
     """``held``: data files kept from earlier batches (path, file_name,
-    file_class), matched again against the updated catalog."""
+    file_class), matched again against the updated catalog. ``encoding`` is that
+    of text files without a byte order mark; ``strict`` rejects files whose
+    relative FKs they do not resolve themselves (D12). ``state`` makes further
+    tables (names begin with ``_``) that are saved under the same version, and
+    ``batch`` is noted there, so a batch is in the store as a whole or not at all."""
     # ---- manifest: list, ignore, classify, first arrivals ------------------
     listing = list_files(spark, inputs)  # metadata columns only: contents are not read here
     files = listing.select("path", "name", "modificationTime", "length")
@@ -115,30 +150,38 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
     # case the hash decides); a unique name keeps md5 NULL.
     files = materialize(files)
     shared = files.groupBy("name").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-    shared_paths = [r[0] for r in files.join(shared, "name", "left_semi").select("path").collect()]
+    # one file: its content in full for the hash; an empty one needs no reading
+    shared_paths = [r[0] for r in files.where("length > 0").join(shared, "name", "left_semi").select("path").collect()]
     if shared_paths:
         hashes = (spark.read.format("binaryFile").load(shared_paths)
                   .select("path", manifest.content_hash(F.col("content")).alias("md5")))
         files = files.join(hashes, "path", "left")
     else:
         files = files.withColumn("md5", F.lit(None).cast("string"))
+    files = files.withColumn("md5", F.when(F.col("length") == 0, F.md5(F.lit("").cast("binary"))).otherwise(F.col("md5")))
     files = manifest.first_arrivals(files, ["name", "md5"], ["modificationTime", "path"])
     files = materialize(files)
     meta_classes = list(spec.metadata_regex)
-    meta_paths = [r[0] for r in files.filter(F.col("file_class").isin(meta_classes)).select("path").collect()]
+    is_meta = F.col("file_class").isin(meta_classes)
+    meta_paths = [r[0] for r in files.filter(is_meta & (F.col("length") > 0)).select("path").collect()]
     # ---- metadata rows, identification, required tables --------------------
-    current = store.load(spark, catalog_root)
+    current = {t: df for t, df in store.load(spark, catalog_root).items() if not t.startswith("_")}
+    reloaded = False
     if not current and spec.catalog_names:
         current = store.reload_from_replicas(spark, spec, key_mode)  # SRC-5 on start
+        reloaded = True
     catalog = dict(current)
     rejected_parts = []
     stats = None
-    big = {r[0] for r in files.filter(F.col("file_class").isin(meta_classes) &
-                                      (F.col("length") > LARGE_TEXT_FILE)).select("path").collect()}
-    rows = metadata_rows(spark, meta_paths, list(spec.tables), spec.csv_separator,
-                         sheet_tables=_table_hint_names(spec), large=big) if meta_paths else None
+    rows = metadata_rows(spark, meta_paths, list(spec.tables), spec.csv_separator, encoding,
+                         sheet_tables=_table_hint_names(spec)) if meta_paths else None
     if rows is not None:
         rows = materialize(rows)
+        unread = rows.filter(F.col(ERROR).isNotNull()).select(F.col(FILE_PATH).alias("path"), F.lit("unreadable").alias("reason")).distinct()
+        silent = manifest.reject_files(files.filter(is_meta).select("path"), rows.select(F.col(FILE_PATH).alias("path")),
+                                       "path", "no_rows")
+        rejected_parts += [unread, silent]
+        rows = rows.join(unread.select(F.col("path").alias(FILE_PATH)), FILE_PATH, "left_anti").drop(ERROR)
         ident = identify_tables(spark, rows, spec)
         rows = rows.join(ident.withColumnRenamed("hint", "tbl"), [FILE_PATH, "tbl"])
         rows = rows.filter(~F.col("skip")).drop("skip")
@@ -154,7 +197,10 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
         # file order = (mtime, path) (D16), dense over the batch's files
         order = rows.select(FILE_PATH, FILE_MTIME).distinct()
         order = sort.with_position(order, [(FILE_MTIME, True), (FILE_PATH, True)], out=FILE_SEQ)
-        rows = materialize(rows.join(order.select(FILE_PATH, FILE_SEQ), FILE_PATH))
+        # and goes on where the catalog's files ended, so later batches sort after earlier ones
+        ended = _last_file_seq(current)
+        order = order.withColumn(FILE_SEQ, F.col(FILE_SEQ) + F.lit(ended)).select(FILE_PATH, FILE_SEQ)
+        rows = materialize(rows.join(order, FILE_PATH))
         deltas = {}
         for t in spec.tables:
             tr = rows.filter(F.col("table") == t)
@@ -178,7 +224,12 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
                 stats_parts.append(dups.select(FILE_NAME, F.lit("duplicate").alias("outcome"), "n",
                                                F.lit(t).alias("table")))
         # the new version is written right below, so no extra copy of the tables
-        loaded = load_related(catalog, deltas, spec, key_mode, clean_orphans=False, checkpoint_tables=False)
+        bad_files: list[DataFrame] = []
+        loaded = load_related(catalog, deltas, spec, key_mode, clean_orphans=False, checkpoint_tables=False,
+                              strict=strict, rejects=bad_files)
+        names = rows.select(FILE_PATH, FILE_SEQ).distinct()
+        for b in bad_files:
+            rejected_parts.append(names.join(b, FILE_SEQ).select(F.col(FILE_PATH).alias("path"), "reason"))
         catalog = orphan_cascade(loaded, spec)
         for t in loaded:
             if t in catalog and KEY in loaded[t].columns:
@@ -202,36 +253,45 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
             catalog[t] = flagged.drop("_matched")
             found = f if found is None else found.unionByName(f)
             linked_classes = list(spec.data_regex)
+    # FIL-5: files of one name but other content are published under stamped names
+    data, variants = _versioned(data, files, spec)
     movable = linking.move_only(data, "file_class", linked_classes)
     matched = data.join(found, "file_name", "left_semi") if found is not None else data.limit(0)
     to_publish = movable.unionByName(matched).distinct()
+    to_publish = to_publish.withColumn("file_name", F.coalesce("publish_name", "file_name")).drop("publish_name")
     publish_plan = manifest.fan_out(to_publish, "file_class", spec.get_folders)
     publish_plan = manifest.placement_actions(publish_plan, _target_listing(spark, spec.get_folders),
                                               spec.overwrite_get)
     pending = (linking.pending_files(data, found) if found is not None and linked_classes
-               else data.join(to_publish, "path", "left_anti"))
+               else data.join(to_publish, "path", "left_anti")).drop("publish_name")
     # ---- persist ------------------------------------------------------------
     version = None
-    if rows is not None:
-        out = {}
-        for t, df in catalog.items():
-            rules = spec.tables[t].sort_by if t in spec.tables else []
-            out[t] = sort.catalog_sort(df, rules)
-        version = store.save(spark, catalog_root, out)
-        catalog = store.load(spark, catalog_root)
-        if write_replicas and spec.catalog_names:
-            publish({t: upsert.project_columns(df, df.columns) for t, df in catalog.items()},
-                    spec.catalog_names, spec.csv_separator)
-    processed = files.filter(F.col("file_class").isin(meta_classes)).select("path", F.col("name").alias("file_name"))
+    rejected = files.filter(F.col("file_class") == manifest.UNKNOWN).select("path", F.lit("unknown_file").alias("reason"))
+    for r in rejected_parts:
+        rejected = rejected.unionByName(r)
+    if variants is not None:
+        rejected = rejected.unionByName(variants)
+    rejected = materialize(rejected.groupBy("path").agg(F.min("reason").alias("reason")))
+    result = BatchResult(None, catalog, files, rejected, publish_plan, pending, None, stats)
+    extra = dict(state(result)) if state is not None else {}
+    if rows is not None or extra:
+        # tables of the catalog that no step touched are carried over by the pointer
+        out = {t: sort.catalog_sort(df, spec.tables[t].sort_by if t in spec.tables else [])
+               for t, df in catalog.items() if reloaded or df is not current.get(t)}
+        version = store.save(spark, catalog_root, out | extra, batch=batch, carry=True)
+        catalog = {t: df for t, df in store.load(spark, catalog_root).items() if not t.startswith("_")}
+    replica_errors: dict = {}
+    if rows is not None and write_replicas and spec.catalog_names:
+        try:
+            replica_errors = publish({t: upsert.project_columns(df, df.columns) for t, df in catalog.items()},
+                                     spec.catalog_names, spec.csv_separator, version)["errors"]
+        except RuntimeError as e:  # the catalog itself is saved; the next batch writes the replicas again
+            replica_errors = {"*": str(e)}
+    processed = (files.filter(is_meta).join(rejected, "path", "left_anti").select("path", F.col("name").alias("file_name")))
     if spec.store_folders:
         store_plan = manifest.store_plan(processed, spec.store_folders)
         store_plan = manifest.placement_actions(store_plan, _target_listing(spark, {"store": spec.store_folders}),
                                                 spec.overwrite_store)
     else:
         store_plan = processed.limit(0)
-    unknown = files.filter(F.col("file_class") == manifest.UNKNOWN).select(
-        "path", F.lit("unknown_file").alias("reason"))
-    rejected = unknown
-    for r in rejected_parts:
-        rejected = rejected.unionByName(r)
-    return BatchResult(version, catalog, files, rejected, publish_plan, pending, store_plan, stats)
+    return BatchResult(version, catalog, files, rejected, publish_plan, pending, store_plan, stats, replica_errors)

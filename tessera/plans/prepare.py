@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.nulls import normalize_nulls
-from tessera.operators.merge import merge_duplicates
+from tessera.operators.merge import merge_duplicates, merged_pk_map, surviving_values
 from tessera.operators.transforms import (FILE_MTIME, FILE_NAME, FILE_PATH, FILE_SEQ, KEY, ROW_SEQ,
                                           add_file_name, add_file_timestamp, add_filename_groups,
                                           clean_column_names, drop_null_keys, published_flag, typed_keys,
@@ -35,20 +35,46 @@ def key_and_merge(df: DataFrame, table: TableSpec, spec: CatalogSpec, key_mode:
     if not table.key:
         return df
     df = drop_null_keys(with_key(df, table.key_columns, key_mode), KEY, spec.null_tokens)
-    df = merge_duplicates(df, [FILE_SEQ, KEY], [ROW_SEQ])
-    int_cols = []
+    int_cols = integer_keys(df, table, spec)
+    single = list(dict.fromkeys(([table.pk.name] if table.pk is not None and table.pk.name in df.columns else []) + int_cols))
+    if single:
+        # a merged row keeps the PK and the integer FKs seen first (AGG-3), not a merged text of all
+        survivors = surviving_values(df, [FILE_SEQ, KEY], single, [ROW_SEQ])
+        merged = (merge_duplicates(df.drop(*single), [FILE_SEQ, KEY], [ROW_SEQ])
+                  .join(survivors, [FILE_SEQ, KEY]).select(*[f"`{c}`" for c in df.columns]))
+    else:
+        merged = merge_duplicates(df, [FILE_SEQ, KEY], [ROW_SEQ])
+    return typed_keys(merged, int_cols).drop("_reject") if int_cols else merged
+
+
+def merged_keys(df: DataFrame, table: TableSpec, spec: CatalogSpec, key_mode: str = "concat") -> DataFrame | None:
+    """AGG-3 per file: ``(_file_seq, old_pk, survivor)`` of the PKs that merging
+    duplicate keys drops; None for a table without key or PK."""
+    if not table.key or table.pk is None or table.pk.name not in df.columns:
+        return None
+    keyed = drop_null_keys(with_key(df, table.key_columns, key_mode), KEY, spec.null_tokens)
+    return merged_pk_map(keyed, [FILE_SEQ, KEY], table.pk.name, [ROW_SEQ], keep=[FILE_SEQ])
+
+
+def integer_keys(df: DataFrame, table: TableSpec, spec: CatalogSpec) -> list[str]:
+    """The PK and FK columns of a table that must be integers."""
+    cols = []
     if table.pk is not None and table.pk.int_type and table.pk.name in df.columns:
-        int_cols.append(table.pk.name)
+        cols.append(table.pk.name)
     for fk in table.fks:
         parent = spec.tables.get(fk.parent)
         if parent is not None and parent.pk is not None and parent.pk.int_type and fk.name in df.columns:
-            int_cols.append(fk.name)
-    if int_cols:
-        df = typed_keys(df, int_cols)
-        # a bad integer key fails its whole file (PRJ-10)
-        bad = df.filter(F.col("_reject")).select(FILE_SEQ).distinct()
-        df = df.join(bad, FILE_SEQ, "left_anti").drop("_reject")
-    return df
+            cols.append(fk.name)
+    return cols
+
+
+def files_with_bad_keys(df: DataFrame, table: TableSpec, spec: CatalogSpec) -> DataFrame | None:
+    """PRJ-10: ``(_file_seq, reason)`` of files with a key that is no integer."""
+    cols = integer_keys(df, table, spec)
+    if not cols:
+        return None
+    return (typed_keys(df, cols).filter(F.col("_reject")).select(FILE_SEQ).distinct()
+            .withColumn("reason", F.lit("bad_integer_key")))
 
 
 def prepare(df: DataFrame, table: TableSpec, spec: CatalogSpec, key_mode: str = "concat") -> DataFrame:

@@ -3,90 +3,81 @@ through the file source; every micro-batch runs ``consolidate`` on its files
 plus the data files still held from earlier batches; held files older than
 the clean period are reported as expired (FIL-7).
 
-State lives next to the catalog and is written with Spark only (any shared
-file system): ``_state`` is a versioned store holding the held data files;
-``_processed`` is an append-only table of metadata files already loaded.
+State is part of the catalog's version: ``_held`` are the data files waiting,
+``_processed`` the metadata files of all batches so far, ``_clean`` the time of
+the last clean. They are written with the catalog's tables under one pointer,
+so a batch that is replayed either finds its version current and does nothing,
+or starts from the version before it.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import manifest
 from tessera.plans import catalog as store
-from tessera.plans.consolidate import consolidate
+from tessera.plans.consolidate import BatchResult, consolidate
 from tessera.sources.scan import list_files
 from tessera.spec import CatalogSpec
 from tessera.streaming.watch import start
 
-_HELD_SCHEMA = "path string, file_name string, file_class string, modificationTime timestamp"
-
-
-def _processed(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.schema("path string, modificationTime timestamp").parquet(f"{root}/_processed")
-    except AnalysisException:
-        return None
+_EMPTY = {"version": None, "published": 0, "held": 0, "expired": 0, "rejected": 0}
 
 
 def run_batch(spark: SparkSession, spec: CatalogSpec, paths: list[str], catalog_root: str,
-              now=None, write_replicas: bool = True, listed: bool = False) -> dict:
+              now=None, write_replicas: bool = True, listed: bool = False, batch_id: int | None = None) -> dict:
     """One batch: files not processed before (SET-2) plus the held data files.
     ``paths`` are folders to list, or (``listed=True``) the files of one
-    micro-batch."""
-    state = f"{catalog_root}/_state"
+    micro-batch. A ``batch_id`` that the catalog already holds is skipped."""
+    if batch_id is not None and (done_batch := store.last_batch(spark, catalog_root)) is not None and done_batch >= batch_id:
+        return dict(_EMPTY)
+    saved = store.load(spark, catalog_root)
+    done, held, last = saved.get("_processed"), saved.get("_held"), saved.get("_clean")
     if listed:
         todo_paths = list(paths)
     else:
         listing = list_files(spark, list(paths)).select("path", "modificationTime")
-        done = _processed(spark, catalog_root)
         todo = manifest.files_to_process(listing, done, ["path", "modificationTime"]) if done is not None else listing
         todo_paths = [r[0] for r in todo.select("path").collect()]
-    held = store.load(spark, state).get("held")
-    if held is not None:
-        held = held.join(spark.createDataFrame([(p,) for p in todo_paths], "path string"), "path", "left_anti") \
-            if todo_paths else held
-    n_held = held.count() if held is not None else 0
+    if held is not None and todo_paths:
+        held = held.join(spark.createDataFrame([(p,) for p in todo_paths], "path string"), "path", "left_anti")
     if not todo_paths:
-        return {"version": None, "published": 0, "held": n_held, "expired": 0, "rejected": 0}
-    result = consolidate(spark, spec, todo_paths, catalog_root, write_replicas=write_replicas,
-                         held=held)
-    meta = result.files.filter(F.col("file_class").isin(list(spec.metadata_regex)) |
-                               (F.col("file_class") == manifest.UNKNOWN))
-    meta.select("path", "modificationTime").write.mode("append").parquet(f"{catalog_root}/_processed")
-    times = result.files.select("path", "modificationTime")
-    if held is not None:
-        times = times.unionByName(held.select("path", "modificationTime")).dropDuplicates(["path"])
-    pending = result.pending.join(times, "path")
+        return _EMPTY | {"held": held.count() if held is not None else 0}
     now_col = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
-    # FIL-7: a clean runs when the clean period has passed since the last one
-    # (the first one waits a period when "delay first clean" is set)
-    state_tables = store.load(spark, state)
-    last = state_tables.get("clean")
-    if last is None:
-        last = spark.range(1).select((now_col if spec.delay_first_clean else F.lit(None).cast("timestamp"))
-                                     .alias("last_clean"))
-    due_row = last.select(F.coalesce(manifest.clean_due(F.col("last_clean"), now_col, spec.clean_period_hours),
-                                     F.lit(True)).alias("due")).first()
-    due = bool(due_row["due"])
-    if due:
-        expired = manifest.expired(pending, "modificationTime", now_col, spec.clean_period_hours)
-        last = spark.range(1).select(now_col.alias("last_clean"))
-    else:
-        expired = pending.limit(0)
-    keep = pending.join(expired.select("path"), "path", "left_anti").select(
-        "path", "file_name", "file_class", "modificationTime")
-    store.save(spark, state, {"held": keep, "clean": last})
-    keep = store.load(spark, state)["held"]
+    expired_parts: list[DataFrame] = []
+
+    def state(result: BatchResult) -> dict[str, DataFrame]:
+        meta = result.files.filter(F.col("file_class").isin(list(spec.metadata_regex)) |
+                                   (F.col("file_class") == manifest.UNKNOWN)).select("path", "modificationTime")
+        times = result.files.select("path", "modificationTime")
+        if held is not None:
+            times = times.unionByName(held.select("path", "modificationTime")).dropDuplicates(["path"])
+        pending = result.pending.join(times, "path").select("path", "file_name", "file_class", "modificationTime")
+        # FIL-7: a clean runs when the clean period has passed since the last one
+        # (the first one waits a period when "delay first clean" is set)
+        cleaned = last if last is not None else spark.range(1).select(
+            (now_col if spec.delay_first_clean else F.lit(None).cast("timestamp")).alias("last_clean"))
+        due = bool(cleaned.select(F.coalesce(manifest.clean_due(F.col("last_clean"), now_col, spec.clean_period_hours),
+                                             F.lit(True)).alias("due")).first()["due"])
+        if due:
+            gone = manifest.expired(pending, "modificationTime", now_col, spec.clean_period_hours)
+            expired_parts.append(gone)
+            pending = pending.join(gone.select("path"), "path", "left_anti")
+            cleaned = spark.range(1).select(now_col.alias("last_clean"))
+        processed = meta if done is None else done.unionByName(meta).distinct()
+        return {"_held": pending, "_processed": processed, "_clean": cleaned}
+
+    result = consolidate(spark, spec, todo_paths, catalog_root, write_replicas=write_replicas, held=held,
+                         batch=batch_id, state=state)
+    kept = store.load(spark, catalog_root)["_held"]
     return {
         "version": result.version,
         "published": result.publish_plan.count(),
-        "held": keep.count(),
-        "expired": expired.count(),
+        "held": kept.count(),
+        "expired": sum(e.count() for e in expired_parts),
         "rejected": result.rejected.count(),
     }
 
@@ -97,15 +88,17 @@ def serve(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catalog_roo
     backlog and stops, otherwise polls every check period."""
     once = spec.test_mode if once is None else once
     schema = "path string, modificationTime timestamp, length bigint, content binary"
-    stream = (spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", True)
-              .option("maxFilesPerTrigger", max_files_per_trigger).load(inputs[0] if len(inputs) == 1 else inputs)
-              .select("path"))
+    stream = None
+    for folder in inputs:  # one source per watched folder
+        source = (spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", True)
+                  .option("maxFilesPerTrigger", max_files_per_trigger).load(folder).select("path"))
+        stream = source if stream is None else stream.unionByName(source)
 
     def apply(batch: DataFrame, batch_id: int):
         # the file names of one micro-batch (bounded by maxFilesPerTrigger)
         paths = [r[0] for r in batch.collect()]
         if paths:
-            print(json.dumps({"batch": batch_id, **run_batch(spark, spec, paths, catalog_root, listed=True)}))
+            print(json.dumps({"batch": batch_id, **run_batch(spark, spec, paths, catalog_root, listed=True, batch_id=batch_id)}))
 
     q = start(stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint),
               "available" if once else spec.check_period_seconds)

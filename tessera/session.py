@@ -13,6 +13,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_LOCAL_ROOTS: dict[str, str] = {}  # application -> its temporary folder (local masters only)
 _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -47,16 +48,17 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables: the
-    session's ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only when neither is set — local runs and tests — one is created."""
+    session's ``spark.checkpoint.dir``, as the URI it is. A local master
+    without that setting gets a temporary folder, one per application; on a
+    cluster, where executors would not see it, that is an error."""
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_ROOTS.get(sc.applicationId)
     if not root:
-        root = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = _LOCAL_ROOTS[sc.applicationId] = tempfile.mkdtemp(prefix="tessera-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
     return root
 
 

@@ -2,16 +2,19 @@
 
 Metadata files differ in format and in columns from one file to the next, so
 every file becomes rows of ``(_file_path, _file_name, _file_mtime, tbl,
-_row_seq, row map<string,string>)``:
-
-* JSON documents: natively (``wholetext`` + ``from_json``), see ``scan.py``;
-* CSV and XLSX: ``binaryFile`` + ``mapInPandas``; each task parses its own
-  files with the standard library (csv / zipfile + XML) — a small per-file
-  helper, while Spark spreads the files over tasks;
+_row_seq, row map<string,string>, _error)``:
+
+* JSON documents: natively (``binaryFile``, decoded by byte order mark, then
+  ``from_json``), see ``scan.py``;
+* CSV and XLSX: ``binaryFile`` + ``mapInArrow``; each task parses its own
+  files with the standard library (csv / zipfile + XML), row by row and in
+  output batches of bounded size — a small per-file helper, while Spark
+  spreads the files over tasks;
 * Parquet: natively, columns turned into a map.
 
 ``tbl`` is the table named inside the file (JSON root key, worksheet name)
-or the default table ``_``; RTE-1 decides the rest.
+or the default table ``_``; RTE-1 decides the rest. A file that cannot be
+read gives one row with ``_error`` set and ``row`` null: it loses only itself.
 """
 
 from __future__ import annotations
@@ -19,29 +22,33 @@ from __future__ import annotations
 import csv
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Mapping, Sequence
 from xml.etree import ElementTree as ET
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tessera.operators.transforms import FILE_MTIME, FILE_NAME, FILE_PATH, ROW_SEQ
-from tessera.sources.scan import PANDAS_DEFAULT_NA, read_json_documents, scan_json_tables
+from tessera.sources.scan import PANDAS_DEFAULT_NA, decoded_documents, scan_json_tables
 from tessera.spec import DEFAULT_TABLE
 
-# CSV files above this size are read by Spark's splittable CSV reader instead
-# of being parsed whole inside one task.
-LARGE_TEXT_FILE = 64 * 1024 * 1024
+ERROR = "_error"
+OUT_ROWS = 5_000   # parsed rows handed to Spark at a time
+OUT_CHARS = 4 << 20
 
 LONG_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
+    T.StructField(FILE_MTIME, T.TimestampType()),
     T.StructField("tbl", T.StringType()),
     T.StructField("pos", T.LongType()),
     T.StructField("keys", T.ArrayType(T.StringType())),
     T.StructField("vals", T.ArrayType(T.StringType())),
+    T.StructField(ERROR, T.StringType()),
 ])
 
 _BOMS = [(b"\xef\xbb\xbf", "utf-8"), (b"\xff\xfe\x00\x00", "utf-32-le"), (b"\x00\x00\xfe\xff", "utf-32-be"),
@@ -51,26 +58,33 @@ _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
 def decode(data: bytes, default: str = "utf-8") -> str:
+    """Text by byte order mark, else by the configured encoding; undecodable
+    bytes raise, so the file is rejected rather than altered."""
     for bom, enc in _BOMS:
         if data.startswith(bom):
             return data[len(bom):].decode(enc)
-    return data.decode(default, errors="replace")
+    return data.decode(default)
+
+
+class UnreadableFile(ValueError):
+    """Why a metadata file is rejected."""
 
 
 def parse_csv(data: bytes, sep: str, encoding: str = "utf-8"):
-    """Header row + all-text rows; pandas' default missing-value text -> None."""
+    """Yield (header, all-text row); pandas' default missing-value text -> None.
+    Fields may be of any length."""
     na = set(PANDAS_DEFAULT_NA)
-    reader = csv.reader(io.StringIO(decode(data, encoding)), delimiter=sep)
+    csv.field_size_limit(sys.maxsize)
+    reader = csv.reader(io.StringIO(decode(data, encoding), newline=""), delimiter=sep)
     header = next(reader, None)
     if not header:
-        return DEFAULT_TABLE, []
-    out = []
+        return
+    if len(set(header)) < len(header):
+        raise UnreadableFile("duplicate column names")
     for row in reader:
-        if not row:
-            continue
-        vals = [None if v in na else v for v in row] + [None] * (len(header) - len(row))
-        out.append((header, vals[:len(header)]))
-    return DEFAULT_TABLE, out
+        if row:
+            vals = [None if v in na else v for v in row] + [None] * (len(header) - len(row))
+            yield header, vals[:len(header)]
 
 
 def _col_index(ref: str) -> int:
@@ -122,48 +136,67 @@ def parse_xlsx(data: bytes):
             yield sh.get("name"), rows
 
 
+def _parse(path: str, data: bytes, sep: str, encoding: str, sheet_tables: Mapping[str, str]):
+    """Yield (table, header, values) of one file."""
+    if path.lower().endswith((".xlsx", ".xlsm")):
+        for sheet, rows in parse_xlsx(data):
+            for header, vals in rows:
+                if len(set(header)) < len(header):
+                    raise UnreadableFile("duplicate column names")
+                yield sheet_tables.get(sheet, sheet), header, vals
+    else:
+        for header, vals in parse_csv(data, sep, encoding):
+            yield DEFAULT_TABLE, header, vals
+
+
 def _make_parser(sep: str, encoding: str, sheet_tables: Mapping[str, str]):
+    arrow = to_arrow_schema(LONG_SCHEMA)
+
+    def batch(rows: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
+
     def run(batches):
         for b in batches:
-            out = {"path": [], "tbl": [], "pos": [], "keys": [], "vals": []}
-            for path, content in zip(b["path"], b["content"]):
-                data = bytes(content)
-                if path.lower().endswith((".xlsx", ".xlsm")):
-                    parts = [(sheet_tables.get(name, name), rows) for name, rows in parse_xlsx(data)]
-                else:
-                    parts = [parse_csv(data, sep, encoding)]
-                pos = 0
-                for tbl, rows in parts:
-                    for header, vals in rows:
-                        out["path"].append(path)
-                        out["tbl"].append(tbl)
-                        out["pos"].append(pos)
-                        out["keys"].append(list(header))
-                        out["vals"].append(list(vals))
+            for path, mtime, content in zip(b.column(0), b.column(1), b.column(2)):
+                path, mtime, rows, held, pos = path.as_py(), mtime.as_py(), [], 0, 0
+                try:
+                    for tbl, header, vals in _parse(path, content.as_py(), sep, encoding, sheet_tables):
+                        rows.append((path, mtime, tbl, pos, header, vals, None))
+                        held += sum(len(v) for v in vals if v)
                         pos += 1
-            yield pd.DataFrame(out)
+                        if len(rows) >= OUT_ROWS or held >= OUT_CHARS:
+                            yield batch(rows)
+                            rows, held = [], 0
+                except (UnreadableFile, UnicodeDecodeError, csv.Error, zipfile.BadZipFile, ET.ParseError, KeyError,
+                        ValueError, AttributeError) as e:
+                    # the rows before the fault are dropped with the file, by its error row
+                    rows.append((path, mtime, DEFAULT_TABLE, pos, None, None, f"{type(e).__name__}: {e}"[:500]))
+                if rows:
+                    yield batch(rows)
     return run
 
 
 def text_rows(spark: SparkSession, paths: Sequence[str], sep: str, encoding: str = "utf-8",
               sheet_tables: Mapping[str, str] | None = None) -> DataFrame:
     """CSV / XLSX files -> long rows (one task parses whole files)."""
-    files = (spark.read.format("binaryFile").load(list(paths))
-             .select("path", "content", F.col("modificationTime").alias(FILE_MTIME)))
-    parsed = files.select("path", "content").mapInPandas(_make_parser(sep, encoding, dict(sheet_tables or {})),
-                                                         LONG_SCHEMA)
-    meta = files.select("path", FILE_MTIME)
-    return parsed.join(meta, "path").select(
+    files = spark.read.format("binaryFile").load(list(paths)).select(
+        "path", F.col("modificationTime").alias(FILE_MTIME), "content")
+    parsed = files.mapInArrow(_make_parser(sep, encoding, dict(sheet_tables or {})), LONG_SCHEMA)
+    return parsed.select(
         F.col("path").alias(FILE_PATH), F.regexp_extract("path", r"([^/]*)$", 1).alias(FILE_NAME),
         FILE_MTIME, "tbl", F.col("pos").alias(ROW_SEQ),
-        F.map_from_arrays("keys", "vals").alias("row"))
+        F.map_from_arrays("keys", "vals").alias("row"), ERROR)
 
 
-def json_rows(spark: SparkSession, paths: Sequence[str], tables: Sequence[str]) -> DataFrame:
-    docs = read_json_documents(spark, list(paths), whole_file=True)
+def json_rows(spark: SparkSession, paths: Sequence[str], tables: Sequence[str], encoding: str = "UTF-8") -> DataFrame:
+    files = spark.read.format("binaryFile").load(list(paths)).select(
+        "path", F.col("modificationTime").alias(FILE_MTIME), "content")
+    docs = decoded_documents(files, default=encoding).select(
+        F.col("path").alias(FILE_PATH), F.regexp_extract("path", r"([^/]*)$", 1).alias(FILE_NAME), FILE_MTIME, "value")
     long = scan_json_tables(docs, tables)
     # order inside a document's table = position in its list
-    return long.select(FILE_PATH, FILE_NAME, FILE_MTIME, "tbl", F.col("_pos").cast("long").alias(ROW_SEQ), "row")
+    return long.select(FILE_PATH, FILE_NAME, FILE_MTIME, "tbl", F.col("_pos").cast("long").alias(ROW_SEQ), "row",
+                       F.lit(None).cast("string").alias(ERROR))
 
 
 def parquet_rows(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -171,38 +204,24 @@ def parquet_rows(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     cols = df.columns
     row = F.map_filter(F.create_map(*[x for c in cols for x in (F.lit(c), F.col(f"`{c}`").cast("string"))]),
                        lambda k, v: v.isNotNull()) if cols else F.create_map()
-    return df.select(F.col("_metadata.file_path").alias(FILE_PATH), F.col("_metadata.file_name").alias(FILE_NAME),
+    # the path as listings write it: not URL-encoded, one slash after the scheme of a local file
+    path = F.regexp_replace(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+    return df.select(path.alias(FILE_PATH), F.col("_metadata.file_name").alias(FILE_NAME),
                      F.col("_metadata.file_modification_time").alias(FILE_MTIME), F.lit(DEFAULT_TABLE).alias("tbl"),
-                     F.col("_metadata.row_index").alias(ROW_SEQ), row.alias("row"))
-
-
-def large_csv_rows(spark: SparkSession, path: str, sep: str, encoding: str = "utf-8") -> DataFrame:
-    """One large CSV through the native reader (split across tasks)."""
-    from tessera.sources.scan import scan_csv
-
-    df = scan_csv(spark, path, sep, encoding, tokens=[])
-    cols = [c for c in df.columns if not c.startswith("_file") and c != ROW_SEQ]
-    row = F.create_map(*[x for c in cols for x in (F.lit(c), F.col(f"`{c}`"))])
-    return df.select(FILE_PATH, FILE_NAME, FILE_MTIME, F.lit(DEFAULT_TABLE).alias("tbl"), ROW_SEQ, row.alias("row"))
+                     F.col("_metadata.row_index").alias(ROW_SEQ), row.alias("row"), F.lit(None).cast("string").alias(ERROR))
 
 
 def metadata_rows(spark: SparkSession, paths: Sequence[str], tables: Sequence[str], sep: str,
-                  encoding: str = "utf-8", sheet_tables: Mapping[str, str] | None = None,
-                  large: set | None = None) -> DataFrame | None:
-    """All metadata files of a batch as one long frame, whatever their format.
-    ``large``: CSV paths to read with the native splittable reader."""
-    large = large or set()
+                  encoding: str = "utf-8", sheet_tables: Mapping[str, str] | None = None) -> DataFrame | None:
+    """All metadata files of a batch as one long frame, whatever their format and size."""
     by_ext: dict[str, list[str]] = {}
     for p in paths:
         ext = p.rsplit(".", 1)[-1].lower() if "." in p.rsplit("/", 1)[-1] else ""
         by_ext.setdefault({"xlsm": "xlsx"}.get(ext, ext), []).append(p)
     parts = []
     if by_ext.get("json"):
-        parts.append(json_rows(spark, by_ext["json"], tables))
-    for p in by_ext.get("csv", []):
-        if p in large:
-            parts.append(large_csv_rows(spark, p, sep, encoding))
-    text = [p for p in by_ext.get("csv", []) if p not in large] + by_ext.get("xlsx", []) + by_ext.get("txt", [])
+        parts.append(json_rows(spark, by_ext["json"], tables, encoding))
+    text = by_ext.get("csv", []) + by_ext.get("xlsx", []) + by_ext.get("txt", [])
     if text:
         parts.append(text_rows(spark, text, sep, encoding, sheet_tables))
     if by_ext.get("parquet"):

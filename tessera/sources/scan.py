@@ -9,6 +9,7 @@ first-seen order the duplicate merge needs.
 
 from __future__ import annotations
 
+import fnmatch
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,8 +40,8 @@ def scan_csv(spark: SparkSession, paths: str | Sequence[str], sep: str = DEFAULT
     """Header row, all columns text (no inference), null tokens -> NULL."""
     df = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
           .option("inferSchema", False)
-          # non-UTF-8 text is decoded as a stream (line splitting is byte based)
-          .option("multiLine", encoding.upper().replace("-", "") not in ("UTF8", "ASCII"))
+          # doubled quotes, line breaks and separators inside quotes, fields of any length
+          .option("quote", '"').option("escape", '"').option("multiLine", True).option("maxCharsPerColumn", -1)
           .option("nullValue", "\u0000__tessera_no_null__").option("emptyValue", "")
           .csv(list(paths) if not isinstance(paths, str) else paths))
     df = _tag(df)
@@ -123,14 +124,26 @@ def scan_sheet_dirs(spark: SparkSession, root: str, fmt: str = "parquet", sheet_
 
 # ---------------------------------------------------------------- SRC-7
 def list_files(spark: SparkSession, roots: str | Sequence[str], glob: str | None = None) -> DataFrame:
-    """Recursive listing (hidden files included). Only metadata columns are
-    selected, so file contents are never read."""
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    df = r.load(list(roots) if not isinstance(roots, str) else roots)
-    return df.select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name"),
-                     F.col("modificationTime"), F.col("length"))
+    """Recursive listing of files, empty ones and names beginning with ``.`` or
+    ``_`` included (Spark's own file sources leave those out), through the
+    Hadoop file system of each root. Contents are not read. A missing root
+    raises ``FileNotFoundError``."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found = []
+    for root in [roots] if isinstance(roots, str) else roots:
+        path = jvm.org.apache.hadoop.fs.Path(root)
+        store = path.getFileSystem(conf)
+        if not store.exists(path):
+            raise FileNotFoundError(root)
+        files = store.listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            name = f.getPath().getName()
+            if glob is None or fnmatch.fnmatchcase(name, glob):
+                found.append((f.getPath().toString(), name, f.getModificationTime() / 1000.0, f.getLen()))
+    df = spark.createDataFrame(found, "path string, name string, seconds double, length long")
+    return df.select("path", "name", F.timestamp_millis(F.round(F.col("seconds") * 1000).cast("long")).alias("modificationTime"),
+                     "length")
 
 
 # ---------------------------------------------------------------- SRC-6
@@ -148,13 +161,28 @@ def detect_encoding(files: DataFrame, content_col: str = "content", default: str
     return files.withColumn("encoding", enc).withColumn("bom_bytes", bom)
 
 
+def decoded_documents(files: DataFrame, content_col: str = "content", default: str = "UTF-8", out: str = "value") -> DataFrame:
+    """``files`` with their content as text ``out``: decoded by byte order mark,
+    else by ``default``; null where the bytes are not valid in that encoding."""
+    marked = detect_encoding(files, content_col, default)
+    body = F.expr(f"substring(`{content_col}`, bom_bytes + 1)")
+    text = F.lit(None).cast("string")
+    for name, charset in (("UTF-32", "UTF-32"), ("UTF-16LE", "UTF-16LE"), ("UTF-16BE", "UTF-16BE"), ("UTF-8", "UTF-8"),
+                          (default, default)):
+        whole = q(content_col) if name == "UTF-32" else body  # the mark itself tells UTF-32's byte order
+        text = F.when(q("encoding") == name, F.decode(whole, charset)).otherwise(text)
+    valid = (q("encoding") != "UTF-8") | F.is_valid_utf8(body.cast("string"))
+    return marked.withColumn(out, F.when(valid, text)).drop(content_col, "encoding", "bom_bytes")
+
+
 def read_by_encoding(spark: SparkSession, manifest: DataFrame, reader) -> DataFrame:
     """Group paths by detected encoding and read each group once with
     ``reader(paths, encoding)``; the group list is bounded by the encodings."""
-    groups = manifest.groupBy("encoding").agg(F.collect_list("path").alias("paths")).collect()
+    encodings = sorted(r[0] for r in manifest.select("encoding").distinct().collect())
     out = None
-    for g in groups:
-        df = reader(list(g["paths"]), g["encoding"]).withColumn("encoding", F.lit(g["encoding"]))
+    for encoding in encodings:
+        paths = [r[0] for r in manifest.where(q("encoding") == encoding).select("path").toLocalIterator()]
+        df = reader(paths, encoding).withColumn("encoding", F.lit(encoding))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out
 

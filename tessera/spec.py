@@ -38,7 +38,7 @@ MERGE_SEPARATOR = ", "
 NULL_KEY_PART = "<NA>"
 
 _TOP_KEYS = {
-    "name", "scarab version", "test mode", "check period in seconds", "clean period in hours",
+    "name", "test mode", "check period in seconds", "clean period in hours",
     "delay first clean", "last clean", "maximum errors before exit", "maximum file variations",
     "character scope", "languages", "null string values", "default worksheet key",
     "default multiple object key", "default unlimited characters scope", "default worksheet name",
@@ -173,7 +173,7 @@ class CatalogSpec:
             with open(config, encoding="utf-8") as fh:
                 config = json.load(fh)
         config = copy.deepcopy(config)
-        unknown = set(config) - _TOP_KEYS
+        unknown = {k for k in set(config) - _TOP_KEYS if not k.endswith(" version")}
         if unknown:
             raise SpecError(f"unknown configuration keys: {sorted(unknown)}")
         files = config.get("files", {})

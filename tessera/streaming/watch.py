@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tessera.operators.merge import merge_duplicates
-from tessera.operators.upsert import fold_files, fold_into
+from tessera.operators.upsert import fold_files, fold_into, without_sequences
 
 
 # ---------------------------------------------------------------- STR-1
@@ -48,8 +48,8 @@ def upsert_batches(stream: DataFrame, catalog_root: str, checkpoint: str, key_co
                    file_col: str, order_cols: Sequence[str], trigger="available", table: str = "catalog"):
     """Each micro-batch: merge duplicate keys inside each file (AGG-1), then fold
     the batch into the catalog by file order (WIN-3 = repeated coalescing
-    upserts). The fold is order-independent, so files may arrive in any
-    order. Batch ``b`` writes catalog version ``b + 1``; a replayed batch
+    upserts). The stored catalog keeps every column's file sequence, so files may
+    arrive in any order. Batch ``b`` writes catalog version ``b + 1``; a replayed batch
     finds its version already current and skips (idempotent sink); lineage
     restarts at each version.
     """
@@ -65,7 +65,8 @@ def upsert_batches(stream: DataFrame, catalog_root: str, checkpoint: str, key_co
         rows = merge_duplicates(batch.drop("_file_path", "_arrival"), [*key_cols, file_col], order_cols,
                                 keep_order_cols=False)
         old = tables.get(table)
-        new = fold_files(rows, key_cols, file_col, ()) if old is None else fold_into(old, rows, key_cols, file_col, ())
+        new = (fold_files(rows, key_cols, file_col, (), keep_sequences=True) if old is None
+               else fold_into(old, rows, key_cols, file_col, ()))
         store.save(spark, catalog_root, {table: new}, version=batch_id + 1)
 
     q = start(stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint), trigger)
@@ -77,7 +78,8 @@ def upsert_batches(stream: DataFrame, catalog_root: str, checkpoint: str, key_co
 def read_catalog(spark: SparkSession, catalog_root: str, table: str = "catalog") -> DataFrame | None:
     from tessera.plans import catalog as store
 
-    return store.load(spark, catalog_root).get(table)
+    found = store.load(spark, catalog_root).get(table)
+    return None if found is None else without_sequences(found)
 
 
 # ---------------------------------------------------------------- STR-3

@@ -16,6 +16,7 @@ from tessera.functions.ranking import sequence_within
 from tessera.operators import identify, linking, manifest, merge, relations, sort, transforms, upsert
 from tessera.operators.transforms import with_key
 from tessera.plans import catalog as catalog_store
+from tessera.plans.consolidate import consolidate as _consolidate
 from tessera.plans.load import load_related as _load_related
 from tessera.plans.prepare import prepare as _prepare
 from tessera.session import work_path
@@ -227,11 +228,13 @@ def add_file_name(spark, sf):
     return transforms.add_file_name(c, "source_file").drop("_file_name")
 
 
-@register("add_file_time")
+@register("add_file_time", """
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS file_timestamp FROM events
+""")
 def add_file_time(spark, sf):
-    """Rows only: the file mtime is not visible to SQL."""
-    c = T(spark, sf, "customer").select("c_custkey", F.col("_metadata.file_modification_time").alias("_file_mtime"))
-    return transforms.add_file_timestamp(c, "file_timestamp").drop("_file_mtime")
+    """Every event's time as if it were its file's; a file's own is not visible to SQL."""
+    ev = T(spark, sf, "events").select("event_id", "ts")
+    return transforms.add_file_timestamp(ev, "file_timestamp", F.col("ts").cast("timestamp")).drop("ts")
 
 
 @register("typed_keys", """
@@ -367,13 +370,13 @@ def merged_pk_map(spark, sf):
 
 @register("rewrite_merged_fk", """
 WITH m AS (SELECT p_partkey, min(p_partkey) OVER (PARTITION BY p_name) AS survivor FROM part)
-SELECT m.survivor AS l_partkey, CAST(count(*) AS BIGINT) AS n FROM lineitem l JOIN m ON l.l_partkey = m.p_partkey GROUP BY 1
+SELECT coalesce(m.survivor, l.l_partkey) AS l_partkey, CAST(count(*) AS BIGINT) AS n
+FROM lineitem l LEFT JOIN m ON l.l_partkey = m.p_partkey GROUP BY 1
 """)
 def rewrite_merged_fk(spark, sf):
     part = T(spark, sf, "part").select("p_partkey", "p_name")
     pk_map = merge.merged_pk_map(part, ["p_name"], "p_partkey", ["p_partkey"])
-    li = T(spark, sf, "lineitem").select("l_partkey").join(
-        part.select(F.col("p_partkey").alias("l_partkey")), "l_partkey", "left_semi")
+    li = T(spark, sf, "lineitem").select("l_partkey")
     out = relations.rewrite_merged_fk(li, pk_map, "l_partkey")
     return out.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
 
@@ -514,40 +517,52 @@ def _star_spec() -> CatalogSpec:
         }}})
 
 
+# Whole tables; references are broken by rules on the keys, since the data has none that dangle.
+_ORPHAN_SQL = """
+na AS (SELECT n_nationkey, CASE WHEN n_nationkey % 5 = 0 THEN 99 ELSE n_regionkey END AS n_regionkey FROM nation),
+cu AS (SELECT c_custkey, CASE WHEN c_custkey % 6 = 0 THEN c_nationkey + 1000 WHEN c_custkey % 7 = 0 THEN NULL
+                              ELSE c_nationkey END AS c_nationkey FROM customer),
+ord AS (SELECT o_orderkey, CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE o_custkey END AS o_custkey FROM orders)"""
+
+
 def _orphan_tables(spark, sf):
+    nation, cust, orders = T(spark, sf, "nation"), T(spark, sf, "customer"), T(spark, sf, "orders")
+    ck, nk, ok = F.col("c_custkey"), F.col("n_nationkey"), F.col("o_custkey")
     return {
-        "region": T(spark, sf, "region").filter(F.col("r_regionkey") != 0).select("r_regionkey"),
-        "nation": T(spark, sf, "nation").select("n_nationkey", "n_regionkey"),
-        "customer": T(spark, sf, "customer").select("c_custkey", "c_nationkey"),
-        "orders": T(spark, sf, "orders").filter(F.col("o_totalprice") > 480000).select("o_orderkey", "o_custkey"),
+        "region": T(spark, sf, "region").select("r_regionkey"),
+        "nation": nation.select("n_nationkey", F.when(nk % 5 == 0, 99).otherwise(F.col("n_regionkey")).alias("n_regionkey")),
+        "customer": cust.select("c_custkey", F.when(ck % 6 == 0, F.col("c_nationkey") + 1000).when(
+            ck % 7 == 0, F.lit(None).cast("int")).otherwise(F.col("c_nationkey")).alias("c_nationkey")),
+        "orders": orders.select("o_orderkey", F.when(ok % 4 != 0, ok).alias("o_custkey")),
     }
 
 
-@register("fk_orphans", """
-SELECT c_custkey FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 0)
+@register("fk_orphans", f"""
+WITH {_ORPHAN_SQL}
+SELECT c_custkey FROM cu WHERE c_nationkey IS NULL OR c_nationkey IN (SELECT n_nationkey FROM na)
 """)
 def fk_orphans(spark, sf):
-    nation = T(spark, sf, "nation").filter(F.col("n_regionkey") != 0)
-    cust = T(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    return relations.fk_orphans(cust, nation, "c_nationkey", "n_nationkey").select("c_custkey")
+    t = _orphan_tables(spark, sf)
+    return relations.fk_orphans(t["customer"], t["nation"], "c_nationkey", "n_nationkey").select("c_custkey")
 
 
-@register("parent_orphans", """
-SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 480000)
+@register("parent_orphans", f"""
+WITH {_ORPHAN_SQL}
+SELECT c_custkey FROM cu WHERE c_custkey IN (SELECT o_custkey FROM ord WHERE o_custkey IS NOT NULL)
 """)
 def parent_orphans(spark, sf):
-    cust = T(spark, sf, "customer").select("c_custkey")
-    orders = T(spark, sf, "orders").filter(F.col("o_totalprice") > 480000).select("o_custkey")
-    return relations.parent_orphans(cust, [(orders, "o_custkey")], "c_custkey")
-
-
-@register("orphan_cascade", """
-WITH n1 AS (SELECT * FROM nation WHERE n_regionkey <> 0),
-c1 AS (SELECT c.* FROM customer c WHERE c.c_nationkey IN (SELECT n_nationkey FROM n1)),
-o1 AS (SELECT o.* FROM orders o WHERE o.o_totalprice > 480000 AND o.o_custkey IN (SELECT c_custkey FROM c1)),
-c2 AS (SELECT c.* FROM c1 c WHERE c.c_custkey IN (SELECT o_custkey FROM o1)),
-n2 AS (SELECT n.* FROM n1 n WHERE n.n_nationkey IN (SELECT c_nationkey FROM c2)),
-r2 AS (SELECT r.* FROM region r WHERE r.r_regionkey <> 0 AND r.r_regionkey IN (SELECT n_regionkey FROM n2))
+    t = _orphan_tables(spark, sf)
+    return relations.parent_orphans(t["customer"].select("c_custkey"), [(t["orders"], "o_custkey")], "c_custkey")
+
+
+@register("orphan_cascade", f"""
+WITH {_ORPHAN_SQL},
+n1 AS (SELECT * FROM na WHERE n_regionkey IS NULL OR n_regionkey IN (SELECT r_regionkey FROM region)),
+c1 AS (SELECT * FROM cu WHERE c_nationkey IS NULL OR c_nationkey IN (SELECT n_nationkey FROM n1)),
+o1 AS (SELECT * FROM ord WHERE o_custkey IS NULL OR o_custkey IN (SELECT c_custkey FROM c1)),
+c2 AS (SELECT * FROM c1 WHERE c_custkey IN (SELECT o_custkey FROM o1 WHERE o_custkey IS NOT NULL)),
+n2 AS (SELECT * FROM n1 WHERE n_nationkey IN (SELECT c_nationkey FROM c2 WHERE c_nationkey IS NOT NULL)),
+r2 AS (SELECT * FROM region WHERE r_regionkey IN (SELECT n_regionkey FROM n2 WHERE n_regionkey IS NOT NULL))
 SELECT 'region' AS tbl, CAST(r_regionkey AS BIGINT) AS pk FROM r2 UNION ALL SELECT 'nation', CAST(n_nationkey AS BIGINT) FROM n2
 UNION ALL SELECT 'customer', c_custkey FROM c2 UNION ALL SELECT 'orders', o_orderkey FROM o1
 """)
@@ -582,37 +597,52 @@ def supersede(spark, sf):
 
 
 # ====================================================================== data-file linking
-_FILES_SQL = "SELECT DISTINCT substr(p_name, 3, 4) AS file_name FROM part WHERE p_size > 48"
+# Files: every whole part name and every brand. Rows: all parts, whose cell holds
+# type and name (two of three rows) or the type alone.
+_FILES_SQL = "SELECT DISTINCT p_name AS file_name FROM part UNION SELECT DISTINCT p_brand FROM part"
+_CELLS_SQL = "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_type ELSE p_type || ', ' || p_name END AS cell FROM part"
 
 
 def _data_files(spark, sf):
-    return (T(spark, sf, "part").filter(F.col("p_size") > 48)
-            .select(F.substring("p_name", 3, 4).alias("file_name")).distinct())
+    part = T(spark, sf, "part")
+    return part.select(F.col("p_name").alias("file_name")).union(part.select("p_brand")).distinct()
+
+
+def _file_cells(spark, sf):
+    part = T(spark, sf, "part")
+    return part.select("p_partkey", F.when(F.col("p_partkey") % 3 == 0, F.col("p_type")).otherwise(
+        F.concat("p_type", F.lit(", "), "p_name")).alias("cell"))
 
 
 @register("link_files", f"""
-WITH f AS ({_FILES_SQL})
-SELECT p.p_partkey, CASE WHEN EXISTS (SELECT 1 FROM f WHERE contains(p.p_name, f.file_name)) THEN 'True' ELSE 'False' END AS published
-FROM part p
+WITH f AS ({_FILES_SQL}), p AS ({_CELLS_SQL})
+SELECT p.p_partkey, CASE WHEN EXISTS (SELECT 1 FROM f WHERE contains(p.cell, f.file_name)) THEN 'True' ELSE 'False' END AS published
+FROM p
 """)
 def link_files(spark, sf):
-    part = T(spark, sf, "part").select("p_partkey", "p_name")
-    rows, _ = linking.link_files(part, _data_files(spark, sf), ["p_name"], ["published"])
+    rows, _ = linking.link_files(_file_cells(spark, sf), _data_files(spark, sf), ["cell"], ["published"])
     return rows.select("p_partkey", "published")
 
 
 @register("pending_files", f"""
-WITH f AS ({_FILES_SQL} UNION SELECT DISTINCT lower(n_name) FROM nation)
-SELECT file_name FROM f WHERE NOT EXISTS (SELECT 1 FROM part p WHERE contains(p.p_name, f.file_name))
+WITH f AS ({_FILES_SQL}), p AS ({_CELLS_SQL})
+SELECT file_name FROM f WHERE NOT EXISTS (SELECT 1 FROM p WHERE contains(p.cell, f.file_name))
 """)
 def pending_files(spark, sf):
-    part = T(spark, sf, "part").select("p_partkey", "p_name")
-    files = _data_files(spark, sf).unionByName(
-        T(spark, sf, "nation").select(F.lower("n_name").alias("file_name"))).distinct()
-    _, found = linking.link_files(part, files, ["p_name"], [])
+    files = _data_files(spark, sf)
+    _, found = linking.link_files(_file_cells(spark, sf), files, ["cell"], [])
     return linking.pending_files(files, found)
 
 
+@register("files_to_process", """
+SELECT doc_id FROM documents WHERE doc_id % 3 <> 0
+""")
+def files_to_process(spark, sf):
+    """SET-2: documents as files, every third of them processed before."""
+    files = T(spark, sf, "documents").select("doc_id")
+    return manifest.files_to_process(files, files.filter(F.col("doc_id") % 3 == 0), ["doc_id"])
+
+
 @register("move_only", """
 SELECT event_id, event_type FROM events WHERE event_type NOT IN ('click', 'view')
 """)
@@ -717,14 +747,33 @@ def workbook_scan(spark, sf):
 
 
 @register("catalog_reload_latest", """
-WITH r AS (SELECT event_type, max(ts) AS m FROM events GROUP BY 1)
-SELECT event_id, event_type FROM events WHERE event_type = (SELECT arg_max(event_type, m) FROM r)
+SELECT c_name AS row_key, c_name, CAST(c_custkey AS VARCHAR) AS c_custkey, lower(c_mktsegment) AS c_mktsegment FROM customer
 """)
 def catalog_reload_latest(spark, sf):
-    ev = T(spark, sf, "events").select("event_id", "event_type", "ts")
-    replicas = ev.groupBy(F.col("event_type").alias("path")).agg(F.max("ts").alias("modificationTime"))
-    newest = scan.newest_replica(replicas).select(F.col("path").alias("event_type"))
-    return ev.join(newest, "event_type", "left_semi").select("event_id", "event_type")
+    """SRC-5: two replicas of a customer catalog are published, a newer version
+    of it to the second alone; a start without a catalog reloads that one."""
+    root = work_path(spark, "reload")
+    spec = CatalogSpec.from_config({"files": {"catalog names": [f"{root}/a.parquet", f"{root}/b.csv"]},
+                                    "metadata": {"key": {"customer": ["c_name"]}}})
+    c = T(spark, sf, "customer").select("c_name", "c_custkey", "c_mktsegment")
+    writers.publish({"customer": c}, spec.catalog_names, version=1)
+    writers.publish({"customer": c.withColumn("c_mktsegment", F.lower("c_mktsegment"))}, spec.catalog_names[1:], version=2)
+    found = catalog_store.reload_from_replicas(spark, spec)["customer"]
+    return found.select(F.col("_key").alias("row_key"), "c_name", "c_custkey", "c_mktsegment")
+
+
+@register("json_document_sink", """
+SELECT 'customer' AS tbl, CAST(c_custkey AS VARCHAR) AS id, c_name AS name FROM customer
+UNION ALL SELECT 'supplier', CAST(s_suppkey AS VARCHAR), s_name FROM supplier
+""")
+def json_document_sink(spark, sf):
+    """SNK-2: tables written as ``{table: [record]}`` documents and read back."""
+    path = work_path(spark, "json_sink")
+    writers.write_json_document({
+        "customer": T(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")),
+        "supplier": T(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))}, path)
+    rows = scan.scan_json_tables(scan.read_json_documents(spark, path, whole_file=False), ["customer", "supplier"])
+    return rows.select("tbl", F.col("row")["id"].alias("id"), F.col("row")["name"].alias("name"))
 
 
 @register("encoding_bom", f"""
@@ -747,11 +796,18 @@ _TABLE_FILES = ("region nation customer supplier part orders lineitem events doc
                 "benchmark labels conversations").split()
 
 
-@register("file_manifest", "SELECT name, true AS non_empty FROM (VALUES " +
-          ", ".join(f"('{t}.parquet')" for t in _TABLE_FILES) + ") AS t(name)")
+@register("file_manifest", " UNION ALL ".join(
+    f"SELECT '{t}.parquet' AS name, CAST(count(*) AS BIGINT) AS n_rows, true AS non_empty FROM {t}" for t in _TABLE_FILES))
 def file_manifest(spark, sf):
+    """SRC-7: the listed files of every table with the rows that they hold."""
     files = scan.list_files(spark, sf, glob="*.parquet")
-    return files.select("name", (F.col("length") > 0).alias("non_empty"))
+    table = F.regexp_extract("path", r"([^/]*\.parquet)(/[^/]*)?$", 1)  # a table may be a folder of files
+    listed = files.groupBy(table.alias("name")).agg(F.max(F.col("length") > 0).alias("non_empty"))
+    rows = None
+    for t in _TABLE_FILES:
+        n = T(spark, sf, t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(f"{t}.parquet").alias("name"), "n_rows")
+        rows = n if rows is None else rows.unionByName(n)
+    return listed.join(rows, "name").select("name", "n_rows", "non_empty")
 
 
 @register("replicated_publish", """
@@ -791,20 +847,28 @@ def stream_files(spark, sf):
 
 
 @register("stream_upsert", """
-WITH r AS (SELECT user_id, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS file_seq, event_type, ts FROM events),
-f AS (SELECT user_id, file_seq, event_type, min(ts) AS s FROM r GROUP BY 1, 2, 3),
-m AS (SELECT user_id, file_seq, string_agg(event_type, ', ' ORDER BY s) AS v FROM f GROUP BY 1, 2),
-w AS (SELECT user_id, v, file_seq, row_number() OVER (PARTITION BY user_id ORDER BY file_seq DESC) AS rn FROM m)
-SELECT user_id, v AS event_type, file_seq FROM w WHERE rn = 1
+WITH r AS (SELECT user_id, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS file_seq, ts, event_id,
+                  CASE WHEN (user_id + day(ts)) % 3 > 0 THEN event_type END AS event_type,
+                  CASE WHEN (user_id + day(ts)) % 4 = 0 THEN upper(event_type) END AS kind FROM events),
+a AS (SELECT user_id, file_seq, event_type AS v, min((ts, event_id)) AS s FROM r WHERE event_type IS NOT NULL GROUP BY 1, 2, 3),
+b AS (SELECT user_id, file_seq, kind AS v, min((ts, event_id)) AS s FROM r WHERE kind IS NOT NULL GROUP BY 1, 2, 3),
+a2 AS (SELECT user_id, file_seq, string_agg(v, ', ' ORDER BY s) AS v FROM a GROUP BY 1, 2),
+b2 AS (SELECT user_id, file_seq, string_agg(v, ', ' ORDER BY s) AS v FROM b GROUP BY 1, 2)
+SELECT u.user_id, (SELECT arg_max(v, file_seq) FROM a2 WHERE a2.user_id = u.user_id) AS event_type,
+       (SELECT arg_max(v, file_seq) FROM b2 WHERE b2.user_id = u.user_id) AS kind, u.file_seq
+FROM (SELECT user_id, max(file_seq) AS file_seq FROM r GROUP BY 1) u
 """)
 def stream_upsert(spark, sf):
     src, schema = _event_files_dir(spark, sf, "stream_upsert_in")
     root, ck = work_path(spark, "stream_upsert_catalog"), work_path(spark, "stream_upsert_ck")
+    # two value columns with nulls; days come as they fall into files, not in order
+    turn = F.col("user_id") + F.dayofmonth("ts")
     stream = watch.watch(spark, src, schema, max_files_per_trigger=2).select(
-        "user_id", F.date_format("ts", "yyyyMMdd").cast("int").alias("file_seq"), "event_type",
-        F.struct("ts", "event_id").alias("_seq"))
+        "user_id", F.date_format("ts", "yyyyMMdd").cast("int").alias("file_seq"),
+        F.when(turn % 3 > 0, F.col("event_type")).alias("event_type"),
+        F.when(turn % 4 == 0, F.upper("event_type")).alias("kind"), F.struct("ts", "event_id").alias("_seq"))
     watch.upsert_batches(stream, root, ck, ["user_id"], "file_seq", ["_seq"])
-    return watch.read_catalog(spark, root).select("user_id", "event_type", "file_seq")
+    return watch.read_catalog(spark, root).select("user_id", "event_type", "kind", "file_seq")
 
 
 @register("stream_pending", """
@@ -899,7 +963,7 @@ r AS (SELECT c_name, CAST(c_custkey AS VARCHAR) AS c_custkey, CAST(c_nationkey A
       FROM customer WHERE c_custkey % 10 < 8 AND c_nationkey % 5 <> 0),
 d AS (SELECT c.c_name, CAST(c.c_custkey AS VARCHAR) AS c_custkey, CAST(pk.final_pk AS BIGINT) AS c_nationkey,
              lower(c.c_mktsegment) AS c_mktsegment
-      FROM customer c JOIN pk ON c.c_nationkey = pk.n_nationkey WHERE c.c_custkey % 10 >= 6)
+      FROM customer c JOIN pk ON c.c_nationkey = pk.n_nationkey WHERE c.c_custkey % 10 >= 6 OR c.c_nationkey % 5 = 0)
 SELECT coalesce(d.c_name, r.c_name) AS c_name, coalesce(d.c_custkey, r.c_custkey) AS c_custkey,
        coalesce(d.c_nationkey, r.c_nationkey) AS c_nationkey, coalesce(d.c_mktsegment, r.c_mktsegment) AS c_mktsegment
 FROM r FULL OUTER JOIN d ON r.c_name = d.c_name
@@ -921,7 +985,7 @@ def load_related(spark, sf):
     delta_n = n.select((F.col("n_nationkey") + 1000).cast("string").alias("n_nationkey"), "n_name",
                        F.col("n_regionkey").alias("_file_seq"), F.col("n_nationkey").cast("bigint").alias("_row_seq"))
     region_of = n.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey").alias("_file_seq"))
-    delta_c = c.filter(F.col("c_custkey") % 10 >= 6).join(region_of, "c_nationkey").select(
+    delta_c = c.filter((F.col("c_custkey") % 10 >= 6) | (F.col("c_nationkey") % 5 == 0)).join(region_of, "c_nationkey").select(
         "c_name", F.col("c_custkey").cast("string").alias("c_custkey"),
         (F.col("c_nationkey") + 1000).cast("string").alias("c_nationkey"),
         F.lower("c_mktsegment").alias("c_mktsegment"), "_file_seq", F.col("c_custkey").alias("_row_seq"))
@@ -929,11 +993,33 @@ def load_related(spark, sf):
     return out["customer"].select("c_name", "c_custkey", F.col("c_nationkey").cast("bigint"), "c_mktsegment")
 
 
-def _consolidate_spec() -> CatalogSpec:
+@register("load_merged_parents", """
+SELECT c_name, CAST(c_nationkey + 1000 AS BIGINT) AS c_nationkey FROM customer
+""")
+def load_merged_parents(spark, sf):
+    """AGG-3 and JON-5 inside the load: every nation is posted twice under two
+    PKs, and the customers use either; one nation stays, its first PK with it."""
+    spec = CatalogSpec.from_config({"metadata": {
+        "key": {"nation": ["n_name"], "customer": ["c_name"]},
+        "association": {"nation": {"PK": {"name": "n_nationkey", "int type": True}},
+                        "customer": {"FK": {"nation": {"name": "c_nationkey", "delete orphan": True}}}}}})
+    n, c = T(spark, sf, "nation"), T(spark, sf, "customer")
+    parts = [n.select((F.col("n_nationkey") + add).cast("string").alias("n_nationkey"), "n_name", F.lit(1).alias("_file_seq"),
+                      (F.col("n_nationkey").cast("bigint") * 2 + i).alias("_row_seq")) for i, add in enumerate((1000, 2000))]
+    add = F.when(F.col("c_custkey") % 2 == 0, 1000).otherwise(2000)
+    posted = c.select("c_name", (F.col("c_nationkey") + add).cast("string").alias("c_nationkey"), F.lit(1).alias("_file_seq"),
+                      F.col("c_custkey").alias("_row_seq"))
+    out = _load_related({}, {"nation": parts[0].unionByName(parts[1]), "customer": posted}, spec)
+    return out["customer"].select("c_name", F.col("c_nationkey").cast("bigint").alias("c_nationkey"))
+
+
+def _consolidate_spec(replicas: list[str] = ()) -> CatalogSpec:
     return CatalogSpec.from_config({
-        "files": {"metadata file formatting": {"csv separator": ";"}},
+        "files": {"metadata file formatting": {"csv separator": ";"}, "metadata file regex": {"*": ".*\\.csv$"},
+                  "catalog names": list(replicas)},
         "metadata": {
             "key": {"nation": ["n_name"], "customer": ["c_name"]},
+            "in columns": {"nation": ["n_name", "n_nationkey"], "customer": ["c_name", "c_custkey", "c_nationkey"]},
             "association": {
                 "nation": {"PK": {"name": "n_nationkey", "int type": True}},
                 "customer": {"FK": {"nation": {"name": "c_nationkey", "delete orphan": True}}},
@@ -943,50 +1029,41 @@ def _consolidate_spec() -> CatalogSpec:
 
 
 @register("consolidate", """
-WITH r AS (SELECT c_name, CAST(c_custkey AS VARCHAR) AS c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_mktsegment
-           FROM customer WHERE c_custkey % 10 < 8),
-d AS (SELECT c_name, CAST(c_custkey AS VARCHAR) AS c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey,
-             CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE lower(c_mktsegment) END AS c_mktsegment
-      FROM customer WHERE c_custkey % 10 >= 6),
+WITH c AS (SELECT c_name, CAST(c_custkey AS VARCHAR) AS c_custkey, c_custkey AS k, c_mktsegment,
+                  CAST(CASE WHEN c_custkey % 6 = 0 THEN c_nationkey + 1000 ELSE c_nationkey END AS BIGINT) AS c_nationkey
+           FROM customer),
+r AS (SELECT * FROM c WHERE k % 10 < 8),
+d AS (SELECT * REPLACE (CASE WHEN k % 3 = 0 THEN NULL ELSE lower(c_mktsegment) END AS c_mktsegment) FROM c WHERE k % 10 >= 6),
 u AS (SELECT coalesce(d.c_name, r.c_name) AS c_name, coalesce(d.c_custkey, r.c_custkey) AS c_custkey,
-             coalesce(d.c_nationkey, r.c_nationkey) AS c_nationkey, coalesce(d.c_mktsegment, r.c_mktsegment) AS c_mktsegment
+             coalesce(d.c_nationkey, r.c_nationkey) AS c_nationkey, coalesce(d.c_mktsegment, r.c_mktsegment) AS c_mktsegment,
+             d.c_name IS NOT NULL AS second_batch
       FROM r FULL OUTER JOIN d ON r.c_name = d.c_name)
-SELECT c_name, c_custkey, c_nationkey, c_mktsegment FROM u
-WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 0)
+SELECT c_name, c_custkey, c_nationkey, c_mktsegment, second_batch, true AS in_replica FROM u
+WHERE c_nationkey IN (SELECT n_nationkey FROM nation)
 """)
 def consolidate(spark, sf):
-    """PIP-3 end to end: metadata files (CSV, one per nation) are scanned,
-    prepared and upserted into the stored catalog, orphans are cleaned, the
-    catalog is sorted and written as a new version, and read back."""
-    spec = _consolidate_spec()
+    """PIP-3 end to end, two batches: CSV metadata files of nations and customers
+    are posted, identified, prepared and upserted into the stored catalog,
+    customers without a nation are cleaned, replicas are written after either
+    batch. Rows of the second batch come after all of the first (post order)."""
+    root, inbox, out = work_path(spark, "catalog"), work_path(spark, "inbox"), work_path(spark, "replica")
+    spec = _consolidate_spec([f"{out}/catalog.parquet", f"{out}/catalog.csv"])
     n, c = T(spark, sf, "nation"), T(spark, sf, "customer")
-    root = work_path(spark, "catalog")
-    v1_n = with_key(n.filter(F.col("n_regionkey") != 0).select(
-        F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "n_name",
-        F.lit(-1).alias("_file_seq"), F.col("n_nationkey").cast("bigint").alias("_row_seq")), ["n_name"])
-    v1_c = with_key(c.filter(F.col("c_custkey") % 10 < 8).select(
-        "c_name", F.col("c_custkey").cast("string").alias("c_custkey"),
-        F.col("c_nationkey").cast("bigint").alias("c_nationkey"), "c_mktsegment",
-        F.lit(-1).alias("_file_seq"), F.col("c_custkey").alias("_row_seq")), ["c_name"])
-    catalog_store.save(spark, root, {"nation": v1_n, "customer": v1_c})
-    # The batch: one CSV metadata file per nation, with null tokens.
     k = F.col("c_custkey")
-    posted = c.filter(k % 10 >= 6).select(
-        "c_name", "c_custkey", "c_nationkey",
-        F.when(k % 3 == 0, F.lit("NULL")).otherwise(F.lower("c_mktsegment")).alias("c_mktsegment"))
-    inbox = work_path(spark, "inbox")
-    posted.repartition("c_nationkey").write.option("header", True).option("sep", ";").csv(inbox)
-    scanned = scan.scan_csv(spark, inbox, sep=spec.csv_separator, tokens=spec.null_tokens)
-    # file order = (mtime, path) (D16): a dense rank over the distinct files
-    files = scanned.select("_file_path", "_file_mtime").distinct()
-    files = sort.with_position(files, [("_file_mtime", True), ("_file_path", True)], out="_file_seq")
-    delta = scanned.join(files.select("_file_path", "_file_seq"), "_file_path")
-    current = catalog_store.load(spark, root)
-    merged = _load_related(current, {"customer": delta}, spec, checkpoint_tables=False)
-    merged["customer"] = sort.catalog_sort(merged["customer"], spec.tables["customer"].sort_by)
-    catalog_store.save(spark, root, merged)
-    final = catalog_store.load(spark, root)["customer"]
-    return final.select("c_name", "c_custkey", F.col("c_nationkey").cast("bigint"), "c_mktsegment")
+    c = c.withColumn("c_nationkey", F.when(k % 6 == 0, F.col("c_nationkey") + 1000).otherwise(F.col("c_nationkey")))
+    writers.write_csv(n.select("n_name", "n_nationkey"), f"{inbox}/1/nation")
+    cols = ["c_name", "c_custkey", "c_nationkey", "c_mktsegment"]
+    writers.write_csv(c.filter(k % 10 < 8).select(*cols).repartition("c_nationkey"), f"{inbox}/1/customer")
+    first = _consolidate(spark, spec, [f"{inbox}/1"], root)
+    ended = first.catalog["customer"].select(F.max("_file_seq")).scalar()
+    posted = c.filter(k % 10 >= 6).withColumn("c_mktsegment", F.when(k % 3 == 0, F.lit("NULL")).otherwise(F.lower("c_mktsegment")))
+    writers.write_csv(posted.select(*cols).repartition("c_nationkey"), f"{inbox}/2/customer")
+    final = _consolidate(spark, spec, [f"{inbox}/2"], root).catalog["customer"]
+    replica = spark.read.parquet(f"{writers.replica_folder(spark, spec.catalog_names[0])}/customer").select(
+        F.col("c_name").alias("_r"), F.lit(True).alias("_hit"))
+    final = final.withColumn("second_batch", F.col("_file_seq") > ended).join(replica, F.col("c_name") == F.col("_r"), "left")
+    return final.select("c_name", "c_custkey", F.col("c_nationkey").cast("bigint"), "c_mktsegment", "second_batch",
+                        F.coalesce("_hit", F.lit(False)).alias("in_replica"))
 
 
 @register("trash_plan", """
