@@ -139,7 +139,7 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
     file_class), matched again against the updated catalog. ``encoding`` is that
     of text files without a byte order mark; ``strict`` rejects files whose
     relative FKs they do not resolve themselves (D12). ``state`` makes further
-    tables (names begin with ``_``) that are saved under the same version, and
+    tables (names begin with ``__``) that are saved under the same version, and
     ``batch`` is noted there, so a batch is in the store as a whole or not at all."""
     # ---- manifest: list, ignore, classify, first arrivals ------------------
     listing = list_files(spark, inputs)  # metadata columns only: contents are not read here
@@ -165,7 +165,7 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
     is_meta = F.col("file_class").isin(meta_classes)
     meta_paths = [r[0] for r in files.filter(is_meta & (F.col("length") > 0)).select("path").collect()]
     # ---- metadata rows, identification, required tables --------------------
-    current = {t: df for t, df in store.load(spark, catalog_root).items() if not t.startswith("_")}
+    current = {t: df for t, df in store.load(spark, catalog_root).items() if not t.startswith("__")}
     reloaded = False
     if not current and spec.catalog_names:
         current = store.reload_from_replicas(spark, spec, key_mode)  # SRC-5 on start
@@ -279,7 +279,7 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
         out = {t: sort.catalog_sort(df, spec.tables[t].sort_by if t in spec.tables else [])
                for t, df in catalog.items() if reloaded or df is not current.get(t)}
         version = store.save(spark, catalog_root, out | extra, batch=batch, carry=True)
-        catalog = {t: df for t, df in store.load(spark, catalog_root).items() if not t.startswith("_")}
+        catalog = {t: df for t, df in store.load(spark, catalog_root).items() if not t.startswith("__")}
     replica_errors: dict = {}
     if rows is not None and write_replicas and spec.catalog_names:
         try:

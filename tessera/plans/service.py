@@ -3,8 +3,8 @@ through the file source; every micro-batch runs ``consolidate`` on its files
 plus the data files still held from earlier batches; held files older than
 the clean period are reported as expired (FIL-7).
 
-State is part of the catalog's version: ``_held`` are the data files waiting,
-``_processed`` the metadata files of all batches so far, ``_clean`` the time of
+State is part of the catalog's version: ``__held`` are the data files waiting,
+``__processed`` the metadata files of all batches so far, ``__clean`` the time of
 the last clean. They are written with the catalog's tables under one pointer,
 so a batch that is replayed either finds its version current and does nothing,
 or starts from the version before it.
@@ -35,7 +35,7 @@ def run_batch(spark: SparkSession, spec: CatalogSpec, paths: list[str], catalog_
     if batch_id is not None and (done_batch := store.last_batch(spark, catalog_root)) is not None and done_batch >= batch_id:
         return dict(_EMPTY)
     saved = store.load(spark, catalog_root)
-    done, held, last = saved.get("_processed"), saved.get("_held"), saved.get("_clean")
+    done, held, last = saved.get("__processed"), saved.get("__held"), saved.get("__clean")
     if listed:
         todo_paths = list(paths)
     else:
@@ -68,11 +68,11 @@ def run_batch(spark: SparkSession, spec: CatalogSpec, paths: list[str], catalog_
             pending = pending.join(gone.select("path"), "path", "left_anti")
             cleaned = spark.range(1).select(now_col.alias("last_clean"))
         processed = meta if done is None else done.unionByName(meta).distinct()
-        return {"_held": pending, "_processed": processed, "_clean": cleaned}
+        return {"__held": pending, "__processed": processed, "__clean": cleaned}
 
     result = consolidate(spark, spec, todo_paths, catalog_root, write_replicas=write_replicas, held=held,
                          batch=batch_id, state=state)
-    kept = store.load(spark, catalog_root)["_held"]
+    kept = store.load(spark, catalog_root)["__held"]
     return {
         "version": result.version,
         "published": result.publish_plan.count(),

@@ -87,17 +87,6 @@ def test_work_path_under_checkpoint_dir(spark):
     assert p.startswith(root.replace("file:", ""))
 
 
-def test_large_csv_path_equals_small_path(spark, tmp_path):
-    from tessera.sources.rows import metadata_rows
-    p = tmp_path / "m.csv"
-    p.write_text("a;b\n1;#N/A\n2;x\n")
-    small = metadata_rows(spark, [str(p)], [], ";")
-    large = metadata_rows(spark, [f"file://{p}"], [], ";", large={f"file://{p}"})
-    def norm(df):
-        return sorted((r["tbl"], tuple(sorted(r["row"].items()))) for r in df.collect())
-    assert norm(small) == norm(large)
-
-
 def test_name_versions_with_timestamp(spark):
     from pyspark.sql import functions as F
     data = [("rep", 1, "2024-01-02 03:04:05"), ("rep", 2, "2024-01-02 03:04:05"), ("rep", 3, "2024-01-02 03:04:05"),
