@@ -109,8 +109,9 @@ h AS (SELECT host, n, k, domain, CASE WHEN numeric THEN '' WHEN contains(domain,
                                  ELSE domain END AS suffix FROM h3),
 d0 AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM h GROUP BY 1, 2),
 s AS (SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT (sum(k) + 0.5) / (sum(n) + 1.0) FROM d0) AS prior FROM d0 GROUP BY 1),
-d AS (SELECT d0.*, (s.k + {_strength_sql('s')} * s.prior) / (s.n + {_strength_sql('s')}) AS prior FROM d0 JOIN s USING (suffix)),
-hp AS (SELECT h.host, h.n, h.k, (d.k + {_strength_sql('d')} * d.prior) / (d.n + {_strength_sql('d')}) AS prior FROM h JOIN d USING (domain)),
+d AS (SELECT d0.*, (s.k - d0.k + {_strength_sql('s')} * s.prior) / (s.n - d0.n + {_strength_sql('s')}) AS prior FROM d0 JOIN s USING (suffix)),
+hp AS (SELECT h.host, h.n, h.k, (d.k - h.k + {_strength_sql('d')} * d.prior) / (d.n - h.n + {_strength_sql('d')}) AS prior
+       FROM h JOIN d USING (domain)),
 rated AS (SELECT host, n, {_strength_sql('hp')} AS w, (k + {_strength_sql('hp')} * prior) / (n + {_strength_sql('hp')}) AS rate FROM hp),
 ruled AS (SELECT page_id, host, path, CASE {_RULES_SQL} END AS rule FROM seen)
 SELECT page_id, ruled.host, path, rule, coalesce(CASE rule {_VERDICT_SQL} END,

@@ -1,9 +1,9 @@
 """URL filters: host and path rules, and empirical-Bayes host reputation.
 
 Labelled page outcomes are counted per host. The bad rate of a suffix shrinks
-towards all pages, that of a registered domain towards its suffix, that of a
-host towards its domain, each through a beta prior whose strength is estimated
-from the spread of the counts at that level. A host is blocked when the lower
+towards all pages, that of a registered domain towards the rest of its suffix,
+that of a host towards the rest of its domain, each through a beta prior whose
+strength is estimated from the spread of the counts at that level. A host is blocked when the lower
 bound of its posterior bad rate passes a limit."""
 
 from __future__ import annotations
@@ -90,10 +90,19 @@ def _strength(level: DataFrame) -> float:
     return min(STRONGEST, max(WEAKEST, 1 / share - 1)) if share > 0 else STRONGEST
 
 
-def _shrunk(level: DataFrame, strength: float) -> Column:
+def _shrunk(strength: float) -> Column:
     return (F.col("k") + strength * F.col("prior")) / (F.col("n") + strength)
 
 
+def _with_prior(level: DataFrame, above: DataFrame, key: str) -> DataFrame:
+    """``level`` with the ``prior`` that the level above gives: the shrunk rate of
+    its other members, so that no count is evidence twice."""
+    strength = _strength(above)
+    up = above.select(key, F.col("n").alias("up_n"), F.col("k").alias("up_k"), F.col("prior").alias("up_prior"))
+    prior = (F.col("up_k") - F.col("k") + strength * F.col("up_prior")) / (F.col("up_n") - F.col("n") + strength)
+    return level.join(up, key).withColumn("prior", prior).drop("up_n", "up_k", "up_prior")
+
+
 def reputation(hosts: DataFrame, outcomes: DataFrame, z: float = Z) -> DataFrame:
     """``(host, n, k, rate, bound)`` for every row of ``hosts(host)`` from
     ``outcomes(host, n, k)`` (labelled and bad pages). ``rate`` is the posterior
@@ -111,12 +120,10 @@ def reputation(hosts: DataFrame, outcomes: DataFrame, z: float = Z) -> DataFrame
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     all_pages = domains.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("k"), F.lit(0)).alias("k")).first()
     suffixes = persist(suffixes.withColumn("prior", F.lit((all_pages.k + 0.5) / (all_pages.n + 1.0))), "url-suffixes")
-    rated = suffixes.select("suffix", _shrunk(suffixes, _strength(suffixes)).alias("prior"))
-    domains = persist(domains.join(rated, "suffix"), "url-rated-domains")
-    rated = domains.select("domain", _shrunk(domains, _strength(domains)).alias("prior"))
-    known = persist(known.join(rated, "domain"), "url-rated-hosts")
+    domains = persist(_with_prior(domains, suffixes, "suffix"), "url-rated-domains")
+    known = persist(_with_prior(known, domains, "domain"), "url-rated-hosts")
     strength = _strength(known)
-    rate, weight = _shrunk(known, strength), F.col("n") + F.lit(strength)
+    rate, weight = _shrunk(strength), F.col("n") + F.lit(strength)
     return known.select("host", "n", "k", rate.alias("rate"),
                         (rate - z * F.sqrt(rate * (1 - rate) / (weight + 1))).alias("bound"))
 
