@@ -292,7 +292,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT_ANCHOR
     """
     k = max(1, round(length * levels[0]))
     found = persist(_scan(texts, length, k), "suffix-segments")
-    shared = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # written, so that the join's sides are plain shuffles: AQE can split a gram that very many share
+    shared = persist(found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "suffix-shared")
     hits = persist(found.join(shared, "gram", "left_semi"), "suffix-hits")
     kinds = persist(hits.groupBy("gram", "c1", "c2").agg(F.count("*").alias("n"), F.min(F.struct(
         "tkey", "base", "first", "windows", "anchor", "id")).alias("m")), "suffix-kinds")
