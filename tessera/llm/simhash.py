@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tessera.llm.common import connected_components, one_row_per, persist, text_or_empty
+from tessera.llm.common import connected_components, one_row_per, persist, small_batches, text_or_empty
 
 BITS = 64
 SEED = 42
@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps, pa.int64())],
                                              names=["id", "text_key", "fp"])
 
-    return rows.mapInArrow(run, schema)
+    return small_batches(rows).mapInArrow(run, schema)
 
 
 # --------------------------------------------------------------------- plan
@@ -125,6 +125,7 @@ def plan_partitions(sample: np.ndarray, rows: int, distance: int) -> list[Partit
     fingerprints: sum(threshold + 1) = distance + 1, so every pair within
     ``distance`` is inside the threshold of one partition at least."""
     best: tuple[float, list[Partition]] | None = None
+    rows = max(rows, 1)  # an empty table must not make all plans look alike
     for parts in range(1, distance + 2):
         groups = group_bits(sample, parts) if len(sample) > 1 else np.array_split(np.arange(BITS), parts)
         masks = [sum(1 << int(i) for i in g) for g in groups]
@@ -150,13 +151,17 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _longs(values: list[int]):
+    """An array literal, as one expression instead of a column object per value."""
+    return F.expr("array(" + ",".join(f"CAST('{_signed(v)}' AS BIGINT)" for v in values) + ")")
+
+
 def _variants(part: Partition):
-    return F.array(*[F.lit(_signed(v)).cast("long") for v in part.variants()])
+    return _longs(part.variants())
 
 
 def _hub_masks(radius: int):
-    masks = [_signed(sum(1 << i for i in c)) for k in range(radius + 1) for c in combinations(range(BITS), k)]
-    return F.array(*[F.lit(m).cast("long") for m in masks])
+    return _longs([sum(1 << i for i in c) for k in range(radius + 1) for c in combinations(range(BITS), k)])
 
 
 def hub_links(fps: DataFrame, distance: int) -> DataFrame:
@@ -246,5 +251,7 @@ def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: st
     marked = docs.withColumn("__key", text_key(text_col)).join(
         actions, (F.col("__key") == F.col("__text_key")) & F.col(id_col).eqNullSafe(F.col("__id")), "left")
     plain = marked.where("__action IS NULL").select(*[f"`{c}`" for c in cols])
+    if actions.where("__action = 'one'").isEmpty():
+        return plain  # no row occurs twice with one id: the second pass over the texts would be for nothing
     tied = marked.where("__action = 'one'").select("__key", *[f"`{c}`" for c in cols])
     return plain.unionByName(one_row_per(tied, ["__key", id_col]).select(*[f"`{c}`" for c in cols]))

@@ -59,6 +59,8 @@ def test_plan_covers_every_pair(distance):
     sample = rng.integers(0, 1 << 62, 500).astype(np.uint64)
     parts = simhash.plan_partitions(sample, 1_000_000, distance)
     assert sum(p.threshold + 1 for p in parts) == distance + 1
+    assert sum(len(p.variants()) for p in parts) < 5000
+    assert sum(len(p.variants()) for p in simhash.plan_partitions(sample[:0], 0, distance)) <= distance + 1
     masks = [p.mask for p in parts]
     assert all(a & b == 0 for i, a in enumerate(masks) for b in masks[:i])
 
