@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from tessera.llm.common import small_batches
+
 FIRST_CHAR = 0x100          # byte b is the character FIRST_CHAR + b
 CACHE_ENTRIES = 60_000  # per generation and worker; the cache only saves work
 CACHED_LENGTH = 64
@@ -182,7 +184,7 @@ def decoder(path: str) -> Decoder:
 
 def _passthrough(df: DataFrame, run, name: str) -> DataFrame:
     schema = StructType([*df.schema.fields[:-1], StructField(name, BinaryType())])
-    return df.mapInArrow(run, schema)
+    return small_batches(df).mapInArrow(run, schema)
 
 
 OUT_BYTES = 8 << 20

@@ -43,6 +43,19 @@ def persist(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+WHOLE_TEXT_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose rows hold whole texts and go to Python next: the session's
+    ``spark.sql.execution.arrow.maxRecordsPerBatch`` is lowered to 1,000 if it is
+    higher (its default is 10,000), so that a batch is a few MB on either side."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= WHOLE_TEXT_ROWS:
+        conf.set(key, str(WHOLE_TEXT_ROWS))
+    return df
+
+
 def text_or_empty(col: str | Column) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.coalesce(c.cast("string"), F.lit(""))

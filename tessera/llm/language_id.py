@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from tessera.llm.common import small_batches
+
 SAMPLE_DOCUMENTS = 64    # per language that the references may draw from
 SAMPLE_SYMBOLS = 400     # from the middle of each of them
 BLOCK = 1024             # symbols that are parsed in one go; a piece never spans two blocks
@@ -242,4 +244,4 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", carr
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([f[0] for f in found], pa.string()),
                                               pa.array([f[1] for f in found], pa.float64())], names=names)
 
-    return rows.mapInArrow(run, schema)
+    return small_batches(rows).mapInArrow(run, schema)

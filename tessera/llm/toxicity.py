@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
-from tessera.llm.common import persist, text_or_empty
+from tessera.llm.common import persist, small_batches, text_or_empty
 
 SAMPLE_PER_CLASS = 3000   # labelled documents of each class that the fit may see
 VOCABULARY = 4000         # features that the model may have
@@ -25,7 +25,7 @@ MIN_GAP = 0.025           # and by how much, so that words of a few copied docum
 BEGINNINGS = (4, 5)       # letters of a word's beginning that are features too
 DOSES = 3                 # severity grades of toxic documents
 REJECT_AT = 0.5           # probability of any toxic grade from which a document is toxic
-MEMO_WORDS = 300_000
+MEMO_WORDS = 60_000
 
 # every ASCII character but letters separates words
 _LETTERS = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
@@ -210,7 +210,7 @@ def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text", carry: t
                 [*b.columns[:-1], pa.array([float(a.sum()) for a in above], pa.float64()),
                  pa.array([float(a[0]) if len(a) else 0.0 for a in above], pa.float64())], names=names)
 
-    return rows.mapInArrow(run, schema).withColumn("toxic", F.col("p_toxic") >= reject_at)
+    return small_batches(rows).mapInArrow(run, schema).withColumn("toxic", F.col("p_toxic") >= reject_at)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
