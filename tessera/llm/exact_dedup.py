@@ -24,7 +24,8 @@ def _measured(docs: DataFrame, id_col: str, text_col: str, extra: Mapping[str, C
 def duplicate_heads(docs: DataFrame, text_col: str = "text", prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """Rounds one and two: the ``(n_bytes, head)`` shared by several rows."""
     rows = _measured(docs, text_col, text_col, {}, prefix_chars)
-    lengths = rows.groupBy("n_bytes").agg(F.count("*").alias("n")).where("n > 1").select("n_bytes")
+    # written, so that its size is known and, where it is not broadcast, AQE can split a length that very many share
+    lengths = persist(rows.groupBy("n_bytes").agg(F.count("*").alias("n")).where("n > 1").select("n_bytes"), "exact-lengths")
     return (rows.select("n_bytes", "head").join(lengths, "n_bytes", "left_semi")
             .groupBy("n_bytes", "head").agg(F.count("*").alias("n")).where("n > 1").select("n_bytes", "head"))
 
