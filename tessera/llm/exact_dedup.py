@@ -73,8 +73,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that :func:`exact_dedup` drops, same columns.
 
-    The dropped rows, usually few, are subtracted by (id, digest). Rows equal
-    in id and text collapse to the least by their other columns.
+    The dropped rows are subtracted by (id, digest). Rows equal in id and text
+    collapse to the least by their other columns.
     """
     cols = docs.columns
     verdict = exact_dedup(docs, id_col, text_col).where("group_size > 1")
@@ -83,7 +83,10 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                       .select(F.col("id").alias("__id"), F.col("digest").alias("__digest"),
                               F.when(F.col("any_kept"), "one").otherwise("drop").alias("__action")), "exact-actions")
     keyed = docs.withColumn("__sha", F.sha2(text_or_empty(text_col).cast("binary"), 256))
-    marked = keyed.join(actions, (F.col("__sha") == F.col("__digest")) & F.col(id_col).eqNullSafe(F.col("__id")), "left")
+    # the list of dropped rows grows with the table, so it is a shuffled join at every size, once
+    marked = keyed.join(actions.hint("merge"), (F.col("__sha") == F.col("__digest")) & F.col(id_col).eqNullSafe(F.col("__id")), "left")
     plain = marked.where("__action IS NULL").select(*[f"`{c}`" for c in cols])
+    if actions.where("__action = 'one'").isEmpty():
+        return plain  # no row occurs twice with one id: the second pass over the texts would be for nothing
     tied = marked.where("__action = 'one'").select("__sha", *[f"`{c}`" for c in cols])
     return plain.unionByName(one_row_per(tied, ["__sha", id_col]).select(*[f"`{c}`" for c in cols]))
