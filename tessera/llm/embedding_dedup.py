@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,20 +27,38 @@ MEMBERS = 96.0        # unrelated vectors that a direction holds on average
 HOT_DIRECTION = 1024  # vectors of one direction that are compared in one go; more are dealt in pairs of blocks
 SEED = 20240607
 CODE_SHIFT = 48       # directions of code k are numbered from k << 48
-MOST_WORDS = 2048     # codewords of a block; larger codes get more blocks
+MOST_WORDS = 16_384   # codewords of a block and directions of a vector at which caps get wider instead of more
+LISTED = 64.0
+LEAST_BLOCK = 4       # components of a block; fewer leave hardly any different codewords
+RECALL = 0.99         # of pairs just at the threshold, by simulation
+TRIALS, PROBES = 100, 2  # pairs and codes of that simulation
 
 
 # --------------------------------------------------------------------- code
-def _tail(x: float) -> float:
-    return 0.5 * math.erfc(x / math.sqrt(2))
+@lru_cache(maxsize=64)
+def _angles(dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Grid of angles to a fixed direction, and of a uniform unit vector of ``dim`` >= 2
+    components the share at every grid point and up to it."""
+    phi = np.linspace(0, math.pi, 40_001)
+    density = np.sin(phi) ** (dim - 2)
+    below = np.concatenate(([0.0], np.cumsum((density[1:] + density[:-1]) / 2)))
+    return phi, density / below[-1], below / below[-1]
 
 
-def _pair_tail(a: float, cosine: float) -> float:
-    """P(both projections pass ``a`` standard deviations) for two directions at ``cosine``."""
-    z = np.linspace(a, a + 8, 4001)
-    density = np.exp(-z * z / 2) / math.sqrt(2 * math.pi)
-    beyond = np.array([_tail((a - cosine * t) / math.sqrt(1 - cosine * cosine)) for t in z])
-    return float(np.sum((density * beyond)[:-1] + (density * beyond)[1:]) * (z[1] - z[0]) / 2)
+def _tail(dim: int, x: np.ndarray) -> np.ndarray:
+    """P(one component of a uniform unit vector of ``dim`` components reaches ``x``)."""
+    if dim == 1:
+        return np.where(x <= -1, 1.0, np.where(x <= 1, 0.5, 0.0))
+    phi, _, below = _angles(dim)
+    return np.where(x <= 1, np.interp(np.arccos(np.clip(x, -1, 1)), phi, below), 0.0)
+
+
+def _pair_tail(dim: int, threshold: float, cosine: float) -> float:
+    """P(both of two unit vectors at ``cosine`` reach ``threshold`` with a random direction)."""
+    phi, density, _ = _angles(dim)
+    inside = (phi <= math.acos(threshold)) & (phi > 0)
+    rest = math.sqrt(1 - cosine * cosine) * np.sin(phi[inside])
+    return float((density[inside] * _tail(dim - 1, (threshold - cosine * np.cos(phi[inside])) / rest)).sum())
 
 
 @dataclass(frozen=True)
@@ -60,46 +79,85 @@ class ProductCode:
         cuts = np.cumsum([0] + [w.shape[1] for w in self.words])
         scale = 1 / math.sqrt(len(self.words))
         gains = [turned[:, a:b] @ w.T * scale for a, b, w in zip(cuts[:-1], cuts[1:], self.words, strict=True)]
+        best_all = np.sum([g.max(1) for g in gains], axis=0)
         best_left = np.cumsum([np.zeros(len(unit))] + [g.max(1) for g in gains[:0:-1]], axis=0)[::-1]
         out = []
         for row in range(len(unit)):
             total, number = np.zeros(1), np.zeros(1, np.int64)
             for k, g in enumerate(gains):
                 need = self.threshold - best_left[k][row]
-                order = np.argsort(-g[row])
+                # only codewords that reach the threshold with the best of all other blocks
+                alive = np.nonzero(g[row] >= self.threshold - (best_all[row] - g[row].max()) - 1e-9)[0]
+                order = alive[np.argsort(-g[row][alive])]
                 ranked = g[row][order]
                 # of every partial sum the codewords that keep it alive: a prefix of the ranking
                 reach = np.searchsorted(-ranked, total - need, side="right")
                 rows = np.repeat(np.arange(len(total)), reach)
                 nth = np.arange(len(rows)) - np.repeat(np.cumsum(reach) - reach, reach)
-                total, number = total[rows] + ranked[nth], number[rows] * len(ranked) + order[nth]
+                total, number = total[rows] + ranked[nth], number[rows] * g.shape[1] + order[nth]
             out.append(number)
         return out
 
 
-def make_code(dim: int, rows: int, cosine: float = COSINE, shared: float = SHARED, members: float = MEMBERS,
-              seed: int = SEED) -> ProductCode:
-    """A code for ``rows`` vectors: the threshold leaves about ``members``
-    unrelated vectors to a direction, and there are enough directions that a
-    pair at ``cosine`` shares ``shared`` of them on average."""
-    keep = min(0.05, members / max(rows, 1))
-    low, high = 0.0, 12.0
-    for _ in range(60):  # standard deviations that a random vector passes with probability keep
-        mid = (low + high) / 2
-        low, high = (mid, high) if _tail(mid) > keep else (low, mid)
-    needed = shared / _pair_tail(low, cosine)
-    blocks = 2
-    while needed ** (1 / blocks) > MOST_WORDS and dim // (blocks * 2) >= 4:
-        blocks *= 2
-    blocks = min(blocks, dim)
+def _draw(dim: int, blocks: int, each: int, threshold: float, seed: int) -> ProductCode:
     rng = np.random.default_rng(seed)
     rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
-    each = max(2, math.ceil(needed ** (1 / blocks)))
+    if dim == 1:
+        return ProductCode(rotation, (np.array([[1.0], [-1.0]]),), threshold)
     words = []
     for part in np.array_split(np.arange(dim), blocks):
         w = rng.standard_normal((each, len(part)))
         words.append(w / np.linalg.norm(w, axis=1, keepdims=True))
-    return ProductCode(rotation, tuple(words), low / math.sqrt(dim))
+    return ProductCode(rotation, tuple(words), threshold)
+
+
+def _pairs_at(dim: int, cosine: float, many: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """``many`` random pairs of unit vectors at ``cosine``."""
+    rng = np.random.default_rng(seed)
+    x, z = unit_rows(rng.standard_normal((many, dim))), rng.standard_normal((many, dim))
+    z = unit_rows(z - (z * x).sum(1, keepdims=True) * x)
+    return x, cosine * x + math.sqrt(1 - cosine * cosine) * z
+
+
+@lru_cache(maxsize=256)
+def _shape(dim: int, rows: int, cosine: float, shared: float, members: float, codes: int) -> tuple[int, int, float]:
+    """``(blocks, codewords of each, threshold)``. A direction is a unit vector, so
+    the share of vectors that reach it follows from the sphere alone; how the
+    directions of a pair bunch does not, so the codewords grow until random pairs
+    at ``cosine`` are found with ``RECALL`` in ``codes`` codes."""
+    if dim == 1:
+        return 1, 2, 0.5
+    cosine = min(cosine, 1 - 1e-9)
+    phi, _, below = _angles(dim)
+    blocks = 2 if dim >= 2 * LEAST_BLOCK else 1
+    keep = min(0.05, members / max(rows, 1))
+    while True:
+        threshold = math.cos(float(np.interp(keep, below, phi)))
+        both = _pair_tail(dim, threshold, cosine)
+        # few components leave no thin caps that two vectors at ``cosine`` could share: wider ones, with more members
+        if keep >= 0.45 or (both > 0 and shared * keep / both <= LISTED and (shared / both) ** (1 / blocks) <= MOST_WORDS):
+            break
+        keep *= 1.25
+    each = max(2, math.ceil((shared / both) ** (1 / blocks)))
+    x, y = _pairs_at(dim, cosine, TRIALS, SEED)
+    while True:
+        missed = np.zeros(TRIALS)
+        for probe in range(PROBES):
+            code = _draw(dim, blocks, each, threshold, SEED + 1000 + probe)
+            missed += [len(np.intersect1d(a, b)) == 0 for a, b in zip(code.decode(x), code.decode(y), strict=True)]
+        miss = missed.sum() / (TRIALS * PROBES)
+        if 1 - (miss + 2 * math.sqrt(miss * (1 - miss) / (TRIALS * PROBES))) ** codes >= RECALL:
+            return blocks, each, threshold
+        each = math.ceil(each * 1.2)
+
+
+def make_code(dim: int, rows: int, cosine: float = COSINE, shared: float = SHARED, members: float = MEMBERS,
+              seed: int = SEED, codes: int = CODES) -> ProductCode:
+    """One of ``codes`` codes for ``rows`` vectors: the threshold leaves about
+    ``members`` unrelated vectors to a direction (more if ``dim`` is small), and
+    there are enough directions that a pair at ``cosine`` shares ``shared`` of
+    them on average and is found by one of the codes with ``RECALL``."""
+    return _draw(dim, *_shape(dim, rows, cosine, shared, members, codes), seed)
 
 
 # --------------------------------------------------------------- comparison
@@ -133,13 +191,14 @@ def near_links(vectors: DataFrame, dim: int, rows: int, cosine: float = COSINE,
                codes: int = CODES) -> DataFrame:
     """``(u, v)``, u < v: the linked pairs found among ``vectors(node, vector)``,
     distinct vectors of ``dim`` components."""
-    drawn = [make_code(dim, rows, cosine, seed=SEED + k) for k in range(codes)]
+    drawn = [make_code(dim, rows, cosine, seed=SEED + k, codes=codes) for k in range(codes)]
     schema = StructType([StructField("direction", LongType()), StructField("node", LongType())])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = max(16, min(512, 2 ** 20 // max(len(w) for w in drawn[0].words)))
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
+            for at in range(0, b.num_rows, step):
+                part = b.slice(at, step)
                 nodes, unit = part.column(0).to_numpy(), unit_rows(_matrix(part.column(1), dim))
                 for k, code in enumerate(drawn):
                     lists = code.decode(unit)

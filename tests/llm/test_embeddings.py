@@ -82,3 +82,37 @@ def test_recall_at_the_threshold():
         code = E.make_code(64, 50_000, seed=E.SEED + k)
         found |= [len(np.intersect1d(a, b)) > 0 for a, b in zip(code.decode(x), code.decode(y))]
     assert found.mean() >= 0.97
+
+
+def _recall(dim, rows, pairs=60):
+    x, y = E._pairs_at(dim, 0.95, pairs, 77)
+    found, listed = np.zeros(pairs, bool), 0
+    for k in range(E.CODES):
+        code = E.make_code(dim, rows, seed=E.SEED + k)
+        assert len(code.words) <= 2 and code.threshold < 1
+        a, b = code.decode(x), code.decode(y)
+        found |= [len(np.intersect1d(p, q)) > 0 for p, q in zip(a, b)]
+        listed += sum(len(p) for p in a)
+    return found.mean(), listed / pairs / E.CODES
+
+
+@pytest.mark.parametrize("rows", [1_000_000, 50_000_000])
+@pytest.mark.parametrize("dim", [16, 64])
+def test_recall_does_not_fall_with_the_table(dim, rows):
+    """Pairs at cosine 0.95 exactly, decoded only; the lists stay short."""
+    recall, listed = _recall(dim, rows)
+    assert recall >= 0.97 and listed <= 2 * E.LISTED
+
+
+@pytest.mark.parametrize("dim", [1, 2, 3, 4, 8])
+def test_recall_of_few_components(dim):
+    x = np.array([[1.0], [-1.0]]) if dim == 1 else None
+    if x is not None:
+        assert all(len(n) for n in E.make_code(dim, 10**6).decode(x))
+    else:
+        assert _recall(dim, 1_000_000)[0] >= 0.97
+
+
+def test_share_of_a_cap():
+    x = E.unit_rows(np.random.default_rng(4).standard_normal((200_000, 16)))
+    assert E._tail(16, np.array(0.5)) == pytest.approx((x[:, 0] >= 0.5).mean(), rel=0.05)
