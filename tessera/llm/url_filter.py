@@ -2,14 +2,18 @@
 
 Labelled page outcomes are counted per host. The bad rate of a suffix shrinks
 towards all pages, that of a registered domain towards the rest of its suffix,
-that of a host towards the rest of its domain, each through a beta prior whose
-strength is estimated from the spread of the counts at that level. A host is blocked when the lower
+that of a host towards the rest of its domain, each through a mixture of beta
+priors of different strength; how common each strength is at a level is estimated
+from its members' likelihoods, one vote a member. A host is blocked when the lower
 bound of its posterior bad rate passes a limit."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +26,8 @@ TWO_LABEL_SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "g
 BLOCK_ABOVE = 0.5       # bad rate that a host may have
 Z = 1.645               # standard deviations between the posterior mean and its bound
 WEAKEST, STRONGEST = 2.0, 10_000.0  # limits of a prior's strength, in labelled pages
+STRENGTHS = tuple(WEAKEST * (STRONGEST / WEAKEST) ** (j / 9) for j in range(10))
+ROUNDS = 8              # of expectation maximisation
 
 
 @dataclass(frozen=True)
@@ -80,27 +86,73 @@ def suffix_of(domain: Column) -> Column:
         at > 0, F.substr(domain, at + 1)).otherwise(domain)
 
 
-def _strength(level: DataFrame) -> float:
-    """Prior strength by moments from ``(n, k, prior)``: with a beta prior of mean
-    m and strength s, the variance of k is n m (1-m) (1 + (n-1) / (s+1))."""
-    base = F.col("prior") * (1 - F.col("prior"))
-    r = level.agg(F.sum((F.col("k") - F.col("n") * F.col("prior")) ** 2 - F.col("n") * base).alias("extra"),
-                  F.sum(F.col("n") * (F.col("n") - 1) * base).alias("room")).first()
-    share = r.extra / r.room if r.room else 0.0
-    return min(STRONGEST, max(WEAKEST, 1 / share - 1)) if share > 0 else STRONGEST
-
-
-def _shrunk(strength: float) -> Column:
-    return (F.col("k") + strength * F.col("prior")) / (F.col("n") + strength)
+def _lgamma(x: Column) -> Column:
+    """Logarithm of the gamma function for x > 0: Stirling's series at x + 7."""
+    y, product = x + 7, x
+    for i in range(1, 7):
+        product = product * (x + i)
+    series = (F.lit(1 / 12) - (F.lit(1 / 360) - F.lit(1 / 1260) / (y * y)) / (y * y)) / y
+    return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - F.log(product)
+
+
+def _scored(level: DataFrame, weights: Sequence[float]) -> DataFrame:
+    """``level(n, k, prior)`` with ``scores``: for every strength the logarithm of
+    its weight times the beta-binomial likelihood of the counts, and their ``top``."""
+    n, k, m = F.col("n").cast("double"), F.col("k").cast("double"), F.col("prior")
+
+    def likelihood(x: Column) -> Column:
+        s = x["s"]
+        a, b = s * m, s * (1 - m)
+        return x["w"] + _lgamma(k + a) - _lgamma(a) + _lgamma(n - k + b) - _lgamma(b) + _lgamma(s) - _lgamma(s + n)
+
+    grid = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(math.log(w)).alias("w")) for s, w in zip(STRENGTHS, weights, strict=True)])
+    return level.withColumn("scores", F.transform(grid, likelihood)).withColumn("top", F.array_max("scores"))
+
+
+def _weights(level: DataFrame, name: str) -> list[float]:
+    """How common every strength is among the members of ``level(n, k, prior)``
+    with labelled pages, by ``ROUNDS`` of expectation maximisation. A member counts
+    once however many pages it has, so a hot host fixes nothing for the others; one
+    member more is spread evenly, so no strength is impossible."""
+    many = len(STRENGTHS)
+    even = [1 / many] * many
+    scored = persist(_scored(level.where("n > 0").select("n", "k", "prior"), even).select(
+        *[F.exp(F.col("scores")[j] - F.col("top")).alias(f"l{j}") for j in range(many)]), f"url-likely-{name}")
+    weights = even
+    for _ in range(ROUNDS):
+        total = reduce(add, [F.col(f"l{j}") * w for j, w in enumerate(weights)])
+        r = scored.agg(F.count("*").alias("members"), *[F.coalesce(F.sum(F.col(f"l{j}") * w / total), F.lit(0.0)).alias(f"r{j}")
+                                                        for j, w in enumerate(weights)]).first()
+        weights = [(r[f"r{j}"] + 1 / many) / (r.members + 1) for j in range(many)]
+    return weights
+
+
+def _posterior(level: DataFrame, weights: Sequence[float]) -> DataFrame:
+    """``level(n, k, prior)`` with ``rate`` and ``sd`` of the posterior over the
+    mixture: counts that a strong prior cannot explain speak for a weak one."""
+    n, k, m, top = F.col("n"), F.col("k"), F.col("prior"), F.col("top")
+    strengths = F.array(*[F.lit(s) for s in STRENGTHS])
+
+    def mean(of) -> Column:
+        parts = F.zip_with("scores", strengths, lambda x, s: F.exp(x - top) * of((k + s * m) / (n + s), s))
+        return F.aggregate(parts, F.lit(0.0), lambda x, y: x + y)
+
+    rated = _scored(level, weights).withColumn("total", mean(lambda r, s: F.lit(1.0))).withColumn(
+        "rate", mean(lambda r, s: r) / F.col("total"))
+    rate = F.col("rate")
+    spread = mean(lambda r, s: (r - rate) * (r - rate) + r * (1 - r) / (n + s + 1)) / F.col("total")
+    return rated.withColumn("sd", F.sqrt(spread)).drop("scores", "top", "total")
 
 
 def _with_prior(level: DataFrame, above: DataFrame, key: str) -> DataFrame:
-    """``level`` with the ``prior`` that the level above gives: the shrunk rate of
+    """``level`` with the ``prior`` that the level above gives: the posterior rate of
     its other members, so that no count is evidence twice."""
-    strength = _strength(above)
-    up = above.select(key, F.col("n").alias("up_n"), F.col("k").alias("up_k"), F.col("prior").alias("up_prior"))
-    prior = (F.col("up_k") - F.col("k") + strength * F.col("up_prior")) / (F.col("up_n") - F.col("n") + strength)
-    return level.join(up, key).withColumn("prior", prior).drop("up_n", "up_k", "up_prior")
+    weights = _weights(above, key)
+    up = above.select(key, F.col("n").alias("up_n"), F.col("k").alias("up_k"), "prior")
+    own = level.withColumnsRenamed({"n": "own_n", "k": "own_k"}).join(up, key)
+    rest = own.withColumn("n", F.col("up_n") - F.col("own_n")).withColumn("k", F.col("up_k") - F.col("own_k"))
+    return (_posterior(rest, weights).drop("n", "k", "up_n", "up_k", "prior", "sd")
+            .withColumnsRenamed({"own_n": "n", "own_k": "k", "rate": "prior"}))
 
 
 def reputation(hosts: DataFrame, outcomes: DataFrame, z: float = Z) -> DataFrame:
@@ -122,10 +174,8 @@ def reputation(hosts: DataFrame, outcomes: DataFrame, z: float = Z) -> DataFrame
     suffixes = persist(suffixes.withColumn("prior", F.lit((all_pages.k + 0.5) / (all_pages.n + 1.0))), "url-suffixes")
     domains = persist(_with_prior(domains, suffixes, "suffix"), "url-rated-domains")
     known = persist(_with_prior(known, domains, "domain"), "url-rated-hosts")
-    strength = _strength(known)
-    rate, weight = _shrunk(strength), F.col("n") + F.lit(strength)
-    return known.select("host", "n", "k", rate.alias("rate"),
-                        (rate - z * F.sqrt(rate * (1 - rate) / (weight + 1))).alias("bound"))
+    rated = _posterior(known, _weights(known, "host"))
+    return rated.select("host", "n", "k", "rate", (F.col("rate") - z * F.col("sd")).alias("bound"))
 
 
 def page_outcomes(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", label_id: str = "doc_id") -> DataFrame:

@@ -1,5 +1,8 @@
 """URL rules and host reputation."""
 
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,3 +64,25 @@ def test_domains(spark, host, domain, suffix):
     r = spark.createDataFrame([(host,)], "host string").select(U.domain_of(F.col("host")).alias("d")).withColumn(
         "s", U.suffix_of(F.col("d"))).first()
     assert (r.d, r.s) == (domain, suffix)
+
+
+def _rates(spark, counts):
+    outcomes = spark.createDataFrame(counts, "host string, n long, k long")
+    return {r.host: r for r in U.reputation(outcomes.select("host"), outcomes).collect()}
+
+
+@pytest.mark.parametrize("hot", [30, 30_000])
+def test_bad_hosts_beside_a_hot_clean_one(spark, hot):
+    """The verdict of a fully bad host does not hang on the size of a clean host elsewhere."""
+    rng = random.Random(8)
+    counts = [(f"www.h{i}.net", 30, sum(rng.random() < 0.24 for _ in range(30))) for i in range(2000)]
+    counts += [(f"www.bad{n}.net", n, n) for n in (20, 50, 100, 200)] + [("www.hot.net", hot, 0)]
+    got = _rates(spark, counts)
+    assert all(got[f"www.bad{n}.net"].bound > U.BLOCK_ABOVE for n in (20, 50, 100, 200))
+    assert not any(r.bound > U.BLOCK_ABOVE for h, r in got.items() if "bad" not in h)
+
+
+def test_lgamma(spark):
+    xs = [1e-6, 0.3, 1.0, 7.5, 480.25, 3e4, 1e9]
+    got = spark.createDataFrame([(x,) for x in xs], "x double").select(U._lgamma(F.col("x"))).collect()
+    assert [r[0] for r in got] == pytest.approx([math.lgamma(x) for x in xs], rel=1e-9, abs=1e-8)
