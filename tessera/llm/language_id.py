@@ -23,6 +23,8 @@ GROUP_SYMBOLS = 4 << 20  # symbols parsed side by side
 UNDETERMINED = "und"
 
 SPACE, OTHER, PAD, FIRST = 0, 1, 2, 3  # symbols; the alphabet's letters follow
+DENSE_LETTERS = 253                     # letters, the most frequent ones, whose transitions are a dense table
+DENSE_BYTES = 256 << 20                 # of that table at most; all other transitions are looked up by key
 COUNT_SHIFT = 28                        # transitions hold pieces ended above this bit, the next state below
 
 
@@ -33,7 +35,7 @@ def is_letter() -> np.ndarray:
 def symbol_table(alphabet: str) -> np.ndarray:
     """Symbol of every code point: letters of the alphabet in either case, other
     letters, and white space for all else."""
-    table = np.where(is_letter(), OTHER, SPACE).astype(np.uint8)
+    table = np.where(is_letter(), OTHER, SPACE).astype(np.min_scalar_type(FIRST + len(alphabet)))
     for i, c in enumerate(alphabet):
         for form in {c, c.upper(), c.title()}:
             if len(form) == 1:
@@ -81,22 +83,50 @@ def suffix_automaton(reference: np.ndarray) -> list[dict[int, int]]:
 
 
 def parse_table(following: list[dict[int, int]], width: int, offset: int) -> np.ndarray:
-    """Dense transitions of greedy parsing: a symbol that does not extend the
+    """Dense transitions of greedy parsing for symbols below ``width``: a symbol that does not extend the
     piece ends it and begins the next; one that the reference lacks is a piece
     of its own. Values hold the pieces ended and the next state, plus ``offset``."""
     restart = np.full(width, offset, np.int64)
     for c, q in following[0].items():
-        restart[c] = q + offset
+        if c < width:
+            restart[c] = q + offset
     ends = np.where(restart == offset, 2, 1)  # the piece before, and an unknown symbol itself
     table = np.tile(restart + (ends << COUNT_SHIFT), (len(following), 1))
     table[0] = restart + ((ends - 1) << COUNT_SHIFT)
     for state, row in enumerate(following):
         for c, q in row.items():
-            table[state, c] = q + offset
+            if c < width:
+                table[state, c] = q + offset
         table[state, PAD] = state + offset
     return table.astype(np.int32)
 
 
+class RareTransitions:
+    """Transitions of the symbols beyond the dense table, as sorted keys."""
+
+    def __init__(self, automata: list[list[dict[int, int]]], starts: list[int], width: int):
+        found = [(state + at, c, q + at) for following, at in zip(automata, starts, strict=True)
+                 for state, row in enumerate(following) for c, q in row.items() if c >= width]
+        state, c, q = np.array(found, np.int64).reshape(-1, 3).T
+        keys = state << 21 | c  # code points, and so symbols, have 21 bits
+        order = np.argsort(keys)
+        self.keys, self.next = np.append(keys[order], -1), np.append(q[order], -1)
+
+    def _look_up(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        key = state.astype(np.int64) << 21 | c
+        at = np.searchsorted(self.keys[:-1], key)
+        return np.where(self.keys[at] == key, self.next[at], -1)
+
+    def step(self, state: np.ndarray, c: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """As ``parse_table``: for ``state`` (languages, texts) and symbols ``c`` of
+        the texts the pieces ended and the next state."""
+        c = c.astype(np.int64)[None, :]
+        on, begin = self._look_up(state, c), self._look_up(starts[:, None], c)
+        ends = np.where(begin < 0, 2, 1) - (state == starts[:, None])
+        fresh = np.where(begin < 0, starts[:, None], begin) + (ends << COUNT_SHIFT)
+        return np.where(on >= 0, on, fresh)
+
+
 @dataclass
 class LanguageModel:
     """References by language and the alphabet they are written in."""
@@ -109,15 +139,15 @@ class LanguageModel:
 
     def _prepare(self):
         if self._ready is None:
-            width = FIRST + len(self.alphabet)
-            tables, starts, at = [], [], 0
-            for ref in self.references.values():
-                tables.append(parse_table(suffix_automaton(ref), width, at))
-                starts.append(at)
-                at += len(tables[-1])
+            automata = [suffix_automaton(ref) for ref in self.references.values()]
+            states = [len(a) for a in automata]
+            width = FIRST + max(0, min(len(self.alphabet), DENSE_LETTERS, DENSE_BYTES // (4 * max(1, sum(states))) - FIRST))
+            starts = [sum(states[:i]) for i in range(len(states))]
+            tables = [parse_table(a, width, at) for a, at in zip(automata, starts, strict=True)]
+            rare = RareTransitions(automata, starts, width) if width < FIRST + len(self.alphabet) else None
             flat = np.concatenate(tables).reshape(-1) if tables else np.zeros(0, np.int32)
             weight = np.log2([len(r) + 1.0 for r in self.references.values()])
-            self._ready = symbol_table(self.alphabet), flat, np.array(starts, np.int32), width, weight
+            self._ready = symbol_table(self.alphabet), flat, np.array(starts, np.int32), width, weight, rare
         return self._ready
 
     def __getstate__(self):
@@ -125,7 +155,7 @@ class LanguageModel:
 
     def pieces(self, texts: list[np.ndarray]) -> np.ndarray:
         """Pieces that each text needs in each language, (texts, languages)."""
-        _, flat, starts, width, _ = self._prepare()
+        _, flat, starts, width, _, rare = self._prepare()
         out = np.zeros((len(texts), len(starts)), np.int64)
         owner = np.repeat(np.arange(len(texts)), [-(-len(t) // BLOCK) for t in texts])
         if not len(owner) or not len(starts):
@@ -141,7 +171,13 @@ class LanguageModel:
         mask = (1 << COUNT_SHIFT) - 1
         for j in range(int(size[0])):
             n = int(active[j])
-            step = flat[state[:, :n] * np.int64(width) + joined[begin[:n] + j]]
+            symbol = joined[begin[:n] + j]
+            if rare is None:
+                step = flat[state[:, :n] * np.int64(width) + symbol]
+            else:
+                beyond = np.nonzero(symbol >= width)[0]
+                step = flat[state[:, :n] * np.int64(width) + np.where(symbol < width, symbol, OTHER)]
+                step[:, beyond] = rare.step(state[:, beyond], symbol[beyond], starts)
             ended[:, :n] += step >> COUNT_SHIFT
             state[:, :n] = step & mask
         ended += state != starts[:, None]  # the piece that the block's end cuts off
@@ -153,7 +189,7 @@ class LanguageModel:
         """Language and score of each text: the score is how much smaller the
         winner's normalised piece count is than the runner-up's. Equal counts
         go to the first language by name, with score 0."""
-        table, _, _, _, weight = self._prepare()
+        table, _, _, _, weight, _ = self._prepare()
         names = list(self.references)
         coded = [symbols(t or "", table) for t in texts]
         known = [names and bool((c != SPACE).any()) for c in coded]
@@ -178,17 +214,21 @@ def held_out(id_col: str = "doc_id") -> Column:
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           documents: int = SAMPLE_DOCUMENTS, per_document: int = SAMPLE_SYMBOLS) -> LanguageModel:
     """References from a bounded sample: of every language the ``documents`` rows
-    of smallest hashed id, and ``per_document`` symbols from the middle of each.
-    Rows with null id, text or language teach nothing. Spark limits each
-    partition to its best rows per language before it shuffles, so a frequent
-    language is no hot task."""
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    picked = (docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"))
-              .where("id IS NOT NULL AND lang IS NOT NULL").withColumn("rank", rank)
-              .where(F.col("rank") <= documents).select("id", "lang").distinct())
-    rows = (docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-            .join(F.broadcast(picked), ["id", "lang"]).where("text IS NOT NULL")
-            .groupBy("lang", "id").agg(F.min("text").alias("text")))  # repeated ids count once
+    of smallest hashed id among distinct ids with a letter in their text, one a
+    text, and ``per_document`` symbols from the middle of each. Rows with null
+    id, text or language teach nothing. Copies and repeated ids meet by
+    aggregation of narrow rows; then Spark limits each partition to its best rows
+    per language before it shuffles, so a frequent language is no hot task."""
+    usable = (docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+              .where(F.col("id").isNotNull() & F.col("lang").isNotNull() & F.regexp_like("text", F.lit(r"\p{L}")))
+              .withColumn("hash", F.xxhash64("text")))
+    by_id = usable.groupBy("lang", "id").agg(F.min("hash").alias("hash"))  # repeated ids count once
+    by_text = by_id.groupBy("lang", "hash").agg(F.min(F.struct(F.xxhash64("id").alias("key"), "id")).alias("least"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("least.key", "least.id"))
+    picked = (by_text.withColumn("rank", rank).where(F.col("rank") <= documents)
+              .select("lang", F.col("least.id").alias("id"), "hash"))
+    rows = (usable.join(F.broadcast(picked), ["lang", "id", "hash"])
+            .groupBy("lang", "id").agg(F.min("text").alias("text")))
 
     def middle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letter = is_letter()
@@ -216,7 +256,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             for c in p:
                 counts[c] = counts.get(c, 0) + 1
     counts.pop(" ", None)
-    alphabet = "".join(sorted(sorted(counts, key=lambda c: (-counts[c], c))[: 256 - FIRST]))
+    alphabet = "".join(sorted(counts, key=lambda c: (-counts[c], c)))
     table = symbol_table(alphabet)
     return LanguageModel({lang: symbols(" ".join(parts), table) for lang, parts in by_lang.items()}, alphabet)
 

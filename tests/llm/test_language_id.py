@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import language_id as L
 from tessera.llm.queries import QUERIES
@@ -87,3 +88,44 @@ def test_held_out_accuracy(spark):
     got = [r for r in QUERIES["op8_language"](spark, SF).collect() if r.held_out]
     right = sum(truth[r.doc_id] == r.lang_pred for r in got)
     assert len(got) > 100 and right / len(got) >= 0.95
+
+
+def test_letters_beyond_the_dense_table(monkeypatch):
+    """The same pieces whether transitions are dense or looked up."""
+    rng = random.Random(6)
+    alphabet = "abcdefgh"
+    table = L.symbol_table(alphabet)
+    text = lambda n, a: L.symbols("".join(rng.choices(a, k=n)), table)
+    references = {"x": text(300, "abcd e"), "y": text(200, "cdef gh"), "z": text(9, "a")}
+    texts = [text(n, "abcdefgh éx") for n in (0, 1, 40, 2500)]
+    dense = L.LanguageModel(references, alphabet).pieces(texts)
+    for most in (0, 1, 4):
+        monkeypatch.setattr(L, "DENSE_LETTERS", most)
+        assert (L.LanguageModel(references, alphabet).pieces(texts) == dense).all()
+
+
+def test_large_alphabets_stay_apart(spark):
+    """Two languages that differ in letters beyond the most frequent 253 only."""
+    rng = random.Random(7)
+    han = [chr(c) for c in range(0x4E00, 0x4E00 + 1200)]
+    common, one, two = han[:300], han[300:700], han[700:1100]
+    words = {c[0]: [c[i] + c[i + 1] for i in range(0, 400, 2)] for c in (one, two)}
+    def text(own):
+        return "".join(rng.choice(common) * 2 + rng.choice(words[own[0]]) for _ in range(120))
+    rows = [(i, text(one if i % 2 else two), "one" if i % 2 else "two", 0) for i in range(120)]
+    df = _rows(spark, rows)
+    model = L.learn(df.where("doc_id < 100"))
+    assert len(model.alphabet) > 900
+    got = L.identify(df.where("doc_id >= 100").withColumn("text", F.translate("text", "".join(common), "")), model).collect()
+    assert all(r.lang_pred == ("one" if r.doc_id % 2 else "two") for r in got)
+
+
+def test_sample_skips_nulls_copies_and_repeated_ids(spark):
+    letters = "abcdefghijklmnopqrst"
+    nulls = [(i, None if i % 2 else "12 !", "en", 0) for i in range(300)]
+    copies = [(1000 + i, "copy copy", "en", 0) for i in range(300)]
+    texts = [(2000 + i, f"{letters[i]} u{letters[i]}v", "en", 0) for i in range(9)]
+    repeated = [texts[0]] * 200
+    model = L.learn(_rows(spark, nulls + copies + texts + repeated), documents=10)
+    words = L.symbols("copy " + " ".join(t for _, t, _, _ in texts), L.symbol_table(model.alphabet))
+    assert len(model.references["en"]) == len(words) + len("copy ")
