@@ -31,7 +31,7 @@ LEAST_REVISIT = 100                 # payload bytes from which a repeat is a rev
 FILE_BYTES = 1 << 30                # compressed bytes from which a task starts its next file
 CHUNK = 1 << 18
 OUT_BYTES = 8 << 20
-MAX_HEAD = 1 << 20                  # bytes of a record's header
+MAX_HEAD = 1 << 20                  # bytes of a record's header that any reader takes; a longer one must be announced
 
 
 class WarcError(ValueError):
@@ -52,6 +52,10 @@ def _digest(data: bytes) -> str:
     return f"sha256:{hashlib.sha256(data).hexdigest()}"
 
 
+def head_bytes(record: bytes) -> int:
+    return record.index(b"\r\n\r\n")
+
+
 def record_bytes(key: str | None, uri: str | None, payload: bytes | None, digest: str, size: int,
                  refers_to: str | None, date: str = DATE) -> bytes:
     """One uncompressed record. With ``refers_to`` it is a revisit, whose block
@@ -111,8 +115,10 @@ class _Member:
         at = 0
         while (found := self.out.find(mark, at)) < 0:
             at = max(0, len(self.out) - len(mark))
-            if len(self.out) > most or not self.more():
+            if len(self.out) >= most + len(mark) or not self.more():
                 raise WarcError("a record header does not end")
+        if found > most:
+            raise WarcError("a record header does not end")
         taken = bytes(self.out[:found])
         del self.out[:found + len(mark)]
         return taken
@@ -139,12 +145,13 @@ def _verify(headers: dict[str, str], name: str, data: bytes) -> None:
         raise WarcError(f"{name} of {headers.get('warc-record-id')} does not match its bytes")
 
 
-def read_records(stream: BinaryIO) -> Iterator[Record]:
-    """All records of a stream in order, one in memory at a time."""
+def read_records(stream: BinaryIO, most_head: int = MAX_HEAD) -> Iterator[Record]:
+    """All records of a stream in order, one in memory at a time; a header of more
+    than ``most_head`` bytes is refused."""
     rest, offset = b"", 0
     while rest or (rest := stream.read(CHUNK)):
         member = _Member(stream, rest)
-        lines = member.until(b"\r\n\r\n", MAX_HEAD).decode("utf-8", "replace").split("\r\n")
+        lines = member.until(b"\r\n\r\n", most_head).decode("utf-8", "replace").split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise WarcError(f"no record begins at byte {offset}")
         headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
@@ -175,8 +182,8 @@ def _open(folder: str) -> tuple[fs.FileSystem, str]:
 
 def write_archives(pages: DataFrame, folder: str, key_col: str = "page_id", uri_col: str = "url", text_col: str = "html",
                    least_revisit: int = LEAST_REVISIT, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Archives of ``pages`` under ``folder``; returns ``(path, records, bytes)``
-    of the files that count, as a written table.
+    """Archives of ``pages`` under ``folder``; returns ``(path, records, bytes, head)``
+    of the files that count, as a written table; ``head`` is their longest header.
 
     The payload is the text in UTF-8 (null: empty). Of records with equal
     payloads of ``least_revisit`` bytes or more, the one of the smallest key is
@@ -200,41 +207,45 @@ def write_archives(pages: DataFrame, folder: str, key_col: str = "page_id", uri_
     is_revisit = F.col("first").isNotNull() & ~F.col("key").eqNullSafe(F.col("first"))
     marked = marked.select(F.col("key").cast("string").alias("key"), "uri", F.when(~is_revisit, F.col("payload")).alias("payload"),
                            "digest", "size", F.when(is_revisit, F.col("first").cast("string")).alias("refers_to"))
-    schema = StructType([StructField("path", StringType()), StructField("records", LongType()), StructField("bytes", LongType())])
+    schema = StructType([StructField("path", StringType()), StructField("records", LongType()), StructField("bytes", LongType()),
+                         StructField("head", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _open(folder)
         store.create_dir(root, recursive=True)
-        part, stream, path, records, held = TaskContext.get().partitionId(), None, "", 0, 0
-        done: list[tuple[str, int, int]] = []
+        part, stream, path, records, held, head = TaskContext.get().partitionId(), None, "", 0, 0, 0
+        done: list[tuple[str, int, int, int]] = []
         try:
             for batch in batches:
                 for key, uri, body, digest, size, refers in zip(*batch.columns, strict=True):
                     if stream is None:
                         path, records, held = f"{root}/part-{part:05d}-{uuid.uuid4().hex}.warc.gz", 0, 0
+                        head = 0
                         stream = store.open_output_stream(path, compression=None)
-                    member = gzip_member(record_bytes(
-                        key.as_py(), uri.as_py(), body.as_py(), digest.as_py(), size.as_py(),
-                        record_id(refers.as_py()) if refers.is_valid else None))
+                    record = record_bytes(key.as_py(), uri.as_py(), body.as_py(), digest.as_py(), size.as_py(),
+                                          record_id(refers.as_py()) if refers.is_valid else None)
+                    member = gzip_member(record)
                     stream.write(member)
-                    records, held = records + 1, held + len(member)
+                    records, held, head = records + 1, held + len(member), max(head, head_bytes(record))
                     if held >= file_bytes:
                         stream.close()
                         stream = None
-                        done.append((path, records, held))
+                        done.append((path, records, held, head))
         finally:
             if stream is not None:
                 stream.close()
-                done.append((path, records, held))
+                done.append((path, records, held, head))
         yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], t) for i, t in
-                                          enumerate((pa.string(), pa.int64(), pa.int64()))], names=["path", "records", "bytes"])
+                                          enumerate((pa.string(), pa.int64(), pa.int64(), pa.int64()))],
+                                         names=["path", "records", "bytes", "head"])
 
     return persist(marked.mapInArrow(run, schema), "warc-files")
 
 
 def read_archives(files: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
     """``(path, offset, record_id, key, record_type, uri, refers_to, digest,
-    payload)`` of every record of ``files(path, ..)`` under ``folder``.
+    payload)`` of every record of ``files(path, head, ..)`` under ``folder``;
+    headers may have ``head`` bytes, or ``MAX_HEAD`` if that is more or not known.
 
     One task reads a file from front to back; a record that breaks the format
     or its digest fails the job. ``key`` and ``refers_to`` are texts.
@@ -255,10 +266,10 @@ def read_archives(files: DataFrame, folder: str, with_payload: bool = True) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = _open(folder)
         for batch in batches:
-            for path in batch.column(0).to_pylist():
+            for path, head in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 rows, held = [], 0
                 with store.open_input_stream(path, compression=None) as stream:
-                    for r in read_records(stream):
+                    for r in read_records(stream, max(MAX_HEAD, head or 0)):
                         rows.append(row(path, r))
                         held += len(r.payload or b"") + 500
                         if held >= OUT_BYTES:
@@ -268,7 +279,8 @@ def read_archives(files: DataFrame, folder: str, with_payload: bool = True) -> D
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), arrow, strict=True)], names=names)
 
     n = max(files.count(), 1)
-    return files.select("path").repartition(min(n, 100_000)).mapInArrow(run, schema)
+    head = F.col("head") if "head" in files.columns else F.lit(None)
+    return files.select("path", head.cast("long").alias("head")).repartition(min(n, 100_000)).mapInArrow(run, schema)
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:

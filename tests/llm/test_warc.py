@@ -81,3 +81,20 @@ def test_round_trip_with_revisits(spark):
 def test_empty_table(spark):
     files, records = _archive(spark, _pages(spark, []))
     assert files.count() == 0 and records.collect() == [] and warc.resolve_revisits(records).collect() == []
+
+
+def test_long_urls(spark):
+    """A percent-encoded URL of over 2 MB in the header, beside a short one."""
+    long = "http://a/" + "ü" * 350_000
+    files, read = _archive(spark, _pages(spark, [(1, long, "x" * 200), (2, "http://b/", "y"), (3, long, "x" * 200)]))
+    assert {r.key: r.uri for r in read.collect()} == {"1": long, "2": "http://b/", "3": long}
+    assert files.agg({"head": "max"}).first()[0] > 2_000_000
+
+
+def test_header_limit_does_not_hang_on_chunks(monkeypatch):
+    data = _member(uri="http://a/" + "x" * 50_000)
+    for chunk in (64, 4096, 1 << 18):
+        monkeypatch.setattr(warc, "CHUNK", chunk)
+        with pytest.raises(warc.WarcError):
+            list(warc.read_records(io.BytesIO(data), 40_000))
+        assert len(list(warc.read_records(io.BytesIO(data), warc.head_bytes(gzip.decompress(data))))) == 1
