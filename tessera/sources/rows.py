@@ -70,6 +70,14 @@ class UnreadableFile(ValueError):
     """Why a metadata file is rejected."""
 
 
+def _fitted(vals: list, header: list, number: int) -> list:
+    """``vals`` at the header's length: short rows end in None, fields beyond the
+    header must be empty. ``number`` is the row's, for the reason."""
+    if any(v not in (None, "") for v in vals[len(header):]):
+        raise UnreadableFile(f"row {number} has more fields than the header")
+    return (vals + [None] * len(header))[:len(header)]
+
+
 def parse_csv(data: bytes, sep: str, encoding: str = "utf-8"):
     """Yield (header, all-text row); pandas' default missing-value text -> None.
     Fields may be of any length."""
@@ -81,10 +89,9 @@ def parse_csv(data: bytes, sep: str, encoding: str = "utf-8"):
         return
     if len(set(header)) < len(header):
         raise UnreadableFile("duplicate column names")
-    for row in reader:
+    for n, row in enumerate(reader, 1):
         if row:
-            vals = [None if v in na else v for v in row] + [None] * (len(header) - len(row))
-            yield header, vals[:len(header)]
+            yield header, [None if v in na else v for v in _fitted(row, header, n)]
 
 
 def _col_index(ref: str) -> int:
@@ -96,7 +103,8 @@ def _col_index(ref: str) -> int:
 
 
 def parse_xlsx(data: bytes):
-    """Yield ``(sheet name, header, rows)`` for every worksheet; cells as text."""
+    """Yield ``(sheet name, header, rows)`` for every worksheet; cells as text,
+    rows as they are found (see ``_fitted``)."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         names = set(z.namelist())
         shared = []
@@ -132,8 +140,7 @@ def parse_xlsx(data: bytes):
             if not grid:
                 continue
             header = [h if h is not None else "" for h in grid[0]]
-            rows = [(header, (r + [None] * len(header))[:len(header)]) for r in grid[1:]]
-            yield sh.get("name"), rows
+            yield sh.get("name"), ((header, _fitted(r, header, n)) for n, r in enumerate(grid[1:], 1))
 
 
 def _parse(path: str, data: bytes, sep: str, encoding: str, sheet_tables: Mapping[str, str]):

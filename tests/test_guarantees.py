@@ -20,6 +20,7 @@ from tessera.sinks import writers
 from tessera.sources import scan
 from tessera.sources.rows import text_rows
 from tessera.spec import CatalogSpec
+from xlsx_fixture import make_xlsx
 
 CONFIG = {
     "files": {"metadata file regex": {"*": r".*\.(json|csv|xlsx)$"}, "data file regex": {"raw": r".*\.txt$"},
@@ -224,3 +225,17 @@ def test_serve_watches_several_folders(spark, tmp_path):
         _post(str(tmp_path / n), f"{n}.json", {"p": [{"name": n, "pk": str(ord(n))}]})
     serve(spark, spec, [str(tmp_path / "a"), str(tmp_path / "b")], root, str(tmp_path / "ck"), once=True)
     assert rows(store.load(spark, root)["p"], "name") == [("a",), ("b",)]
+
+
+@pytest.mark.parametrize("name", ["long.csv", "long.xlsx"])
+def test_rows_longer_than_the_header_reject_the_file(spark, tmp_path, name):
+    grid = [["k", "v"], ["1", "a"], ["2", "b", "lost"]]
+    content = make_xlsx({"T": grid}) if name.endswith("xlsx") else "".join(";".join(r) + "\n" for r in grid)
+    spare = [["k", "v"], ["1", "a", ""], ["2"]]
+    _post(str(tmp_path), name, content)
+    _post(str(tmp_path), f"fine_{name}", make_xlsx({"T": spare}) if name.endswith("xlsx") else "k;v\n1;a;;\n2\n")
+    got = text_rows(spark, [str(tmp_path)], ";")
+    why = {r["_file_name"]: r["_error"] for r in got.where("_error IS NOT NULL").collect()}
+    assert why == {name: "UnreadableFile: row 2 has more fields than the header"}
+    fine = got.where(F.col("_file_name") == f"fine_{name}").select(F.col("row")["k"].alias("k"), F.col("row")["v"].alias("v"))
+    assert rows(fine, "k", "v") == [("1", "a"), ("2", None)]
