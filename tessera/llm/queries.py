@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, embedding_dedup, exact_dedup, language_id, mixing, simhash, suffix_dedup, toxicity, url_filter, warc
+from tessera.llm import (byte_bpe, conversation, decontaminate, embedding_dedup, exact_dedup, language_id, mixing, simhash, spelling,
+                         suffix_dedup, toxicity, url_filter, warc)
 from tessera.llm.common import scratch, table, text_or_empty
 
 QUERIES: dict = {}
@@ -181,3 +182,36 @@ def op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+
+
+@register("op11_spelling")
+def op11_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@register("op12_conversation")
+def op12_conversation(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations")
+    return conversation.repair_conversations(conversation.damaged(rows), rows)
+
+
+@register("op13_decontaminate", r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT item, w, least(len(w), 10) AS size, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS pos FROM b WHERE len(w) > 0),
+iw AS (SELECT DISTINCT coalesce(item, '') AS item, size, array_to_string(w[pos:pos + size - 1], ' ') AS passage FROM bw),
+sizes AS (SELECT DISTINCT size FROM iw),
+dw AS (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS pos FROM d, sizes WHERE len(w) >= size),
+hit AS (SELECT r, pos, size, item FROM (SELECT r, pos, size, array_to_string(w[pos:pos + size - 1], ' ') AS passage FROM dw) JOIN iw USING (size, passage)),
+per AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY r),
+cov AS (SELECT r, count(DISTINCT covered) AS n_hit FROM (SELECT r, unnest(range(pos, pos + size)) AS covered FROM hit) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN per USING (r) LEFT JOIN cov USING (r)
+""")
+def op13_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
