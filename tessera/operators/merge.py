@@ -1,15 +1,15 @@
 """Duplicate-key handling: AGG-1 (merge), AGG-2 (detect), AGG-3 (merged-PK map).
 
 AGG-1 is skew-safe: a key may hold a third of all rows. Keys seen once bypass
-the merge. Rows of duplicated keys are turned into ``(key, column, value)``
-triples and deduplicated with a partial aggregation before anything is
-collected, so what reaches one group is at most the distinct values of one
-column of one key — which is exactly what the merged text has to hold.
+the merge; the values of repeated keys are deduplicated by a partial
+aggregation before anything is collected.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,74 +24,52 @@ def duplicate_keys(df: DataFrame, key_cols: Sequence[str] = (KEY,), out: str = "
             .filter(F.col(out) > 1))
 
 
-NARROW = 4  # value columns up to which "auto" explodes whole rows; both strategies give the same rows
-
-
 def _column_text(i: int, sep: str):
     picked = F.filter(F.col("_l"), lambda x: x["_i"] == F.lit(i))
     return F.when(F.size(picked) > 0, F.array_join(F.transform(picked, lambda x: x["_v"]), sep))
 
 
-def _triples(df: DataFrame, keyed, seq, values, with_presence: bool) -> DataFrame:
-    cells = [F.struct(F.lit(i).alias("i"), q(c).cast("string").alias("v")) for i, c in enumerate(values)]
-    if with_presence:  # one marker per row keeps all-null keys and their first position
-        cells.append(F.struct(F.lit(-1).alias("i"), F.lit("").alias("v")))
-    return (df.select(*keyed, seq.alias("_s"), F.explode(F.array(*cells)).alias("_e"))
-            .filter(F.col("_e.v").isNotNull())
-            .select(*keyed, "_s", F.col("_e.i").alias("_i"), F.col("_e.v").alias("_v")))
-
-
 def merge_duplicates(df: DataFrame, key_cols: Sequence[str] = (KEY,),
                      order_cols: Sequence[str] = (FILE_SEQ, ROW_SEQ),
-                     sep: str = MERGE_SEPARATOR, keep_order_cols: bool = True,
-                     strategy: str = "auto") -> DataFrame:
+                     sep: str = MERGE_SEPARATOR, keep_order_cols: bool = True) -> DataFrame:
     """AGG-1: one row per key; per column the distinct non-null values in
     first-seen order, joined by ``sep`` (none -> NULL, one -> the value).
 
-    Value columns of merged rows are text; order columns take the key's
-    first position (the smallest ``order_cols`` tuple).
+    Value columns are text; order columns take the key's first position (the
+    smallest ``order_cols`` tuple). A null key is a key.
 
-    ``strategy``: ``triples`` explodes every row into (key, column, value)
-    triples (two shuffles, both after partial aggregation) — best for narrow
-    tables; ``split`` lets keys seen once bypass and explodes only duplicated
-    keys — best for wide tables, where triples would outweigh the rows.
-    ``auto`` picks by width. Neither collects more per key than its output.
+    Keys are counted first, by hash aggregation over the key columns alone. The
+    list of repeated keys, usually short, marks the rows (broadcast when small,
+    split by AQE when one key is hot). Rows of keys seen once pass through
+    without an aggregate. The others become ``(key, column, value)`` triples,
+    deduplicated before anything is collected, so a group never holds more than
+    the distinct values that its merged text consists of.
     """
     key_cols = list(key_cols)
     order_cols = [c for c in order_cols if c in df.columns]
     values = [c for c in df.columns if c not in key_cols and c not in order_cols]
-    seq = F.struct(*[q(c) for c in order_cols]) if order_cols else F.lit(0)
     keyed = [q(k) for k in key_cols]
-    if strategy == "auto":
-        strategy = "triples" if len(values) <= NARROW else "split"
-    if strategy == "triples":
-        firsts = _triples(df, keyed, seq, values, True).groupBy(*keyed, "_i", "_v").agg(F.min("_s").alias("_s"))
-        per_key = firsts.groupBy(*keyed).agg(F.array_sort(F.collect_list(F.struct("_i", "_s", "_v"))).alias("_l"))
-        first = F.element_at(F.filter(F.col("_l"), lambda x: x["_i"] == F.lit(-1)), 1)["_s"]
-        out = per_key.select(*keyed, *[_column_text(i, sep).alias(c) for i, c in enumerate(values)],
-                             *[(first[c] if order_cols else F.lit(None)).alias(c) for c in order_cols])
-        return out if keep_order_cols else out.drop(*order_cols)
-
-    counts = df.groupBy(*keyed).agg(F.count(F.lit(1)).alias("_n"), F.min(seq).alias("_first"))
-    counts = counts.select(*keyed, "_n", *[F.col("_first")[c].alias(c) for c in order_cols])
-    # One shuffle of the full rows: tag each row with its key's count (the
-    # counts side is one row per key; AQE splits a hot key on the row side).
-    tagged = df.join(counts.select(*keyed, "_n"), key_cols)
-    single = tagged.filter(F.col("_n") == 1).select(
+    repeated = (df.groupBy(*keyed).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+                .select(*[q(k).alias(f"_k{i}") for i, k in enumerate(key_cols)], F.lit(True).alias("_again")))
+    same = reduce(and_, [q(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(key_cols)])
+    tagged = df.join(repeated, same, "left").drop(*[f"_k{i}" for i in range(len(key_cols))])
+    single = tagged.filter(F.col("_again").isNull()).select(
         *keyed, *[q(c).cast("string").alias(c) for c in values], *[q(c) for c in order_cols])
 
-    triples = _triples(tagged.filter(F.col("_n") > 1), keyed, seq, values, False)
-    # distinct (key, column, value) with its first position: partial aggregation
+    # one order column keeps hash aggregation, which a struct has not
+    position = q(order_cols[0]) if len(order_cols) == 1 else F.struct(*[q(c) for c in order_cols]) if order_cols else F.lit(0)
+    cells = [F.struct(F.lit(i).alias("i"), q(c).cast("string").alias("v")) for i, c in enumerate(values)]
+    cells.append(F.struct(F.lit(-1).alias("i"), F.lit("").alias("v")))  # keeps all-null keys and their first position
+    triples = (tagged.filter(F.col("_again")).select(*keyed, position.alias("_s"), F.explode(F.array(*cells)).alias("_e"))
+               .filter(F.col("_e.v").isNotNull())
+               .select(*keyed, "_s", F.col("_e.i").alias("_i"), F.col("_e.v").alias("_v")))
     firsts = triples.groupBy(*keyed, "_i", "_v").agg(F.min("_s").alias("_s"))
-    # per key: the sorted distinct values of every column (bounded by the output itself)
     per_key = firsts.groupBy(*keyed).agg(F.array_sort(F.collect_list(F.struct("_i", "_s", "_v"))).alias("_l"))
-
-    merged = counts.filter(F.col("_n") > 1).join(per_key, key_cols, "left").select(
-        *keyed, *[_column_text(i, sep).alias(c) for i, c in enumerate(values)], *[q(c) for c in order_cols])
+    first = F.element_at(F.filter(F.col("_l"), lambda x: x["_i"] == F.lit(-1)), 1)["_s"]
+    merged = per_key.select(*keyed, *[_column_text(i, sep).alias(c) for i, c in enumerate(values)],
+                            *[(first if len(order_cols) == 1 else first[c]).alias(c) for c in order_cols])
     out = single.unionByName(merged)
-    if not keep_order_cols:
-        out = out.drop(*order_cols)
-    return out
+    return out if keep_order_cols else out.drop(*order_cols)
 
 
 def merged_pk_map(df: DataFrame, key_cols: Sequence[str], pk: str,

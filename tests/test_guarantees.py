@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tessera.functions.ranking import running_total, sequence_within
 from tessera.functions.regex import extract_groups
-from tessera.operators.merge import merge_duplicates
 from tessera.operators.sort import with_position
 from tessera.operators.upsert import fold_files, fold_into, without_sequences
 from tessera.plans import catalog as store
@@ -78,14 +77,6 @@ def test_groups_and_weights_across_partitions(spark):
 
 
 # ------------------------------------------------------------------ merging
-def test_merge_strategies_agree(spark):
-    df = spark.createDataFrame([(i % 13, i % 3, None if i % 4 else f"v{i % 5}", str(i % 2), i) for i in range(200)],
-                               "k int, f int, a string, b string, _row_seq long")
-    one, two = (rows(merge_duplicates(df, ["k", "f"], ["_row_seq"], strategy=s), "k", "f", "a", "b", "_row_seq")
-                for s in ("triples", "split"))
-    assert one == two
-
-
 def test_fold_does_not_depend_on_arrival(spark):
     schema = "k int, v string, w string, f int"
     batches = [spark.createDataFrame([r], schema) for r in ((1, "A", None, 1), (1, None, "X", 3), (1, "B", None, 2))]

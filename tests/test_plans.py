@@ -35,12 +35,11 @@ def test_small_delta_upsert_does_not_shuffle_the_catalog(spark):
     assert re.search(r"BroadcastHashJoin .*LeftAnti", plan)
 
 
-def test_duplicate_merge_has_no_window(spark):
+def test_duplicate_merge_counts_by_hash_and_passes_single_keys(spark):
     li = spark.read.parquet(f"{SF}/lineitem.parquet").select(
         "l_orderkey", "l_linenumber", F.col("l_returnflag").alias("v"), F.col("l_shipdate").alias("_s"))
-    for strategy in ("triples", "split"):
-        plan = _plan(merge.merge_duplicates(li, ["l_orderkey", "l_linenumber"], ["_s"], strategy=strategy))
-        assert "Window" not in plan
+    plan = _plan(merge.merge_duplicates(li, ["l_orderkey", "l_linenumber"], ["_s"]))
+    assert "Window" not in plan and "SortAggregate" not in plan
 
 
 def test_numbering_uses_range_partitioning(spark):
