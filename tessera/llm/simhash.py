@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import combinations
 from math import comb
 
 import numpy as np
@@ -77,10 +76,6 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 class Partition:
     mask: int          # the bits of this partition
     threshold: int     # differing bits allowed inside it; -1: not used
-    def variants(self) -> list[int]:
-        """XOR masks of every change of at most ``threshold`` bits."""
-        bits = [1 << i for i in range(BITS) if self.mask >> i & 1]
-        return [sum(c) for k in range(self.threshold + 1) for c in combinations(bits, k)]
 
 
 def group_bits(sample: np.ndarray, parts: int) -> list[list[int]]:
@@ -151,17 +146,29 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _longs(values: list[int]):
-    """An array literal, as one expression instead of a column object per value."""
-    return F.expr("array(" + ",".join(f"CAST('{_signed(v)}' AS BIGINT)" for v in values) + ")")
+def _flips(bits: list[int], radius: int):
+    """The XOR masks of every change of at most ``radius`` of ``bits``, made in the
+    tasks from the bits alone: a plan that spells thousands of masks out is
+    sent to every task and kept by the driver."""
+    one = "array(" + ",".join(f"CAST('{_signed(1 << b)}' AS BIGINT)" for b in bits) + ")"
+    levels = ["array(0L)"]
+    for k in range(1, min(radius, len(bits)) + 1):
+        body = " | ".join(f"one[i{j}]" for j in range(k))
+        for j in range(k - 1, -1, -1):
+            first = f"i{j - 1} + 1" if j else "0"
+            body = f"transform(sequence({first}, {len(bits) - k + j}), i{j} -> {body})"
+            if j < k - 1:
+                body = f"flatten({body})"
+        levels.append(body)
+    return F.expr(f"flatten(transform(array({one}), one -> flatten(array({', '.join(levels)}))))")
 
 
 def _variants(part: Partition):
-    return _longs(part.variants())
+    return _flips([i for i in range(BITS) if part.mask >> i & 1], part.threshold)
 
 
 def _hub_masks(radius: int):
-    return _longs([sum(1 << i for i in c) for k in range(radius + 1) for c in combinations(range(BITS), k)])
+    return _flips(list(range(BITS)), radius)
 
 
 def hub_links(fps: DataFrame, distance: int) -> DataFrame:
@@ -175,7 +182,8 @@ def hub_links(fps: DataFrame, distance: int) -> DataFrame:
     least = close.groupBy("hub").agg(F.min("fp").alias("v"))
     around = close if far == near else fps.select("fp", F.explode(_hub_masks(far)).alias("mask")).select(
         "fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("hub"))
-    return around.join(least, "hub").select(F.col("fp").alias("u"), "v").where("u <> v").distinct()
+    # both sides grow with the crowd: never built on the driver
+    return around.join(least.hint("merge"), "hub").select(F.col("fp").alias("u"), "v").where("u <> v").distinct()
 
 
 def close_pairs(fps: DataFrame, distance: int, hot_bucket: int = HOT_BUCKET) -> DataFrame:
@@ -196,7 +204,7 @@ def close_pairs(fps: DataFrame, distance: int, hot_bucket: int = HOT_BUCKET) ->
     probes = probes.select(F.col("fp").alias("u"), "part", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
     some_hot = not hot.isEmpty()
     cold = index.join(hot, ["part", "value"], "left_anti") if some_hot else index
-    pairs = (probes.join(cold.withColumnRenamed("fp", "v"), ["part", "value"])
+    pairs = (probes.join(cold.withColumnRenamed("fp", "v").hint("merge"), ["part", "value"])
              .where((F.col("u") < F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= distance))
              .select("u", "v").distinct())
     if not some_hot:
@@ -240,8 +248,9 @@ def keep_one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: st
     cols = docs.columns
     found = persist(simhash_components(docs, id_col, text_col, shingle, distance), "simhash-found")
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key")
-    several = (found.groupBy("component").agg(F.count("*").alias("n"), F.min(order).alias("winner"))
-               .where("n > 1").select("component", "winner"))
+    # written, so that AQE may split a component that very many rows share
+    several = persist(found.groupBy("component").agg(F.count("*").alias("n"), F.min(order).alias("winner"))
+                      .where("n > 1").select("component", "winner"), "simhash-several")
     wins = F.col("id").eqNullSafe(F.col("winner.id")) & (F.col("text_key") == F.col("winner.text_key"))
     actions = persist(found.join(several, "component").groupBy("id", "text_key")
                       .agg(F.max(wins).alias("wins"), F.count("*").alias("copies"))

@@ -1,6 +1,8 @@
 """SimHash components against all pairs."""
 
 import random
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pytest
@@ -59,12 +61,20 @@ def test_plan_covers_every_pair(distance):
     sample = rng.integers(0, 1 << 62, 500).astype(np.uint64)
     parts = simhash.plan_partitions(sample, 1_000_000, distance)
     assert sum(p.threshold + 1 for p in parts) == distance + 1
-    assert sum(len(p.variants()) for p in parts) < 5000
-    assert sum(len(p.variants()) for p in simhash.plan_partitions(sample[:0], 0, distance)) <= distance + 1
+    probes = lambda parts: sum(comb(p.mask.bit_count(), k) for p in parts for k in range(p.threshold + 1))
+    assert probes(parts) < 5000
+    assert probes(simhash.plan_partitions(sample[:0], 0, distance)) <= distance + 1
     masks = [p.mask for p in parts]
     assert all(a & b == 0 for i, a in enumerate(masks) for b in masks[:i])
 
 
+def test_masks_are_all_changes_of_few_bits(spark):
+    for bits, radius in (([0, 5, 63], 0), ([0, 5, 63], 1), ([1, 2, 3, 40, 63], 3), ([7], 2), (list(range(64)), 2)):
+        got = spark.range(1).select(simhash._flips(bits, radius).alias("m")).first().m
+        want = {sum(1 << b for b in c) for k in range(radius + 1) for c in combinations(bits, k)}
+        assert len(got) == len(want) and {m & (1 << 64) - 1 for m in got} == want
+
+
 @pytest.mark.parametrize("distance,hot", [(4, 1024), (4, 2), (3, 2), (3, 1024)])
 def test_links_match_all_pairs(spark, distance, hot):
     rng = random.Random(distance * 10 + hot)
