@@ -33,8 +33,13 @@ def extract_groups(c: Column | str, pattern: str, match: bool = True) -> dict[st
     """
     c = F.col(c) if isinstance(c, str) else c
     java, index = to_java_pattern(pattern)
-    if match and not java.startswith("^"):
-        java = "^(?:" + java + ")"
-        index = {k: v for k, v in index.items()}  # non-capturing wrapper keeps indexes
+    if match:
+        java = f"^(?:{java})"  # all of the pattern: the start belongs to every alternative
     hit = c.rlike(java)
     return {name: F.when(hit, F.regexp_extract(c, java, idx)) for name, idx in index.items()}
+
+
+def matches(c: Column, pattern: str, anywhere: bool = False) -> Column:
+    """Whether a Python pattern fits the start of ``c`` (or some part of it)."""
+    java, _ = to_java_pattern(pattern)
+    return c.rlike(java if anywhere else f"^(?:{java})")

@@ -2,45 +2,55 @@
 JON-11 (move-only).
 
 A row references a data file when one of its file-name columns *contains*
-the file's basename (literal substring). The exact match is computed as an
-equi-join: every distinct column value emits its substrings of the lengths
-that file names actually have (a small, bounded set of lengths, collected as
-a statistic), and those substrings join the distinct file names. That finds
-every containment, with no cap on candidates and no nested loop.
+the file's basename (literal substring). Every name stands in an index under
+the rarest of its q-grams (runs of ``GRAM`` characters); every distinct column
+value emits its q-grams once, under a 16-byte key instead of its text; what
+meets is verified. Emitted rows are linear in the length of a cell, whatever the
+names, every containment is found, and no side is assumed small.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.transforms import q
 from tessera.spec import FLAG_FALSE, FLAG_TRUE
 
+GRAM = 6
+_CHUNK = 256    # characters cut at a time: finding a place in a text costs its distance from the start
 
-def _substr_at(value: F.Column, n: int):
-    return lambda p: F.substring(value, p, F.lit(n))
 
+def _grams(text: Column, n: int) -> Column:
+    """The distinct runs of ``n`` characters of ``text``."""
+    cut = F.transform(F.sequence(F.lit(0), F.greatest(F.char_length(text) - n, F.lit(0)), F.lit(_CHUNK)),
+                      lambda at: F.substring(text, at + 1, F.lit(_CHUNK + n - 1)))
+    runs = F.transform(cut, lambda c: F.transform(F.sequence(F.lit(1), F.char_length(c) - n + 1), lambda p: F.substring(c, p, F.lit(n))))
+    return F.when(F.char_length(text) >= n, F.array_distinct(F.flatten(runs))).otherwise(F.array().cast("array<string>"))
 
-def _substrings(value: F.Column, lengths: Sequence[int]) -> F.Column:
-    arrays = []
-    for n in lengths:
-        arrays.append(F.when(F.length(value) >= n,
-                             F.transform(F.sequence(F.lit(1), F.length(value) - n + 1), _substr_at(value, n)))
-                      .otherwise(F.array().cast("array<string>")))
-    return F.flatten(F.array(*arrays)) if arrays else F.array().cast("array<string>")
+
+def _anchored(names: DataFrame) -> DataFrame:
+    """``(_name, _gram)``: the q-gram of each name that fewest names have; a shorter
+    name is its own."""
+    grams = names.select("_name", F.explode(F.when(F.char_length("_name") < GRAM, F.array("_name"))
+                                            .otherwise(_grams(F.col("_name"), GRAM))).alias("_gram"))
+    used = grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    return grams.join(used, "_gram").groupBy("_name").agg(F.min(F.struct("_n", "_gram")).alias("_r")).select("_name", F.col("_r._gram").alias("_gram"))
 
 
 def contains_matches(values: DataFrame, value_col: str, files: DataFrame, name_col: str) -> DataFrame:
     """Pairs ``(value, file name)`` where the value contains the name."""
     names = files.select(q(name_col).alias("_name")).filter(F.col("_name").isNotNull() & (F.length("_name") > 0)).distinct()
-    lengths = sorted(r[0] for r in names.select(F.length("_name")).distinct().collect())
-    vals = values.select(q(value_col).alias("_value")).filter(F.col("_value").isNotNull()).distinct()
-    subs = vals.select("_value", F.explode(F.array_distinct(_substrings(F.col("_value"), lengths))).alias("_sub"))
-    return subs.join(names, subs["_sub"] == names["_name"]).select(
-        F.col("_value").alias(value_col), F.col("_name").alias(name_col))
+    index = _anchored(names)
+    short = sorted(r[0] for r in names.select(F.char_length("_name").alias("n")).where(F.col("n") < GRAM).distinct().collect())
+    vals = values.select(q(value_col).cast("string").alias("_value")).filter(F.col("_value").isNotNull()).distinct()
+    key = F.unhex(F.md5(F.col("_value").cast("binary")))
+    grams = vals.select(key.alias("_id"), F.explode(F.flatten(F.array(*[_grams(F.col("_value"), n) for n in [*short, GRAM]]))).alias("_gram"))
+    met = grams.join(index, "_gram").select("_id", "_name").distinct()
+    return (met.join(vals.select(key.alias("_id"), "_value"), "_id").filter(F.contains("_value", "_name"))
+            .select(F.col("_value").alias(value_col), F.col("_name").alias(name_col)))
 
 
 def link_files(rows: DataFrame, files: DataFrame, name_cols: Sequence[str], flag_cols: Sequence[str],

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.ranking import sequence_within
+from tessera.functions.regex import matches
 from tessera.operators.transforms import q
 
 UNKNOWN = "unknown"
@@ -33,7 +34,7 @@ def ignore_filter(df: DataFrame, rules: Sequence[str], path_col: str = "path",
     pats = [r[3:] for r in rules if r.startswith("re:")]
     hit = name.isin(lits) if lits else F.lit(False)
     for p in pats:
-        hit = hit | q(path_col).rlike(p) | name.rlike("^(?:" + p + ")")
+        hit = hit | matches(q(path_col), p, anywhere=True) | matches(name, p)
     return df.filter(~F.coalesce(hit, F.lit(False)))
 
 
@@ -44,7 +45,7 @@ def classify(name: Column, metadata_rules: Mapping[str, str], data_rules: Mappin
     whose pattern matches at the start of the basename wins."""
     expr = None
     for cls, pat in list(metadata_rules.items()) + list(data_rules.items()):
-        cond = name.rlike("^(?:" + pat + ")")
+        cond = matches(name, pat)
         expr = F.when(cond, F.lit(cls)) if expr is None else expr.when(cond, F.lit(cls))
     return F.lit(unknown) if expr is None else expr.otherwise(F.lit(unknown))
 
@@ -99,11 +100,6 @@ def name_versions(df: DataFrame, stem_col: str, order_cols: Sequence, ext: Colum
     return first.unionByName(renamed.drop("_k")).withColumn("version", F.col("_v") - 1).drop("_v", "_stamp")
 
 
-def timestamp_suffix(ts: Column) -> Column:
-    """``_YYYYMMDD_HHMMSS`` used when a renamed copy is kept."""
-    return F.concat(F.lit("_"), F.date_format(ts, "yyyyMMdd_HHmmss"))
-
-
 def conflict_action(exists: Column, same_content: Column, overwrite: bool) -> Column:
     """FIL-6: what to do with an incoming file whose name exists at the target."""
     if overwrite:
@@ -180,23 +176,23 @@ def placement_actions(plan: DataFrame, existing: DataFrame | None, overwrite: bo
                       folder_col: str = "folder", name_col: str = "file_name") -> DataFrame:
     """FIL-6 + FIL-9: for each planned (file ``path``, target folder), whether
     the name already exists there and what to do (``move`` / ``overwrite`` /
-    ``drop_identical`` / ``rename_older``). ``existing`` lists the targets as
-    ``(folder, file_name, path)``. Contents are hashed only for colliding
-    names (FIL-3), never for the rest."""
+    ``drop_identical`` / ``rename_older``); ``replaces`` is the file that is there.
+    ``existing`` lists the targets as ``(folder, file_name, path)``. Contents are
+    hashed only for colliding names (FIL-3), never for the rest: a batch has no
+    more of them than planned files, and their paths are what the driver holds."""
     if existing is None:
-        return plan.withColumn("action", F.lit("move"))
-    ex = existing.select(q(folder_col), q(name_col), F.col("path").alias("_old_path"))
+        return plan.withColumn("action", F.lit("move")).withColumn("replaces", F.lit(None).cast("string"))
+    ex = existing.select(q(folder_col), q(name_col), F.col("path").alias("replaces"))
     joined = plan.join(ex, [folder_col, name_col], "left")
     spark = plan.sparkSession
-    clash = [r for r in joined.filter(F.col("_old_path").isNotNull()).select("path", "_old_path").collect()]
     same = F.lit(False)
-    if clash and not overwrite:
+    clash = [] if overwrite else joined.filter(F.col("replaces").isNotNull()).select("path", "replaces").collect()
+    if clash:
         paths = sorted({p for r in clash for p in (r[0], r[1])})
         hashes = spark.read.format("binaryFile").load(paths).select(
             F.col("path").alias("_hp"), content_hash(F.col("content")).alias("_h"))
         joined = (joined.join(hashes.withColumnRenamed("_hp", "path").withColumnRenamed("_h", "_new_h"), "path", "left")
-                  .join(hashes.withColumnRenamed("_hp", "_old_path").withColumnRenamed("_h", "_old_h"),
-                        "_old_path", "left"))
+                  .join(hashes.withColumnRenamed("_hp", "replaces").withColumnRenamed("_h", "_old_h"), "replaces", "left"))
         same = F.coalesce(F.col("_new_h") == F.col("_old_h"), F.lit(False))
-    action = conflict_action(F.col("_old_path").isNotNull(), same, overwrite)
-    return joined.withColumn("action", action).drop("_old_path", "_new_h", "_old_h")
+    action = conflict_action(F.col("replaces").isNotNull(), same, overwrite)
+    return joined.withColumn("action", action).drop("_new_h", "_old_h")

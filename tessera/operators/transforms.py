@@ -1,4 +1,4 @@
-"""Per-row projections and filters: PRJ-1..10, PRJ-13, FLT-1, FLT-3."""
+"""Per-row projections and filters: PRJ-1..10, PRJ-13, FLT-1."""
 
 from __future__ import annotations
 
@@ -125,20 +125,7 @@ def typed_keys(df: DataFrame, columns: Sequence[str], reject_col: str = "_reject
     return df.select(*[casts[c].alias(c) if c in casts else q(c) for c in df.columns], bad.alias(reject_col))
 
 
-def reject_files_with_bad_keys(df: DataFrame, file_col: str = FILE_SEQ, reject_col: str = "_reject"):
-    """A bad key fails its whole file: split into (kept rows, rejected files)."""
-    bad_files = df.filter(q(reject_col)).select(file_col).distinct()
-    kept = df.join(bad_files, file_col, "left_anti").drop(reject_col)
-    return kept, bad_files
-
-
 # ---------------------------------------------------------------- PRJ-13
 def stringify(df: DataFrame, exclude: Iterable[str] = CONTROL_COLUMNS) -> DataFrame:
     ex = set(exclude)
     return df.select(*[q(c) if c in ex else q(c).cast("string").alias(c) for c in df.columns])
-
-
-# ---------------------------------------------------------------- FLT-3
-def contains_name(column: Column, name: Column) -> Column:
-    """Literal containment; NULL never matches (D8: not a regex)."""
-    return F.coalesce(F.contains(column, name), F.lit(False))

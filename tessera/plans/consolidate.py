@@ -3,32 +3,38 @@
 files (SRC-7) -> ignore (FIL-1) -> classify (FIL-2) -> hash + first arrival
 (FIL-3/4) -> metadata rows (SRC-1/2/3/4) -> table identification (RTE-1) ->
 required tables (FLT-2) -> per table: enrich, key, merge (PIP-1) -> load
-related tables (PIP-2, JON-8) -> link data files (JON-9..11) -> sort,
-project, write a new catalog version and its replicas (SRT, SNK) ->
-publish / store / reject plans (FIL-9..11) and load statistics (AGG-5).
+related tables (PIP-2) into the buckets that their keys fall into -> references
+checked for what changed (JON-8) -> link data files (JON-9..11) -> plans of
+file moves (FIL-6, FIL-9..11) and load statistics (AGG-5) -> one commit ->
+replicas, sorted (SRT, SNK).
 
-File moves are returned as plan frames, not executed.
+Every table is written before it is read again, so nothing is computed twice.
+File moves are not executed: they are saved with the version as actions that a
+storage job reads and acknowledges (``outbox``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import identify, linking, manifest, sort, upsert
-from tessera.operators.relations import orphan_cascade
-from tessera.operators.transforms import FILE_MTIME, FILE_NAME, FILE_PATH, FILE_SEQ, KEY, ROW_SEQ, with_key
+from tessera.operators.relations import pk_seed
+from tessera.operators.transforms import FILE_MTIME, FILE_NAME, FILE_PATH, FILE_SEQ, KEY, ROW_SEQ, q, with_key
 from tessera.plans import catalog as store
+from tessera.plans import integrity, outbox
 from tessera.plans.load import load_related
 from tessera.plans.prepare import enrich
 from tessera.session import materialize
 from tessera.sinks.writers import publish
 from tessera.sources.rows import ERROR, metadata_rows
 from tessera.sources.scan import list_files
-from tessera.spec import DEFAULT_TABLE, CatalogSpec
+from tessera.spec import DEFAULT_TABLE, FLAG_TRUE, CatalogSpec
+
+WHOLE_FILE_BYTES = 256 << 20    # larger metadata files are not read whole by one task
 
 
 @dataclass
@@ -42,41 +48,31 @@ class BatchResult:
     store_plan: DataFrame | None
     stats: DataFrame | None
     replica_errors: dict = field(default_factory=dict)
+    actions: DataFrame | None = None
 
 
-def _target_listing(spark: SparkSession, targets: dict) -> DataFrame | None:
+def _target_listing(spark: SparkSession, folders: list[str]) -> DataFrame | None:
     """Files already present in the target folders (names and paths only)."""
     out = None
-    for f in sorted({f for v in targets.values() for f in v}):
+    for f in sorted(set(folders)):
         try:
             lf = list_files(spark, f).select(F.lit(f).alias("folder"), F.col("name").alias("file_name"), "path")
-        except FileNotFoundError:  # folder not created yet
+        except FileNotFoundError:  # not there yet
             continue
         out = lf if out is None else out.unionByName(lf)
     return out
 
 
-def _last_file_seq(catalog: Mapping[str, DataFrame]) -> int:
-    """The highest file number in the catalog, 0 if it has none: one aggregate per table."""
-    last = 0
-    for df in catalog.values():
-        if FILE_SEQ in df.columns:
-            last = max(last, df.agg(F.max(FILE_SEQ)).first()[0] or 0)
-    return last
-
-
-def _versioned(data: DataFrame, files: DataFrame, spec: CatalogSpec) -> tuple[DataFrame, DataFrame | None]:
+def _versioned(data: DataFrame, spec: CatalogSpec) -> tuple[DataFrame, DataFrame | None]:
     """``data`` with ``publish_name``: files that share a name (their contents
     differ, or FIL-4 had dropped them) keep it once, the others get a time
     stamp; those beyond the variation limit are rejected."""
-    times = files.select("path", "modificationTime")
-    named = data.join(times, "path", "left")
     stem = F.regexp_extract("file_name", r"^(.*?)(\.[^.]*)?$", 1)
     ext = F.regexp_extract("file_name", r"^(.*?)(\.[^.]*)?$", 2)
-    shared = named.groupBy("file_name").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("file_name")
+    shared = data.groupBy("file_name").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("file_name")
     if shared.isEmpty():
         return data.withColumn("publish_name", F.lit(None).cast("string")), None
-    crowd = named.join(shared, "file_name", "left_semi").withColumns({"_stem": stem, "_ext": ext})
+    crowd = data.join(shared, "file_name", "left_semi").withColumns({"_stem": stem, "_ext": ext})
     plan = manifest.name_versions(crowd, "_stem", ["modificationTime", "path"], F.col("_ext"), spec.max_file_variations,
                                   out_name="publish_name", stamp_col="modificationTime")
     plan = materialize(plan.select("path", "publish_name", "action"))
@@ -99,199 +95,278 @@ def identify_tables(spark: SparkSession, rows: DataFrame, spec: CatalogSpec) ->
     """RTE-1 for every (file, table hint). A block named after a table (JSON
     root key, worksheet) goes to it when that table's required columns are
     present. Other blocks (hint ``_``: leftovers, single-table files) are
-    identified by their columns: candidates are the tables whose required
-    set is contained in the block's columns, the smallest number of extra
+    identified by their columns: the fitting table with the fewest further
     columns wins, and a tie goes to the hint if it is among the tied tables
-    (else the block is unresolved).
-
-    The table list is configuration-sized, so candidates are evaluated per
-    block with literal arrays — no join; a block's column set is bounded by
-    the schema width."""
-    required = {t: sorted(ts.required_columns) for t, ts in spec.tables.items()}
-    groups = rows.select(FILE_PATH, "tbl", F.explode(F.map_keys("row")).alias("col")).distinct()
-    have = groups.groupBy(FILE_PATH, F.col("tbl").alias("hint")).agg(F.collect_set("col").alias("_cols"))
-    cols = F.col("_cols")
-    cands = F.filter(F.array(*[
-        F.struct(F.when(F.size(F.array_except(F.array(*[F.lit(c) for c in req]).cast("array<string>"), cols)) == 0,
-                        F.size(cols) - F.lit(len(req))).alias("d"), F.lit(t).alias("t"))
-        for t, req in required.items()]), lambda c: c["d"].isNotNull())
-    best = F.array_min(F.transform(cands, lambda c: c["d"]))
-    tied = F.filter(cands, lambda c: c["d"] == best)
+    (else the block is unresolved)."""
+    required = identify.required_frame(spark, {t: ts.required_columns for t, ts in spec.tables.items()})
+    blocks = (rows.select(FILE_PATH, F.col("tbl").alias("hint"), F.explode(F.map_keys("row")).alias("col")).distinct()
+              .groupBy(FILE_PATH, "hint").agg(F.collect_set("col").alias("cols")))
+    fits = identify.table_candidates(blocks, [FILE_PATH, "hint"], required)
+    tied, hint = identify.closest(), F.col("hint")
     named = [t for t in spec.tables if t != DEFAULT_TABLE]
-    hint = F.col("hint")
-    hint_ok = F.exists(cands, lambda c: c["t"] == hint)
-    final = (F.when(hint.isin(named) & hint_ok, hint)
-             .when(F.size(tied) == 1, F.element_at(tied, 1)["t"])
+    final = (F.when(hint.isin(named) & F.exists("cands", lambda c: c["t"] == hint), hint)
+             .when(F.size(tied) == 1, F.get(tied, F.lit(0))["t"])
              .when(F.exists(tied, lambda c: c["t"] == hint), hint))
     # Blocks no table claims by name (JSON leftovers, unmapped sheets) are only
     # identified by their columns when the default table is mapped or when
     # identification is forced; otherwise they are skipped, not rejected.
     unnamed = ~hint.isin(named) if named else F.lit(True)
     skip = F.lit(False) if (spec.force_identification or DEFAULT_TABLE in spec.table_names) else unnamed
-    return have.select(FILE_PATH, "hint", F.when(~skip, final).alias("table"), skip.alias("skip"))
+    return fits.select(FILE_PATH, "hint", F.when(~skip, final).alias("table"), skip.alias("skip"))
 
 
-def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catalog_root: str,
-                key_mode: str = "concat", write_replicas: bool = True,
-                held: DataFrame | None = None, encoding: str = "utf-8", strict: bool = False, batch: int | None = None,
-                state: Callable[[BatchResult], Mapping[str, DataFrame]] | None = None) -> BatchResult:
-    """``held``: data files kept from earlier batches (path, file_name,
-    file_class), matched again against the updated catalog. ``encoding`` is that
-    of text files without a byte order mark; ``strict`` rejects files whose
-    relative FKs they do not resolve themselves (D12). ``state`` makes further
-    tables (names begin with ``__``) that are saved under the same version, and
-    ``batch`` is noted there, so a batch is in the store as a whole or not at all."""
-    # ---- manifest: list, ignore, classify, first arrivals ------------------
-    listing = list_files(spark, inputs)  # metadata columns only: contents are not read here
-    files = listing.select("path", "name", "modificationTime", "length")
+def _arrivals(spark: SparkSession, spec: CatalogSpec, inputs: list[str]) -> DataFrame:
+    """SRC-7 and FIL-1..4: the files of the batch, listed (contents unread),
+    classified, one of each (name, content)."""
+    files = list_files(spark, inputs).select("path", "name", "modificationTime", "length")
     files = manifest.ignore_filter(files, spec.ignore, path_col="path", name_col="name")
-    files = files.withColumn("file_class", manifest.classify(F.col("name"), spec.metadata_regex, spec.data_regex))
-    # FIL-3/4: contents are hashed only where two files share a name (the only
-    # case the hash decides); a unique name keeps md5 NULL.
-    files = materialize(files)
+    files = materialize(files.withColumn("file_class", manifest.classify(F.col("name"), spec.metadata_regex, spec.data_regex)))
+    # contents are hashed only where two files share a name (the only case the hash decides)
     shared = files.groupBy("name").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-    # one file: its content in full for the hash; an empty one needs no reading
-    shared_paths = [r[0] for r in files.where("length > 0").join(shared, "name", "left_semi").select("path").collect()]
-    if shared_paths:
-        hashes = (spark.read.format("binaryFile").load(shared_paths)
+    paths = [r[0] for r in files.join(shared, "name", "left_semi").select("path").collect()]
+    if not paths:
+        return files.withColumn("md5", F.lit(None).cast("string"))
+    empty = F.md5(F.lit("").cast("binary"))
+    full = [r[0] for r in files.where("length > 0").join(shared, "name", "left_semi").select("path").collect()]
+    if full:
+        hashes = (spark.read.format("binaryFile").load(full)
                   .select("path", manifest.content_hash(F.col("content")).alias("md5")))
         files = files.join(hashes, "path", "left")
     else:
         files = files.withColumn("md5", F.lit(None).cast("string"))
-    files = files.withColumn("md5", F.when(F.col("length") == 0, F.md5(F.lit("").cast("binary"))).otherwise(F.col("md5")))
-    files = manifest.first_arrivals(files, ["name", "md5"], ["modificationTime", "path"])
-    files = materialize(files)
-    meta_classes = list(spec.metadata_regex)
-    is_meta = F.col("file_class").isin(meta_classes)
-    meta_paths = [r[0] for r in files.filter(is_meta & (F.col("length") > 0)).select("path").collect()]
-    # ---- metadata rows, identification, required tables --------------------
-    current = {t: df for t, df in store.load(spark, catalog_root).items() if not t.startswith("__")}
-    reloaded = False
-    if not current and spec.catalog_names:
-        current = store.reload_from_replicas(spark, spec, key_mode)  # SRC-5 on start
-        reloaded = True
-    catalog = dict(current)
-    rejected_parts = []
-    stats = None
-    rows = metadata_rows(spark, meta_paths, list(spec.tables), spec.csv_separator, encoding,
-                         sheet_tables=_table_hint_names(spec)) if meta_paths else None
-    if rows is not None:
-        rows = materialize(rows)
-        unread = rows.filter(F.col(ERROR).isNotNull()).select(F.col(FILE_PATH).alias("path"), F.lit("unreadable").alias("reason")).distinct()
-        silent = manifest.reject_files(files.filter(is_meta).select("path"), rows.select(F.col(FILE_PATH).alias("path")),
-                                       "path", "no_rows")
-        rejected_parts += [unread, silent]
-        rows = rows.join(unread.select(F.col("path").alias(FILE_PATH)), FILE_PATH, "left_anti").drop(ERROR)
-        ident = identify_tables(spark, rows, spec)
-        rows = rows.join(ident.withColumnRenamed("hint", "tbl"), [FILE_PATH, "tbl"])
-        rows = rows.filter(~F.col("skip")).drop("skip")
-        unresolved = rows.filter(F.col("table").isNull()).select(FILE_PATH).distinct()
-        present = rows.filter(F.col("table").isNotNull()).select(F.col(FILE_PATH).alias("file"),
-                                                                 F.col("table").alias("tbl"))
-        req = [t for t in spec.required_tables if t in spec.tables]
-        missing = (identify.required_tables(present, req).filter(~F.col("ok")).select(F.col("file").alias(FILE_PATH))
-                   if req else present.limit(0).select(F.col("file").alias(FILE_PATH)))
-        bad = unresolved.unionByName(missing).distinct()
-        rejected_parts.append(bad.select(F.col(FILE_PATH).alias("path"), F.lit("no_usable_table").alias("reason")))
-        rows = rows.join(bad, FILE_PATH, "left_anti").filter(F.col("table").isNotNull())
-        # file order = (mtime, path) (D16), dense over the batch's files
-        order = rows.select(FILE_PATH, FILE_MTIME).distinct()
-        order = sort.with_position(order, [(FILE_MTIME, True), (FILE_PATH, True)], out=FILE_SEQ)
-        # and goes on where the catalog's files ended, so later batches sort after earlier ones
-        ended = _last_file_seq(current)
-        order = order.withColumn(FILE_SEQ, F.col(FILE_SEQ) + F.lit(ended)).select(FILE_PATH, FILE_SEQ)
-        rows = materialize(rows.join(order, FILE_PATH))
-        deltas = {}
-        for t in spec.tables:
-            tr = rows.filter(F.col("table") == t)
-            cols = sorted(r[0] for r in tr.select(F.explode(F.map_keys("row"))).distinct().collect())
-            if not cols:
-                continue
-            wide = tr.select(FILE_PATH, FILE_NAME, FILE_MTIME, FILE_SEQ, ROW_SEQ,
-                             *[F.element_at("row", F.lit(c)).alias(c) for c in cols])
+    files = files.withColumn("md5", F.when(F.col("length") == 0, empty).otherwise(F.col("md5")))
+    return materialize(manifest.first_arrivals(files, ["name", "md5"], ["modificationTime", "path"]))
+
+
+def _read(spark: SparkSession, spec: CatalogSpec, meta: list, encoding: str) -> tuple[DataFrame, list[DataFrame]]:
+    """The rows of the metadata files ``meta`` with their ``table`` and file number, and
+    what is rejected."""
+    paths = [r["path"] for r in meta]
+    rows = metadata_rows(spark, paths, list(spec.tables), spec.csv_separator, encoding, _table_hint_names(spec),
+                         large=[r["path"] for r in meta if r["length"] > WHOLE_FILE_BYTES])
+    listed = spark.createDataFrame([(p, i) for i, p in enumerate(paths, 1)], f"{FILE_PATH} string, {FILE_SEQ} long")
+    if rows is None:
+        return None, [listed.select(F.col(FILE_PATH).alias("path"), F.lit("no_rows").alias("reason"))]
+    rows = materialize(rows)
+    unread = rows.filter(F.col(ERROR).isNotNull()).select(F.col(FILE_PATH).alias("path"), F.lit("unreadable").alias("reason")).distinct()
+    silent = manifest.reject_files(listed.select(F.col(FILE_PATH).alias("path")), rows.select(F.col(FILE_PATH).alias("path")),
+                                   "path", "no_rows")
+    rows = rows.join(unread.select(F.col("path").alias(FILE_PATH)), FILE_PATH, "left_anti").drop(ERROR)
+    ident = materialize(identify_tables(spark, rows, spec)).where(~F.col("skip")).drop("skip")
+    found = ident.filter(F.col("table").isNotNull())
+    bad = ident.filter(F.col("table").isNull()).select(FILE_PATH)
+    if req := [t for t in spec.required_tables if t in spec.tables]:
+        present = found.select(F.col(FILE_PATH).alias("file"), F.col("table").alias("tbl"))
+        bad = bad.unionByName(identify.required_tables(present, req).filter(~F.col("ok")).select(F.col("file").alias(FILE_PATH)))
+    bad = bad.distinct()
+    keep = found.join(bad, FILE_PATH, "left_anti").join(listed, FILE_PATH)  # files in the order of (mtime, path), D16
+    rows = rows.join(keep.withColumnRenamed("hint", "tbl"), [FILE_PATH, "tbl"])
+    return rows, [unread, silent, bad.select(F.col(FILE_PATH).alias("path"), F.lit("no_usable_table").alias("reason"))]
+
+
+def _load(cat: store.Catalog, rows: DataFrame, spec: CatalogSpec, key_mode: str,
+          strict: bool) -> tuple[list[DataFrame], DataFrame | None]:
+    """Upserts ``rows`` into the buckets of their keys and checks references; rejected
+    files ``(_file_seq, reason)`` and the load statistics."""
+    names: dict[str, list[str]] = {}
+    for r in rows.select("table", F.explode(F.map_keys("row")).alias("c")).distinct().collect():
+        names.setdefault(r["table"], []).append(r["c"])
+    rows = rows.withColumn(FILE_SEQ, F.col(FILE_SEQ) + F.lit(cat.last_file_seq))  # after all earlier batches
+    deltas = {}
+    for t in spec.tables:
+        if t in names:
+            wide = rows.filter(F.col("table") == t).select(
+                FILE_PATH, FILE_NAME, FILE_MTIME, FILE_SEQ, ROW_SEQ, *[F.element_at("row", F.lit(c)).alias(c) for c in sorted(names[t])])
             deltas[t] = enrich(wide, spec.tables[t], spec)
-        stats_parts = []
-        for t, d in deltas.items():
+    before, touched, posted, bad_files = dict(cat.tables), {}, {}, []
+
+    def near(t: str, keys: DataFrame) -> DataFrame | None:
+        posted[t] = keys
+        if t not in cat:
+            return None
+        touched[t] = cat.buckets_of(t, keys)
+        return cat.frame(t, touched[t])
+
+    loaded = load_related({}, deltas, spec, key_mode, clean_orphans=False, checkpoint_tables=False, strict=strict,
+                          rejects=bad_files, near=near,
+                          seed=lambda t, pk: pk_seed(cat.frame(t), pk) if t in cat else 1)
+    stats_parts = []
+    for t in spec.topological_order():
+        if t not in loaded:
+            continue
+        if not spec.tables[t].key:
+            cat.append(t, loaded[t])
+            continue
+        if t in touched:
+            cat.put_buckets(t, loaded[t], touched[t])
+        else:
+            cat.put(t, loaded[t], [KEY])
+            touched[t] = list(range(cat.tables[t].buckets))
+        k = with_key(deltas[t], spec.tables[t].key_columns, key_mode)
+        k = k.withColumn(KEY, F.when(~F.col(KEY).isin(list(spec.null_tokens)), F.col(KEY))).select(FILE_NAME, KEY)
+        old = cat.frame_of(before[t], touched[t]).select(KEY) if t in before else k.select(KEY).limit(0)
+        stats_parts.append(upsert.load_stats(old, k, [KEY], [FILE_NAME]).withColumn("table", F.lit(t)))
+        dups = (k.filter(F.col(KEY).isNotNull()).groupBy(FILE_NAME)
+                .agg((F.count(F.lit(1)) - F.count_distinct(KEY)).cast("bigint").alias("n")).filter(F.col("n") > 0))
+        stats_parts.append(dups.select(FILE_NAME, F.lit("duplicate").alias("outcome"), "n", F.lit(t).alias("table")))
+    gone = integrity.clean(cat, before, posted, touched, spec)
+    if counts := [(None, "orphan_deleted", n, t) for t, n in gone.items() if n]:
+        stats_parts.append(rows.sparkSession.createDataFrame(counts, f"{FILE_NAME} string, outcome string, n long, `table` string"))
+    stats = None
+    for s in stats_parts:
+        stats = s if stats is None else stats.unionByName(s)
+    return bad_files, stats
+
+
+def _link(cat: store.Catalog, spec: CatalogSpec, data: DataFrame) -> DataFrame | None:
+    """JON-9: the names of ``data`` that some row of the catalog holds. Rows that hold
+    one are flagged as published; only buckets with a row whose flag changes are
+    written. Two or three columns of the tables are read, None without such tables."""
+    found = None
+    for t, ts in spec.tables.items():
+        if not (ts.data_filenames and t in cat and all(c in cat.frame(t).columns for c in ts.data_filenames)):
+            continue
+        table = cat.frame(t)
+        values = None
+        for c in ts.data_filenames:
+            v = table.select(q(c).cast("string").alias("_value"))
+            values = v if values is None else values.unionByName(v)
+        met = materialize(linking.contains_matches(values, "_value", data, "file_name"))
+        names = met.select("file_name").distinct()
+        found = names if found is None else found.unionByName(names)
+        if not ts.published_flags or met.isEmpty():
+            continue
+        hits = met.select("_value").distinct()
+
+        def hit(df: DataFrame) -> DataFrame:
+            out = None
+            for c in ts.data_filenames:
+                one = df.join(hits, q(c).cast("string") == F.col("_value"), "left_semi")
+                out = one if out is None else out.unionByName(one)
+            return out.distinct()
+
+        def flagged(df: DataFrame, mark) -> DataFrame:
+            for f in ts.published_flags:
+                df = df.withColumn(f, F.when(mark, F.lit(FLAG_TRUE)).otherwise(q(f) if f in df.columns else F.lit(None)))
+            return df
+
+        unset = F.lit(False)
+        for f in ts.published_flags:
+            unset = unset | ~q(f).eqNullSafe(F.lit(FLAG_TRUE)) if f in table.columns else F.lit(True)
+        names_of = [q(c) for c in ts.data_filenames]
+        if KEY in table.columns and cat.tables[t].kind == "buckets":
+            turned = materialize(hit(table.where(unset).select(KEY, *names_of)).select(KEY).distinct())
+            if not turned.isEmpty():
+                buckets = cat.buckets_of(t, turned)
+                mark = turned.withColumn("_turned", F.lit(True))
+                cat.put_buckets(t, flagged(cat.frame(t, buckets).join(mark, KEY, "left"), F.col("_turned")).drop("_turned"), buckets)
+        elif not hit(table.where(unset).select(*names_of)).isEmpty():
+            keys = hit(table.select(*names_of).distinct()).withColumn("_turned", F.lit(True))
+            same = F.lit(True)
+            for c in ts.data_filenames:
+                same = same & table[f"`{c}`"].eqNullSafe(keys[f"`{c}`"])
+            whole = materialize(flagged(table.join(keys.select(*[keys[f"`{c}`"] for c in ts.data_filenames], "_turned"), same, "left")
+                                        .select(*[table[f"`{c}`"] for c in table.columns], "_turned"), F.col("_turned")).drop("_turned"))
+            cat.drop(t)
+            cat.append(t, whole)
+    return found.distinct() if found is not None else None
+
+
+def _file_actions(spark: SparkSession, spec: CatalogSpec, to_publish: DataFrame, processed: DataFrame, rejected: DataFrame,
+                  expired: DataFrame | None) -> list[DataFrame]:
+    """The batch's plans as actions: publish and store copies, files for the trash,
+    rejects."""
+    plan = manifest.fan_out(to_publish, "file_class", spec.get_folders)
+    targets = [f for v in spec.get_folders.values() for f in v]
+    plan = materialize(manifest.placement_actions(plan, _target_listing(spark, targets), spec.overwrite_get))
+    out, trash = [plan.withColumn("kind", F.lit("publish"))], []
+    if spec.store_folders:
+        kept = manifest.store_plan(processed, spec.store_folders)
+        kept = materialize(manifest.placement_actions(kept, _target_listing(spark, spec.store_folders), spec.overwrite_store))
+        out.append(kept.withColumn("kind", F.lit("store")))
+    out.append(rejected.withColumn("kind", F.lit("reject")).withColumn("action", F.lit("reject")))
+    if spec.trash_folder:
+        if spec.discard_invalid:
+            trash.append(rejected.select("path", "reason"))
+        else:  # keys that cannot be resolved go in any case
+            trash.append(rejected.where(F.col("reason").isin("bad_integer_key", "unresolved_reference")).select("path", "reason"))
+        if expired is not None:
+            trash.append(expired.select("path", F.lit("expired").alias("reason")))
+        for o in out[:-1]:  # what a copy replaces without overwriting it
+            trash.append(o.where("action = 'rename_older'").select(F.col("replaces").alias("path"), F.lit("replaced").alias("reason")))
+        gone = None
+        for one in trash:
+            gone = one if gone is None else gone.unionByName(one)
+        gone = gone.distinct().withColumn("file_name", manifest.basename(F.col("path"))).withColumn("folder", F.lit(spec.trash_folder))
+        gone = manifest.placement_actions(gone, _target_listing(spark, [spec.trash_folder]), spec.overwrite_trash)
+        out.append(gone.withColumn("kind", F.lit("trash")))
+    return out
+
+
+def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catalog_root: str,
+                key_mode: str = "concat", write_replicas: bool = True,
+                held: DataFrame | None = None, encoding: str = "utf-8", strict: bool = False, batch: int | None = None,
+                state: Callable[[store.Catalog, BatchResult], DataFrame | None] | None = None) -> BatchResult:
+    """``held``: data files kept from earlier batches (path, file_name, file_class,
+    modificationTime), matched again against the updated catalog. ``encoding`` is that
+    of text files without a byte order mark; ``strict`` rejects files whose
+    relative FKs they do not resolve themselves (D12). ``state`` may add tables
+    (names begin with ``__``) to the batch's version and returns files that are
+    expired; ``batch`` is noted there, so a batch is in the store as a whole or not
+    at all."""
+    cat = store.Catalog(spark, catalog_root)
+    files = _arrivals(spark, spec, inputs)
+    is_meta = F.col("file_class").isin(list(spec.metadata_regex))
+    meta = sorted(files.filter(is_meta & (F.col("length") > 0)).select("path", "length", "modificationTime").collect(),
+                  key=lambda r: (r["modificationTime"], r["path"]))
+    if not cat.names() and spec.catalog_names:
+        for t, df in store.reload_from_replicas(spark, spec, key_mode).items():  # SRC-5 on start
             if spec.tables[t].key:
-                k = with_key(d, spec.tables[t].key_columns, key_mode)
-                k = k.withColumn(KEY, F.when(~F.col(KEY).isin(list(spec.null_tokens)), F.col(KEY)))
-                old = catalog[t].select(KEY) if t in catalog else k.select(KEY).limit(0)
-                s = upsert.load_stats(old, k.select(FILE_NAME, KEY), [KEY], [FILE_NAME])
-                stats_parts.append(s.withColumn("table", F.lit(t)))
-                dups = (k.filter(F.col(KEY).isNotNull()).groupBy(FILE_NAME)
-                        .agg((F.count(F.lit(1)) - F.count_distinct(KEY)).cast("bigint").alias("n"))
-                        .filter(F.col("n") > 0))
-                stats_parts.append(dups.select(FILE_NAME, F.lit("duplicate").alias("outcome"), "n",
-                                               F.lit(t).alias("table")))
-        # the new version is written right below, so no extra copy of the tables
-        bad_files: list[DataFrame] = []
-        loaded = load_related(catalog, deltas, spec, key_mode, clean_orphans=False, checkpoint_tables=False,
-                              strict=strict, rejects=bad_files)
-        names = rows.select(FILE_PATH, FILE_SEQ).distinct()
-        for b in bad_files:
-            rejected_parts.append(names.join(b, FILE_SEQ).select(F.col(FILE_PATH).alias("path"), "reason"))
-        catalog = orphan_cascade(loaded, spec)
-        for t in loaded:
-            if t in catalog and KEY in loaded[t].columns:
-                gone = loaded[t].select(KEY).join(catalog[t].select(KEY), KEY, "left_anti")
-                stats_parts.append(gone.agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(
-                    F.lit(None).cast("string").alias(FILE_NAME), F.lit("orphan_deleted").alias("outcome"), "n",
-                    F.lit(t).alias("table")).filter(F.col("n") > 0))
-        for s in stats_parts:
-            stats = s if stats is None else stats.unionByName(s)
+                cat.put(t, df, [KEY])
+            else:
+                cat.append(t, df)
+    rejected_parts = [files.filter(F.col("file_class") == manifest.UNKNOWN).select("path", F.lit("unknown_file").alias("reason")),
+                      files.filter(is_meta & (F.col("length") == 0)).select("path", F.lit("no_rows").alias("reason"))]
+    stats, rows = None, None
+    if meta:
+        rows, bad = _read(spark, spec, meta, encoding)
+        rejected_parts += bad
+        if rows is not None:
+            bad_files, stats = _load(cat, rows, spec, key_mode, strict)
+            numbered = spark.createDataFrame([(i + cat.last_file_seq, r["path"]) for i, r in enumerate(meta, 1)], f"{FILE_SEQ} long, path string")
+            rejected_parts += [numbered.join(b, FILE_SEQ).select("path", "reason") for b in bad_files]
     # ---- data files: link, publish, pending --------------------------------
-    data = files.filter(F.col("file_class").isin(list(spec.data_regex))).select(
-        "path", F.col("name").alias("file_name"), "file_class")
+    cols = ("path", "file_name", "file_class", "modificationTime")
+    data = files.filter(F.col("file_class").isin(list(spec.data_regex))).withColumnRenamed("name", "file_name").select(*cols)
     if held is not None:
-        data = data.unionByName(held.select("path", "file_name", "file_class"),
-                                allowMissingColumns=True).dropDuplicates(["path"])
-    linked_classes = []
-    found = None
-    for t, ts in spec.tables.items():
-        if ts.data_filenames and t in catalog and all(c in catalog[t].columns for c in ts.data_filenames):
-            flagged, f = linking.link_files(catalog[t], data, ts.data_filenames, ts.published_flags)
-            catalog[t] = flagged.drop("_matched")
-            found = f if found is None else found.unionByName(f)
-            linked_classes = list(spec.data_regex)
+        data = materialize(data.unionByName(held.select(*cols)).dropDuplicates(["path"]))
+    found = _link(cat, spec, data)
+    linked = list(spec.data_regex) if found is not None else []
     # FIL-5: files of one name but other content are published under stamped names
-    data, variants = _versioned(data, files, spec)
-    movable = linking.move_only(data, "file_class", linked_classes)
-    matched = data.join(found, "file_name", "left_semi") if found is not None else data.limit(0)
-    to_publish = movable.unionByName(matched).distinct()
-    to_publish = to_publish.withColumn("file_name", F.coalesce("publish_name", "file_name")).drop("publish_name")
-    publish_plan = manifest.fan_out(to_publish, "file_class", spec.get_folders)
-    publish_plan = manifest.placement_actions(publish_plan, _target_listing(spark, spec.get_folders),
-                                              spec.overwrite_get)
-    pending = (linking.pending_files(data, found) if found is not None and linked_classes
-               else data.join(to_publish, "path", "left_anti")).drop("publish_name")
-    # ---- persist ------------------------------------------------------------
-    version = None
-    rejected = files.filter(F.col("file_class") == manifest.UNKNOWN).select("path", F.lit("unknown_file").alias("reason"))
-    for r in rejected_parts:
+    data, variants = _versioned(data, spec)
+    movable = linking.move_only(data, "file_class", linked)
+    to_publish = movable if found is None else movable.unionByName(data.join(found, "file_name", "left_semi"))
+    pending = materialize(linking.pending_files(data, found) if found is not None else data.limit(0)).drop("publish_name")
+    to_publish = materialize(to_publish.distinct().withColumn("file_name", F.coalesce("publish_name", "file_name"))
+                             .select("path", "file_name", "file_class"))
+    rejected = rejected_parts[0]
+    for r in [*rejected_parts[1:], *([variants] if variants is not None else [])]:
         rejected = rejected.unionByName(r)
-    if variants is not None:
-        rejected = rejected.unionByName(variants)
     rejected = materialize(rejected.groupBy("path").agg(F.min("reason").alias("reason")))
-    result = BatchResult(None, catalog, files, rejected, publish_plan, pending, None, stats)
-    extra = dict(state(result)) if state is not None else {}
-    if rows is not None or extra:
-        # tables of the catalog that no step touched are carried over by the pointer
-        out = {t: sort.catalog_sort(df, spec.tables[t].sort_by if t in spec.tables else [])
-               for t, df in catalog.items() if reloaded or df is not current.get(t)}
-        version = store.save(spark, catalog_root, out | extra, batch=batch, carry=True)
-        catalog = {t: df for t, df in store.load(spark, catalog_root).items() if not t.startswith("__")}
+    processed = files.filter(is_meta).join(rejected, "path", "left_anti").select("path", F.col("name").alias("file_name"))
+    # ---- one commit -----------------------------------------------------------
+    result = BatchResult(None, {}, files, rejected, to_publish, pending, None, stats)
+    expired = state(cat, result) if state is not None else None
+    actions = outbox.append(cat, *_file_actions(spark, spec, to_publish, processed, rejected, expired))
+    version = cat.commit(batch, cat.last_file_seq + len(meta))
+    catalog = cat.frames()
     replica_errors: dict = {}
     if rows is not None and write_replicas and spec.catalog_names:
+        tables = {t: sort.catalog_sort(upsert.project_columns(df, df.columns), spec.tables[t].sort_by if t in spec.tables else [])
+                  for t, df in catalog.items()}
         try:
-            replica_errors = publish({t: upsert.project_columns(df, df.columns) for t, df in catalog.items()},
-                                     spec.catalog_names, spec.csv_separator, version)["errors"]
+            replica_errors = publish(tables, spec.catalog_names, spec.csv_separator, version)["errors"]
         except RuntimeError as e:  # the catalog itself is saved; the next batch writes the replicas again
             replica_errors = {"*": str(e)}
-    processed = (files.filter(is_meta).join(rejected, "path", "left_anti").select("path", F.col("name").alias("file_name")))
-    if spec.store_folders:
-        store_plan = manifest.store_plan(processed, spec.store_folders)
-        store_plan = manifest.placement_actions(store_plan, _target_listing(spark, {"store": spec.store_folders}),
-                                                spec.overwrite_store)
-    else:
-        store_plan = processed.limit(0)
-    return BatchResult(version, catalog, files, rejected, publish_plan, pending, store_plan, stats, replica_errors)
+    of = lambda kind: actions.where(F.col("kind") == kind).select("path", "file_name", "folder", "action", "replaces")
+    return BatchResult(version, catalog, files, rejected, of("publish"), pending, of("store"), stats, replica_errors, actions)

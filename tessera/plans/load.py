@@ -11,7 +11,7 @@ Orphans are cleaned once per batch afterwards (JON-8, D18).
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,7 +59,9 @@ def _without_bad_files(delta: Mapping[str, DataFrame], spec: CatalogSpec,
 def load_related(catalog: Mapping[str, DataFrame], delta: Mapping[str, DataFrame], spec: CatalogSpec,
                  key_mode: str = "concat", clean_orphans: bool = True,
                  checkpoint_tables: bool = True, strict: bool = False,
-                 rejects: list[DataFrame] | None = None) -> dict[str, DataFrame]:
+                 rejects: list[DataFrame] | None = None,
+                 near: Callable[[str, DataFrame], DataFrame | None] | None = None,
+                 seed: Callable[[str, str], DataFrame | int] | None = None) -> dict[str, DataFrame]:
     """``catalog`` tables carry ``_key``, ``_file_seq``, ``_row_seq``; ``delta``
     tables are enriched scans (see ``prepare.enrich``) with ``_file_seq``.
 
@@ -70,7 +72,12 @@ def load_related(catalog: Mapping[str, DataFrame], delta: Mapping[str, DataFrame
     A file with a key that is no integer is left out of every table; so is,
     with ``strict`` (D12), a file whose FK names a relative PK that the file
     itself does not post. ``rejects`` receives ``(_file_seq, reason)`` frames
-    of such files."""
+    of such files.
+
+    A caller whose tables are stored in parts gives ``near(table, keys)``, the stored
+    rows that may have one of ``keys`` (None: no such table), and ``seed(table, pk)``,
+    the next free PK. What comes back for a table is then that part upserted, or
+    for a table without key the new rows alone."""
     out = dict(catalog)
     maps: dict[str, DataFrame] = {}
     delta, bad = _without_bad_files(delta, spec, strict)
@@ -92,25 +99,24 @@ def load_related(catalog: Mapping[str, DataFrame], delta: Mapping[str, DataFrame
         # Stage boundary: the keyed, merged delta of this table is used by
         # the PK map, the upsert and the children, so it is computed once.
         rows = materialize(key_and_merge(rows, ts, spec, key_mode))
+        old = out.get(t) if near is None or not ts.key else near(t, rows.select(KEY).distinct())
         if ts.pk is not None and ts.pk.relative and ts.key:
             pk = ts.pk.name
-            old = out.get(t)
             if old is not None:
                 ref = old.select(KEY, F.col(pk).cast("bigint").alias("_ref"))
                 matched = rows.join(ref, KEY, "left")
-                seed = pk_seed(old, pk)
             else:
                 matched = rows.withColumn("_ref", F.lit(None).cast("bigint"))
-                seed = 1
-            adds = assign_pk(matched.filter(F.col("_ref").isNull()).drop("_ref"), pk, seed, FILE_SEQ, "_new")
+            first = seed(t, pk) if seed is not None else pk_seed(old, pk) if old is not None else 1
+            adds = assign_pk(matched.filter(F.col("_ref").isNull()).drop("_ref"), pk, first, FILE_SEQ, "_new")
             upd = matched.filter(F.col("_ref").isNotNull()).withColumn("_new", F.col("_ref")).drop("_ref")
             both = materialize(adds.unionByName(upd))
             maps[t] = both.select(FILE_SEQ, _as_long(both, pk).alias("old_pk"),
                                   F.col("_new").alias("new_pk"))
             rows = both.withColumn(pk, F.col("_new")).drop("_new")
         folded = fold_files(rows, [KEY], FILE_SEQ, [ROW_SEQ]) if ts.key else rows
-        if t in out and ts.key:
-            out[t] = upsert_into(out[t], folded, [KEY], (FILE_SEQ, ROW_SEQ))
+        if old is not None and ts.key:
+            out[t] = upsert_into(old, folded, [KEY], (FILE_SEQ, ROW_SEQ))
         elif t in out:
             out[t] = out[t].unionByName(folded, allowMissingColumns=True)
         else:

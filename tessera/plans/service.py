@@ -4,10 +4,11 @@ plus the data files still held from earlier batches; held files older than
 the clean period are reported as expired (FIL-7).
 
 State is part of the catalog's version: ``__held`` are the data files waiting,
-``__processed`` the metadata files of all batches so far, ``__clean`` the time of
-the last clean. They are written with the catalog's tables under one pointer,
-so a batch that is replayed either finds its version current and does nothing,
-or starts from the version before it.
+``__processed`` the metadata files of all batches so far (a log: a batch appends
+its own), ``__clean`` the time of the last clean, ``__outbox`` the file actions of
+every batch. They are written with the catalog's tables under one pointer, so a
+batch that is replayed either finds its version current and does nothing, or
+starts from the version before it.
 """
 
 from __future__ import annotations
@@ -20,65 +21,78 @@ from pyspark.sql import functions as F
 from tessera.operators import manifest
 from tessera.plans import catalog as store
 from tessera.plans.consolidate import BatchResult, consolidate
-from tessera.sources.scan import list_files
+from tessera.session import materialize
+from tessera.sources.listing import list_tree
 from tessera.spec import CatalogSpec
 from tessera.streaming.watch import start
 
 _EMPTY = {"version": None, "published": 0, "held": 0, "expired": 0, "rejected": 0}
+MOST_FILES = 10_000     # files of one batch: what the driver may hold the names of
+VACUUM_EVERY = 20       # batches
 
 
 def run_batch(spark: SparkSession, spec: CatalogSpec, paths: list[str], catalog_root: str,
-              now=None, write_replicas: bool = True, listed: bool = False, batch_id: int | None = None) -> dict:
+              now=None, write_replicas: bool = True, listed: bool = False, batch_id: int | None = None,
+              most_files: int = MOST_FILES) -> dict:
     """One batch: files not processed before (SET-2) plus the held data files.
     ``paths`` are folders to list, or (``listed=True``) the files of one
-    micro-batch. A ``batch_id`` that the catalog already holds is skipped."""
-    if batch_id is not None and (done_batch := store.last_batch(spark, catalog_root)) is not None and done_batch >= batch_id:
+    micro-batch. Of the files to do the ``most_files`` oldest are taken, the others
+    wait for the next batch (``left``). A ``batch_id`` that the catalog already holds
+    is skipped."""
+    cat = store.Catalog(spark, catalog_root)
+    if batch_id is not None and cat.batch is not None and cat.batch >= batch_id:
         return dict(_EMPTY)
-    saved = store.load(spark, catalog_root)
-    done, held, last = saved.get("__processed"), saved.get("__held"), saved.get("__clean")
+    held = cat.frame("__held") if "__held" in cat else None
+    left = 0
     if listed:
         todo_paths = list(paths)
     else:
-        listing = list_files(spark, list(paths)).select("path", "modificationTime")
-        todo = manifest.files_to_process(listing, done, ["path", "modificationTime"]) if done is not None else listing
-        todo_paths = [r[0] for r in todo.select("path").collect()]
+        todo = list_tree(spark, list(paths)).select("path", "modificationTime")
+        if "__processed" in cat:
+            todo = manifest.files_to_process(todo, cat.frame("__processed"), ["path", "modificationTime"])
+        if held is not None:
+            todo = todo.join(held.select("path"), "path", "left_anti")
+        todo = materialize(todo)
+        todo_paths = [r[0] for r in todo.orderBy("modificationTime", "path").limit(most_files).select("path").collect()]
+        left = max(0, todo.count() - len(todo_paths)) if len(todo_paths) == most_files else 0
     if held is not None and todo_paths:
         held = held.join(spark.createDataFrame([(p,) for p in todo_paths], "path string"), "path", "left_anti")
     if not todo_paths:
         return _EMPTY | {"held": held.count() if held is not None else 0}
     now_col = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
-    expired_parts: list[DataFrame] = []
+    expired: list[DataFrame] = []
 
-    def state(result: BatchResult) -> dict[str, DataFrame]:
-        meta = result.files.filter(F.col("file_class").isin(list(spec.metadata_regex)) |
-                                   (F.col("file_class") == manifest.UNKNOWN)).select("path", "modificationTime")
-        times = result.files.select("path", "modificationTime")
-        if held is not None:
-            times = times.unionByName(held.select("path", "modificationTime")).dropDuplicates(["path"])
-        pending = result.pending.join(times, "path").select("path", "file_name", "file_class", "modificationTime")
+    def state(cat: store.Catalog, result: BatchResult) -> DataFrame | None:
+        done = result.files.filter(F.col("file_class").isin(list(spec.metadata_regex)) | (F.col("file_class") == manifest.UNKNOWN))
+        cat.append("__processed", done.select("path", "modificationTime"))
         # FIL-7: a clean runs when the clean period has passed since the last one
         # (the first one waits a period when "delay first clean" is set)
-        cleaned = last if last is not None else spark.range(1).select(
+        last = cat.frame("__clean") if "__clean" in cat else spark.range(1).select(
             (now_col if spec.delay_first_clean else F.lit(None).cast("timestamp")).alias("last_clean"))
-        due = bool(cleaned.select(F.coalesce(manifest.clean_due(F.col("last_clean"), now_col, spec.clean_period_hours),
-                                             F.lit(True)).alias("due")).first()["due"])
-        if due:
-            gone = manifest.expired(pending, "modificationTime", now_col, spec.clean_period_hours)
-            expired_parts.append(gone)
-            pending = pending.join(gone.select("path"), "path", "left_anti")
-            cleaned = spark.range(1).select(now_col.alias("last_clean"))
-        processed = meta if done is None else done.unionByName(meta).distinct()
-        return {"__held": pending, "__processed": processed, "__clean": cleaned}
+        due = last.select(F.coalesce(manifest.clean_due(F.col("last_clean"), now_col, spec.clean_period_hours), F.lit(True)).alias("due"),
+                          F.col("last_clean")).first()
+        waiting = result.pending
+        if due["due"]:
+            expired.append(materialize(manifest.expired(waiting, "modificationTime", now_col, spec.clean_period_hours)))
+            waiting = waiting.join(expired[0].select("path"), "path", "left_anti")
+        if due["due"] or "__clean" not in cat:
+            when = spark.range(1).select(now_col.alias("last_clean")) if due["due"] else last
+            cat.put("__clean", when)
+        cat.put("__held", waiting)
+        return expired[0] if expired else None
 
     result = consolidate(spark, spec, todo_paths, catalog_root, write_replicas=write_replicas, held=held,
                          batch=batch_id, state=state)
-    kept = store.load(spark, catalog_root)["__held"]
+    if result.version % VACUUM_EVERY == 0:
+        store.vacuum(spark, catalog_root)
+    kinds = {r["kind"]: r["count"] for r in result.actions.groupBy("kind").count().collect()}
     return {
         "version": result.version,
-        "published": result.publish_plan.count(),
-        "held": kept.count(),
-        "expired": sum(e.count() for e in expired_parts),
-        "rejected": result.rejected.count(),
+        "published": kinds.get("publish", 0),
+        "held": store.Catalog(spark, catalog_root).frame("__held").count(),
+        "expired": sum(e.count() for e in expired),
+        "rejected": kinds.get("reject", 0),
+        **({"left": left} if left else {}),
     }
 
 

@@ -64,8 +64,8 @@ _WRITERS = {"csv": write_csv, "json": write_json, "parquet": write_parquet}
 def publish(tables: Mapping[str, DataFrame], targets: Sequence[str], sep: str = DEFAULT_CSV_SEPARATOR,
             version: int | None = None) -> dict:
     """SNK-4: the same catalog to several targets in mixed formats; each table
-    to ``<target>/<table>``, or with ``version`` to ``<target>/v=<version>/<table>``
-    followed by a pointer, so that readers see whole versions only and the
+    to ``<target>/<table>`` (JSON: all tables as documents in ``<target>``), or with
+    ``version`` under ``<target>/v=<version>`` followed by a pointer, so that readers see whole versions only and the
     next batch writes beside them. Tables are persisted once and written to
     every target; success when at least one target is written."""
     cached = {t: df.persist() for t, df in tables.items()}
@@ -79,7 +79,9 @@ def publish(tables: Mapping[str, DataFrame], targets: Sequence[str], sep: str =
                 continue
             try:
                 folder = target if version is None else f"{target}/v={version}"
-                for t, df in cached.items():
+                if fmt == "json":  # the shape in which multi-table metadata is posted
+                    write_json_document(cached, folder, mode="overwrite")
+                for t, df in cached.items() if fmt != "json" else ():
                     if fmt == "csv":
                         writer(df, f"{folder}/{t}", sep=sep, mode="overwrite")
                     else:

@@ -7,27 +7,28 @@ _row_seq, row map<string,string>, _error)``:
 * JSON documents: natively (``binaryFile``, decoded by byte order mark, then
   ``from_json``), see ``scan.py``;
 * CSV and XLSX: ``binaryFile`` + ``mapInArrow``; each task parses its own
-  files with the standard library (csv / zipfile + XML), row by row and in
-  output batches of bounded size — a small per-file helper, while Spark
-  spreads the files over tasks;
-* Parquet: natively, columns turned into a map.
+  files, record by record and event by event (``xlsx.py``), in output batches of
+  bounded size. Large CSV files are dealt out by byte ranges (``split_csv.py``);
+* Parquet: natively, columns turned into a map. Every file is decoded once in a
+  task beforehand; files whose columns agree are read together.
 
 ``tbl`` is the table named inside the file (JSON root key, worksheet name)
 or the default table ``_``; RTE-1 decides the rest. A file that cannot be
-read gives one row with ``_error`` set and ``row`` null: it loses only itself.
+read, for whatever reason, gives one row with ``_error`` set and ``row`` null:
+it loses only itself.
 """
 
 from __future__ import annotations
 
 import csv
 import io
-import re
+import json
 import sys
-import zipfile
 from collections.abc import Mapping, Sequence
-from xml.etree import ElementTree as ET
 
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +36,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tessera.operators.transforms import FILE_MTIME, FILE_NAME, FILE_PATH, ROW_SEQ
 from tessera.sources.scan import PANDAS_DEFAULT_NA, decoded_documents, scan_json_tables
+from tessera.sources.split_csv import split_csv_rows
+from tessera.sources.xlsx import UnreadableFile, worksheets
 from tessera.spec import DEFAULT_TABLE
 
 ERROR = "_error"
@@ -53,8 +56,6 @@ LONG_SCHEMA = T.StructType([
 
 _BOMS = [(b"\xef\xbb\xbf", "utf-8"), (b"\xff\xfe\x00\x00", "utf-32-le"), (b"\x00\x00\xfe\xff", "utf-32-be"),
          (b"\xff\xfe", "utf-16-le"), (b"\xfe\xff", "utf-16-be")]
-_NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
-_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
 def decode(data: bytes, default: str = "utf-8") -> str:
@@ -66,10 +67,6 @@ def decode(data: bytes, default: str = "utf-8") -> str:
     return data.decode(default)
 
 
-class UnreadableFile(ValueError):
-    """Why a metadata file is rejected."""
-
-
 def _fitted(vals: list, header: list, number: int) -> list:
     """``vals`` at the header's length: short rows end in None, fields beyond the
     header must be empty. ``number`` is the row's, for the reason."""
@@ -84,8 +81,8 @@ def parse_csv(data: bytes, sep: str, encoding: str = "utf-8"):
     na = set(PANDAS_DEFAULT_NA)
     csv.field_size_limit(sys.maxsize)
     reader = csv.reader(io.StringIO(decode(data, encoding), newline=""), delimiter=sep)
-    header = next(reader, None)
-    if not header:
+    header = next((row for row in reader if row), None)  # blank lines before it do not count
+    if header is None:
         return
     if len(set(header)) < len(header):
         raise UnreadableFile("duplicate column names")
@@ -94,62 +91,25 @@ def parse_csv(data: bytes, sep: str, encoding: str = "utf-8"):
             yield header, [None if v in na else v for v in _fitted(row, header, n)]
 
 
-def _col_index(ref: str) -> int:
-    letters = re.match(r"[A-Z]+", ref).group(0)
-    n = 0
-    for ch in letters:
-        n = n * 26 + (ord(ch) - 64)
-    return n - 1
-
-
 def parse_xlsx(data: bytes):
-    """Yield ``(sheet name, header, rows)`` for every worksheet; cells as text,
-    rows as they are found (see ``_fitted``)."""
-    with zipfile.ZipFile(io.BytesIO(data)) as z:
-        names = set(z.namelist())
-        shared = []
-        if "xl/sharedStrings.xml" in names:
-            for si in ET.fromstring(z.read("xl/sharedStrings.xml")).findall("m:si", _NS):
-                shared.append("".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")))
-        rels = {}
-        if "xl/_rels/workbook.xml.rels" in names:
-            for r in ET.fromstring(z.read("xl/_rels/workbook.xml.rels")):
-                target = r.get("Target", "")
-                rels[r.get("Id")] = target.lstrip("/") if target.startswith("/") else "xl/" + target
-        wb = ET.fromstring(z.read("xl/workbook.xml"))
-        for sh in wb.find("m:sheets", _NS):
-            part = rels.get(sh.get(_REL))
-            if part not in names:
-                continue
-            grid = []
-            for row in ET.fromstring(z.read(part)).iter(f"{{{_NS['m']}}}row"):
-                cells = {}
-                for c in row.findall("m:c", _NS):
-                    kind, v = c.get("t"), c.find("m:v", _NS)
-                    if kind == "s" and v is not None:
-                        val = shared[int(v.text)]
-                    elif kind == "inlineStr":
-                        val = "".join(t.text or "" for t in c.iter(f"{{{_NS['m']}}}t"))
-                    elif kind == "b" and v is not None:
-                        val = "True" if v.text == "1" else "False"
-                    else:
-                        val = v.text if v is not None else None
-                    cells[_col_index(c.get("r"))] = val
-                if cells:
-                    grid.append([cells.get(i) for i in range(max(cells) + 1)])
-            if not grid:
-                continue
-            header = [h if h is not None else "" for h in grid[0]]
-            yield sh.get("name"), ((header, _fitted(r, header, n)) for n, r in enumerate(grid[1:], 1))
+    """Yield ``(sheet name, header, rows)`` for every worksheet with a header row; a
+    row has the header's length, missing-value texts are None."""
+    na = set(PANDAS_DEFAULT_NA)
+    for name, grid in worksheets(data):
+        top = next(grid, None)
+        if top is None:
+            continue
+        header = [h if h is not None else "" for h in top]
+        yield name, header, ([None if v in na else v for v in _fitted(r, header, n)] for n, r in enumerate(grid, 1))
 
 
 def _parse(path: str, data: bytes, sep: str, encoding: str, sheet_tables: Mapping[str, str]):
     """Yield (table, header, values) of one file."""
     if path.lower().endswith((".xlsx", ".xlsm")):
-        for sheet, rows in parse_xlsx(data):
-            for header, vals in rows:
-                if len(set(header)) < len(header):
-                    raise UnreadableFile("duplicate column names")
+        for sheet, header, rows in parse_xlsx(data):
+            if len(set(header)) < len(header):
+                raise UnreadableFile("duplicate column names")
+            for vals in rows:
                 yield sheet_tables.get(sheet, sheet), header, vals
     else:
         for header, vals in parse_csv(data, sep, encoding):
@@ -174,8 +134,7 @@ def _make_parser(sep: str, encoding: str, sheet_tables: Mapping[str, str]):
                         if len(rows) >= OUT_ROWS or held >= OUT_CHARS:
                             yield batch(rows)
                             rows, held = [], 0
-                except (UnreadableFile, UnicodeDecodeError, csv.Error, zipfile.BadZipFile, ET.ParseError, KeyError,
-                        ValueError, AttributeError) as e:
+                except Exception as e:  # whatever is wrong with a file, it is this file's fault
                     # the rows before the fault are dropped with the file, by its error row
                     rows.append((path, mtime, DEFAULT_TABLE, pos, None, None, f"{type(e).__name__}: {e}"[:500]))
                 if rows:
@@ -183,11 +142,9 @@ def _make_parser(sep: str, encoding: str, sheet_tables: Mapping[str, str]):
     return run
 
 
-def text_rows(spark: SparkSession, paths: Sequence[str], sep: str, encoding: str = "utf-8",
-              sheet_tables: Mapping[str, str] | None = None) -> DataFrame:
-    """CSV / XLSX files -> long rows (one task parses whole files)."""
-    files = spark.read.format("binaryFile").load(list(paths)).select(
-        "path", F.col("modificationTime").alias(FILE_MTIME), "content")
+def parsed_rows(files: DataFrame, sep: str, encoding: str = "utf-8", sheet_tables: Mapping[str, str] | None = None) -> DataFrame:
+    """``files(path, modificationTime, content)``, CSV or XLSX by name -> long rows."""
+    files = files.select("path", F.col("modificationTime").alias(FILE_MTIME), "content")
     parsed = files.mapInArrow(_make_parser(sep, encoding, dict(sheet_tables or {})), LONG_SCHEMA)
     return parsed.select(
         F.col("path").alias(FILE_PATH), F.regexp_extract("path", r"([^/]*)$", 1).alias(FILE_NAME),
@@ -195,6 +152,12 @@ def text_rows(spark: SparkSession, paths: Sequence[str], sep: str, encoding: str
         F.map_from_arrays("keys", "vals").alias("row"), ERROR)
 
 
+def text_rows(spark: SparkSession, paths: Sequence[str], sep: str, encoding: str = "utf-8",
+              sheet_tables: Mapping[str, str] | None = None) -> DataFrame:
+    """CSV / XLSX files -> long rows (one task parses whole files)."""
+    return parsed_rows(spark.read.format("binaryFile").load(list(paths)), sep, encoding, sheet_tables)
+
+
 def json_rows(spark: SparkSession, paths: Sequence[str], tables: Sequence[str], encoding: str = "UTF-8") -> DataFrame:
     files = spark.read.format("binaryFile").load(list(paths)).select(
         "path", F.col("modificationTime").alias(FILE_MTIME), "content")
@@ -206,33 +169,107 @@ def json_rows(spark: SparkSession, paths: Sequence[str], tables: Sequence[str],
                        F.lit(None).cast("string").alias(ERROR))
 
 
-def parquet_rows(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def _probe(batches):
+    """Decodes whole Parquet files: their columns, or why they cannot be read."""
+    for b in batches:
+        out = []
+        for path, content in zip(b.column(0).to_pylist(), b.column(1)):
+            try:
+                file = pq.ParquetFile(pa.BufferReader(content.as_buffer()))
+                names = [f.name for f in file.schema_arrow]
+                if len({n.lower() for n in names}) < len(names):
+                    raise UnreadableFile("duplicate column names")
+                for _ in file.iter_batches(OUT_ROWS):
+                    pass
+                out.append((path, json.dumps([(f.name, str(f.type)) for f in file.schema_arrow]), None))
+            except Exception as e:  # whatever is wrong with a file, it is this file's fault
+                out.append((path, None, f"{type(e).__name__}: {e}"[:500]))
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out)], names=["path", "columns", "error"])
+
+
+def _agreeing(columns: Mapping[str, list]) -> list[list[str]]:
+    """Paths in groups in which no column name has two types or spellings."""
+    groups: list[tuple[dict, list[str]]] = []
+    for path, cols in columns.items():
+        mine = {name.lower(): (name, kind) for name, kind in cols}
+        for seen, paths in groups:
+            if all(seen.get(k, v) == v for k, v in mine.items()):
+                seen |= mine
+                paths.append(path)
+                break
+        else:
+            groups.append((mine, [path]))
+    return [paths for _, paths in groups]
+
+
+def _parquet_group(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     df = spark.read.option("mergeSchema", True).parquet(*paths)
     cols = df.columns
     row = F.map_filter(F.create_map(*[x for c in cols for x in (F.lit(c), F.col(f"`{c}`").cast("string"))]),
-                       lambda k, v: v.isNotNull()) if cols else F.create_map()
+                       lambda k, v: v.isNotNull()) if cols else F.create_map().cast("map<string,string>")
     # the path as listings write it: not URL-encoded, one slash after the scheme of a local file
     path = F.regexp_replace(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
-    return df.select(path.alias(FILE_PATH), F.col("_metadata.file_name").alias(FILE_NAME),
+    return df.select(path.alias(FILE_PATH), F.regexp_extract(path, r"([^/]*)$", 1).alias(FILE_NAME),
                      F.col("_metadata.file_modification_time").alias(FILE_MTIME), F.lit(DEFAULT_TABLE).alias("tbl"),
                      F.col("_metadata.row_index").alias(ROW_SEQ), row.alias("row"), F.lit(None).cast("string").alias(ERROR))
 
 
+def _unreadable(spark: SparkSession, why: Mapping[str, str]) -> DataFrame:
+    rows = [(p, p.rsplit("/", 1)[-1], None, DEFAULT_TABLE, 0, None, e) for p, e in why.items()]
+    return spark.createDataFrame(rows, f"{FILE_PATH} string, {FILE_NAME} string, {FILE_MTIME} timestamp, tbl string, "
+                                       f"{ROW_SEQ} long, row map<string,string>, {ERROR} string")
+
+
+def parquet_rows(spark: SparkSession, paths: Sequence[str], unprobed: Sequence[str] = ()) -> DataFrame:
+    """Parquet files -> long rows. ``paths`` are decoded in tasks first, so that a
+    broken file costs no other, and read in groups whose columns agree; a type that
+    Spark cannot read rejects the files that have it. ``unprobed`` files (too large
+    to be held in a task) are read as they are. The driver holds one row a file."""
+    probed = (spark.read.format("binaryFile").load(list(paths)).select("path", "content")
+              .mapInArrow(_probe, "path string, columns string, error string").collect()) if paths else []
+    bad = {r["path"]: r["error"] for r in probed if r["error"]}
+    groups = _agreeing({r["path"]: json.loads(r["columns"]) for r in probed if not r["error"]}) + [[p] for p in unprobed]
+    out = _unreadable(spark, {})
+    while groups:
+        group = groups.pop()
+        try:
+            out = out.unionByName(_parquet_group(spark, group))
+        except AnalysisException as e:
+            if len(group) > 1:
+                groups += [[p] for p in group]
+            else:
+                bad[group[0]] = f"{type(e).__name__}: {e}"[:500]
+    return out.unionByName(_unreadable(spark, bad)) if bad else out
+
+
 def metadata_rows(spark: SparkSession, paths: Sequence[str], tables: Sequence[str], sep: str,
-                  encoding: str = "utf-8", sheet_tables: Mapping[str, str] | None = None) -> DataFrame | None:
-    """All metadata files of a batch as one long frame, whatever their format and size."""
-    by_ext: dict[str, list[str]] = {}
+                  encoding: str = "utf-8", sheet_tables: Mapping[str, str] | None = None,
+                  large: Sequence[str] = ()) -> DataFrame | None:
+    """All metadata files of a batch as one long frame, whatever their format and
+    size. ``large`` files are not read whole by one task: CSV is split, Parquet is
+    not decoded beforehand, other formats are rejected."""
+    big, by_kind = set(large), {}
+    kinds = {"xlsm": "text", "xlsx": "text", "csv": "text", "txt": "text", "json": "json", "parquet": "parquet"}
     for p in paths:
         ext = p.rsplit(".", 1)[-1].lower() if "." in p.rsplit("/", 1)[-1] else ""
-        by_ext.setdefault({"xlsm": "xlsx"}.get(ext, ext), []).append(p)
+        kind = kinds.get(ext)
+        if kind is None:
+            continue
+        if p in big:
+            utf8 = encoding.lower().replace("-", "") == "utf8"
+            kind = "split" if ext in ("csv", "txt") and utf8 else "unprobed" if kind == "parquet" else "too large"
+        by_kind.setdefault(kind, []).append(p)
     parts = []
-    if by_ext.get("json"):
-        parts.append(json_rows(spark, by_ext["json"], tables, encoding))
-    text = by_ext.get("csv", []) + by_ext.get("xlsx", []) + by_ext.get("txt", [])
-    if text:
-        parts.append(text_rows(spark, text, sep, encoding, sheet_tables))
-    if by_ext.get("parquet"):
-        parts.append(parquet_rows(spark, by_ext["parquet"]))
+    if by_kind.get("json"):
+        parts.append(json_rows(spark, by_kind["json"], tables, encoding))
+    if by_kind.get("text"):
+        parts.append(text_rows(spark, by_kind["text"], sep, encoding, sheet_tables))
+    if by_kind.get("split"):
+        parts.append(split_csv_rows(spark, by_kind["split"], sep))
+    if by_kind.get("parquet") or by_kind.get("unprobed"):
+        parts.append(parquet_rows(spark, by_kind.get("parquet", []), by_kind.get("unprobed", [])))
+    if by_kind.get("too large"):
+        parts.append(_unreadable(spark, {p: "too large for one task" for p in by_kind["too large"]}))
     out = None
     for p in parts:
         out = p if out is None else out.unionByName(p)

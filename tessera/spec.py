@@ -131,6 +131,7 @@ class CatalogSpec:
     get_folders: dict[str, list[str]] = field(default_factory=dict)
     store_folders: list[str] = field(default_factory=list)
     post_folders: list[str] = field(default_factory=list)
+    trash_folder: str | None = None
     catalog_names: list[str] = field(default_factory=list)
     clean_period_hours: float = DEFAULT_CLEAN_PERIOD_HOURS
     check_period_seconds: float = DEFAULT_CHECK_PERIOD_SECONDS
@@ -231,6 +232,7 @@ class CatalogSpec:
             get_folders={k: _as_list(v) for k, v in folders.get("get", {}).items()},
             store_folders=_as_list(folders.get("store", [])),
             post_folders=_as_list(folders.get("post", [])),
+            trash_folder=folders.get("trash") or None,
             catalog_names=list(files.get("catalog names", [])),
             clean_period_hours=float(config.get("clean period in hours", DEFAULT_CLEAN_PERIOD_HOURS)),
             check_period_seconds=float(config.get("check period in seconds", DEFAULT_CHECK_PERIOD_SECONDS)),

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tessera.operators.merge import merge_duplicates
+from tessera.operators.transforms import q
 from tessera.operators.upsert import fold_files, fold_into, without_sequences
+from tessera.session import materialize
 
 
 # ---------------------------------------------------------------- STR-1
@@ -48,31 +50,32 @@ def upsert_batches(stream: DataFrame, catalog_root: str, checkpoint: str, key_co
                    file_col: str, order_cols: Sequence[str], trigger="available", table: str = "catalog"):
     """Each micro-batch: merge duplicate keys inside each file (AGG-1), then fold
     the batch into the catalog by file order (WIN-3 = repeated coalescing
-    upserts). The stored catalog keeps every column's file sequence, so files may
-    arrive in any order. Batch ``b`` writes catalog version ``b + 1``; a replayed batch
-    finds its version already current and skips (idempotent sink); lineage
-    restarts at each version.
+    upserts). Only the hash buckets that hold keys of the batch are read and
+    written. The stored catalog keeps every column's file sequence, so files may
+    arrive in any order. A batch notes its id with its version; a replayed batch
+    finds it there and skips (idempotent sink); lineage restarts at each version.
     """
     from tessera.plans import catalog as store
 
     key_cols, order_cols = list(key_cols), list(order_cols)
 
     def apply(batch: DataFrame, batch_id: int):
-        spark = batch.sparkSession
-        version, tables = store.load_versioned(spark, catalog_root)
-        if (version or 0) >= batch_id + 1:
+        cat = store.Catalog(batch.sparkSession, catalog_root)
+        if cat.batch is not None and cat.batch >= batch_id:
             return
-        rows = merge_duplicates(batch.drop("_file_path", "_arrival"), [*key_cols, file_col], order_cols,
-                                keep_order_cols=False)
-        old = tables.get(table)
-        new = (fold_files(rows, key_cols, file_col, (), keep_sequences=True) if old is None
-               else fold_into(old, rows, key_cols, file_col, ()))
-        store.save(spark, catalog_root, {table: new}, version=batch_id + 1)
-
-    q = start(stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint), trigger)
+        rows = materialize(merge_duplicates(batch.drop("_file_path", "_arrival"), [*key_cols, file_col], order_cols,
+                                            keep_order_cols=False))
+        if table not in cat:
+            cat.put(table, fold_files(rows, key_cols, file_col, (), keep_sequences=True), key_cols)
+        else:
+            touched = cat.buckets_of(table, rows.select(*[q(k) for k in key_cols]))
+            cat.put_buckets(table, fold_into(cat.frame(table, touched), rows, key_cols, file_col, ()), touched)
+        cat.commit(batch_id)
+
+    q_ = start(stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint), trigger)
     if trigger == "available":
-        q.awaitTermination()
-    return q
+        q_.awaitTermination()
+    return q_
 
 
 def read_catalog(spark: SparkSession, catalog_root: str, table: str = "catalog") -> DataFrame | None:
