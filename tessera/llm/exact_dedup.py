@@ -60,8 +60,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "id", "n_bytes", "digest", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), *kept_cols)
     keys = ["n_bytes", "digest"]
-    by_id = hashed.where("digest IS NOT NULL").groupBy(*keys, "id", *kept_cols).agg(F.count("*").alias("copies"))
-    groups = by_id.groupBy(*keys).agg(F.max("id").alias("keep_id"), F.sum("copies").alias("group_size"))
+    # both sides of the join are written, so that AQE splits a group that very many rows share
+    by_id = persist(hashed.where("digest IS NOT NULL").groupBy(*keys, "id", *kept_cols).agg(F.count("*").alias("copies")), "exact-ids")
+    groups = persist(by_id.groupBy(*keys).agg(F.max("id").alias("keep_id"), F.sum("copies").alias("group_size")), "exact-groups")
     shared = (by_id.join(groups, keys)
               .withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
               .select("id", "n_bytes", "digest", "keep_id", "group_size",

@@ -16,10 +16,11 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tessera.llm.common import small_batches
 
-SAMPLE_DOCUMENTS = 64    # per language that the references may draw from
-SAMPLE_SYMBOLS = 400     # from the middle of each of them
-BLOCK = 1024             # symbols that are parsed in one go; a piece never spans two blocks
-GROUP_SYMBOLS = 4 << 20  # symbols parsed side by side
+SAMPLE_DOCUMENTS = 24    # labelled rows per language that the references are made of, with their whole texts
+SHORT_TEXT = 1500        # texts of up to so many characters are picked before longer ones
+BLOCK = 1024             # symbols of a text that are parsed side by side with its other blocks; no bound on a piece
+GROUP_SYMBOLS = 2 << 20  # symbols held at a time
+BRANCH = 100             # partitions whose best rows meet first
 UNDETERMINED = "und"
 
 SPACE, OTHER, PAD, FIRST = 0, 1, 2, 3  # symbols; the alphabet's letters follow
@@ -118,12 +119,12 @@ class RareTransitions:
         return np.where(self.keys[at] == key, self.next[at], -1)
 
     def step(self, state: np.ndarray, c: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """As ``parse_table``: for ``state`` (languages, texts) and symbols ``c`` of
-        the texts the pieces ended and the next state."""
-        c = c.astype(np.int64)[None, :]
-        on, begin = self._look_up(state, c), self._look_up(starts[:, None], c)
-        ends = np.where(begin < 0, 2, 1) - (state == starts[:, None])
-        fresh = np.where(begin < 0, starts[:, None], begin) + (ends << COUNT_SHIFT)
+        """As ``parse_table``: for states, symbols ``c`` and the states ``starts`` in which
+        their languages begin (arrays of one shape) the pieces ended and the next state."""
+        c = c.astype(np.int64)
+        on, begin = self._look_up(state, c), self._look_up(starts, c)
+        ends = np.where(begin < 0, 2, 1) - (state == starts)
+        fresh = np.where(begin < 0, starts, begin) + (ends << COUNT_SHIFT)
         return np.where(on >= 0, on, fresh)
 
 
@@ -153,36 +154,80 @@ class LanguageModel:
     def __getstate__(self):
         return {"references": self.references, "alphabet": self.alphabet, "_ready": None}
 
+    def _step(self, state: np.ndarray, symbol: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Transitions of many parses at once (arrays of one shape)."""
+        _, flat, _, width, _, rare = self._prepare()
+        if rare is None:
+            return flat[state * np.int64(width) + symbol]
+        step = flat[state * np.int64(width) + np.where(symbol < width, symbol, OTHER)]
+        beyond = symbol >= width
+        if beyond.any():
+            step[beyond] = rare.step(state[beyond], symbol[beyond], starts[beyond])
+        return step
+
     def pieces(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Pieces that each text needs in each language, (texts, languages)."""
-        _, flat, starts, width, _, rare = self._prepare()
-        out = np.zeros((len(texts), len(starts)), np.int64)
+        """Pieces that each whole text needs in each language, (texts, languages).
+
+        A text's blocks are first parsed side by side, each as if it began a text.
+        Then every block is parsed again from the state that the block before it
+        ends in, until the two parses stand in the same state: from there on they
+        are one, so the rest is known. A block in which they never meet (a piece
+        spans it) ends in another state, and the block after it is done again."""
+        _, _, starts, _, _, _ = self._prepare()
+        langs, mask = len(starts), (1 << COUNT_SHIFT) - 1
+        out = np.zeros((len(texts), langs), np.int64)
         owner = np.repeat(np.arange(len(texts)), [-(-len(t) // BLOCK) for t in texts])
-        if not len(owner) or not len(starts):
+        if not len(owner) or not langs:
             return out
+        joined = np.concatenate(texts)
         size = np.concatenate([np.minimum(BLOCK, len(t) - np.arange(0, len(t), BLOCK)) for t in texts if len(t)])
         begin = np.concatenate(([0], np.cumsum(size)[:-1]))
-        joined = np.concatenate(texts)
+        # every block from its language's start; states and pieces ended after each symbol
+        states = np.empty((langs, len(joined)), np.int32)
+        ended = np.empty((langs, len(joined)), np.int16)
         order = np.argsort(-size, kind="stable")
-        owner, size, begin = owner[order], size[order], begin[order]
+        sorted_begin, sorted_size = begin[order], size[order]
         active = len(size) - np.searchsorted(np.sort(size), np.arange(BLOCK), side="right")
         state = np.repeat(starts[:, None], len(size), axis=1)
-        ended = np.zeros(state.shape, np.int32)
-        mask = (1 << COUNT_SHIFT) - 1
-        for j in range(int(size[0])):
+        count = np.zeros(state.shape, np.int16)
+        for j in range(int(sorted_size[0])):
             n = int(active[j])
-            symbol = joined[begin[:n] + j]
-            if rare is None:
-                step = flat[state[:, :n] * np.int64(width) + symbol]
-            else:
-                beyond = np.nonzero(symbol >= width)[0]
-                step = flat[state[:, :n] * np.int64(width) + np.where(symbol < width, symbol, OTHER)]
-                step[:, beyond] = rare.step(state[:, beyond], symbol[beyond], starts)
-            ended[:, :n] += step >> COUNT_SHIFT
+            at = sorted_begin[:n] + j
+            step = self._step(state[:, :n], np.broadcast_to(joined[at], (langs, n)), np.broadcast_to(starts[:, None], (langs, n)))
+            count[:, :n] += (step >> COUNT_SHIFT).astype(np.int16)
             state[:, :n] = step & mask
-        ended += state != starts[:, None]  # the piece that the block's end cuts off
-        for k in range(len(starts)):
-            out[:, k] = np.bincount(owner, ended[k], minlength=len(texts)).astype(np.int64)
+            states[:, at], ended[:, at] = state[:, :n], count[:, :n]
+        last = begin + size - 1
+        total, final = ended[:, last].astype(np.int64), states[:, last].copy()
+        follows = np.zeros(len(size), bool)
+        follows[1:] = owner[1:] == owner[:-1]
+        lang, block = np.nonzero(follows[None, :] & (np.roll(final, 1, axis=1) != starts[:, None]))
+        while len(lang):  # blocks whose beginning is not the start of a piece
+            now, so_far = final[lang, block - 1], np.zeros(len(lang), np.int64)
+            changed: list[np.ndarray] = []
+            at = begin[block]
+            while len(lang):
+                step = self._step(now, joined[at], starts[lang])
+                so_far += step >> COUNT_SHIFT
+                now = step & mask
+                met, over = now == states[lang, at], at == last[block]
+                done = met | over
+                if done.any():
+                    k, b = lang[done], block[done]
+                    # a parse that met the other at the block's end or before has the other's rest
+                    total[k, b] = so_far[done] + np.where(met[done], ended[k, last[b]].astype(np.int64) - ended[k, at[done]], 0)
+                    ends_in = np.where(met[done], states[k, last[b]], now[done])
+                    other = final[k, b] != ends_in
+                    final[k, b] = ends_in
+                    goes_on = other & (b + 1 < len(size)) & follows[np.minimum(b + 1, len(size) - 1)]
+                    changed.append(np.stack([k[goes_on], b[goes_on] + 1]))
+                    lang, block, now, so_far, at = lang[~done], block[~done], now[~done], so_far[~done], at[~done]
+                at = at + 1
+            lang, block = np.concatenate(changed, axis=1) if changed else (np.zeros(0, np.int64),) * 2
+        closes = np.append(~follows[1:], True)  # the piece that the text's end cuts off
+        total[:, closes] += final[:, closes] != starts[:, None]
+        for k in range(langs):
+            out[:, k] = np.bincount(owner, total[k], minlength=len(texts)).astype(np.int64)
         return out
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
@@ -212,40 +257,38 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          documents: int = SAMPLE_DOCUMENTS, per_document: int = SAMPLE_SYMBOLS) -> LanguageModel:
-    """References from a bounded sample: of every language the ``documents`` rows
-    of smallest hashed id among distinct ids with a letter in their text, one a
-    text, and ``per_document`` symbols from the middle of each. Rows with null
-    id, text or language teach nothing. Copies and repeated ids meet by
-    aggregation of narrow rows; then Spark limits each partition to its best rows
-    per language before it shuffles, so a frequent language is no hot task."""
+          documents: int = SAMPLE_DOCUMENTS, short: int = SHORT_TEXT) -> LanguageModel:
+    """References from a bounded sample of rows: of every language ``documents`` rows
+    among distinct ids with a letter in their text, one a text, by hash of the id;
+    texts of up to ``short`` characters first, longer ones by length after them.
+    Every text picked is learned whole. Rows with null id, text or language teach
+    nothing.
+
+    Copies and repeated ids meet by aggregation of narrow rows. The best rows of
+    each partition meet those of ``BRANCH`` others, and then the best of all, so a
+    frequent language is no hot task at any number of partitions."""
     usable = (docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
               .where(F.col("id").isNotNull() & F.col("lang").isNotNull() & F.regexp_like("text", F.lit(r"\p{L}")))
               .withColumn("hash", F.xxhash64("text")))
-    by_id = usable.groupBy("lang", "id").agg(F.min("hash").alias("hash"))  # repeated ids count once
-    by_text = by_id.groupBy("lang", "hash").agg(F.min(F.struct(F.xxhash64("id").alias("key"), "id")).alias("least"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("least.key", "least.id"))
-    picked = (by_text.withColumn("rank", rank).where(F.col("rank") <= documents)
-              .select("lang", F.col("least.id").alias("id"), "hash"))
+    size = F.when(F.char_length("text") > short, F.char_length("text")).otherwise(0)
+    by_id = usable.groupBy("lang", "id").agg(F.min(F.struct("hash", size.alias("size"))).alias("h"))  # repeated ids count once
+    by_text = by_id.groupBy("lang", "h").agg(F.min(F.struct(F.xxhash64("id").alias("key"), "id")).alias("least"))
+    order = ("h.size", "least.key", "least.id")
+    best = by_text.withColumn("branch", F.floor(F.spark_partition_id() / BRANCH))
+    for group in (("lang", "branch"), ("lang",)):
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+        best = best.withColumn("rank", rank).where(F.col("rank") <= documents)
+    picked = best.select("lang", F.col("least.id").alias("id"), F.col("h.hash").alias("hash"))
     rows = (usable.join(F.broadcast(picked), ["lang", "id", "hash"])
             .groupBy("lang", "id").agg(F.min("text").alias("text")))
 
-    def middle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letter = is_letter()
+    def letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cut = []
-            for t in b.column(2):
-                text = t.as_py()
-                codes = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
-                clean = "".join(c if ok else " " for c, ok in zip(text.lower(), letter[codes])) if len(text) == len(
-                    text.lower()) else "".join(c if c.isalpha() else " " for c in text.lower())
-                clean = " ".join(clean.split())
-                at = max(0, (len(clean) - per_document) // 2)
-                cut.append(clean[at: at + per_document])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cut, pa.string())], names=["lang", "part"])
+            clean = [" ".join("".join(c if c.isalpha() else " " for c in t.as_py().lower()).split()) for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(clean, pa.string())], names=["lang", "part"])
 
     schema = StructType([StructField("lang", StringType()), StructField("part", StringType())])
-    got = sorted((r.lang, r.part) for r in rows.mapInArrow(middle, schema).collect())
+    got = sorted((r.lang, r.part) for r in rows.mapInArrow(letters, schema).collect())
     by_lang: dict[str, list[str]] = {}
     for lang, part in got:
         if part:

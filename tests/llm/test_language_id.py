@@ -28,18 +28,30 @@ def _naive_pieces(text, reference):
     return count
 
 
-def test_pieces_match_naive_parsing(monkeypatch):
-    monkeypatch.setattr(L, "BLOCK", 50)
+@pytest.mark.parametrize("block", [1024, 50, 7, 1])
+def test_pieces_match_naive_parsing_of_whole_texts(monkeypatch, block):
+    monkeypatch.setattr(L, "BLOCK", block)
     rng = random.Random(4)
     alphabet = "abcdé"
     table = L.symbol_table(alphabet)
     text = lambda n, a: L.symbols("".join(rng.choices(a, k=n)), table)
-    model = L.LanguageModel({"x": text(200, "ab c"), "y": text(150, "bcd é"), "z": text(3, "a")}, alphabet)
-    texts = [text(n, "abcdé xÜ") for n in (0, 1, 49, 50, 51, 230)]
+    model = L.LanguageModel({"x": text(200, "ab c"), "y": text(400, "bcd é"), "z": text(3, "a"), "w": text(300, "a")}, alphabet)
+    copied = model.references["y"]
+    texts = [text(n, "abcdé xÜ") for n in (0, 1, 49, 50, 51, 230, 1500)] + [copied, copied[13:311], np.concatenate([copied[:99], copied[5:]]),
+                                                                         text(700, "a"), text(90, "aab")]
     got = model.pieces(texts)
     for row, t in zip(got, texts):
         for have, ref in zip(row, model.references.values()):
-            assert have == sum(_naive_pieces(t[i:i + 50].tolist(), ref.tolist()) for i in range(0, len(t), 50))
+            assert have == _naive_pieces(t.tolist(), ref.tolist())
+    assert got[7][1] == got[8][1] == 1  # taken from the reference: one piece, however many blocks it spans
+
+
+def test_long_copy_is_one_piece():
+    rng = random.Random(8)
+    table = L.symbol_table("abcdefgh")
+    reference = L.symbols("".join(rng.choices("abcdefgh ", k=12_000)), table)
+    model = L.LanguageModel({"x": reference}, "abcdefgh")
+    assert model.pieces([reference[100:9_100], reference, reference[::-1]])[:2].tolist() == [[1], [1]]
 
 
 def test_automaton_spells_substrings_only():
