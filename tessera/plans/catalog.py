@@ -1,7 +1,7 @@
 """Versioned catalog store whose tables lie in hash buckets.
 
-Layout: ``<root>/v=<tag>/<table>/b=<bucket>/part-*`` and one-row pointers in
-``<root>/_current``. A pointer names for every table the folder that holds each
+Layout: ``<root>/v=<tag>/<table>/b=<bucket>/part-*`` and a pointer of each version,
+``<root>/_current/<version>.json``. A pointer names for every table the folder that holds each
 of its buckets. A batch reads the buckets that its keys fall into, writes those
 buckets anew under its own version (copy on write) and flips the pointer;
 everything else is carried over by the pointer alone, so work follows the batch
@@ -20,6 +20,7 @@ so ``root`` may be any shared file system Spark can write."""
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
@@ -30,8 +31,6 @@ from pyspark.sql.types import StructField, StructType
 
 from tessera.operators.transforms import KEY, q
 
-_POINTER_SCHEMA = ("version int, batch long, last_file_seq long, "
-                   "tables map<string, struct<kind:string, key:array<string>, schema:string, at:array<string>>>")
 BUCKET = "b"
 DEFAULT_BUCKETS = 16        # of a new table, unless the session sets spark.tessera.store.buckets
 BUCKETS_KEY = "spark.tessera.store.buckets"
@@ -65,13 +64,6 @@ class Stored:
         return [f"{root}/v={self.at[b]}/{self.name}/{BUCKET}={b}" for b in wanted if self.at[b]]
 
 
-def _pointer(spark: SparkSession, root: str):
-    try:
-        return spark.read.schema(_POINTER_SCHEMA).json(f"{root}/_current").orderBy(F.desc("version")).first()
-    except AnalysisException:
-        return None
-
-
 def _folder(spark: SparkSession, path: str):
     """The Hadoop file system of ``path``, and ``path`` as it names it."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -84,6 +76,36 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def _pointers(spark: SparkSession, root: str) -> list[int]:
+    return sorted(int(x.removesuffix(".json")) for x in _children(spark, f"{root}/_current") if re.fullmatch(r"\d+\.json", x))
+
+
+def _read_pointer(spark: SparkSession, root: str, version: int) -> dict:
+    fs, p = _folder(spark, f"{root}/_current/{version}.json")
+    stream = fs.open(p)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _write_pointer(spark: SparkSession, root: str, pointer: dict) -> None:
+    """Whole or not at all: written beside its place and renamed."""
+    fs, draft = _folder(spark, f"{root}/_current/.{pointer['version']}.json")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(json.dumps(pointer).encode()))
+    finally:
+        out.close()
+    _, final = _folder(spark, f"{root}/_current/{pointer['version']}.json")
+    if not fs.rename(draft, final):
+        raise RuntimeError(f"version {pointer['version']} of {root} was written by somebody else")
+
+
+def _stored(tables: dict) -> dict[str, Stored]:
+    return {t: Stored(t, s["kind"], tuple(s["key"]), StructType.fromJson(s["schema"]), tuple(s["at"])) for t, s in tables.items()}
+
+
 class Catalog:
     """The current version of a store, and the changes that make the next one.
 
@@ -94,13 +116,11 @@ class Catalog:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
-        p = _pointer(spark, root)
-        self.version = None if p is None or p["version"] is None else int(p["version"])
-        self.batch = None if p is None or p["batch"] is None else int(p["batch"])
-        self.last_file_seq = 0 if p is None else int(p["last_file_seq"] or 0)
-        self.tables = {} if p is None else {
-            t: Stored(t, s["kind"], tuple(s["key"] or ()), StructType.fromJson(json.loads(s["schema"])), tuple(s["at"]))
-            for t, s in (p["tables"] or {}).items()}
+        versions = _pointers(spark, root)
+        p = _read_pointer(spark, root, versions[-1]) if versions else {}
+        self.version, self.batch = p.get("version"), p.get("batch")
+        self.last_file_seq = p.get("last_file_seq", 0)
+        self.tables = _stored(p.get("tables", {}))
         self.next = (self.version or 0) + 1
         self._tags: dict[str, int] = {}
         self.changed = False
@@ -198,12 +218,12 @@ class Catalog:
 
     def commit(self, batch: int | None = None, last_file_seq: int | None = None) -> int:
         """Flip the pointer. ``batch`` and ``last_file_seq`` stay as they were unless given."""
-        tables = {t: (s.kind, list(s.key), s.schema.json(), list(s.at)) for t, s in self.tables.items()}
-        row = (self.next, self.batch if batch is None else batch,
-               self.last_file_seq if last_file_seq is None else last_file_seq, tables)
-        # pointers are appended; readers take the highest version
-        self.spark.createDataFrame([row], _POINTER_SCHEMA).coalesce(1).write.mode("append").json(f"{self.root}/_current")
-        self.version, self.batch, self.last_file_seq = row[0], row[1], row[2]
+        self.batch = self.batch if batch is None else batch
+        self.last_file_seq = self.last_file_seq if last_file_seq is None else last_file_seq
+        tables = {t: {"kind": s.kind, "key": list(s.key), "schema": s.schema.jsonValue(), "at": list(s.at)} for t, s in self.tables.items()}
+        # readers take the highest version
+        _write_pointer(self.spark, self.root, {"version": self.next, "batch": self.batch, "last_file_seq": self.last_file_seq, "tables": tables})
+        self.version = self.next
         self.next, self._tags, self.changed = self.version + 1, {}, False
         return self.version
 
@@ -253,16 +273,13 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2) -> int:
     """Delete what no pointer of the newest ``keep`` versions names: folders of
     older versions, of crashed batches and the older pointers. The number of
     folders deleted. To be called by the one writer, between batches."""
-    pointers = (spark.read.schema(_POINTER_SCHEMA).json(f"{root}/_current")
-                .select("version", F.col("_metadata.file_path").alias("file"), "tables").orderBy(F.desc("version")))
-    newest = pointers.limit(keep).collect()
-    if not newest:
-        return 0
+    versions = _pointers(spark, root)
     used: set[str] = set()
-    for p in newest:
-        for t, s in (p["tables"] or {}).items():
-            stored = Stored(t, s["kind"], tuple(s["key"] or ()), StructType(), tuple(s["at"]))
+    for v in versions[-keep:]:
+        for stored in _stored(_read_pointer(spark, root, v)["tables"]).values():
             used.update(x.removeprefix(root) for x in stored.paths(root))
+    if not versions:
+        return 0
     gone = 0
     fs, _ = _folder(spark, root)
 
@@ -290,9 +307,8 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2) -> int:
                     gone += 1
         if not kept_tables:
             delete(f"{root}/{version}")
-    oldest = newest[-1]["version"]
-    for p in pointers.where(F.col("version") < oldest).select("file").toLocalIterator():
-        delete(p["file"])
+    for v in versions[:-keep]:
+        delete(f"{root}/_current/{v}.json")
     return gone
 
 

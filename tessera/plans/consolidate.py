@@ -15,6 +15,7 @@ storage job reads and acknowledges (``outbox``).
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -115,27 +116,28 @@ def identify_tables(spark: SparkSession, rows: DataFrame, spec: CatalogSpec) ->
     return fits.select(FILE_PATH, "hint", F.when(~skip, final).alias("table"), skip.alias("skip"))
 
 
-def _arrivals(spark: SparkSession, spec: CatalogSpec, inputs: list[str]) -> DataFrame:
+def _arrivals(spark: SparkSession, spec: CatalogSpec, inputs: list[str]) -> tuple[DataFrame, list]:
     """SRC-7 and FIL-1..4: the files of the batch, listed (contents unread),
-    classified, one of each (name, content)."""
+    classified, one of each (name, content); and the same as rows on the driver,
+    which has listed them (the service bounds a batch)."""
     files = list_files(spark, inputs).select("path", "name", "modificationTime", "length")
     files = manifest.ignore_filter(files, spec.ignore, path_col="path", name_col="name")
-    files = materialize(files.withColumn("file_class", manifest.classify(F.col("name"), spec.metadata_regex, spec.data_regex)))
-    # contents are hashed only where two files share a name (the only case the hash decides)
-    shared = files.groupBy("name").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-    paths = [r[0] for r in files.join(shared, "name", "left_semi").select("path").collect()]
-    if not paths:
-        return files.withColumn("md5", F.lit(None).cast("string"))
-    empty = F.md5(F.lit("").cast("binary"))
-    full = [r[0] for r in files.where("length > 0").join(shared, "name", "left_semi").select("path").collect()]
-    if full:
-        hashes = (spark.read.format("binaryFile").load(full)
-                  .select("path", manifest.content_hash(F.col("content")).alias("md5")))
-        files = files.join(hashes, "path", "left")
-    else:
-        files = files.withColumn("md5", F.lit(None).cast("string"))
-    files = files.withColumn("md5", F.when(F.col("length") == 0, empty).otherwise(F.col("md5")))
-    return materialize(manifest.first_arrivals(files, ["name", "md5"], ["modificationTime", "path"]))
+    files = files.withColumn("file_class", manifest.classify(F.col("name"), spec.metadata_regex, spec.data_regex))
+    listed = files.collect()
+    schema = files.schema
+    files = spark.createDataFrame(listed, schema).withColumn("md5", F.lit(None).cast("string"))
+    seen = Counter(r["name"] for r in listed)
+    full = [r["path"] for r in listed if seen[r["name"]] > 1 and r["length"] > 0]
+    if any(n > 1 for n in seen.values()):
+        # contents are hashed only where two files share a name (the only case the hash decides)
+        if full:
+            hashes = (spark.read.format("binaryFile").load(full)
+                      .select("path", manifest.content_hash(F.col("content")).alias("md5")))
+            files = files.drop("md5").join(hashes, "path", "left")
+        files = files.withColumn("md5", F.when(F.col("length") == 0, F.md5(F.lit("").cast("binary"))).otherwise(F.col("md5")))
+        files = materialize(manifest.first_arrivals(files, ["name", "md5"], ["modificationTime", "path"]).select(*schema.names, "md5"))
+        listed = files.select(*schema.names).collect()
+    return files, listed
 
 
 def _read(spark: SparkSession, spec: CatalogSpec, meta: list, encoding: str) -> tuple[DataFrame, list[DataFrame]]:
@@ -315,9 +317,9 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
     expired; ``batch`` is noted there, so a batch is in the store as a whole or not
     at all."""
     cat = store.Catalog(spark, catalog_root)
-    files = _arrivals(spark, spec, inputs)
+    files, listed = _arrivals(spark, spec, inputs)
     is_meta = F.col("file_class").isin(list(spec.metadata_regex))
-    meta = sorted(files.filter(is_meta & (F.col("length") > 0)).select("path", "length", "modificationTime").collect(),
+    meta = sorted((r for r in listed if r["file_class"] in spec.metadata_regex and r["length"] > 0),
                   key=lambda r: (r["modificationTime"], r["path"]))
     if not cat.names() and spec.catalog_names:
         for t, df in store.reload_from_replicas(spark, spec, key_mode).items():  # SRC-5 on start
@@ -340,15 +342,18 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
     data = files.filter(F.col("file_class").isin(list(spec.data_regex))).withColumnRenamed("name", "file_name").select(*cols)
     if held is not None:
         data = materialize(data.unionByName(held.select(*cols)).dropDuplicates(["path"]))
-    found = _link(cat, spec, data)
-    linked = list(spec.data_regex) if found is not None else []
-    # FIL-5: files of one name but other content are published under stamped names
-    data, variants = _versioned(data, spec)
-    movable = linking.move_only(data, "file_class", linked)
-    to_publish = movable if found is None else movable.unionByName(data.join(found, "file_name", "left_semi"))
-    pending = materialize(linking.pending_files(data, found) if found is not None else data.limit(0)).drop("publish_name")
-    to_publish = materialize(to_publish.distinct().withColumn("file_name", F.coalesce("publish_name", "file_name"))
-                             .select("path", "file_name", "file_class"))
+    if any(r["file_class"] in spec.data_regex for r in listed) or (held is not None and not data.isEmpty()):
+        found = _link(cat, spec, data)
+        linked = list(spec.data_regex) if found is not None else []
+        # FIL-5: files of one name but other content are published under stamped names
+        data, variants = _versioned(data, spec)
+        movable = linking.move_only(data, "file_class", linked)
+        to_publish = movable if found is None else movable.unionByName(data.join(found, "file_name", "left_semi"))
+        pending = materialize(linking.pending_files(data, found) if found is not None else data.limit(0)).drop("publish_name")
+        to_publish = materialize(to_publish.distinct().withColumn("file_name", F.coalesce("publish_name", "file_name"))
+                                 .select("path", "file_name", "file_class"))
+    else:
+        variants, pending, to_publish = None, data, data.drop("modificationTime")
     rejected = rejected_parts[0]
     for r in [*rejected_parts[1:], *([variants] if variants is not None else [])]:
         rejected = rejected.unionByName(r)
