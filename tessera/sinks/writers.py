@@ -20,7 +20,8 @@ REPLICA_POINTER = "version int"
 def write_csv(df: DataFrame, path: str, sep: str = DEFAULT_CSV_SEPARATOR, mode: str = "error",
               encoding: str = "UTF-8") -> str:
     (df.write.mode(mode).option("header", True).option("sep", sep).option("encoding", encoding)
-     .option("quote", '"').option("escape", '"').option("emptyValue", "").csv(path))
+     .option("quote", '"').option("escape", '"').option("emptyValue", "")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 

@@ -28,7 +28,7 @@ def _scheme(root: str) -> str:
     return root.split(":", 1)[0] if "://" in root or root.startswith("file:") else ""
 
 
-def _open(path: str) -> tuple[pafs.FileSystem, str, str]:
+def open_folder(path: str) -> tuple[pafs.FileSystem, str, str]:
     """The file system of ``path``, ``path`` inside it, and what to put before its paths."""
     scheme = _scheme(path)
     if scheme in ("", "file"):
@@ -41,7 +41,7 @@ def _list(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         out: list[tuple] = []
         for folder in b.column(0).to_pylist():
-            fs, inner, prefix = _open(folder)
+            fs, inner, prefix = open_folder(folder)
             # a folder may go meanwhile
             for f in fs.get_file_info(pafs.FileSelector(inner, allow_not_found=True)):
                 ms = None if f.mtime_ns is None else f.mtime_ns // 1_000_000 * 1_000
@@ -64,7 +64,7 @@ def list_tree(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
     own, other = [], []
     for root in roots:
         try:
-            fs, inner, _ = _open(root.rstrip("/"))
+            fs, inner, _ = open_folder(root.rstrip("/"))
             kind = fs.get_file_info(inner).type
         except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
             other.append(root)

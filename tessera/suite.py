@@ -8,6 +8,7 @@ catalog/delta splits and injected null tokens come from CASE rules on keys.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,15 +16,23 @@ from tessera.functions.nulls import normalize_nulls
 from tessera.functions.ranking import sequence_within
 from tessera.operators import identify, linking, manifest, merge, relations, sort, transforms, upsert
 from tessera.operators.transforms import with_key
+from tessera.operators.upsert import upsert_into
 from tessera.plans import catalog as catalog_store
+from tessera.plans import integrity, outbox
 from tessera.plans.consolidate import consolidate as _consolidate
 from tessera.plans.load import load_related as _load_related
 from tessera.plans.prepare import prepare as _prepare
+from tessera.plans.service import run_batch
 from tessera.session import work_path
 from tessera.sinks import writers
+from tessera.sinks.workbook import to_workbooks
 from tessera.sources import scan
+from tessera.sources.listing import list_tree, open_folder
+from tessera.sources.rows import parsed_rows
+from tessera.sources.split_csv import split_csv_rows
+from tessera.sources.scan import PANDAS_DEFAULT_NA
 from tessera.spec import DEFAULT_NULL_TOKENS, CatalogSpec
-from tessera.streaming import watch
+from tessera.streaming import held, watch
 
 
 def T(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -800,7 +809,7 @@ _TABLE_FILES = ("region nation customer supplier part orders lineitem events doc
     f"SELECT '{t}.parquet' AS name, CAST(count(*) AS BIGINT) AS n_rows, true AS non_empty FROM {t}" for t in _TABLE_FILES))
 def file_manifest(spark, sf):
     """SRC-7: the listed files of every table with the rows that they hold."""
-    files = scan.list_files(spark, sf, glob="*.parquet")
+    files = list_tree(spark, [sf]).where(F.col("name").endswith(".parquet"))
     table = F.regexp_extract("path", r"([^/]*\.parquet)(/[^/]*)?$", 1)  # a table may be a folder of files
     listed = files.groupBy(table.alias("name")).agg(F.max(F.col("length") > 0).alias("non_empty"))
     rows = None
@@ -882,21 +891,16 @@ SELECT f.event_id, CASE WHEN m.event_id IS NOT NULL THEN 'published'
 FROM f LEFT JOIN m ON f.event_id = m.event_id
 """)
 def stream_pending(spark, sf):
+    """STR-3: published, expired and pending files as the keyed state tells them."""
     src, schema = _event_files_dir(spark, sf, "stream_pending_in")
     out, ck = work_path(spark, "stream_pending_out"), work_path(spark, "stream_pending_ck")
-    ev = watch.watch(spark, src, schema)
-    files = ev.filter(F.col("event_type") == "purchase").select("event_id", "user_id", F.col("ts").alias("file_ts"))
-    refs = ev.filter(F.col("event_type") == "view").select(F.col("user_id"), F.col("ts").alias("ref_ts"))
-    matched = watch.match_held_files(files, refs, "user_id", "file_ts", "ref_ts", "1 HOUR", "2 HOURS")
-    watch.run_to_files(matched.select(F.col("f.event_id").alias("event_id")), out, ck)
-    # Files with no reference yet: expired once the hold period has passed.
-    now = T(spark, sf, "events").select(F.max("ts")).scalar()
-    held = T(spark, sf, "events").filter(F.col("event_type") == "purchase").select("event_id", "ts")
-    published = spark.read.parquet(out).distinct().withColumn("_pub", F.lit(True))
-    return held.join(published, "event_id", "left").select(
-        "event_id", F.when(F.col("_pub"), F.lit("published"))
-        .when(F.col("ts") + F.expr("INTERVAL 1 HOUR") < now, F.lit("expired")).otherwise(F.lit("pending"))
-        .alias("status"))
+    ev = watch.watch(spark, src, schema).withColumn("at", F.col("ts").cast("timestamp"))
+    files = ev.filter(F.col("event_type") == "purchase").select(F.col("event_id").alias("id"), "user_id", "at")
+    others = ev.filter(F.col("event_type") != "purchase")  # all events move event time, views refer to files
+    refs = others.select("user_id", F.when(F.col("event_type") == "view", F.col("user_id")).alias("refers"), "at")
+    refs = refs.select(F.coalesce("refers", -F.col("user_id") - 1).alias("user_id"), "at")
+    held.run_held(held.follow_held_files(files, refs, "user_id", "1 hour"), out, ck)
+    return held.statuses(spark, out).select(F.col("id").alias("event_id"), "status")
 
 
 @register("stream_dedupe", """
@@ -1066,6 +1070,166 @@ def consolidate(spark, sf):
                         F.coalesce("_hit", F.lit(False)).alias("in_replica"))
 
 
+def _post_files(files: DataFrame, folder: str) -> int:
+    """Writes ``files(name, content)`` into ``folder``, one file a row, by the tasks that
+    hold them; their number. A stand-in for whoever posts files."""
+    def write(batches):
+        fs, inner, _ = open_folder(folder)
+        fs.create_dir(inner, recursive=True)
+        for b in batches:
+            for name, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                with fs.open_output_stream(f"{inner}/{name}", compression=None) as out:
+                    out.write(content)
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int64())})
+
+    return files.select("name", F.col("content").cast("binary")).mapInArrow(write, "n long").agg(F.sum("n")).first()[0]
+
+
+_NA_SQL = ", ".join("'" + t.replace("'", "''") + "'" for t in PANDAS_DEFAULT_NA)
+
+
+@register("scan_csv_split", f"""
+WITH d AS (SELECT doc_id, CASE WHEN lang IN ({_NA_SQL}) THEN NULL ELSE lang END AS lang,
+                  CASE WHEN text IN ({_NA_SQL}) THEN NULL ELSE text END AS text FROM documents)
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, md5(text) AS text_md5, CAST(length(text) AS BIGINT) AS n_chars FROM d
+""")
+def scan_csv_split(spark, sf):
+    """SRC-1 by byte ranges: all documents, their texts full of line breaks, as one
+    quoted CSV file."""
+    path = work_path(spark, "scan_csv_split")
+    d = T(spark, sf, "documents").select("doc_id", "lang", "text")
+    (d.coalesce(1).write.option("header", True).option("sep", ";").option("quoteAll", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("emptyValue", "").csv(path))
+    files = [r[0] for r in scan.list_files(spark, path, glob="*.csv").select("path").collect()]
+    rows = split_csv_rows(spark, files, ";").select(*[F.col("row")[c].alias(c) for c in ("doc_id", "lang", "text")])
+    return rows.select("doc_id", "lang", F.md5("text").alias("text_md5"), F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+@register("workbook_xlsx", """
+SELECT 'customer' AS sheet, CAST(c_custkey AS VARCHAR) AS id, c_name AS name, NULL AS day, CAST(c_acctbal AS DOUBLE) AS amount FROM customer
+UNION ALL
+SELECT 'orders', CAST(o_orderkey AS VARCHAR), o_orderstatus, strftime(o_orderdate, '%Y-%m-%d 00:00:00'), CAST(o_totalprice AS DOUBLE) FROM orders
+""")
+def workbook_xlsx(spark, sf):
+    """SRC-4: all customers and orders as workbooks of one sheet each and back;
+    dates are cells with a date format."""
+    c = T(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit(None).cast("date").alias("day"),
+                                        F.col("c_acctbal").cast("double").alias("amount"))
+    o = T(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("name"),
+                                      F.col("o_orderdate").cast("date").alias("day"), F.col("o_totalprice").cast("double").alias("amount"))
+    books = to_workbooks(c, "customer").unionByName(to_workbooks(o.repartition(8, "id"), "orders"))
+    path = writers.write_parquet(books, work_path(spark, "workbooks"))
+    files = spark.read.parquet(path).withColumn("modificationTime", F.current_timestamp())
+    rows = parsed_rows(files.repartition(F.col("path")), ";")
+    return rows.select(F.col("tbl").alias("sheet"), F.col("row")["id"].alias("id"), F.col("row")["name"].alias("name"),
+                       F.col("row")["day"].alias("day"), F.col("row")["amount"].cast("double").alias("amount"))
+
+
+_BAD_FILES = (("broken.parquet", "no parquet file", "unreadable"), ("notabook.xlsx", "no workbook", "unreadable"),
+              ("twice.csv", "c_name;c_name\na;b\n", "unreadable"), ("wide.csv", "c_name;c_custkey;c_nationkey\nx;1;2;3\n", "unreadable"),
+              ("header.csv", "c_name;c_custkey;c_nationkey\n", "no_rows"), ("cut.json", '{"customer": [{"c_name": ', "no_rows"),
+              ("other.csv", "one;two\n1;2\n", "no_usable_table"), ("what.bin", "?", "unknown_file"),
+              ("badkey.csv", "n_name;n_nationkey\nNOWHERE;minus one\n", "bad_integer_key"))
+
+
+@register("file_isolation", """
+SELECT 'loaded' AS outcome, c_name AS name FROM customer UNION ALL SELECT 'loaded', n_name FROM nation
+UNION ALL SELECT 'loaded', 'order ' || CAST(o_orderkey AS VARCHAR) FROM orders
+""" + "".join(f"UNION ALL SELECT '{why}', '{name}'\n" for name, _, why in _BAD_FILES))
+def file_isolation(spark, sf):
+    """SRC-1..4 and FIL-11 in a batch: customers as CSV, orders as Parquet files and
+    workbooks whose columns differ in type, and every kind of bad file beside
+    them; each file is loaded or rejected with a reason."""
+    root, inbox = work_path(spark, "isolation"), work_path(spark, "isolation_in")
+    spec = CatalogSpec.from_config({
+        "files": {"metadata file formatting": {"csv separator": ";"}, "metadata file regex": {"*": r".*\.(csv|json|xlsx|parquet)$"}},
+        "metadata": {"required tables": [], "key": {"nation": ["n_name"], "customer": ["c_name"], "orders": ["o_orderkey"]},
+                     "in columns": {"nation": ["n_nationkey"], "customer": ["c_custkey", "c_nationkey"], "orders": ["o_custkey"]},
+                     "association": {"nation": {"PK": {"name": "n_nationkey", "int type": True}},
+                                     "customer": {"FK": {"nation": {"name": "c_nationkey"}}}}}})
+    n, c, o = T(spark, sf, "nation"), T(spark, sf, "customer"), T(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    writers.write_csv(n.select("n_name", "n_nationkey"), f"{inbox}/nation")
+    writers.write_csv(c.select("c_name", "c_custkey", "c_nationkey").repartition(4), f"{inbox}/customer")
+    third = F.pmod(F.xxhash64("o_orderkey"), F.lit(3))
+    writers.write_parquet(o.where(third == 0).repartition(2), f"{inbox}/orders_a")
+    writers.write_parquet(o.where(third == 1).withColumn("o_orderkey", F.col("o_orderkey").cast("string")).repartition(2), f"{inbox}/orders_b")
+    books = to_workbooks(o.where(third == 2).repartition(2), "orders")
+    _post_files(books.select(F.col("path").alias("name"), "content"), f"{inbox}/books")
+    _post_files(spark.createDataFrame([(name, text) for name, text, _ in _BAD_FILES], "name string, content string"), f"{inbox}/bad")
+    r = _consolidate(spark, spec, [inbox], root, write_replicas=False)
+    loaded = r.catalog["customer"].select(F.col("c_name").alias("name")).unionByName(r.catalog["nation"].select(F.col("n_name").alias("name"))) \
+        .unionByName(r.catalog["orders"].select(F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("name")))
+    rejected = r.rejected.where(~F.col("path").rlike(r"/(_SUCCESS|\..*\.crc)$"))
+    return loaded.select(F.lit("loaded").alias("outcome"), "name").unionByName(
+        rejected.select(F.col("reason").alias("outcome"), manifest.basename(F.col("path")).alias("name")))
+
+
+@register("outbox_delivery", """
+SELECT 'publish' AS kind, 's' || CAST(s_suppkey AS VARCHAR) || '.dat' AS file_name, CASE WHEN s_suppkey % 2 = 0 THEN 1 ELSE 2 END AS version,
+       CAST(1 AS BIGINT) AS delivered FROM supplier
+""")
+def outbox_delivery(spark, sf):
+    """FIL-9 as an outbox: every supplier has a data file. Half of them arrive with
+    the metadata, the others later; the second batch is replayed, the reader acts,
+    acknowledges and reads again."""
+    root, inbox = work_path(spark, "outbox"), work_path(spark, "outbox_in")
+    spec = CatalogSpec.from_config({
+        "files": {"metadata file formatting": {"csv separator": ";"}, "metadata file regex": {"*": r"part-.*\.csv$"},
+                  "data file regex": {"raw": r".*\.dat$"}, "input to ignore": ["_SUCCESS", "re:.*\\.crc$"]},
+        "folders": {"get": {"raw": [f"{root}/get"]}},
+        "metadata": {"required tables": [], "key": {"supplier": ["s_suppkey"]}, "in columns": {"supplier": ["file"]},
+                     "data filenames": {"supplier": ["file"]}, "data published flag": {"supplier": ["published"]}}})
+    s = T(spark, sf, "supplier").select("s_suppkey", F.concat(F.lit("s"), F.col("s_suppkey").cast("string"), F.lit(".dat")).alias("file"))
+    writers.write_csv(s.select("s_suppkey", F.concat(F.lit("data/"), F.col("file")).alias("file")), f"{inbox}/1/supplier")
+    for batch, odd in ((1, 0), (2, 1)):
+        _post_files(s.where(F.col("s_suppkey") % 2 == odd).select(F.col("file").alias("name"), F.col("file").alias("content")), f"{inbox}/{batch}/data")
+    seen = None
+    for batch in (1, 2, 2):  # the last one is a replay
+        run_batch(spark, spec, [f"{inbox}/{batch}"], root, write_replicas=False, batch_id=batch)
+        todo = outbox.pending(spark, root)
+        seen = todo if seen is None else seen.unionByName(todo)
+        if (last := todo.agg(F.max(F.struct("version", "n")).alias("o")).first()["o"]) is not None:
+            outbox.acknowledge(spark, root, (last["version"], last["n"]))
+    return (seen.where(F.col("kind") == "publish").groupBy("kind", "file_name").agg(F.min("version").alias("version"),
+                                                                                     F.count(F.lit(1)).alias("delivered")))
+
+
+@register("integrity_batches", """
+SELECT 'orders' AS tbl, CAST(o_orderkey AS VARCHAR) AS row_key FROM orders
+WHERE o_custkey % 10 <> 0 AND o_custkey IN (SELECT c_custkey FROM customer)
+UNION ALL
+SELECT 'customer', c_name FROM customer WHERE c_custkey % 10 <> 0 AND c_custkey IN (SELECT o_custkey FROM orders)
+""")
+def integrity_batches(spark, sf):
+    """JON-6..8 over two batches in the bucketed store: customers without orders go,
+    orders without customers go. The second batch brings customers that the first
+    lacked with their orders again, and gives other customers new ids, whose
+    orders and then they themselves go; references of neither are read again."""
+    spec = CatalogSpec.from_config({"metadata": {
+        "key": {"customer": ["c_name"], "orders": ["o_orderkey"]},
+        "association": {"customer": {"PK": {"name": "c_custkey", "int type": True, "delete orphan": True}},
+                        "orders": {"FK": {"customer": {"name": "o_custkey", "delete orphan": True}}}}}})
+    root, last = work_path(spark, "integrity"), F.col("c_custkey") % 10
+    c = with_key(T(spark, sf, "customer").select("c_name", F.col("c_custkey").cast("bigint").alias("c_custkey")), ["c_name"])
+    o = with_key(T(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("bigint").alias("o_custkey")), ["o_orderkey"])
+    moved = c.where(last == 0).withColumn("c_custkey", F.col("c_custkey") + 1_000_000_000)
+    for posted in ({"customer": c.where(last < 8), "orders": o},
+                   {"customer": c.where(last >= 8).unionByName(moved), "orders": o.where(F.col("o_custkey") % 10 >= 8)}):
+        cat = catalog_store.Catalog(spark, root)
+        before, touched = dict(cat.tables), {}
+        for t, df in posted.items():
+            if t in cat:
+                touched[t] = cat.buckets_of(t, df)
+                cat.put_buckets(t, upsert_into(cat.frame(t, touched[t]), df, ["_key"], ()), touched[t])
+            else:
+                cat.put(t, df, ["_key"])
+        integrity.clean(cat, before, posted, touched, spec)
+        cat.commit()
+    cat = catalog_store.Catalog(spark, root)
+    return cat.frame("orders").select(F.lit("orders").alias("tbl"), F.col("_key").alias("row_key")).unionByName(
+        cat.frame("customer").select(F.lit("customer").alias("tbl"), F.col("_key").alias("row_key")))
+
+
 @register("trash_plan", """
 WITH d AS (SELECT doc_id, source || '_' || lang || '.txt' AS name, md5(text) AS h FROM documents),
 t AS (SELECT name, arg_min(h, doc_id) AS h FROM d WHERE doc_id % 2 = 0 GROUP BY name),

@@ -49,3 +49,26 @@ def test_stream_dedupe_by_name_and_content(spark):
     sink, ck = work_path(spark, "dedupe_out"), work_path(spark, "dedupe_ck")
     watch.run_to_files(out, sink, ck)
     assert rows(spark.read.parquet(sink)) == [("a.txt", "h1"), ("a.txt", "h2"), ("b.txt", "h1")]
+
+
+def test_held_files_are_pending_published_or_expired(spark):
+    """One file after the other: a status changes as event time passes."""
+    from tessera.streaming import held
+
+    src, out, ck = (work_path(spark, f"follow_{x}") for x in ("in", "out", "ck"))
+    posted = [[(1, "u", "00:00", True), (2, "v", "00:10", True), (0, "u", "00:30", False)],
+              [(3, "w", "01:00", True), (4, "u", "01:05", True)],
+              [(0, "w", "02:00", False), (0, "x", "02:04", False)],
+              [(5, "u", "02:05", True)]]
+    schema = "id long, k string, at timestamp, is_file boolean"
+    for i, part in enumerate(posted):
+        rows_ = [(a, k, t, f) for a, k, t, f in part]
+        spark.createDataFrame(rows_, "id long, k string, t string, is_file boolean").select(
+            "id", "k", F.to_timestamp(F.concat(F.lit("2024-01-01 "), "t")).alias("at"), "is_file").coalesce(1).write.parquet(f"{src}/{i}")
+        stream = watch.watch(spark, f"{src}/*", schema)
+        files = stream.where("is_file").select("id", "k", "at")
+        refs = stream.where("NOT is_file").select("k", "at")
+        held.run_held(held.follow_held_files(files, refs, "k", "1 hour"), out, ck)
+    assert rows(held.statuses(spark, out)) == [(1, "published"), (2, "expired"), (3, "published"), (4, "pending"), (5, "pending")]
+    changes = spark.read.parquet(out)
+    assert changes.where("id = 2").count() == 2 and changes.where("id = 1").count() == 1
