@@ -5,7 +5,6 @@ thresholds. The severity of a document is its expected grade."""
 
 from __future__ import annotations
 
-
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -18,12 +17,10 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, St
 from tessera.llm.common import persist, small_batches, text_or_empty
 
 SAMPLE_PER_CLASS = 3000   # labelled documents of each class that the fit may see
-VOCABULARY = 4000         # features that the model may have
 MIN_DOCUMENTS = 4         # sampled documents that a feature must occur in
 MIN_Z = 4.0               # standard errors that its rates in the two classes must lie apart
 MIN_GAP = 0.025           # and by how much, so that words of a few copied documents teach nothing
 BEGINNINGS = (4, 5)       # letters of a word's beginning that are features too
-DOSES = 3                 # severity grades of toxic documents
 REJECT_AT = 0.5           # probability of any toxic grade from which a document is toxic
 MEMO_WORDS = 60_000
 
@@ -110,39 +107,40 @@ def fit_ordinal(rows: list[list[int]], grades: np.ndarray, width: int, importanc
     return theta[:width], theta[width] + np.concatenate(([0.0], np.cumsum(np.exp(theta[width + 1:]))))
 
 
-def dose_grades(rows: list[list[int]], toxic: np.ndarray, marker: np.ndarray, doses: int = DOSES) -> np.ndarray:
-    """Severity grades from 0/1 labels: clean documents are 0, toxic ones 1 to
-    ``doses`` by the quantile of how many marker features they hold."""
-    grades = np.zeros(len(rows), np.int64)
-    count = np.array([int(marker[r].sum()) for r in rows], np.int64)
-    is_toxic = toxic > 0
-    if is_toxic.any():
-        limits = np.quantile(count[is_toxic], [k / doses for k in range(1, doses)])
-        grades[is_toxic] = 1 + (count[is_toxic, None] > limits[None, :]).sum(1)
-        _, grades[is_toxic] = np.unique(grades[is_toxic], return_inverse=True)  # without empty grades
-        grades[is_toxic] += 1
+def label_grades(toxic: np.ndarray, poor: np.ndarray) -> np.ndarray:
+    """Severity grades from labels alone: 0 clean, 1 toxic, 2 toxic and of low
+    quality. A grade of toxic documents that no row has is left out."""
+    grades = np.where(toxic > 0, 1 + (poor > 0), 0).astype(np.int64)
+    if (found := np.unique(grades[grades > 0])).tolist() == [2]:
+        grades[grades == found[0]] = 1
     return grades
 
 
 # ---------------------------------------------------------------------- fit
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, id_col: str = "doc_id", text_col: str = "text",
-                    label_col: str = "toxic") -> tuple[DataFrame, dict[int, int]]:
-    """``(text, toxic)`` of at most ``per_class`` labelled documents of each
-    class, those of smallest hashed id, and how many each class has in all."""
-    known = persist(labels.select(F.col(id_col).alias("id"), (F.col(label_col) > 0).cast("int").alias("toxic"))
-                    .where("id IS NOT NULL AND toxic IS NOT NULL").groupBy("id").agg(F.max("toxic").alias("toxic")),
+                    label_col: str = "toxic", quality_col: str = "quality") -> tuple[DataFrame, dict[int, int]]:
+    """``(text, toxic, poor)`` of at most ``per_class`` labelled documents of each
+    class, those of smallest hashed id, and how many each class has in all.
+    ``poor`` is 1 where the quality label is 0; without such a label 0."""
+    poor = F.coalesce((F.col(quality_col) <= 0).cast("int"), F.lit(0)) if quality_col in labels.columns else F.lit(0)
+    known = persist(labels.select(F.col(id_col).alias("id"), (F.col(label_col) > 0).cast("int").alias("toxic"), poor.alias("poor"))
+                    .where("id IS NOT NULL AND toxic IS NOT NULL").groupBy("id").agg(F.max("toxic").alias("toxic"), F.max("poor").alias("poor")),
                     "toxic-labels")
     totals = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     order = [F.xxhash64("id"), F.col("id")]
     picked = [known.where(F.col("toxic") == k).orderBy(*order).limit(per_class) for k in (0, 1)]
     picked = picked[0].union(picked[1])  # two per_class rows at most
     rows = (docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-            .join(F.broadcast(picked), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")))
-    return persist(rows.select("text", "toxic"), "toxic-sample"), totals
+            .join(F.broadcast(picked), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"),
+                                                               F.max("poor").alias("poor")))
+    return persist(rows.select("text", "toxic", "poor"), "toxic-sample"), totals
 
 
-def vocabulary(sample: DataFrame, sizes: dict[int, int], limit: int) -> list[tuple[str, float]]:
-    """The features whose document rates in the two classes lie furthest apart."""
+def vocabulary(sample: DataFrame, sizes: dict[int, int]) -> list[tuple[str, float]]:
+    """The features whose document rates in the two classes lie ``MIN_GAP`` and
+    ``MIN_Z`` standard errors apart, all of them: a document of the two classes
+    has so many features on average, and no more than that divided by
+    ``MIN_GAP`` can be so frequent in one of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for text, toxic in zip(b.column(0), b.column(1), strict=True):
@@ -157,32 +155,32 @@ def vocabulary(sample: DataFrame, sizes: dict[int, int], limit: int) -> list[tup
     p1, p0, p = F.col("in_toxic") / n1, (F.col("n") - F.col("in_toxic")) / n0, F.col("n") / (n0 + n1)
     z = (p1 - p0) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-9)) * (1 / n0 + 1 / n1))
     rows = (counts.withColumn("z", z).where((F.abs("z") >= MIN_Z) & (F.abs(p1 - p0) >= MIN_GAP))
-            .orderBy(F.abs("z").desc(), "feature").limit(limit).select("feature", "z").collect())
+            .orderBy(F.abs("z").desc(), "feature").select("feature", "z").collect())
     return [(r.feature, r.z) for r in rows]
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        per_class: int = SAMPLE_PER_CLASS, limit: int = VOCABULARY) -> OrdinalModel:
+        per_class: int = SAMPLE_PER_CLASS) -> OrdinalModel:
     """A model from a bounded sample of labelled rows (``per_class`` documents of
-    each class, ``limit`` features). Rows without an id or a label teach
-    nothing; of repeated ids the largest label counts. Without toxic labels the
-    model has the one grade 0."""
+    each class); grades are those of :func:`label_grades`. Rows without an id or a
+    label teach nothing; of repeated ids the worst label counts. Without toxic
+    labels the model has the one grade 0."""
     sample, totals = labelled_sample(docs, labels, per_class, id_col, text_col, label_col)
     sizes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(1) or not sizes.get(0):
         return OrdinalModel()
-    chosen = vocabulary(sample, sizes, limit)
+    chosen = vocabulary(sample, sizes)
     model = OrdinalModel({f: i for i, (f, _) in enumerate(chosen)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols = [model.columns(t.as_py()) for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(cols, pa.list_(pa.int32())), b.column(1)], names=["cols", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array(cols, pa.list_(pa.int32())), b.column(1), b.column(2)], names=["cols", "toxic", "poor"])
 
-    schema = StructType([StructField("cols", ArrayType(IntegerType())), StructField("toxic", IntegerType())])
-    got = sorted((list(r.cols), r.toxic) for r in sample.mapInArrow(run, schema).collect())
-    rows, toxic = [r for r, _ in got], np.array([t for _, t in got])
-    grades = dose_grades(rows, toxic, np.array([z > 0 for _, z in chosen]))
+    schema = StructType([StructField("cols", ArrayType(IntegerType())), StructField("toxic", IntegerType()), StructField("poor", IntegerType())])
+    got = sorted((list(r.cols), r.toxic, r.poor) for r in sample.mapInArrow(run, schema).collect())
+    rows, toxic = [r for r, _, _ in got], np.array([t for _, t, _ in got])
+    grades = label_grades(toxic, np.array([p for _, _, p in got]))
     # the sample holds as many toxic as clean documents; weigh them as they occur
     weight = np.where(toxic > 0, totals[1] / sizes[1], totals[0] / sizes[0])
     weights, cuts = fit_ordinal(rows, grades, len(chosen), weight)

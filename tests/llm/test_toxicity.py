@@ -1,7 +1,9 @@
 """Cumulative-link regression: gradient, order of grades, held-out accuracy."""
 
+import math
 import os
 import random
+import re
 
 import numpy as np
 import pytest
@@ -31,11 +33,53 @@ def test_probabilities_fall_and_severity_is_their_sum(spark):
     assert r.severity == pytest.approx(p.sum()) and r.p_toxic == pytest.approx(p[0]) and r.toxic
 
 
-def test_grades_from_doses():
-    rows = [[0], [], [0, 1, 2], [0, 1], [3]]
-    grades = T.dose_grades(rows, np.array([1, 0, 1, 1, 0]), np.array([True, True, True, False]))
-    assert grades.tolist() == [1, 0, 3, 2, 0]
-    assert T.dose_grades([[0], [0]], np.array([1, 1]), np.array([True])).tolist() == [1, 1]
+def test_grades_from_labels():
+    assert T.label_grades(np.array([1, 0, 1, 0]), np.array([0, 0, 1, 1])).tolist() == [1, 0, 2, 0]
+    assert T.label_grades(np.array([1, 0]), np.array([1, 0])).tolist() == [1, 0]
+
+
+def _plain_score(text, model):
+    """Severity by the definition: expected grade over all grades, features found by a regular expression."""
+    found = set()
+    for w in re.findall(r"[a-z\u0080-\U0010ffff]+", (text or "").lower()):
+        found |= {w} | {w[:n] + "~" for n in (4, 5) if len(w.encode()) > n}
+    x = sum(model.weights[model.vocabulary[f]] for f in found if f in model.vocabulary)
+    below = [1 / (1 + math.exp(-(c - x))) for c in model.cuts] + [1.0]
+    p = [b - a for a, b in zip([0.0, *below], below)]
+    return sum(k * v for k, v in enumerate(p)), 1 - p[0] if len(p) > 1 else 0.0
+
+
+def test_scores_match_plain_python(spark):
+    docs, labels = _tables(spark)
+    model = T.fit(docs, labels)
+    assert len(model.cuts) == 2 and len(model.vocabulary) > 3
+    text = {}
+    for r in docs.collect():
+        text.setdefault(r.doc_id, r.text)
+    for r in T.score(docs, model).collect():
+        severity, p = _plain_score(text[r.doc_id], model)
+        assert r.severity == pytest.approx(severity, abs=1e-9) and r.p_toxic == pytest.approx(p, abs=1e-9) and r.toxic == (p >= 0.5)
+
+
+def test_fit_is_where_the_likelihood_is_flat():
+    """The gradient of the penalised likelihood, by differences, at what the fit returns."""
+    rng = np.random.default_rng(2)
+    rows = [sorted(np.nonzero(rng.random(3) < 0.5)[0].tolist()) for _ in range(300)]
+    grades = np.minimum(2, rng.integers(0, 2, 300) + np.array([len(r) > 1 for r in rows]))
+    w, cuts = T.fit_ordinal(rows, grades, 3, np.ones(300), steps=4000)
+
+    def loss(theta):
+        total = 0.0
+        for r, g in zip(rows, grades):
+            x = sum(theta[i] for i in r)
+            below = [0.0, *(1 / (1 + math.exp(-(c - x))) for c in theta[3:]), 1.0]
+            total -= math.log(below[g + 1] - below[g]) / 300
+        return total + 1e-3 / 300 * 10 / 2 * sum(v * v for v in theta[:3])
+
+    at = np.concatenate([w, cuts])
+    for i in range(5):
+        step = np.eye(5)[i] * 1e-4
+        assert abs(loss(at + step) - loss(at - step)) / 2e-4 < 2e-3
 
 
 def _tables(spark, n=400):
@@ -49,7 +93,7 @@ def _tables(spark, n=400):
                 body.insert(rng.randrange(len(body)), rng.choice(["vilex", "vilexes", "grossy"]))
         docs.append((i, " ".join(body), "e"))
         if i % 3:
-            labels.append((i, 1, int(i % 4 == 0)))
+            labels.append((i, int(i % 5 > 1), int(i % 4 == 0)))
     docs += [(None, "wxx vilex", "e"), (1000, None, "e"), (1001, "", "e"), (1002, "waaaa " * 60_000 + "vilex", "e"), (4, docs[4][1], "e")]
     labels += [(None, 1, 1), (1, 1, None), (2000, 1, 1)]
     return (spark.createDataFrame(docs, "doc_id long, text string, toxic string"),
