@@ -33,9 +33,11 @@ def test_probabilities_fall_and_severity_is_their_sum(spark):
     assert r.severity == pytest.approx(p.sum()) and r.p_toxic == pytest.approx(p[0]) and r.toxic
 
 
-def test_grades_from_labels():
-    assert T.label_grades(np.array([1, 0, 1, 0]), np.array([0, 0, 1, 1])).tolist() == [1, 0, 2, 0]
-    assert T.label_grades(np.array([1, 0]), np.array([1, 0])).tolist() == [1, 0]
+def test_grades_from_doses():
+    rows = [[0], [], [0, 1, 2], [0, 1], [3]]
+    grades = T.dose_grades(rows, np.array([1, 0, 1, 1, 0]), np.array([True, True, True, False]))
+    assert grades.tolist() == [1, 0, 3, 2, 0]
+    assert T.dose_grades([[0], [0]], np.array([1, 1]), np.array([True])).tolist() == [1, 1]
 
 
 def _plain_score(text, model):
@@ -52,7 +54,7 @@ def _plain_score(text, model):
 def test_scores_match_plain_python(spark):
     docs, labels = _tables(spark)
     model = T.fit(docs, labels)
-    assert len(model.cuts) == 2 and len(model.vocabulary) > 3
+    assert len(model.cuts) > 1 and len(model.vocabulary) > 3
     text = {}
     for r in docs.collect():
         text.setdefault(r.doc_id, r.text)
@@ -93,7 +95,7 @@ def _tables(spark, n=400):
                 body.insert(rng.randrange(len(body)), rng.choice(["vilex", "vilexes", "grossy"]))
         docs.append((i, " ".join(body), "e"))
         if i % 3:
-            labels.append((i, int(i % 5 > 1), int(i % 4 == 0)))
+            labels.append((i, 1, int(i % 4 == 0)))
     docs += [(None, "wxx vilex", "e"), (1000, None, "e"), (1001, "", "e"), (1002, "waaaa " * 60_000 + "vilex", "e"), (4, docs[4][1], "e")]
     labels += [(None, 1, 1), (1, 1, None), (2000, 1, 1)]
     return (spark.createDataFrame(docs, "doc_id long, text string, toxic string"),
