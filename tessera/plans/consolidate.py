@@ -29,13 +29,14 @@ from tessera.plans import catalog as store
 from tessera.plans import integrity, outbox
 from tessera.plans.load import load_related
 from tessera.plans.prepare import enrich
-from tessera.session import materialize
+from tessera.session import gathered, materialize
 from tessera.sinks.writers import publish
 from tessera.sources.rows import ERROR, metadata_rows
 from tessera.sources.scan import list_files
 from tessera.spec import DEFAULT_TABLE, FLAG_TRUE, CatalogSpec
 
 WHOLE_FILE_BYTES = 256 << 20    # larger metadata files are not read whole by one task
+MOST_FILES = 100_000            # files of one batch: the driver holds what becomes of each
 
 
 @dataclass
@@ -76,7 +77,7 @@ def _versioned(data: DataFrame, spec: CatalogSpec) -> tuple[DataFrame, DataFrame
     crowd = data.join(shared, "file_name", "left_semi").withColumns({"_stem": stem, "_ext": ext})
     plan = manifest.name_versions(crowd, "_stem", ["modificationTime", "path"], F.col("_ext"), spec.max_file_variations,
                                   out_name="publish_name", stamp_col="modificationTime")
-    plan = materialize(plan.select("path", "publish_name", "action"))
+    plan = gathered(plan.select("path", "publish_name", "action"))
     out = data.join(plan.where("action <> 'reject'").select("path", "publish_name"), "path", "left")
     over = plan.where("action = 'reject'").select("path", F.lit("too_many_variations").alias("reason"))
     return out.join(over.select("path"), "path", "left_anti"), over
@@ -154,7 +155,7 @@ def _read(spark: SparkSession, spec: CatalogSpec, meta: list, encoding: str) ->
     silent = manifest.reject_files(listed.select(F.col(FILE_PATH).alias("path")), rows.select(F.col(FILE_PATH).alias("path")),
                                    "path", "no_rows")
     rows = rows.join(unread.select(F.col("path").alias(FILE_PATH)), FILE_PATH, "left_anti").drop(ERROR)
-    ident = materialize(identify_tables(spark, rows, spec)).where(~F.col("skip")).drop("skip")
+    ident = gathered(identify_tables(spark, rows, spec)).where(~F.col("skip")).drop("skip")
     found = ident.filter(F.col("table").isNotNull())
     bad = ident.filter(F.col("table").isNull()).select(FILE_PATH)
     if req := [t for t in spec.required_tables if t in spec.tables]:
@@ -280,11 +281,11 @@ def _file_actions(spark: SparkSession, spec: CatalogSpec, to_publish: DataFrame,
     rejects."""
     plan = manifest.fan_out(to_publish, "file_class", spec.get_folders)
     targets = [f for v in spec.get_folders.values() for f in v]
-    plan = materialize(manifest.placement_actions(plan, _target_listing(spark, targets), spec.overwrite_get))
+    plan = gathered(manifest.placement_actions(plan, _target_listing(spark, targets), spec.overwrite_get))
     out, trash = [plan.withColumn("kind", F.lit("publish"))], []
     if spec.store_folders:
         kept = manifest.store_plan(processed, spec.store_folders)
-        kept = materialize(manifest.placement_actions(kept, _target_listing(spark, spec.store_folders), spec.overwrite_store))
+        kept = gathered(manifest.placement_actions(kept, _target_listing(spark, spec.store_folders), spec.overwrite_store))
         out.append(kept.withColumn("kind", F.lit("store")))
     out.append(rejected.withColumn("kind", F.lit("reject")).withColumn("action", F.lit("reject")))
     if spec.trash_folder:
@@ -318,6 +319,8 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
     at all."""
     cat = store.Catalog(spark, catalog_root)
     files, listed = _arrivals(spark, spec, inputs)
+    if len(listed) > MOST_FILES:
+        raise ValueError(f"{len(listed)} files in one batch; service.run_batch takes them in batches of at most {MOST_FILES}")
     is_meta = F.col("file_class").isin(list(spec.metadata_regex))
     meta = sorted((r for r in listed if r["file_class"] in spec.metadata_regex and r["length"] > 0),
                   key=lambda r: (r["modificationTime"], r["path"]))
@@ -341,7 +344,7 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
     cols = ("path", "file_name", "file_class", "modificationTime")
     data = files.filter(F.col("file_class").isin(list(spec.data_regex))).withColumnRenamed("name", "file_name").select(*cols)
     if held is not None:
-        data = materialize(data.unionByName(held.select(*cols)).dropDuplicates(["path"]))
+        data = gathered(data.unionByName(held.select(*cols)).dropDuplicates(["path"]))
     if any(r["file_class"] in spec.data_regex for r in listed) or (held is not None and not data.isEmpty()):
         found = _link(cat, spec, data)
         linked = list(spec.data_regex) if found is not None else []
@@ -349,15 +352,15 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
         data, variants = _versioned(data, spec)
         movable = linking.move_only(data, "file_class", linked)
         to_publish = movable if found is None else movable.unionByName(data.join(found, "file_name", "left_semi"))
-        pending = materialize(linking.pending_files(data, found) if found is not None else data.limit(0)).drop("publish_name")
-        to_publish = materialize(to_publish.distinct().withColumn("file_name", F.coalesce("publish_name", "file_name"))
+        pending = gathered(linking.pending_files(data, found) if found is not None else data.limit(0)).drop("publish_name")
+        to_publish = gathered(to_publish.distinct().withColumn("file_name", F.coalesce("publish_name", "file_name"))
                                  .select("path", "file_name", "file_class"))
     else:
         variants, pending, to_publish = None, data, data.drop("modificationTime")
     rejected = rejected_parts[0]
     for r in [*rejected_parts[1:], *([variants] if variants is not None else [])]:
         rejected = rejected.unionByName(r)
-    rejected = materialize(rejected.groupBy("path").agg(F.min("reason").alias("reason")))
+    rejected = gathered(rejected.groupBy("path").agg(F.min("reason").alias("reason")))
     processed = files.filter(is_meta).join(rejected, "path", "left_anti").select("path", F.col("name").alias("file_name"))
     # ---- one commit -----------------------------------------------------------
     result = BatchResult(None, {}, files, rejected, to_publish, pending, None, stats)

@@ -72,3 +72,9 @@ def materialize(df):
     checkpoint folder (survives executor loss; never a local checkpoint)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def gathered(df):
+    """``df`` as rows that the driver holds: for frames whose size a batch's bound on
+    files limits (plans, rejects), which Catalyst then knows to be small."""
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
