@@ -53,7 +53,7 @@ class BatchResult:
     actions: DataFrame | None = None
 
 
-def _target_listing(spark: SparkSession, folders: list[str]) -> DataFrame | None:
+def target_listing(spark: SparkSession, folders: list[str]) -> DataFrame | None:
     """Files already present in the target folders (names and paths only)."""
     out = None
     for f in sorted(set(folders)):
@@ -281,11 +281,11 @@ def _file_actions(spark: SparkSession, spec: CatalogSpec, to_publish: DataFrame,
     rejects."""
     plan = manifest.fan_out(to_publish, "file_class", spec.get_folders)
     targets = [f for v in spec.get_folders.values() for f in v]
-    plan = gathered(manifest.placement_actions(plan, _target_listing(spark, targets), spec.overwrite_get))
+    plan = gathered(manifest.placement_actions(plan, target_listing(spark, targets), spec.overwrite_get))
     out, trash = [plan.withColumn("kind", F.lit("publish"))], []
     if spec.store_folders:
         kept = manifest.store_plan(processed, spec.store_folders)
-        kept = gathered(manifest.placement_actions(kept, _target_listing(spark, spec.store_folders), spec.overwrite_store))
+        kept = gathered(manifest.placement_actions(kept, target_listing(spark, spec.store_folders), spec.overwrite_store))
         out.append(kept.withColumn("kind", F.lit("store")))
     out.append(rejected.withColumn("kind", F.lit("reject")).withColumn("action", F.lit("reject")))
     if spec.trash_folder:
@@ -301,7 +301,7 @@ def _file_actions(spark: SparkSession, spec: CatalogSpec, to_publish: DataFrame,
         for one in trash:
             gone = one if gone is None else gone.unionByName(one)
         gone = gone.distinct().withColumn("file_name", manifest.basename(F.col("path"))).withColumn("folder", F.lit(spec.trash_folder))
-        gone = manifest.placement_actions(gone, _target_listing(spark, [spec.trash_folder]), spec.overwrite_trash)
+        gone = manifest.placement_actions(gone, target_listing(spark, [spec.trash_folder]), spec.overwrite_trash)
         out.append(gone.withColumn("kind", F.lit("trash")))
     return out
 

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from tessera.operators import manifest
 from tessera.plans import catalog as store
-from tessera.plans.consolidate import BatchResult, consolidate
+from tessera.plans import outbox
+from tessera.plans.consolidate import BatchResult, consolidate, target_listing
 from tessera.session import materialize
 from tessera.sources.listing import list_tree
 from tessera.spec import CatalogSpec
@@ -96,11 +97,33 @@ def run_batch(spark: SparkSession, spec: CatalogSpec, paths: list[str], catalog_
     }
 
 
+def mirror(spark: SparkSession, spec: CatalogSpec, catalog_root: str) -> int:
+    """FIL-8: copies that make the publish folders of a class hold the same file
+    names, as actions of a version of their own; their number. Run once before
+    a service starts."""
+    parts = []
+    for folders in spec.get_folders.values():
+        listed = target_listing(spark, folders) if len(folders) > 1 else None
+        if listed is not None:
+            missing = manifest.mirror_diff(listed, "folder", "file_name", folders)
+            held = listed.groupBy("file_name").agg(F.min("path").alias("path"))
+            parts.append(missing.join(held, "file_name").select(
+                F.lit("mirror").alias("kind"), F.lit("copy").alias("action"), "path", "file_name", F.col("missing_in").alias("folder")))
+    if not parts:
+        return 0
+    cat = store.Catalog(spark, catalog_root)
+    n = outbox.append(cat, *parts).count()
+    if n:
+        cat.commit()
+    return n
+
+
 def serve(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catalog_root: str,
           checkpoint: str, once: bool | None = None, max_files_per_trigger: int = 1000):
     """Watch ``inputs``; ``once`` (default: the spec's test mode) processes the
     backlog and stops, otherwise polls every check period."""
     once = spec.test_mode if once is None else once
+    mirror(spark, spec, catalog_root)
     schema = "path string, modificationTime timestamp, length bigint, content binary"
     stream = None
     for folder in inputs:  # one source per watched folder

@@ -7,7 +7,7 @@ import pytest
 
 from conftest import rows
 from tessera.plans import outbox
-from tessera.plans.service import run_batch
+from tessera.plans.service import mirror, run_batch
 from tessera.sources import scan
 from tessera.sources.listing import list_tree
 from tessera.spec import CatalogSpec
@@ -89,3 +89,14 @@ def test_listing_in_tasks_equals_the_listing_of_the_client(spark, tmp_path):
         assert rows(list_tree(spark, roots), *cols) == rows(scan.list_files(spark, roots), *cols)
     with pytest.raises(FileNotFoundError):
         list_tree(spark, [str(tmp_path / "gone")])
+
+
+def test_mirror_copies_what_a_folder_lacks(spark, tmp_path):
+    a, b, c = (str(tmp_path / x) for x in "abc")
+    spec = CatalogSpec.from_config({"folders": {"get": {"raw": [a, b], "other": [c]}}, "metadata": {"key": {"p": ["k"]}}})
+    for path in (f"{a}/1.txt", f"{a}/2.txt", f"{b}/2.txt", f"{b}/3.txt", f"{c}/4.txt"):
+        _post(path, path)
+    root = str(tmp_path / "cat")
+    assert mirror(spark, spec, root) == 2
+    got = sorted((r.kind, r.action, r.path, r.folder) for r in outbox.pending(spark, root).collect())
+    assert got == [("mirror", "copy", f"file:{a}/1.txt", b), ("mirror", "copy", f"file:{b}/3.txt", a)]
