@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.transforms import FILE_SEQ, KEY, ROW_SEQ, q
+from tessera.session import as_table
 from tessera.spec import MERGE_SEPARATOR
 
 
@@ -39,8 +40,9 @@ def merge_duplicates(df: DataFrame, key_cols: Sequence[str] = (KEY,),
     smallest ``order_cols`` tuple). A null key is a key.
 
     Keys are counted first, by hash aggregation over the key columns alone. The
-    list of repeated keys, usually short, marks the rows (broadcast when small,
-    split by AQE when one key is hot). Rows of keys seen once pass through
+    list of repeated keys, usually short, is written, so that its size is known: it
+    marks the rows without shuffling them when it is small, else by a join that
+    AQE splits where one key is hot. Rows of keys seen once pass through
     without an aggregate. The others become ``(key, column, value)`` triples,
     deduplicated before anything is collected, so a group never holds more than
     the distinct values that its merged text consists of.
@@ -50,7 +52,8 @@ def merge_duplicates(df: DataFrame, key_cols: Sequence[str] = (KEY,),
     values = [c for c in df.columns if c not in key_cols and c not in order_cols]
     keyed = [q(k) for k in key_cols]
     repeated = (df.groupBy(*keyed).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-                .select(*[q(k).alias(f"_k{i}") for i, k in enumerate(key_cols)], F.lit(True).alias("_again")))
+                .select(*[q(k).alias(f"_k{i}") for i, k in enumerate(key_cols)]))
+    repeated = as_table(repeated, "repeated-keys").withColumn("_again", F.lit(True))
     same = reduce(and_, [q(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(key_cols)])
     tagged = df.join(repeated, same, "left").drop(*[f"_k{i}" for i in range(len(key_cols))])
     single = tagged.filter(F.col("_again").isNull()).select(

@@ -78,3 +78,11 @@ def gathered(df):
     """``df`` as rows that the driver holds: for frames whose size a batch's bound on
     files limits (plans, rejects), which Catalyst then knows to be small."""
     return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
+
+
+def as_table(df, name: str):
+    """``df`` written to the shared folder and read back: Catalyst knows its size then,
+    and broadcasts it only below its threshold."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
