@@ -46,11 +46,11 @@ def _random_csv(rng, n):
     return rng.choice(["", "﻿"]) + rng.choice(["", end]) + 'k;"v\n2";w' + end + end.join(lines) + rng.choice(["", end])
 
 
-@pytest.mark.parametrize("size,most_ranges", [("7", 100_000), ("64", 100_000), ("33", 1)])
+@pytest.mark.parametrize("size,most_ranges", [("13", 100_000), ("64", 100_000), ("33", 1)])
 def test_split_csv_equals_the_row_parser_at_any_border(spark, tmp_path, size, most_ranges):
     rng = random.Random(int(size))
     paths = [_post(str(tmp_path), f"f{i}.csv", _random_csv(rng, rng.choice([0, 3, 25]))) for i in range(6)]
-    paths.append(_post(str(tmp_path), "long.csv", "k;v\n1;" + "x" * 5000 + '\n2;"' + "y\n" * 400 + '"\n'))
+    paths.append(_post(str(tmp_path), "long.csv", "k;v\n1;" + "x" * 500 + '\n2;"' + "y\n" * 40 + '"\n'))
     paths.append(_post(str(tmp_path), "wide.csv", "k;v\n1;2;;\n1;2;3\n"))
     paths.append(_post(str(tmp_path), "twice.csv", "k;k\n1;2\n"))
     paths.append(_post(str(tmp_path), "open.csv", 'k;v\n1;"never closed\n2;3'))

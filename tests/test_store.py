@@ -98,12 +98,12 @@ def _spec(parent_orphans, child_orphans):
 COLS = {"a": ("a_id bigint", ("a_id",)), "b": ("b_id string, b_a bigint", ("b_id", "b_a")), "c": ("c_b string, c_a bigint", ("c_b", "c_a"))}
 
 
-@pytest.mark.parametrize("parents,children,seed", [(True, True, 1), (False, True, 3)])
-def test_incremental_integrity_equals_whole_passes(spark, tmp_path, parents, children, seed):
+@pytest.mark.parametrize("parents,children,seed,batches", [(True, True, 1, 3), (False, True, 3, 2)])
+def test_incremental_integrity_equals_whole_passes(spark, tmp_path, parents, children, seed, batches):
     rng, spec, root = random.Random(seed), _spec(parents, children), str(tmp_path)
     whole = {}
     pick = lambda most: None if rng.random() < 0.1 else rng.randrange(most)
-    for batch in range(3):
+    for batch in range(batches):
         size = 40 if batch == 0 else rng.choice([3, 6])
         made = {"a": [(f"k{rng.randrange(25)}", pick(20)) for _ in range(size)],
                 "b": [(f"k{rng.randrange(40)}", None if (x := pick(25)) is None else f"b{x}", pick(22)) for _ in range(size)],
