@@ -27,19 +27,22 @@ def main(argv=None) -> None:
     ap.add_argument("--master", default=None)
     ap.add_argument("--checkpoint", default=None, help="shared folder for the stream's progress; needed with --stream "
                                                        "unless spark.checkpoint.dir is set")
+    ap.add_argument("--encodings", default=None, help="Parquet folder of a model from sources.encodings.learn_encodings; "
+                                                      "finds the encoding of text files without a byte order mark")
     args = ap.parse_args(argv)
     spec = CatalogSpec.from_config(args.config)
     inputs = args.input or spec.post_folders
     spark = get_spark(args.master)
+    encodings = spark.read.parquet(args.encodings) if args.encodings else None
     if args.stream:
         tag = hashlib.sha1(os.path.abspath(args.catalog).encode()).hexdigest()[:16]
         root = args.checkpoint or spark.conf.get("spark.checkpoint.dir", None)
         if not root:
             ap.error("--stream needs --checkpoint or spark.checkpoint.dir: a restart must find the same folder again")
         ck = os.path.join(root, "stream", tag)
-        serve(spark, spec, inputs, args.catalog, ck, once=args.once or spec.test_mode)
+        serve(spark, spec, inputs, args.catalog, ck, once=args.once or spec.test_mode, encodings=encodings)
     else:
-        print(json.dumps(run_batch(spark, spec, inputs, args.catalog)))
+        print(json.dumps(run_batch(spark, spec, inputs, args.catalog, encodings=encodings)))
 
 
 if __name__ == "__main__":

@@ -141,12 +141,13 @@ def _arrivals(spark: SparkSession, spec: CatalogSpec, inputs: list[str]) -> tupl
     return files, listed
 
 
-def _read(spark: SparkSession, spec: CatalogSpec, meta: list, encoding: str) -> tuple[DataFrame, list[DataFrame]]:
+def _read(spark: SparkSession, spec: CatalogSpec, meta: list, encoding: str,
+          encodings: DataFrame | None = None) -> tuple[DataFrame, list[DataFrame]]:
     """The rows of the metadata files ``meta`` with their ``table`` and file number, and
     what is rejected."""
     paths = [r["path"] for r in meta]
     rows = metadata_rows(spark, paths, list(spec.tables), spec.csv_separator, encoding, _table_hint_names(spec),
-                         large=[r["path"] for r in meta if r["length"] > WHOLE_FILE_BYTES])
+                         large=[r["path"] for r in meta if r["length"] > WHOLE_FILE_BYTES], encodings=encodings)
     listed = spark.createDataFrame([(p, i) for i, p in enumerate(paths, 1)], f"{FILE_PATH} string, {FILE_SEQ} long")
     if rows is None:
         return None, [listed.select(F.col(FILE_PATH).alias("path"), F.lit("no_rows").alias("reason"))]
@@ -309,10 +310,12 @@ def _file_actions(spark: SparkSession, spec: CatalogSpec, to_publish: DataFrame,
 def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catalog_root: str,
                 key_mode: str = "concat", write_replicas: bool = True,
                 held: DataFrame | None = None, encoding: str = "utf-8", strict: bool = False, batch: int | None = None,
+                encodings: DataFrame | None = None,
                 state: Callable[[store.Catalog, BatchResult], DataFrame | None] | None = None) -> BatchResult:
     """``held``: data files kept from earlier batches (path, file_name, file_class,
     modificationTime), matched again against the updated catalog. ``encoding`` is that
-    of text files without a byte order mark; ``strict`` rejects files whose
+    of text files without a byte order mark, unless ``encodings``, a model of byte pairs
+    (``sources.encodings``), finds it file by file; ``strict`` rejects files whose
     relative FKs they do not resolve themselves (D12). ``state`` may add tables
     (names begin with ``__``) to the batch's version and returns files that are
     expired; ``batch`` is noted there, so a batch is in the store as a whole or not
@@ -334,7 +337,7 @@ def consolidate(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catal
                       files.filter(is_meta & (F.col("length") == 0)).select("path", F.lit("no_rows").alias("reason"))]
     stats, rows = None, None
     if meta:
-        rows, bad = _read(spark, spec, meta, encoding)
+        rows, bad = _read(spark, spec, meta, encoding, encodings)
         rejected_parts += bad
         if rows is not None:
             bad_files, stats = _load(cat, rows, spec, key_mode, strict)

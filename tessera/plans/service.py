@@ -34,12 +34,12 @@ VACUUM_EVERY = 20       # batches
 
 def run_batch(spark: SparkSession, spec: CatalogSpec, paths: list[str], catalog_root: str,
               now=None, write_replicas: bool = True, listed: bool = False, batch_id: int | None = None,
-              most_files: int = MOST_FILES) -> dict:
+              most_files: int = MOST_FILES, encodings: DataFrame | None = None) -> dict:
     """One batch: files not processed before (SET-2) plus the held data files.
     ``paths`` are folders to list, or (``listed=True``) the files of one
     micro-batch. Of the files to do the ``most_files`` oldest are taken, the others
     wait for the next batch (``left``). A ``batch_id`` that the catalog already holds
-    is skipped."""
+    is skipped. ``encodings``: see ``consolidate``."""
     cat = store.Catalog(spark, catalog_root)
     if batch_id is not None and cat.batch is not None and cat.batch >= batch_id:
         return dict(_EMPTY)
@@ -83,7 +83,7 @@ def run_batch(spark: SparkSession, spec: CatalogSpec, paths: list[str], catalog_
         return expired[0] if expired else None
 
     result = consolidate(spark, spec, todo_paths, catalog_root, write_replicas=write_replicas, held=held,
-                         batch=batch_id, state=state)
+                         batch=batch_id, state=state, encodings=encodings)
     if result.version % VACUUM_EVERY == 0:
         store.vacuum(spark, catalog_root)
     kinds = {r["kind"]: r["count"] for r in result.actions.groupBy("kind").count().collect()}
@@ -119,7 +119,8 @@ def mirror(spark: SparkSession, spec: CatalogSpec, catalog_root: str) -> int:
 
 
 def serve(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catalog_root: str,
-          checkpoint: str, once: bool | None = None, max_files_per_trigger: int = 1000):
+          checkpoint: str, once: bool | None = None, max_files_per_trigger: int = 1000,
+          encodings: DataFrame | None = None):
     """Watch ``inputs``; ``once`` (default: the spec's test mode) processes the
     backlog and stops, otherwise polls every check period."""
     once = spec.test_mode if once is None else once
@@ -135,7 +136,8 @@ def serve(spark: SparkSession, spec: CatalogSpec, inputs: list[str], catalog_roo
         # the file names of one micro-batch (bounded by maxFilesPerTrigger)
         paths = [r[0] for r in batch.collect()]
         if paths:
-            print(json.dumps({"batch": batch_id, **run_batch(spark, spec, paths, catalog_root, listed=True, batch_id=batch_id)}))
+            print(json.dumps({"batch": batch_id, **run_batch(spark, spec, paths, catalog_root, listed=True, batch_id=batch_id,
+                                                                      encodings=encodings)}))
 
     q = start(stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint),
               "available" if once else spec.check_period_seconds)

@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tessera.operators.transforms import FILE_MTIME, FILE_NAME, FILE_PATH, ROW_SEQ
+from tessera.sources.encodings import decoded, guess_encoding
 from tessera.sources.scan import PANDAS_DEFAULT_NA, decoded_documents, scan_json_tables
 from tessera.sources.split_csv import split_csv_rows
 from tessera.sources.xlsx import UnreadableFile, worksheets
@@ -124,10 +125,10 @@ def _make_parser(sep: str, encoding: str, sheet_tables: Mapping[str, str]):
 
     def run(batches):
         for b in batches:
-            for path, mtime, content in zip(b.column(0), b.column(1), b.column(2)):
+            for path, mtime, content, guess in zip(*b.columns):
                 path, mtime, rows, held, pos = path.as_py(), mtime.as_py(), [], 0, 0
                 try:
-                    for tbl, header, vals in _parse(path, content.as_py(), sep, encoding, sheet_tables):
+                    for tbl, header, vals in _parse(path, content.as_py(), sep, guess.as_py() or encoding, sheet_tables):
                         rows.append((path, mtime, tbl, pos, header, vals, None))
                         held += sum(len(v) for v in vals if v)
                         pos += 1
@@ -142,9 +143,20 @@ def _make_parser(sep: str, encoding: str, sheet_tables: Mapping[str, str]):
     return run
 
 
-def parsed_rows(files: DataFrame, sep: str, encoding: str = "utf-8", sheet_tables: Mapping[str, str] | None = None) -> DataFrame:
-    """``files(path, modificationTime, content)``, CSV or XLSX by name -> long rows."""
-    files = files.select("path", F.col("modificationTime").alias(FILE_MTIME), "content")
+def _guessed(files: DataFrame, encodings: DataFrame | None) -> DataFrame:
+    """``files`` with the ``encoding`` that the model finds for each, null without a model.
+    One short row a file of the batch goes to every task; contents stay where they are."""
+    if encodings is None:
+        return files.withColumn("encoding", F.lit(None).cast("string"))
+    texts = files.where(~F.regexp_like(F.lower("path"), F.lit(r"\.xls[xm]$")))
+    return files.join(F.broadcast(guess_encoding(texts, encodings)), "path", "left")
+
+
+def parsed_rows(files: DataFrame, sep: str, encoding: str = "utf-8", sheet_tables: Mapping[str, str] | None = None,
+                encodings: DataFrame | None = None) -> DataFrame:
+    """``files(path, modificationTime, content)``, CSV or XLSX by name -> long rows. Text without
+    a byte order mark is in ``encoding``, or in what the model ``encodings`` finds for it."""
+    files = _guessed(files, encodings).select("path", F.col("modificationTime").alias(FILE_MTIME), "content", "encoding")
     parsed = files.mapInArrow(_make_parser(sep, encoding, dict(sheet_tables or {})), LONG_SCHEMA)
     return parsed.select(
         F.col("path").alias(FILE_PATH), F.regexp_extract("path", r"([^/]*)$", 1).alias(FILE_NAME),
@@ -153,15 +165,18 @@ def parsed_rows(files: DataFrame, sep: str, encoding: str = "utf-8", sheet_table
 
 
 def text_rows(spark: SparkSession, paths: Sequence[str], sep: str, encoding: str = "utf-8",
-              sheet_tables: Mapping[str, str] | None = None) -> DataFrame:
+              sheet_tables: Mapping[str, str] | None = None, encodings: DataFrame | None = None) -> DataFrame:
     """CSV / XLSX files -> long rows (one task parses whole files)."""
-    return parsed_rows(spark.read.format("binaryFile").load(list(paths)), sep, encoding, sheet_tables)
+    return parsed_rows(spark.read.format("binaryFile").load(list(paths)), sep, encoding, sheet_tables, encodings)
 
 
-def json_rows(spark: SparkSession, paths: Sequence[str], tables: Sequence[str], encoding: str = "UTF-8") -> DataFrame:
+def json_rows(spark: SparkSession, paths: Sequence[str], tables: Sequence[str], encoding: str = "UTF-8",
+              encodings: DataFrame | None = None) -> DataFrame:
     files = spark.read.format("binaryFile").load(list(paths)).select(
         "path", F.col("modificationTime").alias(FILE_MTIME), "content")
-    docs = decoded_documents(files, default=encoding).select(
+    known = (decoded_documents(files, default=encoding) if encodings is None else
+             _guessed(files, encodings).withColumn("value", decoded("content", "encoding")))
+    docs = known.select(
         F.col("path").alias(FILE_PATH), F.regexp_extract("path", r"([^/]*)$", 1).alias(FILE_NAME), FILE_MTIME, "value")
     long = scan_json_tables(docs, tables)
     # order inside a document's table = position in its list
@@ -244,10 +259,11 @@ def parquet_rows(spark: SparkSession, paths: Sequence[str], unprobed: Sequence[s
 
 def metadata_rows(spark: SparkSession, paths: Sequence[str], tables: Sequence[str], sep: str,
                   encoding: str = "utf-8", sheet_tables: Mapping[str, str] | None = None,
-                  large: Sequence[str] = ()) -> DataFrame | None:
+                  large: Sequence[str] = (), encodings: DataFrame | None = None) -> DataFrame | None:
     """All metadata files of a batch as one long frame, whatever their format and
     size. ``large`` files are not read whole by one task: CSV is split, Parquet is
-    not decoded beforehand, other formats are rejected."""
+    not decoded beforehand, other formats are rejected. ``encodings``: a model that finds
+    the encoding of JSON and CSV files (``encodings.learn_encodings``)."""
     big, by_kind = set(large), {}
     kinds = {"xlsm": "text", "xlsx": "text", "csv": "text", "txt": "text", "json": "json", "parquet": "parquet"}
     for p in paths:
@@ -261,9 +277,9 @@ def metadata_rows(spark: SparkSession, paths: Sequence[str], tables: Sequence[st
         by_kind.setdefault(kind, []).append(p)
     parts = []
     if by_kind.get("json"):
-        parts.append(json_rows(spark, by_kind["json"], tables, encoding))
+        parts.append(json_rows(spark, by_kind["json"], tables, encoding, encodings))
     if by_kind.get("text"):
-        parts.append(text_rows(spark, by_kind["text"], sep, encoding, sheet_tables))
+        parts.append(text_rows(spark, by_kind["text"], sep, encoding, sheet_tables, encodings))
     if by_kind.get("split"):
         parts.append(split_csv_rows(spark, by_kind["split"], sep))
     if by_kind.get("parquet") or by_kind.get("unprobed"):

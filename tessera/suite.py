@@ -26,7 +26,7 @@ from tessera.plans.service import run_batch
 from tessera.session import work_path
 from tessera.sinks import writers
 from tessera.sinks.workbook import to_workbooks
-from tessera.sources import scan
+from tessera.sources import encodings, scan
 from tessera.sources.listing import list_tree, open_folder
 from tessera.sources.rows import parsed_rows
 from tessera.sources.split_csv import split_csv_rows
@@ -801,6 +801,29 @@ def encoding_bom(spark, sf):
     return df.select("encoding", "c_custkey", "c_name", "c_nationkey")
 
 
+@register("encoding_statistics", """
+SELECT doc_id, sha256(text) AS text_sha256,
+       CASE WHEN doc_id % 6 IN (1, 2) THEN ['utf-16-le', 'utf-16-be'][doc_id % 6]
+            WHEN doc_id % 6 = 0 OR NOT regexp_matches(text, '[^\\x00-\\x7F]') THEN 'utf-8'
+            ELSE ['cp1252', 'cp850', 'mac-roman'][doc_id % 6 - 2] END AS encoding
+FROM documents WHERE text IS NOT NULL
+""")
+def encoding_statistics(spark, sf):
+    """SRC-6: every document as bytes of one of six encodings, by its id and without a
+    mark; the encoding is found by a model of the documents' texts, and the bytes decoded.
+    Text in ASCII is the same in five of them and found as the first."""
+    docs = T(spark, sf, "documents").select("doc_id", "text").where("text IS NOT NULL")
+    model = encodings.learn_encodings(docs)
+    nth, content = F.col("doc_id") % len(encodings.CANDIDATES), F.lit(None).cast("binary")
+    for i, name in enumerate(encodings.CANDIDATES):
+        content = F.when(nth == i, encodings.encoded(F.col("text"), name)).otherwise(content)
+    root = work_path(spark, "encoded")
+    docs.select("doc_id", content.alias("content")).write.parquet(root)
+    files = spark.read.parquet(root)
+    found = files.join(encodings.guess_encoding(files, model, "doc_id"), "doc_id")
+    return found.select("doc_id", F.sha2(encodings.decoded("content", "encoding"), 256).alias("text_sha256"), "encoding")
+
+
 _TABLE_FILES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
                 "benchmark labels conversations").split()
 
