@@ -1,5 +1,7 @@
 """Structured Streaming operators over a folder of posted files."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -72,3 +74,55 @@ def test_held_files_are_pending_published_or_expired(spark):
     assert rows(held.statuses(spark, out)) == [(1, "published"), (2, "expired"), (3, "published"), (4, "pending"), (5, "pending")]
     changes = spark.read.parquet(out)
     assert changes.where("id = 2").count() == 2 and changes.where("id = 1").count() == 1
+
+
+def _follow_all(spark, posted, **how):
+    """``posted``: per micro-batch rows (id, k, minute, kind); (last statuses, changes, state rows after each batch)."""
+    from tessera.streaming import held
+
+    src, out, ck = (work_path(spark, f"follow_{x}") for x in ("in", "out", "ck"))
+    n_state = []
+    for i, part in enumerate(posted):
+        spark.createDataFrame(part, "id long, k long, minute long, kind string").select(
+            "id", "k", F.timestamp_seconds(F.col("minute") * 60 + 1_700_000_000).alias("at"), "kind").coalesce(1).write.parquet(f"{src}/{i}")
+        stream = watch.watch(spark, f"{src}/*", "id long, k long, at timestamp, kind string")
+        changes = held.follow_held_files(stream.where("kind = 'file'").select("id", "k", "at"), stream.where("kind = 'ref'").select("k", "at"),
+                                         "k", "1 hour", clock=stream.select("at"), **how)
+        q = held.run_held(changes, out, ck)
+        n_state.append([s["numRowsTotal"] for p in q.recentProgress for s in p["stateOperators"]])
+    return dict(rows(held.statuses(spark, out))), spark.read.parquet(out), n_state
+
+
+def test_held_files_share_state_by_buckets(spark):
+    """Many keys, few groups: every key is told apart inside its bucket."""
+    rng = random.Random(3)
+    posted, n = [], 0
+    for batch in range(3):
+        part = []
+        for _ in range(150):
+            n += 1
+            part.append((n, rng.randrange(60) + (1 << 60), batch * 180 + rng.randrange(120), rng.choice(["file", "ref", "other"])))
+        posted.append(part)
+    got, changes, n_state = _follow_all(spark, posted, buckets=4)
+    every = [r for part in posted for r in part]
+    newest = max(r[2] for r in every)
+
+    def want(i, k, at):
+        if any(r[3] == "ref" and r[1] == k and at <= r[2] <= at + 60 for r in every):
+            return "published"
+        return "expired" if at + 60 < newest else "pending"
+
+    assert got == {i: want(i, k, at) for i, k, at, kind in every if kind == "file"}
+    assert set(got.values()) == {"published", "expired", "pending"}
+    assert all(x <= 4 for batch in n_state for x in batch) and any(x > 0 for batch in n_state for x in batch)
+    assert changes.groupBy("id", "status").count().where("count > 1").isEmpty()  # each is told once
+
+
+def test_held_files_without_key_or_time(spark):
+    """No reference meets a null key; a file without a time waits on; rows of no interest move event time and leave no state."""
+    posted = [[(1, None, 0, "file"), (0, None, 5, "ref"), (2, 7, None, "file"), (0, 7, 5, "ref"), (0, 7, None, "ref"), (3, 8, 0, "file"),
+               (4, 9, 290, "file")],
+              [(0, None, 300, "other"), (0, 5, None, "other")]]
+    got, _, n_state = _follow_all(spark, posted)
+    assert got == {1: "expired", 2: "pending", 3: "expired", 4: "pending"}
+    assert n_state[-1][-1] == 1  # file 4 alone
